@@ -8,15 +8,20 @@ be seen by knowing that a poll took place.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions.states import is_final, state_code, state_name
 from ..operators.status import list_status
 
+# The state functions travel with the query, so executors need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 CHANGES = "list_id STRING, poll_ts TIMESTAMP, job_id BIGINT, before INT, now INT"
 COUNTS = "list_id STRING, poll_ts TIMESTAMP, num_changed BIGINT, num_queued BIGINT, num_running BIGINT"
 LAST_POLL = "ids ARRAY<BIGINT>, codes ARRAY<INT>"
