@@ -35,9 +35,10 @@ def normalize_slurm_state(col) -> Column:
     """SLURM's raw state as a job state. User id 0 cancels on behalf of the queue."""
     c = _col(col)
     return (
-        F.when(c.rlike("^CANCELLED by 0$") | (c == "TIMEOUT"), F.lit("KILLED"))
+        F.when(c.isin(*STATES[:-1]), c)
+        .when(c.isin("TIMEOUT", "CANCELLED by 0"), F.lit("KILLED"))
         .when(c.rlike("^CANCELLED by [0-9]*$"), F.lit("CANCELLED"))
-        .otherwise(to_job_state(c))
+        .otherwise(F.lit("UNKNOWN"))
     )
 
 

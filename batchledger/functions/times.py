@@ -6,14 +6,24 @@ from pyspark.sql import Column, functions as F
 
 from .states import _col
 
-# The time layouts of the four text formats.
+# The time layouts of the four text formats, as written.
 TIME_FORMATS = {
     "slurm": "yyyy-MM-dd'T'HH:mm:ss",
-    "lsf": "yyyy/MM/dd-HH:mm:ss",
+    "lsf": "MM/dd-HH:mm:ss",
     "xml": "dd-MM-yyyy HH:mm:ss",
     "report": "yyyy-MM-dd'T'HH:mm:ss.SSSXXX",
 }
 
+# The same layouts as patterns, and how to rearrange a match for a cast. A cast needs no
+# exception to reject text such as ``Unknown``, which a formatter throws for every row.
+_CLOCK = r"(\d{1,2}:\d{1,2}:\d{1,2})"
+_LAYOUTS = {
+    "slurm": (rf"^(\d{{4}}-\d{{1,2}}-\d{{1,2}})[T ]{_CLOCK}$", None),
+    "lsf": (rf"^(\d{{1,2}})/(\d{{1,2}})-{_CLOCK}$", "$1-$2 $3"),
+    "xml": (rf"^(\d{{1,2}})-(\d{{1,2}})-(\d{{4}}) {_CLOCK}$", "$3-$2-$1 $4"),
+    "report": (r"^\d{4}-\d{1,2}-\d{1,2}[T ]\d", None),
+}
+
 
 def parse_times(col, dialect: str, year=None) -> Column:
     """Text to TIMESTAMP; anything that does not parse is null.
@@ -21,14 +31,14 @@ def parse_times(col, dialect: str, year=None) -> Column:
     LSF prints no year, so ``year`` (an int or a Column) has to be given for it.
     """
     c = _col(col)
+    pattern, rearranged = _LAYOUTS[dialect]
+    text = c if rearranged is None else F.regexp_replace(c, pattern, rearranged)
     if dialect == "lsf":
         if year is None:
             raise ValueError("LSF times carry no year: pass year=")
         y = year if isinstance(year, Column) else F.lit(year)
-        c = F.concat(y.cast("string"), F.lit("/"), c)
-    elif dialect == "slurm":
-        c = F.replace(c, F.lit(" "), F.lit("T"))
-    return F.try_to_timestamp(c, F.lit(TIME_FORMATS[dialect]))
+        text = F.concat(y.cast("string"), F.lit("-"), text)
+    return F.when(c.rlike(pattern), text.try_cast("timestamp"))
 
 
 def seconds_between(start, end) -> Column:

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.ordering import top_rows
 from ..functions.states import kill_cause, normalize_slurm_state, parse_exit_code
-from ..functions.text import strip
 from ..functions.times import parse_times
 from .lines import token, tokens
 
@@ -57,35 +56,40 @@ def parse_squeue(lines: DataFrame) -> DataFrame:
     )
 
 
+# Names of the accounting columns.
+SACCT_FIELDS = ("JobID", "User", "Partition", "NodeList", "JobName", "State", "Submit", "Start", "End", "ExitCode")
+
+
 def parse_sacct(lines: DataFrame) -> DataFrame:
     """Pipe-separated accounting output, fields looked up by the header of their source.
 
     Step rows (``<id>.batch``) are left out and the first row of each job counts. Columns
-    the site did not ask for come out null.
+    the site did not ask for come out null, as do missing trailing fields.
+
+    The header is turned into column positions once per source; rows are split only after
+    all but the first row of a job are gone.
     """
+    names = F.transform(F.split("line", r"\|"), lambda x: F.trim(x))
     header = lines.filter(F.col("line_no") == 0).select(
-        "src", F.transform(F.split("line", "[|]"), lambda x: strip(x)).alias("_names")
+        "src", F.struct(*[F.nullif(F.array_position(names, F.lit(f)).cast("int"), F.lit(0)).alias(f) for f in SACCT_FIELDS]).alias("_at")
     )
-    values = F.transform(F.split("line", "[|]"), lambda x: strip(x))
-    # Pad short rows and cut long ones, so that header and row always pair up.
-    width = F.size("_names")
-    padded = F.slice(F.concat(F.col("_values"), F.array_repeat(F.lit(None).cast("string"), width)), F.lit(1), width)
-    rows = (
+    job_rows = (
         lines.filter((F.col("line_no") > 0) & (F.trim("line") != ""))
-        .filter(~F.split_part("line", F.lit("|"), F.lit(1)).contains("."))
-        .withColumn("_values", values)
         .join(header, "src")
-        .withColumn("_map", F.map_from_arrays("_names", padded))
+        .withColumn("_id", F.split_part("line", F.lit("|"), F.coalesce("_at.JobID", F.lit(1))))
+        .filter(~F.col("_id").contains("."))
     )
+    first = top_rows(job_rows, ["src", "_id"], [F.col("line_no")])
+    first = first.withColumn("_values", F.split("line", r"\|"))
 
     def field(name: str):
-        return F.col("_map")[name]
+        return F.trim(F.try_element_at("_values", F.col(f"_at.{name}")))
 
-    rows = rows.select(
+    rows = first.select(
         "src",
-        "line_no",
-        field("JobID").try_cast("bigint").alias("job_id"),
+        F.trim("_id").try_cast("bigint").alias("job_id"),
         field("User").alias("user_name"),
+        F.lit("slurm").alias("scheduler"),
         field("Partition").alias("queue"),
         field("NodeList").alias("exec_host"),
         field("JobName").alias("job_name"),
@@ -95,61 +99,47 @@ def parse_sacct(lines: DataFrame) -> DataFrame:
         parse_times(field("End"), "slurm").alias("finish_time"),
         parse_exit_code(field("ExitCode"), "slurm").alias("exit_code"),
     )
-    first = top_rows(rows, ["src", "job_id"], [F.col("line_no")])
-    state = normalize_slurm_state("raw_state")
-    return first.select(
-        "src",
-        "job_id",
-        "user_name",
-        F.lit("slurm").alias("scheduler"),
-        "queue",
-        "exec_host",
-        "job_name",
-        "raw_state",
-        state.alias("state"),
-        "submit_time",
-        "start_time",
-        "finish_time",
-        "exit_code",
-        kill_cause("raw_state", state).alias("kill_cause"),
-    )
+    rows = rows.withColumn("state", normalize_slurm_state("raw_state"))
+    return rows.withColumn("kill_cause", kill_cause("raw_state", "state"))
 
 
 def parse_scontrol(texts: DataFrame) -> DataFrame:
-    """``Key=Value`` job description, one job per text.
+    """``Key=Value`` job description, one job per text; ``fields`` maps all keys.
 
     The submitted script follows ``BatchScript=`` and may hold anything, so it is cut off.
+    Jobs on several nodes repeat some keys; the first value counts.
     """
+    pair = F.lit(r"(\S+?)=(\S*)")
     head = F.split_part("text", F.lit("BatchScript="), F.lit(1))
-    pairs = F.arrays_zip(
-        F.regexp_extract_all(head, F.lit(r"(\S+?)=(\S*)"), F.lit(1)).alias("k"),
-        F.regexp_extract_all(head, F.lit(r"(\S+?)=(\S*)"), F.lit(2)).alias("v"),
-    )
-    # Multi-node jobs repeat keys (one block per node); the first one describes the job.
-    distinct = F.aggregate(
-        pairs,
-        F.expr("cast(map() as map<string,string>)"),
-        lambda acc, p: F.when(F.map_contains_key(acc, p["k"]), acc).otherwise(
-            F.map_concat(acc, F.create_map(p["k"], p["v"]))
-        ),
-    )
-    parsed = texts.select("src", distinct.alias("fields"))
+    # With a blank before every key, the patterns below start with plain text, which is found
+    # much faster than a look-behind and still tells NodeList from ReqNodeList.
+    staged = texts.select("src", F.concat(F.lit(" "), F.replace(head, F.lit("\n"), F.lit(" "))).alias("_head"))
 
     def field(name: str):
-        return F.col("fields")[name]
+        return F.nullif(F.regexp_extract("_head", rf" {name}=(\S*)", 1), F.lit(""))
 
-    return parsed.select(
+    named = staged.select(
         "src",
         field("JobId").try_cast("bigint").alias("job_id"),
         field("JobName").alias("job_name"),
-        F.regexp_extract(field("UserId"), r"^([^(]*)", 1).alias("user_name"),
+        F.split_part(field("UserId"), F.lit("("), F.lit(1)).alias("user_name"),
         field("JobState").alias("raw_state"),
-        normalize_slurm_state(field("JobState")).alias("state"),
         field("Partition").alias("queue"),
         F.nullif(field("NodeList"), F.lit("(null)")).alias("exec_host"),
         parse_times(field("SubmitTime"), "slurm").alias("submit_time"),
         parse_times(field("StartTime"), "slurm").alias("start_time"),
         parse_times(field("EndTime"), "slurm").alias("finish_time"),
         parse_exit_code(field("ExitCode"), "slurm").alias("exit_code"),
-        "fields",
+        F.regexp_extract_all("_head", pair, F.lit(1)).alias("_keys"),
+        F.regexp_extract_all("_head", pair, F.lit(2)).alias("_values"),
+    )
+    firsts = F.filter(
+        F.arrays_zip("_keys", "_values"), lambda p, i: F.array_position("_keys", p["_keys"]) == i + 1
+    )
+    repeats = F.size(F.array_distinct("_keys")) < F.size("_keys")
+    fields = F.when(repeats, F.map_from_entries(firsts)).otherwise(F.map_from_arrays("_keys", "_values"))
+    return (
+        named.withColumn("state", normalize_slurm_state("raw_state"))
+        .withColumn("fields", fields)
+        .drop("_keys", "_values")
     )

@@ -6,7 +6,7 @@ was rendered from. File formats are written to the shared scratch folder and rea
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..operators import jobs as j
 from ..plans import report as rp
@@ -20,6 +20,15 @@ from .bindings import EDGES_SQL, JOBCONF_SQL, RUNINFO_SQL, with_sql
 from .job_queries import REPORT_SQL, SPLIT_SQL
 from .registry import query
 
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Rendered text as a stored table, so that parsing starts from a scan."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 R = with_sql(RUNINFO_SQL)
 SRC = "CAST(list_id AS VARCHAR) AS src"
 WORD = "split_part(raw_state, ' ', 1)"
@@ -41,22 +50,22 @@ SQUEUE_SQL = f""" SELECT {SRC}, job_id, {WORD} AS raw_state, {WORD_STATE} AS sta
 
 @query("parse_squeue", R + SQUEUE_SQL)
 def _(spark, d):
-    return slurm.parse_squeue(b.squeue_lines(spark, d)).drop("line_no")
+    return slurm.parse_squeue(stored(b.squeue_lines(spark, d), "squeue_lines")).drop("line_no")
 
 
 @query("over_limit_pending", R + f" SELECT * FROM ({SQUEUE_SQL}) WHERE reason = '(PartitionTimeLimit)'")
 def _(spark, d):
-    return j.over_limit_pending(slurm.parse_squeue(b.squeue_lines(spark, d))).drop("line_no")
+    return j.over_limit_pending(slurm.parse_squeue(stored(b.squeue_lines(spark, d), "squeue_lines"))).drop("line_no")
 
 
 @query("drop_array_tasks", R + f" SELECT {SRC}, CAST(job_id AS VARCHAR) AS raw_id FROM runinfo WHERE job_id % 10 <> 7")
 def _(spark, d):
-    return slurm.drop_array_tasks(slurm.queue_rows(b.squeue_lines(spark, d))).select("src", "raw_id")
+    return slurm.drop_array_tasks(slurm.queue_rows(stored(b.squeue_lines(spark, d), "squeue_lines"))).select("src", "raw_id")
 
 
 @query("parse_bjobs", R + f" SELECT {SRC}, job_id, {LSF_WORD} AS raw_state, {LSF_STATE} AS state FROM runinfo")
 def _(spark, d):
-    return lsf.parse_bjobs(b.bjobs_lines(spark, d)).drop("line_no")
+    return lsf.parse_bjobs(stored(b.bjobs_lines(spark, d), "bjobs_lines")).drop("line_no")
 
 
 @query(
@@ -65,7 +74,7 @@ def _(spark, d):
     start_time, finish_time, coalesce(exit_code, 0) AS exit_code, kill_cause FROM runinfo""",
 )
 def _(spark, d):
-    return slurm.parse_sacct(b.sacct_lines(spark, d))
+    return slurm.parse_sacct(stored(b.sacct_lines(spark, d), "sacct_lines"))
 
 
 def _year(col: str) -> str:
@@ -81,7 +90,7 @@ WIDE_SQL = f""" SELECT {SRC}, job_id, user_name, queue, exec_host, 'run ' || job
     R + WIDE_SQL + f"{LSF_STATE} AS state, CASE WHEN state = 'COMPLETED' THEN 0 ELSE 1 END AS exit_code FROM runinfo",
 )
 def _(spark, d):
-    return lsf.parse_bjobs_wide(b.bjobs_wide_lines(spark, d), 2000).drop("raw_state", "scheduler", "kill_cause")
+    return lsf.parse_bjobs_wide(stored(b.bjobs_wide_lines(spark, d), "bjobs_wide_lines"), 2000).drop("raw_state", "scheduler", "kill_cause")
 
 
 @query(
@@ -89,8 +98,8 @@ def _(spark, d):
     R + WIDE_SQL + "state, CASE WHEN state = 'COMPLETED' THEN 0 ELSE 1 END AS exit_code FROM runinfo",
 )
 def _(spark, d):
-    detail = lsf.parse_bjobs_long(b.bjobs_long_texts(spark, d))
-    out = lsf.parse_bjobs_wide(b.bjobs_wide_lines(spark, d), 2000, detail)
+    detail = lsf.parse_bjobs_long(stored(b.bjobs_long_texts(spark, d), "bjobs_long_texts"))
+    out = lsf.parse_bjobs_wide(stored(b.bjobs_wide_lines(spark, d), "bjobs_wide_lines"), 2000, detail)
     return out.drop("raw_state", "scheduler", "kill_cause")
 
 
@@ -101,7 +110,7 @@ def _(spark, d):
       WHEN state = 'CANCELLED' THEN 'TERM_OWNER: job killed by owner' ELSE '' END AS evidence, state FROM runinfo""",
 )
 def _(spark, d):
-    return lsf.parse_bjobs_long(b.bjobs_long_texts(spark, d))
+    return lsf.parse_bjobs_long(stored(b.bjobs_long_texts(spark, d), "bjobs_long_texts"))
 
 
 @query(
@@ -111,7 +120,7 @@ def _(spark, d):
     coalesce(exit_code, 0) AS exit_code, '0:0:*:*' AS req FROM runinfo""",
 )
 def _(spark, d):
-    out = slurm.parse_scontrol(b.scontrol_texts(spark, d))
+    out = slurm.parse_scontrol(stored(b.scontrol_texts(spark, d), "scontrol_texts"))
     return out.withColumn("req", F.col("fields")["ReqB:S:C:T"]).drop("fields")
 
 
@@ -121,7 +130,7 @@ def _(spark, d):
     UNION ALL SELECT {SRC}, job_id, {LSF_STATE}, 'lsf' FROM runinfo""",
 )
 def _(spark, d):
-    return mixed.parse_mixed(b.mixed_lines(spark, d)).select("src", "job_id", "state", "dialect")
+    return mixed.parse_mixed(stored(b.mixed_lines(spark, d), "mixed_lines")).select("src", "job_id", "state", "dialect")
 
 
 # --- records ---------------------------------------------------------------------------
