@@ -73,11 +73,16 @@ def previous_row(
     carried = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(columns)])
     within = Window.partitionBy(*keys, "_chunk").orderBy(*order)
     over_chunks = Window.partitionBy(*keys).orderBy("_chunk")
-    sort_key = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)])
+    if list(columns) == [order[0]]:
+        # The leading order column itself: a plain maximum, which stays a hash aggregate.
+        last = F.struct(F.max(order[0]).alias("c0"))
+    else:
+        sort_key = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)])
+        last = F.max(F.struct(sort_key.alias("k"), carried.alias("v"))).getField("v")
     last_of_chunk = (
         tagged.groupBy(*keys, "_chunk")
-        .agg(F.max(F.struct(sort_key.alias("k"), carried.alias("v"))).alias("_last"))
-        .withColumn("_carry", F.lag("_last.v").over(over_chunks))
+        .agg(last.alias("_last"))
+        .withColumn("_carry", F.lag("_last").over(over_chunks))
         .drop("_last")
     )
     out = _join_chunks(tagged.withColumn("_prev", F.lag(carried).over(within)), last_of_chunk, keys)

@@ -152,15 +152,13 @@ def custom_strategy(fn: Callable, per_row: bool = False) -> Strategy:
         return fn
 
     def apply(df: DataFrame) -> DataFrame:
-        columns = df.columns
-
         def rewrite(batches: Iterator) -> Iterator:
-            import pandas as pd
+            import pyarrow as pa
 
             for batch in batches:
-                rows = [fn(dict(zip(columns, row))) for row in batch.itertuples(index=False, name=None)]
-                yield pd.DataFrame(rows, columns=columns)
+                rows = [fn(row) for row in batch.to_pylist()]
+                yield pa.RecordBatch.from_pylist(rows, schema=batch.schema)
 
-        return df.mapInPandas(rewrite, df.schema)
+        return df.mapInArrow(rewrite, df.schema)
 
     return apply

@@ -118,7 +118,8 @@ def details(
     """Detail lines ``(list_id, job_id, line_no, line)`` of the given jobs.
 
     ``what`` is state, cmd, config, runinfo, err or out. Commands and configurations come
-    from ``jobconf``, captured output from ``streams`` (matched by job name).
+    from ``jobconf``, captured output from ``streams`` (matched by job name, within the list
+    if the streams tell it).
     """
     zero = F.lit(0).cast("bigint").alias("line_no")
     if what == "state":
@@ -134,7 +135,8 @@ def details(
         return lines.withColumn("line_no", F.col("line_no").cast("bigint"))
     if what in ("err", "out"):
         wanted = streams.filter(F.col("stream") == what)
-        return jobs.select(*JOB_KEY, "job_name").join(wanted, "job_name").select(*JOB_KEY, "line_no", "line")
+        on = ["list_id", "job_name"] if "list_id" in streams.columns else ["job_name"]
+        return jobs.select(*JOB_KEY, "job_name").join(wanted, on).select(*JOB_KEY, "line_no", "line")
     raise ValueError(f"no details called {what!r}")
 
 

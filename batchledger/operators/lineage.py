@@ -30,9 +30,9 @@ def _roots(edges: DataFrame) -> DataFrame:
     """First attempt of every job that has a parent: ``(list_id, job_id, root_id)``.
 
     Pointer doubling: each round replaces an ancestor by that ancestor's ancestor, so chains
-    of length n take log2(n) rounds. Only rows not yet at their root take part in the next
-    round; finished ones are set aside. Joins are on (list, job), never on the list alone,
-    and the looked-up side has one row per key, so AQE can split a hot key of the other side.
+    of length n take log2(n) rounds. Rows that reached their root are set aside; only the
+    rest is joined and written again. Joins are on (list, job), never on the list alone, and
+    the looked-up side has one row per key, so AQE can split a hot key of the other side.
     """
     parents = resubmission_of(edges).withColumnRenamed("resubmission_of", "anc")
     has_parent = parents.select("list_id", F.col("job_id").alias("anc"), F.lit(True).alias("more"))
@@ -41,19 +41,21 @@ def _roots(edges: DataFrame) -> DataFrame:
             "list_id", "job_id", "anc", F.coalesce("more", F.lit(False)).alias("more")
         )
     )
-    total = table.count()
-    done = table.filter(~F.col("more"))
-    active = table.filter("more")
-    reach = 1
+    done, active = table.filter(~F.col("more")), table.filter("more")
+    reach, total = 1, None
     while not active.isEmpty():
+        total = table.count() if total is None else total
         if reach > total:
             raise ValueError("resubmission edges form a cycle")
-        jump = table.select("list_id", F.col("job_id").alias("anc"), F.col("anc").alias("next"), F.col("more").alias("next_more"))
-        moved = active.join(jump, ["list_id", "anc"]).select(
-            "list_id", "job_id", F.col("next").alias("anc"), F.col("next_more").alias("more")
+        jump = done.unionByName(active).select(
+            "list_id", F.col("job_id").alias("anc"), F.col("anc").alias("next"), F.col("more").alias("next_more")
         )
-        table = cut_lineage(done.unionByName(moved))
-        done, active = table.filter(~F.col("more")), table.filter("more")
+        moved = cut_lineage(
+            active.join(jump, ["list_id", "anc"]).select(
+                "list_id", "job_id", F.col("next").alias("anc"), F.col("next_more").alias("more")
+            )
+        )
+        done, active = done.unionByName(moved.filter(~F.col("more"))), moved.filter("more")
         reach *= 2
     return done.select("list_id", "job_id", F.col("anc").alias("root_id"))
 

@@ -19,9 +19,12 @@ from ..operators.status import host_counts, report_totals, status_counts
 
 
 def derive(jobs: DataFrame, edges: DataFrame, limits: DataFrame | None = None) -> DataFrame:
-    """All attempts with parent, job number and the derived columns."""
-    rows = empty_as_null(attach_resubmission_of(jobs, edges))
-    return order_jobs(add_queue_limit(add_num_cores(add_durations(rows)), limits))
+    """All attempts with parent, job number and the derived columns.
+
+    Jobs are numbered first: the numbering reads its input twice, so it should be a scan.
+    """
+    rows = empty_as_null(attach_resubmission_of(order_jobs(jobs), edges))
+    return add_queue_limit(add_num_cores(add_durations(rows)), limits)
 
 
 def job_table(latest: DataFrame) -> DataFrame:

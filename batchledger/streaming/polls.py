@@ -128,16 +128,21 @@ def stream_poll_counts(polls: DataFrame, buckets: int = 4) -> DataFrame:
     return _stateful(polls, buckets, _emit_counts, COUNTS)
 
 
-def status_of_polls(counts: DataFrame, jobs: DataFrame) -> DataFrame:
-    """Status row of every poll that brought a change, from counts per bucket.
-
-    Only the records of lists that changed are read into the aggregate.
-    """
-    polls = (
+def changed_polls(counts: DataFrame) -> DataFrame:
+    """Polls that brought a change, from counts per bucket."""
+    return (
         counts.groupBy("list_id", "poll_ts")
-        .agg(F.sum("num_changed").alias("num_changed"), F.sum("num_queued").alias("num_queued"), F.sum("num_running").alias("num_running"))
+        .agg(
+            F.sum("num_changed").alias("num_changed"),
+            F.sum("num_queued").alias("num_queued"),
+            F.sum("num_running").alias("num_running"),
+        )
         .filter(F.col("num_changed") > 0)
     )
+
+
+def status_of_polls(polls: DataFrame, jobs: DataFrame) -> DataFrame:
+    """Status row of every changed poll; only records of the lists concerned are counted."""
     touched = jobs.withColumn("list_id", F.col("list_id").cast("string")).join(polls, "list_id", "left_semi")
     no_queue = touched.filter(F.lit(False)).select("list_id", "job_id", "state")
     records = list_status(touched, no_queue).drop("num_queued", "num_running", "num_pending")
@@ -152,7 +157,12 @@ def stream_status(polls: DataFrame, jobs: DataFrame, path: str, checkpoint: str,
     """
 
     def write(counts: DataFrame, batch_id: int) -> None:
-        status_of_polls(counts, jobs).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        # Used twice below, and the state operator must run once per batch.
+        changed = changed_polls(counts).persist()
+        try:
+            status_of_polls(changed, jobs).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        finally:
+            changed.unpersist()
 
     return (
         stream_poll_counts(polls, buckets)

@@ -16,7 +16,7 @@ from ..sinks import exports
 from ..sources.records import split_records
 from . import bindings as b
 from .bindings import EDGES_SQL, JOBCONF_SQL, PARTIAL_SQL, QUEUE_SQL, ROOTS_SQL, RUNINFO_SQL, history_sql, with_sql
-from .registry import query
+from .registry import query, stored
 
 R = with_sql(RUNINFO_SQL)
 RE = R + EDGES_SQL
@@ -418,10 +418,16 @@ def _(spark, d):
     return c.validate_configs(bad).select("job_id", F.array_join("violations", ",").alias("violations"))
 
 
-@query("with_names")
+@query(
+    "with_names",
+    C + """ SELECT list_id, job_id, CASE WHEN job_id % 2 = 0 THEN name ELSE 'asm__run__<hash>__<suffix>' END AS name FROM jobconf""",
+)
 def _(spark, d):
-    conf = b.jobconf(spark, d).withColumn("name", F.lit("")).withColumn("wd", F.lit("/projects/asm/run")).withColumn("pos", F.col("job_id"))
-    return c.with_names(conf).select("list_id", "job_id", "name")
+    # Hashes have no counterpart in the check SQL, so only their place is compared.
+    conf = b.jobconf(spark, d).withColumn("name", F.when(F.col("job_id") % 2 == 0, F.col("name")).otherwise(""))
+    named = c.with_names(conf.withColumn("wd", F.lit("/projects/asm/run")).withColumn("pos", F.col("job_id")))
+    shown = F.regexp_replace("name", "__[0-9]+__[0-9A-F]+$", "__<hash>__<suffix>")
+    return named.select("list_id", "job_id", shown.alias("name"))
 
 
 SPLIT_SQL = """
@@ -507,8 +513,10 @@ planned AS (
 
 
 def _plan(spark, d):
+    # The plan reads the edges several times, as it would from their store.
+    edges = stored(b.edges(spark, d), "edges")
     return plan_resubmit(
-        b.jobs(spark, d), b.jobconf(spark, d), b.queue(spark, d), b.edges(spark, d),
+        b.jobs(spark, d), b.jobconf(spark, d), b.queue(spark, d), edges,
         c.Compound(c.MoreTime("100:00"), c.OtherQueue("long")),
     )
 
@@ -573,6 +581,11 @@ _REPORT_TABLES = {
           count(exec_time) AS num_finished FROM latest GROUP BY list_id) l
         JOIN (SELECT list_id, count(resubmission_of) AS num_resubmissions FROM attempts GROUP BY list_id) a ON l.list_id = a.list_id""",
     ),
+    "report_host_counts": (
+        "host_counts",
+        """ SELECT list_id, exec_host, count(*) AS num_jobs FROM latest WHERE list_id IN (
+        SELECT list_id FROM latest GROUP BY list_id HAVING count(DISTINCT exec_host) BETWEEN 2 AND 49) GROUP BY ALL""",
+    ),
     "report_status_counts": ("status_counts", " SELECT list_id, state AS status, count(*) AS num_jobs FROM latest GROUP BY ALL"),
     "job_table": (
         "job_table",

@@ -8,6 +8,8 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import TimestampType
 
+from ..session import scratch_path
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -41,3 +43,10 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
         return fn
 
     return register
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Derived input as a stored table, so that what follows starts from a scan."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -6,7 +6,7 @@ was rendered from. File formats are written to the shared scratch folder and rea
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import functions as F
 
 from ..operators import jobs as j
 from ..plans import report as rp
@@ -18,16 +18,7 @@ from ..sources.records import number_records, split_records, split_text_records
 from . import bindings as b
 from .bindings import EDGES_SQL, JOBCONF_SQL, RUNINFO_SQL, with_sql
 from .job_queries import REPORT_SQL, SPLIT_SQL
-from .registry import query
-
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Rendered text as a stored table, so that parsing starts from a scan."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
+from .registry import query, stored
 
 R = with_sql(RUNINFO_SQL)
 SRC = "CAST(list_id AS VARCHAR) AS src"

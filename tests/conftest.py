@@ -16,8 +16,8 @@ def spark(tmp_path_factory):
     session = build_session(
         "tests",
         **{
-            "spark.master": "local[4]",
-            "spark.sql.shuffle.partitions": "4",
+            "spark.master": "local[8]",
+            "spark.sql.shuffle.partitions": "3",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "4g",

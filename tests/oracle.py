@@ -18,7 +18,7 @@ def connect(sf_dir: str):
 
 def _value(v):
     if isinstance(v, float):
-        return None if math.isnan(v) else float(f"{v:.9g}")
+        return None if math.isnan(v) else v
     if isinstance(v, datetime):
         return v.replace(tzinfo=None).isoformat()
     return v

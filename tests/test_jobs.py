@@ -273,3 +273,19 @@ def test_names_keep_what_is_given(spark):
     conf = conf_of(spark, [1, 2]).withColumn("pos", F.col("job_id")).withColumn("name", F.when(F.col("job_id") == 1, "mine").otherwise(""))
     got = {r.job_id: r.name for r in c.with_names(conf.withColumn("wd", F.lit("/run"))).collect()}
     assert got[1] == "mine" and got[2].startswith("run__")
+
+
+def test_names_are_unique_and_repeatable(spark):
+    conf = conf_of(spark, range(500)).withColumn("name", F.lit("")).withColumn("pos", F.col("job_id"))
+    conf = conf.withColumn("cmd", F.lit("same")).withColumn("wd", F.lit("/projects/asm/run/"))
+    first, again = c.with_names(conf), c.with_names(conf.repartition(7))
+    assert first.select("name").distinct().count() == 500
+    assert first.select("job_id", "name").exceptAll(again.select("job_id", "name")).count() == 0
+    assert first.filter(~F.col("name").rlike("^asm__run__[0-9]+__[0-9A-F]+$")).count() == 0
+
+
+def test_row_strategies_keep_types_and_nulls(spark):
+    conf = conf_of(spark, [1, 2]).withColumn("max_memory", F.when(F.col("job_id") == 1, 5).cast("int"))
+    out = conf.transform(c.custom_strategy(lambda row: {**row, "num_threads": row["num_threads"] + 1}, per_row=True))
+    assert out.schema == conf.schema
+    assert [(r.max_memory, r.num_threads) for r in out.orderBy("job_id").collect()] == [(5, 2), (None, 2)]

@@ -24,14 +24,5 @@ def test_query(spark, con, name):
         assert df.count() > 0
 
 
-def test_names_are_unique_and_repeatable(spark):
-    """The one query without SQL: generated names are distinct and the same every time."""
-    first = QUERIES["with_names"](spark, SF_DIR)
-    again = QUERIES["with_names"](spark, SF_DIR)
-    assert first.exceptAll(again).count() == 0
-    assert first.select("name").distinct().count() == first.count()
-    assert first.filter(~first.name.rlike(r"^asm__run__[0-9]+__[0-9A-F]+$")).count() == 0
-
-
 def test_entry(spark):
     assert driver.entry(spark).count() > 0
