@@ -43,7 +43,7 @@ def differences(df, con, sql: str) -> str | None:
         return f"columns {sorted(df.columns)} != {sorted(names)}"
     got, want = rows_of(df.columns, df.collect()), rows_of(names, expected)
     if got != want:
-        only_got, only_want = [r for r in got if r not in set(want)][:3], [r for r in want if r not in set(got)][:3]
+        only_got, only_want = list(set(got) - set(want))[:3], list(set(want) - set(got))[:3]
         return f"{len(got)} vs {len(want)} rows; only spark {only_got}; only sql {only_want}"
     expected_kinds = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
     odd = [f"{c}: {t} vs {kinds[c]}" for c, t in df.dtypes if expected_kinds.get(t) != kinds[c]]
