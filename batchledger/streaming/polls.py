@@ -27,6 +27,7 @@ COUNTS = "list_id STRING, poll_ts TIMESTAMP, num_changed BIGINT, num_queued BIGI
 LAST_POLL = "ids ARRAY<BIGINT>, codes ARRAY<INT>"
 
 RUNNING_CODE = 1
+SALTS = 16
 
 
 def _bucketed(polls: DataFrame, buckets: int) -> DataFrame:
@@ -142,10 +143,21 @@ def changed_polls(counts: DataFrame) -> DataFrame:
 
 
 def status_of_polls(polls: DataFrame, jobs: DataFrame) -> DataFrame:
-    """Status row of every changed poll; only records of the lists concerned are counted."""
-    touched = jobs.withColumn("list_id", F.col("list_id").cast("string")).join(polls, "list_id", "left_semi")
-    no_queue = touched.filter(F.lit(False)).select("list_id", "job_id", "state")
-    records = list_status(touched, no_queue).drop("num_queued", "num_running", "num_pending")
+    """Status row of every changed poll; only records of the lists concerned are counted.
+
+    The lookup of those lists is salted by job, so the records of one long list are spread
+    over ``SALTS`` tasks and counted there before they are brought together.
+    """
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
+    lists = polls.select("list_id").distinct().select("list_id", salts)
+    salted = jobs.select(
+        F.col("list_id").cast("string").alias("list_id"),
+        "job_id",
+        "state",
+        F.pmod(F.xxhash64("job_id"), F.lit(SALTS)).cast("int").alias("_salt"),
+    )
+    touched = salted.join(lists, ["list_id", "_salt"], "left_semi").drop("_salt")
+    records = list_status(touched, touched.filter(F.lit(False))).drop("num_queued", "num_running", "num_pending")
     return polls.join(records, "list_id").withColumn("num_pending", F.col("num_queued") - F.col("num_running"))
 
 
