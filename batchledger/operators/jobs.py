@@ -128,9 +128,9 @@ def details(
     if what == "runinfo":
         return jobs.select(*JOB_KEY, zero, F.to_json(F.struct(*jobs.columns)).alias("line"))
     if what in ("cmd", "config"):
-        conf = jobconf.join(jobs.select(*JOB_KEY), job_key(jobconf), "left_semi")
+        conf = jobs.select(*JOB_KEY).join(jobconf, job_key(jobconf))
         if what == "config":
-            return conf.select(*JOB_KEY, zero, F.to_json(F.struct(*conf.columns)).alias("line"))
+            return conf.select(*JOB_KEY, zero, F.to_json(F.struct(*jobconf.columns)).alias("line"))
         lines = conf.select(*JOB_KEY, F.posexplode(F.split("cmd", "\n")).alias("line_no", "line"))
         return lines.withColumn("line_no", F.col("line_no").cast("bigint"))
     if what in ("err", "out"):

@@ -10,6 +10,7 @@ from ..functions.ordering import id_chunk, running_number
 from ..operators.configs import Strategy, TryAgain
 from ..operators.jobs import (
     duplicate_names,
+    job_key,
     not_restorable,
     replace_jobs,
     requires_rerun_jobs,
@@ -51,7 +52,7 @@ def plan_resubmit(
     # A root may be reached from several jobs; it runs once, at the earliest position.
     roots = rooted.groupBy("list_id", F.col("root_id").alias("job_id")).agg(F.min("pos").alias("pos"))
     missing = not_restorable(roots, jobconf)
-    conf = roots.join(jobconf, ["list_id", "job_id"])
+    conf = roots.join(jobconf, job_key(jobconf))
 
     top = (
         jobs.select("job_id")

@@ -26,7 +26,8 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only a local master may fall back to a temporary folder of this machine.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    key = "spark.checkpoint.dir"
+    named = spark.conf.get(key, None) or spark.sparkContext.getConf().get(key)
     if named:
         return named
     current = spark.sparkContext.getCheckpointDir()

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .. import schemas
 from ..functions.times import TIME_FORMATS
-from ..operators.jobs import attach_resubmission_of, restorable
+from ..operators.jobs import attach_resubmission_of, job_key
 
 
 def runinfo_log(jobs: DataFrame, edges: DataFrame) -> DataFrame:
@@ -32,7 +32,7 @@ def runinfo_log(jobs: DataFrame, edges: DataFrame) -> DataFrame:
 def jobconf_log(jobs: DataFrame, jobconf: DataFrame) -> DataFrame:
     """The 7 configuration columns, once per job, for jobs that have a configuration."""
     wanted = jobs.select("list_id", "job_id").distinct()
-    return restorable(jobconf, wanted).dropDuplicates(["list_id", "job_id"]).select(
+    return wanted.join(jobconf, job_key(jobconf)).dropDuplicates(["list_id", "job_id"]).select(
         F.col("job_id").alias("id"), "name", "num_threads", "other_queue_args", "queue", "wall_time", "wd"
     )
 

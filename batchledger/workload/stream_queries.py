@@ -6,7 +6,8 @@ takes up its checkpoint where the last run left it, as after a restart.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -31,15 +32,32 @@ def _source(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.readStream.schema(schema).parquet(path)
 
 
+@contextmanager
+def _state_partitions(spark: SparkSession) -> Iterator[None]:
+    """No more state partitions than the cluster has cores.
+
+    Their number is fixed by the first run and AQE does not merge them; each keeps a store
+    of its own and commits it in every micro-batch.
+    """
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(before), spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def _run(stream: DataFrame, out: str, checkpoint: str) -> None:
-    running = (
+    writer = (
         stream.writeStream.format("parquet")
         .option("path", out)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start()
     )
-    running.awaitTermination()
+    with _state_partitions(stream.sparkSession):
+        running = writer.start()
+        running.awaitTermination()
 
 
 def _feed(spark: SparkSession, df: DataFrame, build: Callable[[DataFrame], DataFrame], schema: str) -> DataFrame:
@@ -77,7 +95,9 @@ def _(spark, d):
     for part in _slices(polls):
         part.write.mode("append").parquet(f"{base}/in")
         source = _source(spark, f"{base}/in", polls.schema)
-        sp.stream_status(source, b.poll_jobs(spark, d), f"{base}/out", f"{base}/checkpoint").awaitTermination()
+        with _state_partitions(spark):
+            running = sp.stream_status(source, b.poll_jobs(spark, d), f"{base}/out", f"{base}/checkpoint")
+            running.awaitTermination()
     return spark.read.parquet(f"{base}/out").select(
         "list_id", "poll_ts", "num_changed", "num_queued", "num_running", "num_pending", "num_total", "num_done",
         "num_final", "num_failed", "num_killed",

@@ -289,3 +289,18 @@ def test_row_strategies_keep_types_and_nulls(spark):
     out = conf.transform(c.custom_strategy(lambda row: {**row, "num_threads": row["num_threads"] + 1}, per_row=True))
     assert out.schema == conf.schema
     assert [(r.max_memory, r.num_threads) for r in out.orderBy("job_id").collect()] == [(5, 2), (None, 2)]
+
+
+def test_configurations_shared_by_all_lists(spark):
+    """Records and configurations without a list id are looked up by job id."""
+    from batchledger.sinks.exports import jobconf_log
+
+    jobs = jobs_of(spark, [("a", 1, "KILLED", 0, 60), ("b", 2, "COMPLETED", 0, 5), ("b", 3, "FAILED", 0, 5)])
+    conf = conf_of(spark, [1, 2, 7]).drop("list_id")
+    shown = j.details(jobs, "cmd", conf).orderBy("job_id").collect()
+    assert [(r.list_id, r.job_id, r.line) for r in shown] == [("a", 1, "run 1"), ("b", 2, "run 2")]
+    assert sorted(r.id for r in jobconf_log(jobs, conf).collect()) == [1, 2]
+    none = edges_of(spark, [(1, 2)]).limit(0)
+    plan = plan_resubmit(jobs, conf, queue_of(jobs).withColumn("job_name", F.lit("")), none)
+    assert [(r.list_id, r.from_id, r.to_id) for r in plan.edges.collect()] == [("a", 1, 8)]
+    assert [(r.list_id, r.job_id) for r in plan.not_restorable.collect()] == [("b", 3)]
