@@ -10,7 +10,7 @@ from batchledger.sources import lines, tsv, xml
 @pytest.fixture()
 def small_blocks(spark):
     """Make Spark cut files into many small blocks."""
-    keys = {"spark.sql.files.maxPartitionBytes": "256", "spark.sql.files.openCostInBytes": "0"}
+    keys = {"spark.sql.files.maxPartitionBytes": "256", "spark.sql.files.openCostInBytes": "64"}
     for key, value in keys.items():
         spark.conf.set(key, value)
     yield
