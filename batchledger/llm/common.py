@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+import sys
+import types
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -59,3 +61,9 @@ def before_part(df: DataFrame, key: str, part: str, value: str, name: str) -> Da
         .agg(F.sum(value).alias("_sum"))
         .select(key, part, F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias(name))
     )
+
+
+def worker_cache(name: str) -> dict:
+    """A dict that outlives a task: Python workers are reused, their functions are not."""
+    holder = sys.modules.setdefault("_worker_caches", types.ModuleType("_worker_caches"))
+    return holder.__dict__.setdefault(name, {})

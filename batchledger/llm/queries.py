@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, exact_dedup, mixing, simhash
+from . import chat, exact_dedup, mixing, packing, simhash
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,11 +24,18 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_chats(table(spark, sf_dir, "conversations"))
 
 
+def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack(table(spark, sf_dir, "documents"), path, with_ids=False).drop("ids")
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mix, op2_exact_dedup, op4_chat_format, op10_simhash)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mix, op2_exact_dedup, op4_chat_format, op6_pack, op10_simhash)}
 ORACLE: dict[str, str] = {
     "op1_mix": mixing.ORACLE_SQL.strip(),
     "op2_exact_dedup": exact_dedup.ORACLE_SQL.strip(),
