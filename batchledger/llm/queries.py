@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, exact_dedup, mixing, packing, simhash
+from . import chat, exact_dedup, langid, license_scan, mixing, packing, quality, simhash
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,11 +31,23 @@ def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), path, with_ids=False).drop("ids")
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mix, op2_exact_dedup, op4_chat_format, op6_pack, op10_simhash)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mix, op2_exact_dedup, op4_chat_format, op6_pack, op7_license_scan, op8_quality, op9_langid, op10_simhash)}
 ORACLE: dict[str, str] = {
     "op1_mix": mixing.ORACLE_SQL.strip(),
     "op2_exact_dedup": exact_dedup.ORACLE_SQL.strip(),
