@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, exact_dedup, langid, license_scan, mixing, packing, quality, simhash
+from . import chat, cover_tree, exact_dedup, langid, license_scan, mixing, packing, quality, simhash
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,10 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_chats(table(spark, sf_dir, "conversations"))
 
 
+def op5_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.linked_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -47,7 +51,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mix, op2_exact_dedup, op4_chat_format, op6_pack, op7_license_scan, op8_quality, op9_langid, op10_simhash)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mix, op2_exact_dedup, op4_chat_format, op5_cover_tree, op6_pack, op7_license_scan, op8_quality, op9_langid, op10_simhash)}
 ORACLE: dict[str, str] = {
     "op1_mix": mixing.ORACLE_SQL.strip(),
     "op2_exact_dedup": exact_dedup.ORACLE_SQL.strip(),
