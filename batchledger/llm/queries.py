@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, cover_tree, exact_dedup, langid, license_scan, mixing, packing, quality, simhash
+from . import chat, cover_tree, exact_dedup, langid, license_scan, mixing, packing, pii, quality, simhash
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,10 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_groups(table(spark, sf_dir, "documents"))
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.detect(table(spark, sf_dir, "documents"))
+
+
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_chats(table(spark, sf_dir, "conversations"))
 
@@ -51,7 +55,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mix, op2_exact_dedup, op4_chat_format, op5_cover_tree, op6_pack, op7_license_scan, op8_quality, op9_langid, op10_simhash)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mix, op2_exact_dedup, op3_pii, op4_chat_format, op5_cover_tree, op6_pack, op7_license_scan, op8_quality, op9_langid, op10_simhash)}
 ORACLE: dict[str, str] = {
     "op1_mix": mixing.ORACLE_SQL.strip(),
     "op2_exact_dedup": exact_dedup.ORACLE_SQL.strip(),
