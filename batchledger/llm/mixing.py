@@ -45,13 +45,14 @@ def targets(sizes: DataFrame, weights=WEIGHTS) -> DataFrame:
         .withColumn("_cap", F.col("source_size") * MAX_REPEATS)
         .withColumn("_ratio", F.col("_cap") / F.col("_weight"))
     )
-    # In order of cap per weight a source is capped iff its cap is below its share of what is left.
+    # In order of cap per weight a source is capped iff its cap is below its share of what is left;
+    # the first that is not sets the level, later shares are lower.
     filled = (
         per_source.withColumn("_left", F.sum("source_size").over(every) - F.coalesce(F.sum("_cap").over(before), F.lit(0)))
         .withColumn("_weights", F.sum("_weight").over(every) - F.coalesce(F.sum("_weight").over(before), F.lit(0)))
         .withColumn("_share", F.col("_left") / F.col("_weights"))
         .withColumn("_capped", F.col("_ratio") < F.col("_share"))
-        .withColumn("_level", F.min(F.when(~F.col("_capped"), F.col("_share"))).over(every))
+        .withColumn("_level", F.max(F.when(~F.col("_capped"), F.col("_share"))).over(every))
     )
     target = F.when(F.col("_capped"), F.col("_cap").cast("double")).otherwise(
         F.least(F.col("_cap").cast("double"), F.col("_weight") * F.col("_level"))
@@ -115,8 +116,12 @@ def schedule(plan: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     return used.unionByName(short)
 
 
+def _columns() -> list:
+    return ["doc_id", F.regexp_count(text_or_empty(), F.lit(WORD)).cast("bigint").alias("size"), source_key().alias("_source")]
+
+
 def _sizes(docs: DataFrame) -> DataFrame:
-    rows = docs.select("doc_id", F.regexp_count(text_or_empty(), F.lit(WORD)).cast("bigint").alias("size"), source_key().alias("_source"))
+    rows = docs.select(*_columns())
     return stored(rows.withColumn("_row", F.monotonically_increasing_id()), "sizes")
 
 
@@ -150,6 +155,31 @@ def mix_report(docs: DataFrame, weights=WEIGHTS, block_words: int = BLOCK_WORDS)
     return placed.join(taken, "_row", "left").select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken"))
 
 
+def mixed_documents(docs: DataFrame, weights=WEIGHTS, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """Whole rows of what the mix takes: a document once for every pass that takes it.
+
+    The one document a source at which its target is met is cut after the words taken, which are
+    joined by single spaces (``n_chars``, where there is such a column, follows); documents that
+    are not taken are left out.
+    """
+    rows = stored(docs.select(F.struct("*").alias("_doc")).withColumn("_row", F.monotonically_increasing_id()), "mixed")
+    sized = rows.select("_row", "_doc.doc_id", F.col("_doc.text").alias("text"), F.col("_doc.source").alias("source"))
+    sizes = stored(sized.select("_row", *_columns()), "sizes")
+    plan = stored(targets(sizes, weights), "targets")
+    placed = stored(_streams(sizes, plan), "streams")
+    passes = _pieces(placed, plan, block_words).groupBy("_row", "_pass").agg(F.sum("words").alias("words"))
+    counts = passes.groupBy("_row").agg(F.array_sort(F.collect_list("words")).alias("_counts"))  # MAX_REPEATS at most
+    taken = rows.join(counts.join(sizes.select("_row", "size"), "_row").hint("shuffle_hash"), "_row")
+    taken = taken.select("_doc", "size", F.explode("_counts").alias("_n")).withColumn("_cut", F.col("_n") < F.col("size"))
+    words = F.slice(F.regexp_extract_all("_doc.text", F.lit(f"({WORD})"), 1), 1, F.col("_n").cast("int"))
+    text = F.when(F.col("_cut"), F.array_join(words, " ")).otherwise(F.col("_doc.text"))
+    changed = {"text": text}
+    if "n_chars" in docs.columns:
+        length = F.length(text).cast(docs.schema["n_chars"].dataType)
+        changed["n_chars"] = F.when(F.col("_cut"), length).otherwise(F.col("_doc.n_chars"))
+    return taken.select(*[changed.get(c, F.col("_doc").getField(c)).alias(c) for c in docs.columns])
+
+
 ORACLE_SQL = rf"""
 WITH d AS (
   SELECT doc_id, CASE WHEN source IS NULL THEN '1' ELSE '0' || source END AS s,
@@ -175,7 +205,7 @@ c AS (
 ),
 t AS (
   SELECT s, source_size, CASE WHEN capped THEN CAST(cap AS DOUBLE)
-         ELSE least(CAST(cap AS DOUBLE), w * min(CASE WHEN NOT capped THEN share END) OVER ()) END AS target
+         ELSE least(CAST(cap AS DOUBLE), w * max(CASE WHEN NOT capped THEN share END) OVER ()) END AS target
   FROM c
 ),
 p AS (

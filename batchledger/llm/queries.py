@@ -55,7 +55,13 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mix, op2_exact_dedup, op3_pii, op4_chat_format, op5_cover_tree, op6_pack, op7_license_scan, op8_quality, op9_langid, op10_simhash)}
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mix, op2_exact_dedup, op3_pii, op4_chat_format, op5_cover_tree, op6_pack, op7_license_scan, op8_quality, op9_langid, op10_simhash, pipeline)}
 ORACLE: dict[str, str] = {
     "op1_mix": mixing.ORACLE_SQL.strip(),
     "op2_exact_dedup": exact_dedup.ORACLE_SQL.strip(),
