@@ -22,9 +22,9 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 import zlib
 from collections.abc import Callable, Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +37,8 @@ LENGTH = 4096
 GRAIN = 64
 END_ID = 2
 MAX_QUEUES = 4096
-#: Entries of the caches of words and of parts of words in a Python worker.
-CACHED = 500_000
+#: Words and parts of words that a Python worker remembers, about 200 bytes each.
+CACHED = 1_000_000
 _FRACTION = 20
 
 _SIMPLE = re.compile("[!-&(-~À-ɏ]+")
@@ -46,87 +46,87 @@ _LETTERS = re.compile("[a-zß-öø-ɏ]+")
 _RUNS = re.compile("[a-zß-öø-ɏ]+|[^a-zß-öø-ɏ]+")
 
 
-class WordEncoder:
-    """Token ids of texts under a tokenizer that never joins what white space separates.
+class WordEncoder(dict):
+    """Token ids of words, as little-endian numbers, under a tokenizer that never joins what white
+    space separates; so the ids of a text are those of its words.
 
     Words are encoded once and remembered. A word of ASCII and Latin letters without apostrophe is
     lower-cased and cut between letters and other characters, as the tokenizer does itself, which
     makes far fewer different parts; any other word is encoded as it stands.
     """
 
-    def __init__(self, tokenizer: str):
+    def __init__(self, tokenizer: str, end_id: int = END_ID):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_str(tokenizer)
+        self.model = self.tokenizer.model
+        self.letter = "H" if max(self.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else "I"
+        self.width = struct.calcsize(f"<{self.letter}")
+        self.end = self._numbers([end_id])
         # Byte-level alphabet: printable bytes stand for themselves, the others follow from 256 on.
         shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         hidden = [b for b in range(256) if b not in shown]
         self.alphabet = str.maketrans({b: chr(256 + i) for i, b in enumerate(hidden)})
-        self.words: dict[bytes, tuple] = {}
-        self.parts: dict[str, tuple] = {}
-
-    def _encode(self, texts: list[str]) -> list[tuple]:
-        return [tuple(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def learn(self, new: list[bytes]) -> None:
-        if len(self.words) > CACHED:
-            self.words.clear()
-        if len(self.parts) > CACHED:
-            self.parts.clear()
-        split: list[list[str]] = []
-        for word in map(bytes.decode, new):
-            plain = _SIMPLE.fullmatch(word) and "<|" not in word
-            split.append(_RUNS.findall(word.lower()) if plain else [word])
-        missing = {p for parts in split for p in parts if p not in self.parts}
-        model, alphabet = self.tokenizer.model, self.alphabet
-        letters = [p for p in missing if _LETTERS.fullmatch(p)]
-        for p in letters:
-            shown = p if p.isascii() else p.encode().decode("latin-1").translate(alphabet)
-            self.parts[p] = tuple([t.id for t in model.tokenize(shown)])
-        rest = list(missing.difference(letters))
-        self.parts.update(zip(rest, self._encode(rest)))
-        get = self.parts.__getitem__
-        for word, parts in zip(new, split):
-            self.words[word] = get(parts[0]) if len(parts) == 1 else tuple(chain.from_iterable(map(get, parts)))
-
-    def encode(self, texts: list[str]) -> Iterator[list[int]]:
-        """Ids of each text, without an end token."""
-        for first in range(0, len(texts), 64):
-            split = [t.encode().split() for t in texts[first : first + 64]]
-            known = self.words
-            new = list({w for words in split for w in words if w not in known})
-            if new:
-                if len(known) > CACHED:
-                    new = list({w for words in split for w in words})
-                self.learn(new)
-            get = self.words.__getitem__
-            for words in split:
-                yield list(chain.from_iterable(map(get, words)))
+
+    def _numbers(self, ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}{self.letter}", *ids)
+
+    def __missing__(self, word: bytes) -> bytes:
+        out = self._word(word)
+        if len(self) >= CACHED:
+            self.clear()
+        self[word] = out
+        return out
+
+    def _word(self, word: bytes) -> bytes:
+        lower = word.lower()
+        if lower.isalpha():  # ASCII letters
+            return self[lower] if lower != word else self._letters(word.decode())
+        if word[-1:] in b".," and word[:-1].isalpha():
+            return self[word[:-1]] + self[word[-1:]]
+        text = word.decode()
+        if _SIMPLE.fullmatch(text) and "<|" not in text:
+            plain = text.lower()
+            parts = _RUNS.findall(plain)
+            if len(parts) > 1 or plain != text:
+                return b"".join([self[p.encode()] for p in parts])
+            if _LETTERS.fullmatch(plain):
+                return self._letters(word.decode("latin-1").translate(self.alphabet))
+        return self._numbers(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def _letters(self, shown: str) -> bytes:
+        return self._numbers([t.id for t in self.model.tokenize(shown)])
+
+    def encode(self, text: bytes) -> bytes:
+        """The ids of a text and the end token."""
+        return b"".join(map(self.__getitem__, text.split())) + self.end
 
     def check(self) -> None:
         """Refuse a tokenizer that words and their parts do not make up."""
         probe = "It's we'll FIVE\tétÉ—x, 'S 12.5%! ß.Ärger\n\nÿ ΣΑΣ 日本語 <|endoftext|> end."
-        if next(self.encode([probe])) != self.tokenizer.encode(probe, add_special_tokens=False).ids:
+        if self.encode(probe.encode()) != self._numbers(self.tokenizer.encode(probe, add_special_tokens=False).ids) + self.end:
             raise ValueError("this tokenizer joins what white space separates")
 
 
-def _tokenise(tokenizer, width: str, end_id: int) -> Callable:
+def _tokenise(tokenizer, end_id: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = worker_cache("word_encoder")
-        key = hash(tokenizer.value)
+        key = (hash(tokenizer.value), end_id)
         if cache.get("key") != key:
-            cache.update(key=key, encoder=WordEncoder(tokenizer.value))
+            cache.update(key=key, encoder=WordEncoder(tokenizer.value, end_id))
+        encode, width = cache["encoder"].encode, cache["encoder"].width
         part, sent = TaskContext.get().partitionId(), {}
         for batch in batches:
             queues = batch.column(2).to_pylist()
             starts, counts, tokens = [], [], []
-            for queue, ids in zip(queues, cache["encoder"].encode(batch.column(1).to_pylist())):
-                ids.append(end_id)
+            for queue, text in zip(queues, batch.column(1)):
+                ids = encode(text.as_py())
+                n = len(ids) // width
                 starts.append(sent.get(queue, 0))
-                counts.append(len(ids))
-                sent[queue] = starts[-1] + len(ids)
-                tokens.append(np.array(ids, width).tobytes())
+                counts.append(n)
+                sent[queue] = starts[-1] + n
+                tokens.append(ids)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), pa.array([part] * len(queues), pa.int32()), pa.array(starts, pa.int64()), pa.array(counts, pa.int64()), pa.array(tokens, pa.binary())],
                 names=["doc_id", "queue", "part", "start", "n", "ids"],
@@ -219,13 +219,13 @@ def pack(docs: DataFrame, tokenizer_path: str, length: int = LENGTH, grain: int
     spark = docs.sparkSession
     with open(tokenizer_path, encoding="utf-8") as file:
         tokenizer = file.read()
-    encoder = WordEncoder(tokenizer)
+    encoder = WordEncoder(tokenizer, end_id)
     encoder.check()
-    width = "<u2" if max(encoder.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4"
+    width = f"<u{encoder.width}"
     shipped = spark.sparkContext.broadcast(tokenizer)  # one file of a fixed vocabulary
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text"), _queue(docs).alias("queue"))
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().cast("binary").alias("text"), _queue(docs).alias("queue"))
     tokens = stored(
-        rows.mapInArrow(_tokenise(shipped, width, end_id), "doc_id bigint, queue string, part int, start bigint, n bigint, ids binary"),
+        rows.mapInArrow(_tokenise(shipped, end_id), "doc_id bigint, queue string, part int, start bigint, n bigint, ids binary"),
         "tokens",
     )
     earlier = Window.partitionBy("queue").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
