@@ -143,7 +143,9 @@ def learn(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabe
     )
     # Bounded by the two parameters: some twenty numbers a row.
     got = rows.select(F.col("quality").cast("int").alias("quality"), "text").mapInArrow(_features, "quality int, x array<double>").toPandas()
-    x = np.array(got["x"].tolist(), float).reshape(len(got), -1)
+    if not len(got):
+        return Model(1.0)
+    x = np.array(got["x"].tolist(), float)
     y = got["quality"].to_numpy(float, na_value=np.nan)
     order = np.lexsort((*x.T, np.nan_to_num(y, nan=2.0)))  # the rows arrive in any order
     x, y = x[order], y[order]
