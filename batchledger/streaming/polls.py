@@ -1,9 +1,15 @@
 """Streams of queue polls.
 
-Contract of a poll stream ``(list_id, poll_ts, job_id, state)``: a micro-batch holds whole
-polls, polls of a list arrive in order, and **every poll carries one heartbeat row** whose
-``job_id`` is null (``with_heartbeats``). A job leaves a queue silently, so departures can only
-be seen by knowing that a poll took place.
+Contract of a poll stream ``(list_id, poll_ts, job_id, state)``: polls of a list arrive in
+order, and **every poll carries one heartbeat row** whose ``job_id`` is null
+(``with_heartbeats``). A job leaves a queue silently, so departures can only be seen by knowing
+that a poll took place.
+
+The rows of a poll may be split over files and micro-batches: a poll is compared once the next
+heartbeat of its list shows that it is whole. The latest poll thus waits for the one after it.
+Rows of a poll that was already compared fail the query; nothing is dropped. Of several rows of
+a job in one poll the greatest state code counts, as in ``snapshot_changes``; where the order of
+the lines is known, use ``dedupe_queue`` first.
 """
 
 from __future__ import annotations
@@ -24,7 +30,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 CHANGES = "list_id STRING, poll_ts TIMESTAMP, job_id BIGINT, before INT, now INT"
 COUNTS = "list_id STRING, poll_ts TIMESTAMP, num_changed BIGINT, num_queued BIGINT, num_running BIGINT"
-LAST_POLL = "ids ARRAY<BIGINT>, codes ARRAY<INT>"
+#: The last poll compared, and the one that may still get rows (times as nanoseconds).
+LAST_POLL = "ids ARRAY<BIGINT>, codes ARRAY<INT>, open_ns BIGINT, open_ids ARRAY<BIGINT>, open_codes ARRAY<INT>"
 
 RUNNING_CODE = 1
 SALTS = 16
@@ -54,20 +61,25 @@ def _polls_in_order(
 ) -> Iterator[tuple[pd.Timestamp, pd.Series, pd.Series]]:
     """Yield (poll time, codes before, codes now), both indexed by job id; keep the last."""
     rows = pd.concat(list(batches), ignore_index=True)
+    before, open_ns, current = _codes([], []), None, _codes([], [])
     if state.exists:
-        ids, codes = state.get
-        before = pd.Series(list(codes), index=pd.Index(list(ids), dtype="int64"), dtype="int64")
-    else:
-        before = pd.Series([], index=pd.Index([], dtype="int64"), dtype="int64")
+        ids, codes, open_ns, open_ids, open_codes = state.get
+        before, current = _codes(ids, codes), _codes(open_ids, open_codes)
     for poll_ts, poll in rows.groupby("poll_ts", sort=True):
         present = poll[poll["code"] != 0]
-        now = pd.Series(
-            present["code"].to_numpy(), index=pd.Index(present["job_id"], dtype="int64"), dtype="int64"
-        )
-        now = now[~now.index.duplicated(keep="last")]
-        yield poll_ts, before, now
-        before = now
-    state.update((before.index.tolist(), before.tolist()))
+        now = _codes(present["job_id"], present["code"])
+        if open_ns is not None and poll_ts.value < open_ns:
+            raise ValueError(f"rows of poll {poll_ts} came after a later poll")
+        if open_ns is not None and poll_ts.value > open_ns:
+            yield pd.Timestamp(open_ns), before, current
+            before, current = current, _codes([], [])
+        open_ns = poll_ts.value
+        current = pd.concat([current, now]).groupby(level=0).max()
+    state.update((before.index.tolist(), before.tolist(), open_ns, current.index.tolist(), current.tolist()))
+
+
+def _codes(ids, codes) -> pd.Series:
+    return pd.Series(list(codes), index=pd.Index(list(ids), dtype="int64"), dtype="int64")
 
 
 def _compare(before: pd.Series, now: pd.Series) -> pd.DataFrame:
@@ -158,7 +170,10 @@ def status_of_polls(polls: DataFrame, jobs: DataFrame) -> DataFrame:
     )
     touched = salted.join(lists, ["list_id", "_salt"], "left_semi").drop("_salt")
     records = list_status(touched, touched.filter(F.lit(False))).drop("num_queued", "num_running", "num_pending")
-    return polls.join(records, "list_id").withColumn("num_pending", F.col("num_queued") - F.col("num_running"))
+    counts = [c for c in records.columns if c != "list_id"]
+    # Lists that have queue rows but no record yet count as having none.
+    joined = polls.join(records, "list_id", "left").fillna(0, counts)
+    return joined.withColumn("num_pending", F.col("num_queued") - F.col("num_running"))
 
 
 def stream_status(polls: DataFrame, jobs: DataFrame, path: str, checkpoint: str, buckets: int = 4):
@@ -226,14 +241,14 @@ def departures(changes: DataFrame) -> DataFrame:
     return gone.select("list_id", "job_id", F.col("poll_ts").alias("departed_ts"))
 
 
-def stream_accounting(
-    departed: DataFrame, records: DataFrame, bound: str = "15 seconds", delay: str = "0 seconds"
-) -> DataFrame:
+def stream_accounting(departed: DataFrame, records: DataFrame, bound: str, delay: str) -> DataFrame:
     """Match departed jobs with the record written at most ``bound`` later.
 
     ``departed`` is ``(list_id, job_id, departed_ts)``; ``records`` is ``(list_id, job_id,
     record_ts, ...)``. Both are streams, or both tables. A job without a record in time comes
-    out with nulls once the watermark, trailing by ``delay``, has passed the bound.
+    out with nulls once the watermark, trailing by ``delay``, has passed the bound. ``delay`` is
+    how late a row may come; a stream cannot match rows that come later still, and
+    ``late_accounting`` accounts for those.
     """
     if departed.isStreaming:
         departed = departed.withWatermark("departed_ts", delay)
@@ -246,3 +261,14 @@ def stream_accounting(
         & (F.col("record_ts") <= F.col("departed_ts") + F.expr(f"interval {bound}"))
     )
     return departed.join(right, in_time, "leftOuter").drop("_list", "_job")
+
+
+def late_accounting(departed: DataFrame, records: DataFrame, accounted: DataFrame, bound: str) -> DataFrame:
+    """The departures that ``stream_accounting`` passed over for coming later than its delay.
+
+    All three are tables: what has been fed so far and what the stream has put out. A departure
+    still waiting for its bound shows up too, so run it on departures older than bound and
+    delay. Together with the stream's output every departure is there exactly once.
+    """
+    missed = departed.join(accounted, ["list_id", "job_id", "departed_ts"], "left_anti")
+    return stream_accounting(missed, records, bound, "0 seconds")

@@ -1,13 +1,13 @@
 """Streaming operators over the poll history.
 
-The history is fed to the stream in three slices. Each slice is one run of the query, which
-takes up its checkpoint where the last run left it, as after a restart.
+The history is fed to the stream in slices, in files that split polls, and read one file a
+micro-batch. Each slice is one run of the query, which takes up its checkpoint where the last run
+left it, as after a restart. A last heartbeat closes the last poll.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -29,23 +29,21 @@ def _slices(df: DataFrame) -> list[DataFrame]:
 
 
 def _source(spark: SparkSession, path: str, schema) -> DataFrame:
-    return spark.readStream.schema(schema).parquet(path)
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(path)
 
 
-@contextmanager
-def _state_partitions(spark: SparkSession) -> Iterator[None]:
-    """No more state partitions than the cluster has cores.
+def _streaming(spark: SparkSession) -> SparkSession:
+    """A session of its own for a stream, with no more state partitions than there are cores.
 
-    Their number is fixed by the first run and AQE does not merge them; each keeps a store
-    of its own and commits it in every micro-batch.
+    Their number is fixed by the first run and AQE does not merge them; each keeps a store of its
+    own and commits it in every micro-batch. The caller's settings stay as they are.
     """
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(min(int(before), spark.sparkContext.defaultParallelism)))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+    own = spark.newSession()
+    for key in ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions"):
+        own.conf.set(key, spark.conf.get(key))
+    cores = spark.sparkContext.defaultParallelism
+    own.conf.set("spark.sql.shuffle.partitions", str(min(int(spark.conf.get("spark.sql.shuffle.partitions")), cores)))
+    return own
 
 
 def _run(stream: DataFrame, out: str, checkpoint: str) -> None:
@@ -55,20 +53,27 @@ def _run(stream: DataFrame, out: str, checkpoint: str) -> None:
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
     )
-    with _state_partitions(stream.sparkSession):
-        running = writer.start()
-        running.awaitTermination()
+    writer.start().awaitTermination()
 
 
 def _feed(spark: SparkSession, df: DataFrame, build: Callable[[DataFrame], DataFrame], schema: str) -> DataFrame:
     """Append slice after slice to the input folder and run the query; read what it wrote."""
-    base = scratch_path(spark, "stream")
-    for part in _slices(df):
-        part.write.mode("append").parquet(f"{base}/in")
-        _run(build(_source(spark, f"{base}/in", df.schema)), f"{base}/out", f"{base}/checkpoint")
+    base, own = scratch_path(spark, "stream"), _streaming(spark)
+    for part in [*_slices(df), _closing(df)]:
+        # Two files, each with some rows of every poll of the slice.
+        part.repartition(2).write.mode("append").parquet(f"{base}/in")
+        _run(build(_source(own, f"{base}/in", df.schema)), f"{base}/out", f"{base}/checkpoint")
     return spark.read.schema(schema).parquet(f"{base}/out")
 
 
+def _closing(polls: DataFrame) -> DataFrame:
+    """One heartbeat a list after its last poll."""
+    last = polls.groupBy("list_id").agg(F.max("poll_no").alias("poll_no"), F.max("poll_ts").alias("poll_ts"))
+    beat = last.withColumns({"poll_no": F.col("poll_no") + 1, "poll_ts": F.col("poll_ts") + F.expr("interval 1 day")})
+    missing = {c: F.lit(None).cast(t) for c, t in polls.dtypes if c not in beat.columns}
+    return beat.withColumns(missing).select(*polls.columns)
+
+
 H = with_sql(history_sql())
 CHANGE_SCHEMA = "list_id STRING, poll_ts TIMESTAMP, job_id BIGINT, prev_state STRING, cur_state STRING"
 
@@ -81,23 +86,26 @@ def _(spark, d):
 @query(
     "stream_status",
     H + """ SELECT p.list_id, p.poll_ts, num_changed, coalesce(num_queued, 0) AS num_queued, coalesce(num_running, 0) AS num_running,
-      coalesce(num_queued, 0) - coalesce(num_running, 0) AS num_pending, num_total, num_done, num_final, num_failed, num_killed
+      coalesce(num_queued, 0) - coalesce(num_running, 0) AS num_pending, coalesce(num_total, 0) AS num_total,
+      coalesce(num_done, 0) AS num_done, coalesce(num_final, 0) AS num_final, coalesce(num_failed, 0) AS num_failed,
+      coalesce(num_killed, 0) AS num_killed
     FROM (SELECT list_id, poll_ts, poll_no, count(*) AS num_changed FROM changes GROUP BY ALL) p
     LEFT JOIN (SELECT list_id, poll_no, count(*) AS num_queued, count(*) FILTER (state = 'RUNNING') AS num_running
       FROM history GROUP BY ALL) q ON p.list_id = q.list_id AND p.poll_no = q.poll_no
-    JOIN (SELECT list_id, count(*) AS num_total, count(*) FILTER (state = 'COMPLETED') AS num_done,
+    LEFT JOIN (SELECT list_id, count(*) AS num_total, count(*) FILTER (state = 'COMPLETED') AS num_done,
       count(*) FILTER (state IN ('COMPLETED', 'KILLED', 'FAILED')) AS num_final, count(*) FILTER (state = 'FAILED') AS num_failed,
-      count(*) FILTER (state = 'KILLED') AS num_killed FROM poll_jobs GROUP BY list_id) j ON p.list_id = j.list_id""",
+      count(*) FILTER (state = 'KILLED') AS num_killed FROM poll_jobs WHERE list_id <> 'q3' GROUP BY list_id) j ON p.list_id = j.list_id""",
 )
 def _(spark, d):
     base = scratch_path(spark, "status")
     polls = b.poll_history(spark, d)
-    for part in _slices(polls):
-        part.write.mode("append").parquet(f"{base}/in")
-        source = _source(spark, f"{base}/in", polls.schema)
-        with _state_partitions(spark):
-            running = sp.stream_status(source, b.poll_jobs(spark, d), f"{base}/out", f"{base}/checkpoint")
-            running.awaitTermination()
+    own = _streaming(spark)
+    # One list has no records at all.
+    jobs = b.poll_jobs(own, d).filter(F.col("list_id") != "q3")
+    for part in [*_slices(polls), _closing(polls)]:
+        part.repartition(2).write.mode("append").parquet(f"{base}/in")
+        source = _source(own, f"{base}/in", polls.schema)
+        sp.stream_status(source, jobs, f"{base}/out", f"{base}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{base}/out").select(
         "list_id", "poll_ts", "num_changed", "num_queued", "num_running", "num_pending", "num_total", "num_done",
         "num_final", "num_failed", "num_killed",
@@ -114,8 +122,7 @@ def _(spark, d):
 def _(spark, d):
     polls = b.poll_history(spark, d, per_user=True)
     sizes = sp.with_poll_sizes(polls).join(polls.select("list_id", "poll_ts", "poll_no").distinct(), ["list_id", "poll_ts"])
-    done = b.poll_jobs(spark, d, per_user=True)
-    return _feed(spark, sizes, lambda s: sp.stream_completion(s, done), "list_id STRING, poll_ts TIMESTAMP")
+    return _feed(spark, sizes, lambda s: sp.stream_completion(s, b.poll_jobs(s.sparkSession, d, per_user=True)), "list_id STRING, poll_ts TIMESTAMP")
 
 
 @query(
@@ -128,25 +135,43 @@ def _(spark, d):
 def _(spark, d):
     base = scratch_path(spark, "accounting")
     gone = sp.departures(snapshot_changes(b.poll_history(spark, d)).withColumn("list_id", F.col("list_id").cast("string")))
-    late = F.col("job_id") % 25
+    wait = F.col("job_id") % 25
     records = gone.select(
         "list_id",
         "job_id",
-        b.plus_seconds(F.col("departed_ts"), late).alias("record_ts"),
+        b.plus_seconds(F.col("departed_ts"), wait).alias("record_ts"),
         (F.col("job_id") % 3).cast("int").alias("exit_code"),
     )
-    # A last pair far in the future moves the watermarks past every real row.
+    # In the order of their polls, but for every ninth job, which comes at the very end: far
+    # later than the delay, when the watermark has passed it. A last pair, far in the future,
+    # moves the watermarks past every real row.
     end = gone.agg(F.max("departed_ts").alias("t")).select(F.col("t") + F.expr("interval 2 days"))
     tail = spark.range(1).select(F.lit("end").alias("list_id"), F.lit(-1).cast("bigint").alias("job_id"), end.scalar().alias("t"))
+    after = tail.withColumn("job_id", F.lit(-2).cast("bigint")).withColumn("t", F.col("t") + F.expr("interval 2 days"))
     schema = "list_id STRING, job_id BIGINT, departed_ts TIMESTAMP, record_ts TIMESTAMP, exit_code INT"
+    late, own = F.col("job_id") % 9 == 0, _streaming(spark)
+    half = F.lit(b.FIRST_POLL).cast("timestamp") + F.expr("interval 15 days")
+
+    def pair(t):
+        return t.withColumnRenamed("t", "departed_ts"), t.withColumn("exit_code", F.lit(0)).withColumnRenamed("t", "record_ts")
+
     for left, right in (
-        (gone, records),
-        (tail.withColumnRenamed("t", "departed_ts"), tail.withColumn("exit_code", F.lit(0)).withColumnRenamed("t", "record_ts")),
+        (gone.filter(~late & (F.col("departed_ts") < half)), records.filter(~late & (F.col("record_ts") < half))),
+        (gone.filter(~late & (F.col("departed_ts") >= half)), records.filter(~late & (F.col("record_ts") >= half))),
+        pair(tail),
+        (gone.filter(late), records.filter(late)),
+        pair(after),
     ):
         left.write.mode("append").parquet(f"{base}/gone")
         right.write.mode("append").parquet(f"{base}/records")
         matched = sp.stream_accounting(
-            _source(spark, f"{base}/gone", gone.schema), _source(spark, f"{base}/records", records.schema)
+            own.readStream.schema(gone.schema).parquet(f"{base}/gone"),
+            own.readStream.schema(records.schema).parquet(f"{base}/records"),
+            "15 seconds",
+            "10 minutes",
         )
         _run(matched, f"{base}/out", f"{base}/checkpoint")
-    return spark.read.schema(schema).parquet(f"{base}/out").filter(F.col("list_id") != "end")
+    accounted = spark.read.schema(schema).parquet(f"{base}/out")
+    fed, seen = spark.read.schema(gone.schema).parquet(f"{base}/gone"), spark.read.schema(records.schema).parquet(f"{base}/records")
+    missed = sp.late_accounting(fed, seen, accounted, "15 seconds")
+    return accounted.unionByName(missed).filter(F.col("list_id") != "end")

@@ -31,7 +31,10 @@ def test_changes_survive_restarts(spark, buckets):
     first = poll(spark, 10, [(1, "RUNNING"), (2, "PENDING"), (BIG, "RUNNING")])
     second = poll(spark, 20, [(1, "RUNNING"), (2, "RUNNING"), (4, "PENDING")])
     third = poll(spark, 30, [])
-    out = run(spark, scratch_path(spark, "t"), [first, second.union(third)], lambda s: sp.stream_queue_changes(s, buckets))
+    closing = poll(spark, 40, [])
+    # The second poll comes in two batches; the job that looks gone in between is not.
+    parts = [first, second.filter("job_id = 2 OR job_id IS NULL"), second.filter("job_id <> 2").union(third), closing]
+    out = run(spark, scratch_path(spark, "t"), parts, lambda s: sp.stream_queue_changes(s, buckets))
     got = sorted((r.poll_ts.timestamp(), r.job_id, r.prev_state or "", r.cur_state or "") for r in out.collect())
     assert [g[1:] for g in got] == [
         (1, "", "RUNNING"), (2, "", "PENDING"), (BIG, "", "RUNNING"),
@@ -43,14 +46,16 @@ def test_changes_survive_restarts(spark, buckets):
 def test_status_rows_only_for_changes_and_once_per_batch(spark):
     base = scratch_path(spark, "t")
     jobs = spark.createDataFrame([("a", 1, "COMPLETED"), ("a", 2, "RUNNING"), ("b", 3, "RUNNING")], "list_id STRING, job_id BIGINT, state STRING")
-    polls = [poll(spark, s, [(2, "RUNNING")]) for s in (10, 20)]
-    polls[0].union(polls[1]).write.parquet(f"{base}/in")
+    polls = [poll(spark, s, [(2, "RUNNING")]) for s in (10, 20, 30)]
+    other = poll(spark, 10, [(9, "RUNNING")], "no_records").union(poll(spark, 30, [(9, "RUNNING")], "no_records"))
+    polls[0].union(polls[1]).union(polls[2]).union(other).write.parquet(f"{base}/in")
     for _ in range(2):
         source = spark.readStream.schema(SCHEMA).parquet(f"{base}/in")
         sp.stream_status(source, jobs, f"{base}/out", f"{base}/checkpoint").awaitTermination()
     got = spark.read.parquet(f"{base}/out").collect()
-    assert len(got) == 1
-    row = got[0]
+    assert sorted(r.list_id for r in got) == ["a", "no_records"]
+    assert [(r.num_queued, r.num_total) for r in got if r.list_id == "no_records"] == [(1, 0)]
+    row = next(r for r in got if r.list_id == "a")
     assert (row.list_id, row.num_changed, row.num_queued, row.num_running, row.num_pending) == ("a", 1, 1, 1, 0)
     assert (row.num_total, row.num_done, row.num_final) == (2, 1, 1)
 
@@ -80,7 +85,7 @@ def test_accounting_on_tables(spark):
     gone = gone.select("list_id", "job_id", F.timestamp_seconds("s").alias("departed_ts"))
     records = spark.createDataFrame([("a", 1, 115), ("a", 2, 116)], "list_id STRING, job_id BIGINT, s BIGINT")
     records = records.select("list_id", "job_id", F.timestamp_seconds("s").alias("record_ts"))
-    got = {r.job_id: r.record_ts is not None for r in sp.stream_accounting(gone, records).collect()}
+    got = {r.job_id: r.record_ts is not None for r in sp.stream_accounting(gone, records, "15 seconds", "1 minute").collect()}
     assert got == {1: True, 2: False, 3: False}
 
 
