@@ -22,27 +22,35 @@ def build_session(app_name: str = "batchledger", **conf: str) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
-
-    Only a local master may fall back to a temporary folder of this machine.
-    """
+    """Folder every executor can reach, as named by ``spark.checkpoint.dir``."""
     key = "spark.checkpoint.dir"
     named = spark.conf.get(key, None) or spark.sparkContext.getConf().get(key)
-    if named:
-        return named
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    if not spark.sparkContext.master.startswith("local"):
+    named = named or spark.sparkContext.getCheckpointDir()
+    if not named:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    local = tempfile.mkdtemp(prefix="batchledger-")
-    spark.sparkContext.setCheckpointDir(local)
-    return spark.sparkContext.getCheckpointDir()
+    return named
+
+
+def ensure_shared_dir(spark: SparkSession) -> None:
+    """For tests and benches: where nothing is set and all tasks run in this process, a folder of
+    its own. On a cluster the setting stays required."""
+    try:
+        shared_dir(spark)
+    except RuntimeError:
+        if not spark.sparkContext.master.startswith("local"):
+            raise
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="batchledger-"))
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared folder; nothing exists there yet."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path under the shared folder; nothing exists there yet.
+
+    What is written there is deleted when the driver ends.
+    """
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
+    return path
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
