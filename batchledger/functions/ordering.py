@@ -16,6 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 ID_CHUNK_BITS = 20
+TOP_SALTS = 64
 
 
 def id_chunk(col, bits: int = ID_CHUNK_BITS) -> Column:
@@ -23,6 +24,11 @@ def id_chunk(col, bits: int = ID_CHUNK_BITS) -> Column:
     return F.shiftright(F.col(col) if isinstance(col, str) else col, bits)
 
 
+def digest_chunk(*cols: str) -> Column:
+    """One of 4096 even parts, by hash of the columns: for numbering rows in no given order."""
+    return F.substring(F.md5(F.concat_ws(":", *[F.col(c).cast("string") for c in cols])), 1, 3)
+
+
 def hour_chunk(col) -> Column:
     """Hour of a timestamp; nulls form a chunk of their own, sorted first."""
     hour = F.date_trunc("HOUR", F.col(col) if isinstance(col, str) else col)
@@ -101,28 +107,16 @@ def top_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int
     """First ``n`` rows per key.
 
     The rank filter lets Spark keep only ``n`` rows per key and map task before the shuffle,
-    so a hot key stays small.
+    so a hot key stays small. Above Spark's limit for that (by default 1000) rows are ranked
+    twice: per key and salt, spread over tasks, and then what is left per key.
     """
-    window = Window.partitionBy(*keys).orderBy(*order)
-    return (
-        df.withColumn("_rank", F.row_number().over(window)).filter(F.col("_rank") <= n).drop("_rank")
-    )
-
+    limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if n > limit:
+        salted = df.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(TOP_SALTS)))
+        df = _first(salted, [*keys, "_salt"], order, n).drop("_salt")
+    return _first(df, keys, order, n)
 
-def id_lists(df: DataFrame, ids_per_row: int = 1000) -> DataFrame:
-    """Comma-joined ``job_id`` texts per ``list_id``, ascending, whole but never unbounded.
 
-    A list with more than ``ids_per_row`` ids continues in further rows (``part`` 1, 2, ...).
-    """
-    numbered = running_number(
-        df.select("list_id", "job_id"), ["list_id"], ["job_id"], id_chunk("job_id"), "_n"
-    )
-    return (
-        numbered.withColumn("part", F.floor((F.col("_n") - 1) / ids_per_row).cast("bigint"))
-        .groupBy("list_id", "part")
-        .agg(
-            F.array_join(F.transform(F.array_sort(F.collect_list("job_id")), lambda x: x.cast("string")), ",")
-            .alias("ids"),
-            F.count(F.lit(1)).alias("num_ids"),
-        )
-    )
+def _first(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
+    window = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn("_rank", F.row_number().over(window)).filter(F.col("_rank") <= n).drop("_rank")

@@ -59,6 +59,7 @@ RUNINFO_LOG = (
     "job_id BIGINT, job_name STRING, queue STRING, submit_time STRING, start_time STRING, "
     "finish_time STRING, exec_host STRING, status STRING, user STRING, resubmission_of STRING"
 )
+RUNINFO_LOG_COLUMNS = [field.split()[0] for field in RUNINFO_LOG.split(", ")]
 JOBCONF_LOG = (
     "id BIGINT, name STRING, num_threads INT, other_queue_args STRING, queue STRING, "
     "wall_time STRING, wd STRING"

@@ -48,9 +48,12 @@ def read_texts(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_keyed(spark: SparkSession, path: str, fields: list[str]) -> DataFrame | None:
+def read_keyed(spark: SparkSession, path: str, fields: list[str], strict: bool = False) -> DataFrame | None:
     """Tab-separated bigint ``fields`` per list, in order; None if the path is missing.
 
+    Blank lines are dropped. A line that does not hold the numbers keeps its place, with null
+    fields and its text in ``raw`` (null otherwise); ``strict`` fails the query instead.
+
     Plain files are one list each, named by their path. Stores written by the append sinks
     lie under ``batch=<n>`` and carry the list id as the first field of each line.
     """
@@ -63,24 +66,36 @@ def read_keyed(spark: SparkSession, path: str, fields: list[str]) -> DataFrame |
     raw = _text(spark, path, ", batch BIGINT" if stored else "")
     words = F.split("value", "\t")
     list_id = words[0] if stored else F.col("_path")
-    place = F.struct("batch", "_file", "_block") if stored else F.struct("_block")
-    return raw.select(
+    # Writers number their files; as text, part-100000 would sort before part-99999.
+    number = F.regexp_extract("_file", r"part-(\d+)", 1).try_cast("bigint").alias("_number")
+    place = F.struct("batch", number, "_file", "_block") if stored else F.struct("_block")
+    rows = raw.filter(F.trim("value") != "").select(
         list_id.alias("list_id"),
         place.alias("_place"),
         "_seq",
+        "value",
         *[
             F.trim(F.try_element_at(words, F.lit(i + 2 if stored else i + 1))).try_cast("bigint").alias(f)
             for i, f in enumerate(fields)
         ],
-    ).dropna(subset=fields)
+    )
+    whole = F.lit(True)
+    for f in fields:
+        whole = whole & F.col(f).isNotNull()
+    text = F.when(~whole, F.raise_error(F.concat(F.lit("malformed line: "), F.col("value"))) if strict else F.col("value"))
+    return rows.withColumn("raw", text.cast("string")).drop("value")
 
 
-def read_job_lists(spark: SparkSession, path: str) -> DataFrame:
-    """Id lists, one id per line, order kept, blank lines dropped; a missing path is empty."""
-    ids = read_keyed(spark, path, ["job_id"])
+def read_job_lists(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
+    """Id lists ``(list_id, pos, job_id, raw)``, one id per line, in order; a missing path is empty.
+
+    See ``read_keyed`` for lines that hold no id.
+    """
+    ids = read_keyed(spark, path, ["job_id"], strict)
     if ids is None:
-        return spark.createDataFrame([], schemas.JOB_LISTS)
-    return running_number(ids, ["list_id"], ["_seq"], F.col("_place"), "pos").select("list_id", "pos", "job_id")
+        return spark.createDataFrame([], schemas.JOB_LISTS + ", raw STRING")
+    numbered = running_number(ids, ["list_id"], ["_seq"], F.col("_place"), "pos")
+    return numbered.select("list_id", "pos", "job_id", "raw")
 
 
 def read_batch(spark: SparkSession, path: str) -> DataFrame:
@@ -89,13 +104,22 @@ def read_batch(spark: SparkSession, path: str) -> DataFrame:
     return lines.select("src", F.col("line_no").alias("record_no"), F.col("line").alias("text"))
 
 
+def folder_of(path: Column) -> Column:
+    """Folder of a file: names and ids in it are unique there only."""
+    return F.regexp_extract(path, r"^(.*)/[^/]*$", 1)
+
+
 def read_streams(spark: SparkSession, path: str) -> DataFrame:
-    """Captured output lines ``(job_name, stream, line_no, line)``; ``stream`` is err or out."""
+    """Captured output lines ``(origin, job_name, stream, line_no, line)``; ``stream`` is err or out.
+
+    ``origin`` is the folder of the file; it tells to which list a name belongs.
+    """
     pattern = r"^(.*)\.(err|out)\.log$"
     raw = (
         _text(spark, path)
         .filter(F.col("_file").rlike(pattern))
         .select(
+            folder_of(F.col("_path")).alias("origin"),
             F.col("_path").alias("src"),
             F.regexp_extract("_file", pattern, 1).alias("job_name"),
             F.regexp_extract("_file", pattern, 2).alias("stream"),
@@ -104,7 +128,7 @@ def read_streams(spark: SparkSession, path: str) -> DataFrame:
             F.col("value").alias("line"),
         )
     )
-    return _number_lines(raw).select("job_name", "stream", "line_no", "line")
+    return _number_lines(raw).select("origin", "job_name", "stream", "line_no", "line")
 
 
 def tokens(col) -> Column:

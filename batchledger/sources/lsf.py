@@ -39,7 +39,8 @@ def parse_bjobs(lines: DataFrame) -> DataFrame:
 def parse_bjobs_wide(lines: DataFrame, year, detail: DataFrame | None = None) -> DataFrame:
     """``bjobs -W`` run records. ``year`` completes the dates, which carry none.
 
-    ``detail`` (from ``parse_bjobs_long``, one row per job) adds the kill evidence.
+    ``detail`` (from ``parse_bjobs_long``, one row per job) adds the kill evidence; its ``src``
+    must be that of the listing, since ids are unique within a source only.
     """
     words = F.col("words")
     name_words = F.slice(words, F.lit(HEAD + 1), F.greatest(F.size(words) - HEAD - TAIL, F.lit(0)))
@@ -58,7 +59,7 @@ def parse_bjobs_wide(lines: DataFrame, year, detail: DataFrame | None = None) ->
     if detail is None:
         rows = rows.withColumn("evidence", F.lit(None).cast("string"))
     else:
-        rows = rows.join(detail.select("job_id", "evidence"), "job_id", "left")
+        rows = rows.join(detail.select("src", "job_id", "evidence"), ["src", "job_id"], "left")
     rows = rows.withColumn("state", classify_lsf_state("raw_state", "evidence"))
     return rows.select(
         "src",

@@ -10,6 +10,18 @@ from ..functions.times import parse_times
 from .lines import token, tokens
 
 SUBMIT_PREFIX = "Submitted batch job "
+#: A source is looked up in parts of so many lines (a power of two), so that no task gets a whole one.
+LINE_PART_BITS = 16
+
+
+def _part():
+    return F.shiftright("line_no", LINE_PART_BITS).alias("_part")
+
+
+def _with_header(lines: DataFrame, header: DataFrame) -> DataFrame:
+    """Lines with the header of their source, joined by (source, part of its lines)."""
+    parts = lines.select("src", _part()).distinct().join(header, "src")
+    return lines.withColumn("_part", _part()).join(parts, ["src", "_part"]).drop("_part")
 
 
 def extract_ids(lines: DataFrame) -> DataFrame:
@@ -30,8 +42,7 @@ def queue_rows(lines: DataFrame) -> DataFrame:
         .agg(F.min("line_no").alias("_header"))
     )
     return (
-        lines.filter(F.trim("line") != "")
-        .join(header, "src")
+        _with_header(lines.filter(F.trim("line") != ""), header)
         .filter(F.col("line_no") > F.col("_header"))
         .withColumn("words", tokens("line"))
         .select("src", "line_no", token(F.col("words"), 0).alias("raw_id"), "words")
@@ -67,15 +78,15 @@ def parse_sacct(lines: DataFrame) -> DataFrame:
     the site did not ask for come out null, as do missing trailing fields.
 
     The header is turned into column positions once per source; rows are split only after
-    all but the first row of a job are gone.
+    all but the first row of a job are gone. One dump of a whole site is one source: its lines
+    meet the header in parts and its jobs are dealt out by id.
     """
     names = F.transform(F.split("line", r"\|"), lambda x: F.trim(x))
     header = lines.filter(F.col("line_no") == 0).select(
         "src", F.struct(*[F.nullif(F.array_position(names, F.lit(f)).cast("int"), F.lit(0)).alias(f) for f in SACCT_FIELDS]).alias("_at")
     )
     job_rows = (
-        lines.filter((F.col("line_no") > 0) & (F.trim("line") != ""))
-        .join(header, "src")
+        _with_header(lines.filter((F.col("line_no") > 0) & (F.trim("line") != "")), header)
         .withColumn("_id", F.split_part("line", F.lit("|"), F.coalesce("_at.JobID", F.lit(1))))
         .filter(~F.col("_id").contains("."))
     )
@@ -109,16 +120,24 @@ def parse_scontrol(texts: DataFrame) -> DataFrame:
     The submitted script follows ``BatchScript=`` and may hold anything, so it is cut off.
     Jobs on several nodes repeat some keys; the first value counts.
     """
-    pair = F.lit(r"(\S+?)=(\S*)")
-    head = F.split_part("text", F.lit("BatchScript="), F.lit(1))
-    # With a blank before every key, the patterns below start with plain text, which is found
-    # much faster than a look-behind and still tells NodeList from ReqNodeList.
-    staged = texts.select("src", F.concat(F.lit(" "), F.replace(head, F.lit("\n"), F.lit(" "))).alias("_head"))
+    head = F.trim(F.regexp_replace(F.split_part("text", F.lit("BatchScript="), F.lit(1)), r"\s+", " "))
+    cut = lambda w: F.locate("=", w)
+    words = F.filter(F.split(head, " "), lambda w: cut(w) > 1)
+    pairs = F.transform(words, lambda w: F.struct(F.substring_index(w, "=", 1).alias("key"), F.substring(w, cut(w) + 1, F.length(w)).alias("value")))
+    staged = texts.select("src", pairs.alias("_pairs"))
+    # Where keys repeat: sorted by key and place, the first of each key stays.
+    placed = F.array_sort(F.transform("_pairs", lambda p, i: F.struct(p["key"].alias("key"), i.alias("at"), p["value"].alias("value"))))
+    firsts = F.transform(
+        F.filter(placed, lambda p, i: (i == 0) | (p["key"] != F.get(placed, i - 1)["key"])),
+        lambda p: F.struct(p["key"], p["value"]),
+    )
+    repeats = F.size(F.array_distinct(F.col("_pairs.key"))) < F.size("_pairs")
+    staged = staged.select("src", F.when(repeats, F.map_from_entries(firsts)).otherwise(F.map_from_entries("_pairs")).alias("fields"))
 
     def field(name: str):
-        return F.nullif(F.regexp_extract("_head", rf" {name}=(\S*)", 1), F.lit(""))
+        return F.nullif(F.col("fields")[name], F.lit(""))
 
-    named = staged.select(
+    return staged.select(
         "src",
         field("JobId").try_cast("bigint").alias("job_id"),
         field("JobName").alias("job_name"),
@@ -130,16 +149,6 @@ def parse_scontrol(texts: DataFrame) -> DataFrame:
         parse_times(field("StartTime"), "slurm").alias("start_time"),
         parse_times(field("EndTime"), "slurm").alias("finish_time"),
         parse_exit_code(field("ExitCode"), "slurm").alias("exit_code"),
-        F.regexp_extract_all("_head", pair, F.lit(1)).alias("_keys"),
-        F.regexp_extract_all("_head", pair, F.lit(2)).alias("_values"),
-    )
-    firsts = F.filter(
-        F.arrays_zip("_keys", "_values"), lambda p, i: F.array_position("_keys", p["_keys"]) == i + 1
-    )
-    repeats = F.size(F.array_distinct("_keys")) < F.size("_keys")
-    fields = F.when(repeats, F.map_from_entries(firsts)).otherwise(F.map_from_arrays("_keys", "_values"))
-    return (
-        named.withColumn("state", normalize_slurm_state("raw_state"))
-        .withColumn("fields", fields)
-        .drop("_keys", "_values")
+        normalize_slurm_state(field("JobState")).alias("state"),
+        "fields",
     )

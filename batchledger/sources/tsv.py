@@ -11,24 +11,30 @@ from ..functions.times import parse_times
 from .lines import read_keyed
 
 
-def read_resub_edges(spark: SparkSession, path: str) -> DataFrame:
-    """Edges ``failed id <tab> new id``, numbered in file order; a missing path has none."""
-    edges = read_keyed(spark, path, ["from_id", "to_id"])
+def read_resub_edges(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
+    """Edges ``failed id <tab> new id``, numbered in file order; a missing path has none.
+
+    Columns ``list_id, seq, from_id, to_id, raw``; see ``read_keyed`` for malformed lines.
+    """
+    edges = read_keyed(spark, path, ["from_id", "to_id"], strict)
     if edges is None:
-        return spark.createDataFrame([], schemas.RESUB_EDGES)
+        return spark.createDataFrame([], schemas.RESUB_EDGES + ", raw STRING")
     numbered = running_number(edges, ["list_id"], ["_seq"], F.col("_place"), "seq")
-    return numbered.select("list_id", "seq", "from_id", "to_id")
+    return numbered.select("list_id", "seq", "from_id", "to_id", "raw")
 
 
 def read_runinfo_log(spark: SparkSession, path: str) -> DataFrame:
     """The accounting export read back: empty text is null, the three times are parsed."""
-    raw = (
-        spark.read.option("sep", "\t")
-        .option("header", True)
-        .option("nullValue", "null")
-        .schema(schemas.RUNINFO_LOG)
-        .csv(path)
-    )
+    return _log(spark, path, schemas.RUNINFO_LOG)
+
+
+def read_attempts_log(spark: SparkSession, path: str) -> DataFrame:
+    """An export whose rows name their list (``attempts_log``) read back."""
+    return _log(spark, path, "list_id STRING, " + schemas.RUNINFO_LOG)
+
+
+def _log(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    raw = spark.read.option("sep", "\t").option("header", True).option("nullValue", "null").schema(schema).csv(path)
     out = empty_as_null(raw)
     for name in ("submit_time", "start_time", "finish_time"):
         out = out.withColumn(name, parse_times(name, "report"))

@@ -19,9 +19,9 @@ def small_blocks(spark):
 
 
 def test_plain_list(spark, tmp_path):
-    (tmp_path / "jobs.txt").write_text("860671\n860681\n\n860686\n860688\n860691\n")
+    (tmp_path / "jobs.txt").write_text("51\n40\n\n62\n63\n7\n")
     got = lines.read_job_lists(spark, str(tmp_path / "jobs.txt")).orderBy("pos").collect()
-    assert [(r.pos, r.job_id) for r in got] == list(enumerate([860671, 860681, 860686, 860688, 860691], 1))
+    assert [(r.pos, r.job_id) for r in got] == list(enumerate([51, 40, 62, 63, 7], 1))
     assert {r.list_id.split("/")[-1] for r in got} == {"jobs.txt"}
 
 
@@ -54,6 +54,26 @@ def test_appends_keep_their_order(spark, tmp_path, small_blocks):
     assert [(r.list_id, r.job_id) for r in got if r.list_id != "a"] == [("b", 9), ("c", 8)]
 
 
+def test_malformed_lines_keep_their_place(spark, tmp_path):
+    (tmp_path / "jobs.txt").write_text("1\n\nabc\n3\n")
+    got = lines.read_job_lists(spark, str(tmp_path / "jobs.txt")).orderBy("pos").collect()
+    assert [(r.pos, r.job_id, r.raw) for r in got] == [(1, 1, None), (2, None, "abc"), (3, 3, None)]
+    with pytest.raises(Exception, match="malformed line: abc"):
+        lines.read_job_lists(spark, str(tmp_path / "jobs.txt"), strict=True).collect()
+    (tmp_path / "graph").write_text("1\t4\n2\n")
+    got = tsv.read_resub_edges(spark, str(tmp_path / "graph")).orderBy("seq").collect()
+    assert [(r.from_id, r.to_id, r.raw) for r in got] == [(1, 4, None), (2, None, "2")]
+
+
+def test_store_files_sort_by_number(spark, tmp_path):
+    folder = tmp_path / "store" / "batch=1"
+    folder.mkdir(parents=True)
+    for number, job in ((99999, 1), (100000, 2)):
+        (folder / f"part-{number}-x.txt").write_text(f"a\t{job}\n")
+    got = lines.read_job_lists(spark, str(tmp_path / "store")).orderBy("pos").collect()
+    assert [r.job_id for r in got] == [1, 2]
+
+
 def test_edges(spark, tmp_path):
     (tmp_path / "graph").write_text("1\t4\n2\t5\n1\t6\n")
     got = tsv.read_resub_edges(spark, str(tmp_path / "graph")).orderBy("seq").collect()
@@ -77,7 +97,10 @@ def test_streams(spark, tmp_path):
     (tmp_path / "job_a.out.log").write_text("fine\n")
     (tmp_path / "other.txt").write_text("no\n")
     got = lines.read_streams(spark, str(tmp_path)).orderBy("stream", "line_no").collect()
-    assert [tuple(r) for r in got] == [("job_a", "err", 0, "oops"), ("job_a", "err", 1, "again"), ("job_a", "out", 0, "fine")]
+    assert [tuple(r) for r in got] == [
+        (got[0].origin, "job_a", "err", 0, "oops"), (got[0].origin, "job_a", "err", 1, "again"), (got[0].origin, "job_a", "out", 0, "fine")
+    ]
+    assert got[0].origin.endswith(str(tmp_path))
 
 
 RUNINFO = """<RunInfo>
@@ -87,7 +110,7 @@ RUNINFO = """<RunInfo>
   <scheduler>slurm</scheduler>
   <queue>short</queue>
   <jobName>job_1</jobName>
-  <submitTime>04-12-2015 11:12:45</submitTime>
+  <submitTime>05-03-2024 16:41:12</submitTime>
   <exitCode>0</exitCode>
 </RunInfo>"""
 
@@ -99,7 +122,7 @@ def test_run_records(spark, tmp_path):
     got = {r.job_id: r for r in df.collect()}
     assert got[12].id_matches and not got[99].id_matches
     assert (got[12].state, got[99].state, got[12].start_time, got[12].exec_host) == ("COMPLETED", "UNKNOWN", None, None)
-    assert got[12].submit_time.strftime("%d.%m.%Y %H:%M:%S") == "04.12.2015 11:12:45"
+    assert got[12].submit_time.strftime("%d.%m.%Y %H:%M:%S") == "05.03.2024 16:41:12"
     with pytest.raises(Exception, match="inconsistent run record"):
         xml.read_runinfo(spark, str(tmp_path), strict=True).collect()
 
@@ -114,13 +137,13 @@ def test_configurations(spark, tmp_path):
 
 def test_export_text(spark, tmp_path):
     log = spark.sql(
-        "SELECT 1L job_id, 'n' job_name, 'short' queue, timestamp'2015-12-04 11:12:45' submit_time, "
+        "SELECT 1L job_id, 'n' job_name, 'short' queue, timestamp'2024-03-05 16:41:12' submit_time, "
         "cast(null as timestamp) start_time, cast(null as timestamp) finish_time, 'h' exec_host, 'PENDING' status, "
         "'alice' user, '' resubmission_of"
     )
     exports.export_runinfo(log, str(tmp_path / "log"))
     header, row = next((tmp_path / "log").glob("*.csv")).read_text().rstrip("\n").split("\n")
     assert header.split("\t")[:3] == ["job_id", "job_name", "queue"]
-    assert row == "1\tn\tshort\t2015-12-04T11:12:45.000Z\tnull\tnull\th\tPENDING\talice\t"
+    assert row == "1\tn\tshort\t2024-03-05T16:41:12.000Z\tnull\tnull\th\tPENDING\talice\t"
     back = tsv.read_runinfo_log(spark, str(tmp_path / "log")).first()
-    assert back.start_time is None and back.resubmission_of is None and back.submit_time.minute == 12
+    assert back.start_time is None and back.resubmission_of is None and back.submit_time.minute == 41

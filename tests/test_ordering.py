@@ -56,7 +56,14 @@ def test_rows_are_shuffled_once(rows):
     assert len(wide) <= 3
 
 
-def test_id_lists_continue_in_parts(spark):
-    df = spark.createDataFrame([("a", i) for i in range(7, 0, -1)] + [("b", 5)], "list_id STRING, job_id BIGINT")
-    got = {(r.list_id, r.part): (r.ids, r.num_ids) for r in o.id_lists(df, 3).collect()}
-    assert got == {("a", 0): ("1,2,3", 3), ("a", 1): ("4,5,6", 3), ("a", 2): ("7", 1), ("b", 0): ("5", 1)}
+@pytest.mark.parametrize("n", [3, 5000])
+def test_top_rows_of_any_number(spark, n):
+    df = spark.range(12000).select(F.lit("hot").alias("k"), ((F.col("id") * 7919) % 12007).alias("v"))
+    got = [r.v for r in o.top_rows(df, ["k"], [F.col("v").desc()], n).orderBy(F.desc("v")).collect()]
+    assert got == sorted(((i * 7919) % 12007 for i in range(12000)), reverse=True)[:n]
+
+
+def test_numbering_by_digest_takes_every_row_once(spark):
+    df = spark.createDataFrame([(f"l{i % 500}", i % 4) for i in range(2000)], "list_id STRING, job_id BIGINT")
+    out = o.running_number(df, [], ["job_id", "list_id"], o.digest_chunk("list_id", "job_id"), "n")
+    assert sorted(r.n for r in out.collect()) == list(range(1, 2001))
