@@ -3,7 +3,7 @@
 The public functions, by the folder they live in.
 """
 
-from .functions.ordering import id_lists, previous_row, running_number, running_sum, top_rows
+from .functions.ordering import previous_row, running_number, running_sum, top_rows
 from .functions.states import (
     classify_lsf_state,
     exit_to_state,
@@ -43,7 +43,9 @@ from .operators.jobs import (
     keep_others,
     killed,
     latest_attempt,
+    missing_counts,
     missing_ids,
+    refresh_records,
     missing_runinfo,
     not_restorable,
     order_jobs,
@@ -79,6 +81,7 @@ from .operators.status import (
     start_gaps,
     status_counts,
     status_line,
+    unknown_ids,
 )
 from .plans.estimate import estimate_remaining, status_report
 from .plans.report import (

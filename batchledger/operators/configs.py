@@ -44,6 +44,21 @@ def with_violations(df: DataFrame) -> DataFrame:
     )
 
 
+def with_violations_kept(df: DataFrame) -> DataFrame:
+    """``with_violations`` added to what strategies have marked."""
+    marked = F.col("violations") if "violations" in df.columns else F.array().cast("array<string>")
+    checked = with_violations(df.withColumn("_marked", marked))
+    return checked.withColumn("violations", F.concat("_marked", "violations")).drop("_marked")
+
+
+def name_clashes(configs: DataFrame, jobs: DataFrame) -> DataFrame:
+    """Names of new configurations ``(list_id, name)`` that the list's jobs or each other use."""
+    names = configs.select("list_id", F.col("name").alias("job_name"), F.lit(1).alias("new"))
+    both = names.unionByName(jobs.select("list_id", "job_name", F.lit(0).alias("new")))
+    counted = both.groupBy("list_id", "job_name").agg(F.count(F.lit(1)).alias("uses"), F.max("new").alias("_new"))
+    return counted.filter((F.col("uses") > 1) & (F.col("_new") == 1)).drop("_new")
+
+
 def validate_configs(df: DataFrame, strict: bool = False) -> DataFrame:
     """Configurations that break a rule; ``strict`` returns all rows or fails the query."""
     checked = with_violations(df)

@@ -6,7 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.ordering import id_chunk, id_lists, running_number, top_rows
+from ..functions.ordering import id_chunk, running_number, top_rows
 from ..functions.states import has_state, is_final, requires_rerun
 from ..functions.text import num_cores
 from ..functions.times import seconds_between
@@ -42,9 +42,29 @@ def missing_runinfo(jobs: DataFrame, runinfo: DataFrame) -> DataFrame:
     return jobs.join(runinfo, job_key(runinfo), "left_anti")
 
 
-def missing_ids(jobs: DataFrame, ids_per_row: int = 1000) -> DataFrame:
-    """Comma-joined ids of jobs without a record; long lists continue in further parts."""
-    return id_lists(jobs.filter(~F.col("has_record")), ids_per_row)
+def missing_ids(jobs: DataFrame) -> DataFrame:
+    """Ids of jobs without a record, one row each: ``(list_id, job_id)``."""
+    return jobs.filter(~F.col("has_record")).select(*JOB_KEY)
+
+
+def missing_counts(jobs: DataFrame) -> DataFrame:
+    """Number of jobs without a record, for every list: ``(list_id, num_missing)``."""
+    return jobs.groupBy("list_id").agg(F.count_if(~F.col("has_record")).alias("num_missing"))
+
+
+def refresh_records(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Records after a refresh: a final record stays, any other gives way to its newer one.
+
+    Both tables hold one record per job and the same columns; jobs known to one of them only
+    keep that record. One aggregate by job, no join.
+    """
+    keys = job_key(old)
+    rest = [c for c in old.columns if c not in keys]
+    # A final old record counts before a new one, and that before an old one that is not final.
+    rank = lambda df, fresh: df.withColumn("_rank", F.lit(1) if fresh else F.when(is_final("state"), 2).otherwise(0))
+    both = rank(old, False).unionByName(rank(new.select(*old.columns), True))
+    best = both.groupBy(*keys).agg(F.max_by(F.struct(*rest), "_rank").alias("_r"))
+    return best.select(*[F.col(c) if c in keys else F.col("_r").getField(c).alias(c) for c in old.columns])
 
 
 # --- state filters ---------------------------------------------------------------------
@@ -118,8 +138,8 @@ def details(
     """Detail lines ``(list_id, job_id, line_no, line)`` of the given jobs.
 
     ``what`` is state, cmd, config, runinfo, err or out. Commands and configurations come
-    from ``jobconf``, captured output from ``streams`` (matched by job name, within the list
-    if the streams tell it).
+    from ``jobconf``, captured output from ``streams``, which must tell the list: names such as
+    ``jobs__batch_1`` are used in every list.
     """
     zero = F.lit(0).cast("bigint").alias("line_no")
     if what == "state":
@@ -135,8 +155,9 @@ def details(
         return lines.withColumn("line_no", F.col("line_no").cast("bigint"))
     if what in ("err", "out"):
         wanted = streams.filter(F.col("stream") == what)
-        on = ["list_id", "job_name"] if "list_id" in streams.columns else ["job_name"]
-        return jobs.select(*JOB_KEY, "job_name").join(wanted, on).select(*JOB_KEY, "line_no", "line")
+        if "list_id" not in streams.columns:
+            raise ValueError("streams need a list_id")
+        return jobs.select(*JOB_KEY, "job_name").join(wanted, ["list_id", "job_name"]).select(*JOB_KEY, "line_no", "line")
     raise ValueError(f"no details called {what!r}")
 
 

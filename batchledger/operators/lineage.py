@@ -16,7 +16,8 @@ def resubmission_of(edges: DataFrame) -> DataFrame:
     """Direct parent ``(list_id, job_id, resubmission_of)``; the first edge counts."""
     return (
         edges.groupBy("list_id", F.col("to_id").alias("job_id"))
-        .agg(F.min_by("from_id", "seq").alias("resubmission_of"))
+        .agg(F.min(F.struct("seq", "from_id")).alias("_first"))  # the smaller id if both came at once
+        .select("list_id", "job_id", F.col("_first.from_id").alias("resubmission_of"))
     )
 
 

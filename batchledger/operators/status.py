@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.ordering import hour_chunk, id_lists, previous_row, top_rows
+from ..functions.ordering import hour_chunk, previous_row, top_rows
 from ..functions.states import has_state, is_final
 from ..functions.times import format_duration, seconds_between
 
@@ -54,22 +54,18 @@ def final_percent(status: DataFrame) -> DataFrame:
     ).withColumn("final_percent", digits.cast("double"))
 
 
-def status_line(
-    status: DataFrame,
-    remaining: DataFrame | None = None,
-    unknown: DataFrame | None = None,
-    ids_per_row: int = 1000,
-) -> DataFrame:
-    """Summary text per list: ``(list_id, part, line)``.
+def status_line(status: DataFrame, remaining: DataFrame | None = None) -> DataFrame:
+    """Summary text per list: ``(list_id, line, num_unknown)``, one row whatever its size.
 
-    ``remaining`` holds ``list_id, remaining_seconds``. ``unknown`` holds the jobs in state
-    UNKNOWN, whose ids are appended; where they exceed ``ids_per_row``, further parts go on.
+    ``remaining`` holds ``list_id, remaining_seconds``. The ids of the unknown jobs are a table
+    of their own, ``unknown_ids``.
     """
     rows = final_percent(status)
     if remaining is None:
         rows = rows.withColumn("remaining_seconds", F.lit(None).cast("bigint"))
     else:
         rows = rows.join(remaining.select("list_id", "remaining_seconds"), "list_id", "left")
+    # Fixed value: wording and widths of the status line.
     text = F.format_string(
         "%4d jobs in total; %s%% complete; Remaining time %10s; "
         "%4d done; %4d running; %4d pending; %4d killed; %4d failed",
@@ -82,14 +78,12 @@ def status_line(
         "num_killed",
         "num_failed",
     )
-    first = F.lit(0).cast("bigint")
-    lines = rows.select("list_id", first.alias("part"), text.alias("_text"))
-    if unknown is None:
-        return lines.select("list_id", "part", F.col("_text").alias("line"))
-    ids = id_lists(unknown, ids_per_row).select("list_id", "part", "ids")
-    suffix = F.coalesce(F.concat(F.lit("; unknown={"), F.col("ids"), F.lit("}")), F.lit(""))
-    joined = lines.join(ids, ["list_id", "part"], "full_outer")
-    return joined.select("list_id", "part", F.concat(F.coalesce("_text", F.lit("")), suffix).alias("line"))
+    return rows.select("list_id", text.alias("line"), "num_unknown")
+
+
+def unknown_ids(jobs: DataFrame) -> DataFrame:
+    """Jobs in state UNKNOWN, one row each: ``(list_id, job_id)``."""
+    return jobs.filter(has_state("state", "UNKNOWN")).select("list_id", "job_id")
 
 
 def list_flags(jobs: DataFrame) -> DataFrame:
@@ -163,16 +157,16 @@ def status_counts(jobs: DataFrame) -> DataFrame:
     return jobs.groupBy("list_id", F.col("state").alias("status")).agg(F.count(F.lit(1)).alias("num_jobs"))
 
 
-def host_counts(jobs: DataFrame, fewest: int = 2, most: int = 49) -> DataFrame:
-    """Jobs per host, for lists whose number of hosts is worth a chart."""
+def host_counts(jobs: DataFrame, fewest: int | None = None, most: int | None = None) -> DataFrame:
+    """Jobs per host and list, with the list's number of hosts.
+
+    ``fewest`` and ``most`` keep only lists with so many hosts, as a chart may want.
+    """
     per_host = jobs.groupBy("list_id", "exec_host").agg(F.count(F.lit(1)).alias("num_jobs"))
-    shown = (
-        per_host.groupBy("list_id")
-        .agg(F.count(F.lit(1)).alias("_hosts"))
-        .filter(F.col("_hosts").between(fewest, most))
-        .select("list_id")
-    )
-    return per_host.join(shown, "list_id", "left_semi")
+    out = per_host.join(per_host.groupBy("list_id").agg(F.count(F.lit(1)).alias("num_hosts")), "list_id")
+    if fewest is not None:
+        out = out.filter(F.col("num_hosts") >= fewest)
+    return out if most is None else out.filter(F.col("num_hosts") <= most)
 
 
 def report_totals(jobs: DataFrame, attempts: DataFrame) -> DataFrame:

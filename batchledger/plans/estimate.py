@@ -45,9 +45,8 @@ def estimate_remaining(jobs: DataFrame, as_of, n: int = 20, q: float = 0.8) -> D
     return facts.select("list_id", branch.alias("branch"), seconds.alias("remaining_seconds"))
 
 
-def status_report(jobs: DataFrame, queue: DataFrame, as_of, ids_per_row: int = 1000) -> DataFrame:
-    """Status line of every list, with estimate and unknown jobs: ``(list_id, part, line)``."""
+def status_report(jobs: DataFrame, queue: DataFrame, as_of) -> DataFrame:
+    """Status line of every list, with estimate: ``(list_id, line, num_unknown)``."""
     from ..operators.status import list_status, status_line
 
-    unknown = jobs.filter(has_state("state", "UNKNOWN"))
-    return status_line(list_status(jobs, queue), estimate_remaining(jobs, as_of), unknown, ids_per_row)
+    return status_line(list_status(jobs, queue), estimate_remaining(jobs, as_of))

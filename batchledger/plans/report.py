@@ -72,6 +72,18 @@ def job_example(jobs: DataFrame, jobconf: DataFrame) -> DataFrame:
     return details(select_jobs(jobs, first=True), "cmd", jobconf)
 
 
+def report_from_log(log: DataFrame, limits: DataFrame | None = None, path: str | None = None) -> dict[str, DataFrame]:
+    """``report`` of an accounting export read back: the export itself names states and parents.
+
+    ``log`` has the export's columns and ``list_id``; an export of one list gets it by a literal.
+    """
+    jobs = log.withColumnsRenamed({"status": "state", "user": "user_name"}).drop("resubmission_of")
+    edges = log.filter(F.col("resubmission_of").isNotNull()).select(
+        "list_id", F.lit(0).cast("bigint").alias("seq"), F.col("resubmission_of").alias("from_id"), F.col("job_id").alias("to_id")
+    )
+    return report(jobs, edges, limits, path)
+
+
 def report(
     jobs: DataFrame, edges: DataFrame, limits: DataFrame | None = None, path: str | None = None
 ) -> dict[str, DataFrame]:

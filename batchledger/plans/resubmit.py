@@ -6,11 +6,12 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.ordering import id_chunk, running_number
-from ..operators.configs import Strategy, TryAgain
+from ..functions.ordering import digest_chunk, running_number
+from ..operators.configs import Strategy, TryAgain, with_violations_kept
 from ..operators.jobs import (
     duplicate_names,
     job_key,
+    keep_others,
     not_restorable,
     replace_jobs,
     requires_rerun_jobs,
@@ -29,6 +30,8 @@ class ResubmitPlan(NamedTuple):
     duplicate_names: DataFrame
     not_restorable: DataFrame
     conflicts: DataFrame
+    violations: DataFrame
+    name_clashes: DataFrame
 
 
 def plan_resubmit(
@@ -43,9 +46,11 @@ def plan_resubmit(
     """Plan to run jobs again under escalated first configurations.
 
     ``jobs`` needs ``list_id, pos, job_id, job_name, state``. ``resub_jobs`` (same columns)
-    defaults to all jobs that are final but not completed. Roots without a configuration are
-    reported and stay out of the plan. New ids follow the greatest known id. ``strict``
-    raises if a check fails.
+    defaults to all jobs that are final but not completed. Roots without a configuration, and
+    those whose escalated configuration breaks a rule (``violations``), are reported and stay
+    out of the plan. ``name_clashes`` are names the plan would give twice in a list. New ids
+    follow the greatest known id, in the order of a hash, so that no task numbers them all.
+    ``strict`` raises if a check fails.
     """
     rerun = requires_rerun_jobs(jobs) if resub_jobs is None else resub_jobs
     rooted = config_roots(rerun.select("list_id", "pos", "job_id"), edges)
@@ -53,6 +58,10 @@ def plan_resubmit(
     roots = rooted.groupBy("list_id", F.col("root_id").alias("job_id")).agg(F.min("pos").alias("pos"))
     missing = not_restorable(roots, jobconf)
     conf = roots.join(jobconf, job_key(jobconf))
+    # Rules are checked on the escalated configuration, still under the root's id.
+    tried = with_violations_kept(conf.drop("pos").transform(strategy or TryAgain()))
+    broken = cut_lineage(tried.filter(F.size("violations") > 0).select("list_id", "job_id", "name", "violations"))
+    conf = conf.join(broken, ["list_id", "job_id"], "left_anti")
 
     top = (
         jobs.select("job_id")
@@ -60,14 +69,14 @@ def plan_resubmit(
         .union(jobconf.select("job_id"))
         .agg(F.coalesce(F.max("job_id"), F.lit(0)).alias("top"))
     )
-    numbered = running_number(conf, [], ["job_id", "list_id"], id_chunk("job_id"), "_n")
+    numbered = running_number(conf, [], ["job_id", "list_id"], digest_chunk("list_id", "job_id"), "_n")
     # The plan hands out ids, so it is fixed once: later reads cannot number differently.
     planned = cut_lineage(numbered.withColumn("new_id", top.scalar() + F.col("_n")))
 
     named = planned.select("list_id", "pos", F.col("new_id").alias("job_id"), F.col("name").alias("job_name"))
     escalated = (
         planned.drop("pos", "_n", "job_id").withColumnRenamed("new_id", "job_id").transform(strategy or TryAgain())
-    )
+    ).drop("violations")
     last_seq = edges.groupBy("list_id").agg(F.max("seq").alias("_last"))
     added = planned.join(last_seq, "list_id", "left").select(
         "list_id",
@@ -82,9 +91,11 @@ def plan_resubmit(
         duplicate_names=duplicate_names(jobs),
         not_restorable=missing.select("list_id", "job_id"),
         conflicts=running_conflicts(queue, named),
+        violations=broken,
+        name_clashes=duplicate_names(keep_others(jobs, named).select("list_id", "job_name").unionByName(named.select("list_id", "job_name"))),
     )
     if strict:
-        for name in ("duplicate_names", "not_restorable", "conflicts"):
+        for name in ("duplicate_names", "not_restorable", "violations", "conflicts", "name_clashes"):
             if not getattr(plan, name).isEmpty():
                 raise ValueError(f"resubmission refused: {name}")
     return plan

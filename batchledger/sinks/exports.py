@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .. import schemas
 from ..functions.times import TIME_FORMATS
-from ..operators.jobs import attach_resubmission_of, job_key
+from ..operators.jobs import all_attempts, attach_resubmission_of, attach_runinfo, job_key
 
 
 def runinfo_log(jobs: DataFrame, edges: DataFrame) -> DataFrame:
@@ -29,6 +29,23 @@ def runinfo_log(jobs: DataFrame, edges: DataFrame) -> DataFrame:
     )
 
 
+def attempts_log(jobs: DataFrame, edges: DataFrame) -> DataFrame:
+    """``runinfo_log`` with the list of every row in front, so that lists can share an export."""
+    recorded = jobs.filter(F.col("has_record")) if "has_record" in jobs.columns else jobs
+    rows = attach_resubmission_of(recorded, edges).withColumns(
+        {"status": F.col("state"), "user": F.col("user_name"), "resubmission_of": F.coalesce(F.col("resubmission_of").cast("string"), F.lit(""))}
+    )
+    return rows.select("list_id", *schemas.RUNINFO_LOG_COLUMNS)
+
+
+def export_attempts(jobs: DataFrame, runinfo: DataFrame, edges: DataFrame) -> DataFrame:
+    """The export of a list with all it went through: its current jobs and every retried one.
+
+    Jobs without a record are left out, as in ``runinfo_log``; ``missing_ids`` names them.
+    """
+    return attempts_log(attach_runinfo(all_attempts(jobs, edges), runinfo), edges)
+
+
 def jobconf_log(jobs: DataFrame, jobconf: DataFrame) -> DataFrame:
     """The 7 configuration columns, once per job, for jobs that have a configuration."""
     wanted = jobs.select("list_id", "job_id").distinct()

@@ -156,10 +156,10 @@ queue AS (SELECT list_id, job_id, job_name, state FROM runinfo WHERE state IN ('
 
 
 def jobconf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Configurations; some jobs were added without one."""
+    """The configuration of every job."""
     o = table(spark, sf_dir, "orders")
     key, cust = F.col("o_orderkey"), F.col("o_custkey")
-    return o.filter(key % 11 != 0).select(
+    return o.select(
         cust.alias("list_id"),
         key.alias("job_id"),
         F.concat(F.lit("run "), key.cast("string")).alias("cmd"),
@@ -180,7 +180,16 @@ jobconf AS (
     lpad(CAST(o_custkey % 48 AS VARCHAR), 2, '0') || ':00' AS wall_time, 'short' AS queue,
     CAST(o_custkey % 4 + 1 AS INTEGER) AS num_threads, CAST(o_orderkey % 8 * 1000 AS INTEGER) AS max_memory,
     '' AS other_queue_args, '.' AS wd
-  FROM orders WHERE o_orderkey % 11 <> 0)"""
+  FROM orders)"""
+
+
+def partial_jobconf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Configurations, some of which were never saved."""
+    return jobconf(spark, sf_dir).filter(F.col("job_id") % 11 != 0)
+
+
+PARTIAL_CONF_SQL = JOBCONF_SQL + """,
+saved AS (SELECT * FROM jobconf WHERE job_id % 11 <> 0)"""
 
 
 def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -354,6 +363,7 @@ def submit_lines(spark: SparkSession, sf_dir: str, dialect: str) -> DataFrame:
     return noise.unionByName(replies)
 
 
+# Fixed value: column names that the scheduler prints.
 SQUEUE_HEADER = "             JOBID PARTITION     NAME     USER    STATE       TIME TIME_LIMI  NODES NODELIST(REASON)"
 
 
@@ -368,7 +378,7 @@ def squeue_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = F.format_string("  %18s %9s %8s %8s %8s  0:00   8:00:00      1 %s", shown, "queue", "job_name", "user_name", state, reason)
     rows = _source(r, line).withColumn("line_no", F.col("line_no") + 2)
     sources = rows.select("src").distinct()
-    top = sources.select("src", F.lit(0).cast("bigint").alias("line_no"), F.lit("Mon Nov 23 10:16:26 2015").alias("line"))
+    top = sources.select("src", F.lit(0).cast("bigint").alias("line_no"), F.lit("Tue Mar  5 08:01:33 2024").alias("line"))
     head = sources.select("src", F.lit(1).cast("bigint").alias("line_no"), F.lit(SQUEUE_HEADER).alias("line"))
     return rows.unionByName(top).unionByName(head)
 
@@ -383,19 +393,21 @@ def lsf_word(state: Column) -> Column:
     )
 
 
+# Fixed value: column names that the scheduler prints.
 BJOBS_HEADER = "JOBID   USER    STAT  QUEUE      FROM_HOST   EXEC_HOST   JOB_NAME   SUBMIT_TIME"
 
 
 def bjobs_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = runinfo(spark, sf_dir)
     line = F.format_string(
-        "%-8d %-8s %-6s %-8s falcon   %-8s  %s  %s",
+        "%-8d %-8s %-6s %-8s login7   %-8s  %s  %s",
         "job_id", "user_name", lsf_word(F.col("state")), "queue", "exec_host", "job_name",
         F.date_format("submit_time", "MMM dd HH:mm"),
     )
     return with_header(_source(r, line), BJOBS_HEADER)
 
 
+# Fixed value: column names that the scheduler prints.
 SACCT_HEADER = "JobID|JobName|Elapsed|End|Submit|Start|State|ExitCode|Timelimit|User|Partition|NodeList"
 
 
@@ -421,6 +433,7 @@ def sacct_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_header(rows.unionByName(steps), SACCT_HEADER)
 
 
+# Fixed value: column names that the scheduler prints.
 BJOBS_WIDE_HEADER = (
     "JOBID   USER    STAT  QUEUE      FROM_HOST   EXEC_HOST   JOB_NAME   SUBMIT_TIME  PROJ_NAME "
     "CPU_USED MEM SWAP PIDS START_TIME FINISH_TIME"
@@ -435,7 +448,7 @@ def bjobs_wide_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         return _blank(F.date_format(name, "MM/dd-HH:mm:ss"), "-")
 
     line = F.format_string(
-        "%-8d %-8s %-6s %-8s falcon  %-8s  run %s  %s default 000:00:00.01 2648 33112 - %s %s",
+        "%-8d %-8s %-6s %-8s login7  %-8s  run %s  %s default 000:00:02.50 512 1024 - %s %s",
         "job_id", "user_name", lsf_word(F.col("state")), "queue", "exec_host", "job_name",
         short("submit_time"), short("start_time"), short("finish_time"),
     )
@@ -448,14 +461,14 @@ def bjobs_long_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     wrap = "\n" + " " * 21
     evidence = (
         F.when(F.col("raw_state") == "TIMEOUT", f"Completed <exit>; TERM_RUNLIMIT: job kil{wrap}led after reaching LSF run time limit.")
-        .when(F.col("raw_state") == "CANCELLED by 0", f"Exited with exit co{wrap}de 2. The CPU time used is 0.1 seconds.")
+        .when(F.col("raw_state") == "CANCELLED by 0", f"Exited with exit co{wrap}de 2. The CPU time used is 2.5 seconds.")
         .when(F.col("state") == "CANCELLED", f"Completed <exit>; TERM_OWNER: job killed by{wrap} owner.")
-        .when(F.col("state") == "FAILED", "Exited with exit code 255. The CPU time used is 0.1 seconds.")
-        .when(F.col("state") == "COMPLETED", "Done successfully. The CPU time used is 0.0 seconds.")
-        .otherwise("Submitted from host <falcon>")
+        .when(F.col("state") == "FAILED", "Exited with exit code 255. The CPU time used is 2.5 seconds.")
+        .when(F.col("state") == "COMPLETED", "Done successfully. The CPU time used is 2.5 seconds.")
+        .otherwise("Submitted from host <login7>")
     )
     text = F.format_string(
-        "\nJob <%d>, User <%s>, Project <default>, Status <%s>, Queue <%s>, C" + wrap + "ommand <run %d>\nMon Nov 23 10:17:33: %s\n",
+        "\nJob <%d>, User <%s>, Project <default>, Status <%s>, Queue <%s>, C" + wrap + "ommand <run %d>\nTue Mar  5 14:31:00: %s\n",
         "job_id", "user_name", lsf_word(F.col("state")), "queue", "job_id", evidence,
     )
     return r.select(F.col("job_id").cast("string").alias("src"), text.alias("text"))

@@ -12,10 +12,12 @@ from ..operators import lineage as ln
 from ..operators import snapshots as sn
 from ..plans import report as rp
 from ..plans.resubmit import plan_resubmit
+from ..session import scratch_path
 from ..sinks import exports
+from ..sources import tsv
 from ..sources.records import split_records
 from . import bindings as b
-from .bindings import EDGES_SQL, JOBCONF_SQL, PARTIAL_SQL, QUEUE_SQL, ROOTS_SQL, RUNINFO_SQL, history_sql, with_sql
+from .bindings import EDGES_SQL, JOBCONF_SQL, PARTIAL_CONF_SQL, PARTIAL_SQL, QUEUE_SQL, ROOTS_SQL, RUNINFO_SQL, history_sql, with_sql
 from .registry import query, stored
 
 R = with_sql(RUNINFO_SQL)
@@ -76,45 +78,53 @@ def _(spark, d):
 @query(
     "details_cmd",
     RC + """ SELECT list_id, job_id, CAST(unnest([0, 1]) AS BIGINT) AS line_no, unnest([cmd, 'echo done']) AS line
-    FROM jobconf WHERE job_id IN (SELECT job_id FROM runinfo WHERE state = 'KILLED')""",
+    FROM jobconf""",
 )
 def _(spark, d):
     conf = b.jobconf(spark, d).withColumn("cmd", F.concat("cmd", F.lit("\necho done")))
-    return j.details(j.killed(b.jobs(spark, d)), "cmd", conf).select(*LINES_OUT)
+    return j.details(b.jobs(spark, d), "cmd", conf).select(*LINES_OUT)
 
 
 @query(
     "details_config",
-    RC + """ SELECT list_id, job_id, name, wall_time, num_threads FROM jobconf
-    WHERE job_id IN (SELECT job_id FROM runinfo WHERE state = 'KILLED')""",
+    RC + " SELECT * FROM jobconf",
 )
 def _(spark, d):
-    shown = j.details(j.killed(b.jobs(spark, d)), "config", b.jobconf(spark, d))
-    fields = F.from_json("line", "name STRING, wall_time STRING, num_threads INT")
+    shown = j.details(b.jobs(spark, d), "config", b.jobconf(spark, d))
+    fields = F.from_json("line", "cmd STRING, name STRING, wall_time STRING, queue STRING, num_threads INT, max_memory INT, other_queue_args STRING, wd STRING")
     return shown.select("list_id", "job_id", fields.alias("f")).select("list_id", "job_id", "f.*")
 
 
-@query("details_runinfo", R + " SELECT list_id, job_id, user_name, state FROM runinfo WHERE state = 'FAILED'")
+@query(
+    "details_runinfo",
+    R + """ SELECT list_id, job_id, user_name, scheduler, queue, exec_host, job_name, raw_state, state, submit_time, start_time,
+    finish_time, exit_code, kill_cause FROM runinfo""",
+)
 def _(spark, d):
-    shown = j.details(j.failed(b.jobs(spark, d)), "runinfo")
-    fields = F.from_json("line", "user_name STRING, state STRING")
+    shown = j.details(b.jobs(spark, d), "runinfo")
+    fields = F.from_json(
+        "line",
+        "user_name STRING, scheduler STRING, queue STRING, exec_host STRING, job_name STRING, raw_state STRING, state STRING, "
+        "submit_time TIMESTAMP, start_time TIMESTAMP, finish_time TIMESTAMP, exit_code INT, kill_cause STRING",
+    )
     return shown.select("list_id", "job_id", fields.alias("f")).select("list_id", "job_id", "f.*")
 
 
 @query(
     "details_err",
     R + """ SELECT r.list_id, r.job_id, CAST(e.event_id AS BIGINT) AS line_no, e.props AS line FROM runinfo r
-    JOIN events e ON r.job_name = 'job_' || CAST(e.user_id AS VARCHAR) WHERE r.state = 'KILLED' AND e.event_type = 'error'""",
+    JOIN events e ON r.job_name = 'job_' || CAST(e.user_id AS VARCHAR) WHERE e.event_type = 'error'""",
 )
 def _(spark, d):
     e = b.table(spark, d, "events")
     streams = e.select(
+        F.col("user_id").alias("list_id"),
         F.concat(F.lit("job_"), F.col("user_id").cast("string")).alias("job_name"),
         F.when(F.col("event_type") == "error", "err").otherwise("out").alias("stream"),
         F.col("event_id").alias("line_no"),
         F.col("props").alias("line"),
     )
-    return j.details(j.killed(b.jobs(spark, d)), "err", streams=streams).select(*LINES_OUT)
+    return j.details(b.jobs(spark, d), "err", streams=streams).select(*LINES_OUT)
 
 
 @query(
@@ -211,20 +221,34 @@ def _(spark, d):
     return j.missing_runinfo(b.job_lists(spark, d), b.partial_runinfo(spark, d)).select("list_id", "pos", "job_id")
 
 
+@query("missing_ids", P + " SELECT list_id, job_id FROM jobs WHERE NOT has_record")
+def _(spark, d):
+    return j.missing_ids(_partial(spark, d))
+
+
+@query("missing_counts", P + " SELECT list_id, count(*) FILTER (NOT has_record) AS num_missing FROM jobs GROUP BY list_id")
+def _(spark, d):
+    return j.missing_counts(_partial(spark, d))
+
+
 @query(
-    "missing_ids",
-    P + """ SELECT list_id, CAST(0 AS BIGINT) AS part, string_agg(CAST(job_id AS VARCHAR), ',' ORDER BY job_id) AS ids,
-    count(*) AS num_ids FROM jobs WHERE NOT has_record GROUP BY list_id""",
+    "refresh_records",
+    R + """ SELECT list_id, job_id, CASE WHEN job_id % 3 = 0 AND (job_id % 4 = 0 OR NOT fin) THEN 'COMPLETED' ELSE state END AS state
+    FROM runinfo WHERE job_id % 3 = 0 OR job_id % 4 <> 0""",
 )
 def _(spark, d):
-    return j.missing_ids(_partial(spark, d))
+    # A third of the jobs has a newer record; some of those had none before.
+    r = b.runinfo(spark, d)
+    newer = r.filter(F.col("job_id") % 3 == 0).withColumn("state", F.lit("COMPLETED"))
+    return j.refresh_records(r.filter(F.col("job_id") % 4 != 0), newer).select("list_id", "job_id", "state")
 
 
-@query("queue_for_list", R + QUEUE_SQL + " SELECT list_id, job_id, state FROM queue WHERE job_id % 13 <> 0")
+@query("queue_for_list", R + QUEUE_SQL + " SELECT list_id, job_id, state FROM queue")
 def _(spark, d):
+    # The queue also holds jobs of no list.
     system_wide = b.queue(spark, d).select("job_id", "state")
-    listed = b.job_lists(spark, d).filter(F.col("job_id") % 13 != 0)
-    return j.queue_for_list(system_wide, listed).select("list_id", "job_id", "state")
+    foreign = system_wide.withColumn("job_id", -1 - F.col("job_id"))
+    return j.queue_for_list(system_wide.unionByName(foreign), b.job_lists(spark, d)).select("list_id", "job_id", "state")
 
 
 @query("stale_jobs", P + QUEUE_SQL + " SELECT list_id, job_id, state FROM jobs WHERE NOT coalesce(fin, false) AND job_id NOT IN (SELECT job_id FROM queue)")
@@ -240,12 +264,12 @@ def _(spark, d):
 
 @query("restorable", R + " SELECT list_id, job_id FROM runinfo WHERE job_id % 11 <> 0")
 def _(spark, d):
-    return j.restorable(b.runinfo(spark, d), b.jobconf(spark, d)).select("list_id", "job_id")
+    return j.restorable(b.runinfo(spark, d), b.partial_jobconf(spark, d)).select("list_id", "job_id")
 
 
 @query("not_restorable", R + " SELECT list_id, job_id FROM runinfo WHERE job_id % 11 = 0")
 def _(spark, d):
-    return j.not_restorable(b.runinfo(spark, d), b.jobconf(spark, d)).select("list_id", "job_id")
+    return j.not_restorable(b.runinfo(spark, d), b.partial_jobconf(spark, d)).select("list_id", "job_id")
 
 
 @query("keep_others", R + " SELECT list_id, job_id, job_name FROM runinfo WHERE (list_id, job_name) NOT IN (SELECT (list_id, job_name) FROM runinfo WHERE state = 'KILLED')")
@@ -296,11 +320,15 @@ def _(spark, d):
 
 @query(
     "snapshot_diff",
-    with_sql(history_sql()) + " SELECT list_id, job_id, prev_state, cur_state FROM changes WHERE poll_no = 7",
+    with_sql(history_sql()) + " SELECT list_id || '/' || CAST(poll_no AS VARCHAR) AS list_id, job_id, prev_state, cur_state FROM changes",
 )
 def _(spark, d):
     h = b.poll_history(spark, d)
-    return sn.snapshot_diff(h.filter(F.col("poll_no") == 6), h.filter(F.col("poll_no") == 7))
+    # Every poll against the one before it: list and poll together are the key.
+    key = lambda no: F.concat(F.col("list_id"), F.lit("/"), no.cast("string"))
+    last = h.agg(F.max("poll_no")).scalar()
+    before = h.filter(F.col("poll_no") < last).withColumn("list_id", key(F.col("poll_no") + 1))
+    return sn.snapshot_diff(before, h.withColumn("list_id", key(F.col("poll_no"))))
 
 
 @query("snapshot_changes", with_sql(history_sql()) + " SELECT * FROM changes")
@@ -501,23 +529,23 @@ _strategy(
 
 # --- resubmission plan -----------------------------------------------------------------
 
-PLAN_SQL = RE + ROOTS_SQL + ROOTED_SQL + "," + JOBCONF_SQL + """,
+PLAN_SQL = RE + ROOTS_SQL + ROOTED_SQL + "," + PARTIAL_CONF_SQL + """,
 rerun AS (
   SELECT list_id, root_id AS job_id, min(job_id) AS pos FROM rooted
   WHERE state IN ('CANCELLED', 'FAILED', 'KILLED') GROUP BY list_id, root_id),
 planned AS (
   SELECT r.list_id, r.pos, r.job_id, c.cmd, c.name, c.wall_time, c.queue, c.num_threads, c.max_memory,
-    row_number() OVER (ORDER BY r.job_id, r.list_id) AS n,
-    (SELECT max(o_orderkey) FROM orders) + row_number() OVER (ORDER BY r.job_id, r.list_id) AS new_id
-  FROM rerun r JOIN jobconf c ON r.list_id = c.list_id AND r.job_id = c.job_id)"""
+    row_number() OVER w AS n, (SELECT max(o_orderkey) FROM orders) + row_number() OVER w AS new_id
+  FROM rerun r JOIN saved c ON r.list_id = c.list_id AND r.job_id = c.job_id
+  WINDOW w AS (ORDER BY substr(md5(CAST(r.list_id AS VARCHAR) || ':' || CAST(r.job_id AS VARCHAR)), 1, 3), r.job_id, r.list_id))"""
 
 
-def _plan(spark, d):
+def _plan(spark, d, strategy=None):
     # The plan reads the edges several times, as it would from their store.
     edges = stored(b.edges(spark, d), "edges")
     return plan_resubmit(
-        b.jobs(spark, d), b.jobconf(spark, d), b.queue(spark, d), edges,
-        c.Compound(c.MoreTime("100:00"), c.OtherQueue("long")),
+        b.jobs(spark, d), b.partial_jobconf(spark, d), b.queue(spark, d), edges,
+        c.Compound(c.MoreTime("100:00"), c.OtherQueue("long")) if strategy is None else strategy,
     )
 
 
@@ -557,6 +585,37 @@ def _(spark, d):
     return _plan(spark, d).conflicts
 
 
+@query(
+    "plan_resubmit_violations",
+    PLAN_SQL + """ SELECT r.list_id, r.job_id, c.name, 'more_threads' AS broken FROM rerun r
+    JOIN saved c ON r.list_id = c.list_id AND r.job_id = c.job_id WHERE c.num_threads >= 3""",
+)
+def _(spark, d):
+    broken = _plan(spark, d, c.MoreThreads(3)).violations
+    return broken.select("list_id", "job_id", "name", F.array_join("violations", ",").alias("broken"))
+
+
+@query(
+    "plan_resubmit_name_clashes",
+    PLAN_SQL + """ SELECT list_id, job_name, count(*) AS uses FROM (
+      SELECT list_id, job_name FROM runinfo WHERE (list_id, job_name) NOT IN (SELECT (list_id, name) FROM planned)
+      UNION ALL SELECT list_id, name FROM planned) GROUP BY ALL HAVING count(*) > 1""",
+)
+def _(spark, d):
+    return _plan(spark, d).name_clashes
+
+
+@query(
+    "name_clashes",
+    RC + """ SELECT n.list_id, n.name AS job_name, n.k + coalesce(o.k, 0) AS uses
+    FROM (SELECT list_id, name, count(*) AS k FROM jobconf GROUP BY ALL) n
+    LEFT JOIN (SELECT list_id, job_name, count(*) AS k FROM runinfo GROUP BY ALL) o ON n.list_id = o.list_id AND n.name = o.job_name
+    WHERE n.k + coalesce(o.k, 0) > 1""",
+)
+def _(spark, d):
+    return c.name_clashes(b.jobconf(spark, d), b.runinfo(spark, d))
+
+
 # --- report ----------------------------------------------------------------------------
 
 REPORT_SQL = RE + f""",
@@ -583,8 +642,8 @@ _REPORT_TABLES = {
     ),
     "report_host_counts": (
         "host_counts",
-        """ SELECT list_id, exec_host, count(*) AS num_jobs FROM latest WHERE list_id IN (
-        SELECT list_id FROM latest GROUP BY list_id HAVING count(DISTINCT exec_host) BETWEEN 2 AND 49) GROUP BY ALL""",
+        """ SELECT *, count(*) OVER (PARTITION BY list_id) AS num_hosts FROM (
+        SELECT list_id, exec_host, count(*) AS num_jobs FROM latest GROUP BY ALL)""",
     ),
     "report_status_counts": ("status_counts", " SELECT list_id, state AS status, count(*) AS num_jobs FROM latest GROUP BY ALL"),
     "job_table": (
@@ -642,8 +701,39 @@ def _(spark, d):
 
 @query(
     "jobconf_log",
-    RC + """ SELECT job_id AS id, name, num_threads, other_queue_args, queue, wall_time, wd FROM jobconf
-    WHERE job_id IN (SELECT job_id FROM runinfo WHERE state = 'KILLED')""",
+    RC + " SELECT job_id AS id, name, num_threads, other_queue_args, queue, wall_time, wd FROM jobconf",
 )
 def _(spark, d):
-    return exports.jobconf_log(j.killed(b.jobs(spark, d)), b.jobconf(spark, d))
+    return exports.jobconf_log(b.jobs(spark, d), b.jobconf(spark, d))
+
+
+@query(
+    "export_attempts",
+    RE + """ SELECT a.list_id, a.job_id, job_name, queue, submit_time, start_time, finish_time, exec_host, state AS status, user_name AS user,
+    coalesce(CAST(e.from_id AS VARCHAR), '') AS resubmission_of
+    FROM (SELECT list_id, job_id FROM runinfo WHERE (list_id, job_id) NOT IN (SELECT (list_id, from_id) FROM edges)
+      UNION SELECT list_id, from_id FROM edges) a
+    JOIN runinfo r ON a.list_id = r.list_id AND a.job_id = r.job_id
+    LEFT JOIN edges e ON a.list_id = e.list_id AND a.job_id = e.to_id""",
+)
+def _(spark, d):
+    # The list as resubmissions left it: retried jobs are in the edges only.
+    edges = stored(b.edges(spark, d), "edges")
+    retried = edges.select("list_id", F.col("from_id").alias("job_id"))
+    now = b.job_lists(spark, d).join(retried, ["list_id", "job_id"], "left_anti")
+    return exports.export_attempts(now, b.runinfo(spark, d), edges)
+
+
+@query(
+    "report_from_log",
+    REPORT_SQL + """ SELECT list_id, job_id, job_number, pending_time, exec_time, num_cores, queue_limit, exceeded_queue_limit,
+    resubmission_of FROM attempts""",
+)
+def _(spark, d):
+    path = scratch_path(spark, "attempts-log")
+    exports.export_runinfo(exports.attempts_log(b.jobs(spark, d), b.edges(spark, d)), path)
+    log = tsv.read_attempts_log(spark, path).withColumn("list_id", F.col("list_id").cast("bigint"))
+    tables = rp.report_from_log(log, path=scratch_path(spark, "report"))
+    return tables["attempts"].select(
+        "list_id", "job_id", "job_number", "pending_time", "exec_time", "num_cores", "queue_limit", "exceeded_queue_limit", "resubmission_of"
+    )

@@ -62,13 +62,10 @@ def duration_sql(s: str) -> str:
 PERCENT_SQL = "printf('%.1f', round_even(num_final / num_total * 100, 1))"
 
 LINE_SQL = f"""
-  SELECT s.list_id, CAST(0 AS BIGINT) AS part,
+  SELECT s.list_id, num_unknown,
     printf('%4d jobs in total; %5s%% complete; Remaining time %10s; %4d done; %4d running; %4d pending; %4d killed; %4d failed',
-      num_total, {PERCENT_SQL}, {duration_sql('remaining_seconds')}, num_done, num_running, num_pending, num_killed, num_failed)
-      || coalesce('; unknown={{' || u.ids || '}}', '') AS line
-  FROM status s LEFT JOIN estimate e ON s.list_id = e.list_id
-  LEFT JOIN (SELECT list_id, string_agg(CAST(job_id AS VARCHAR), ',' ORDER BY job_id) AS ids
-    FROM runinfo WHERE state = 'UNKNOWN' GROUP BY list_id) u ON s.list_id = u.list_id"""
+      num_total, {PERCENT_SQL}, {duration_sql('remaining_seconds')}, num_done, num_running, num_pending, num_killed, num_failed) AS line
+  FROM status s LEFT JOIN estimate e ON s.list_id = e.list_id"""
 
 
 @query("list_status", R + QUEUE_SQL + STATUS_SQL + " SELECT * FROM status")
@@ -99,6 +96,11 @@ def _(spark, d):
     return status_report(b.runinfo(spark, d), b.queue(spark, d), AS_OF)
 
 
+@query("unknown_ids", R + " SELECT list_id, job_id FROM runinfo WHERE state = 'UNKNOWN'")
+def _(spark, d):
+    return st.unknown_ids(b.runinfo(spark, d))
+
+
 @query("mean_runtime", R + " SELECT list_id, round(avg(date_diff('second', start_time, finish_time)), 6) AS mean_runtime FROM runinfo WHERE fin GROUP BY list_id")
 def _(spark, d):
     return st.mean_runtime(b.runinfo(spark, d)).withColumn("mean_runtime", F.round("mean_runtime", 6))
@@ -166,8 +168,8 @@ def _(spark, d):
 
 @query(
     "host_counts",
-    R + """ SELECT list_id, exec_host, count(*) AS num_jobs FROM runinfo WHERE list_id IN (
-    SELECT list_id FROM runinfo GROUP BY list_id HAVING count(DISTINCT exec_host) BETWEEN 2 AND 49) GROUP BY ALL""",
+    R + """ SELECT *, count(*) OVER (PARTITION BY list_id) AS num_hosts FROM (
+    SELECT list_id, exec_host, count(*) AS num_jobs FROM runinfo GROUP BY ALL)""",
 )
 def _(spark, d):
     return st.host_counts(b.runinfo(spark, d))

@@ -90,6 +90,9 @@ def _(spark, d):
 )
 def _(spark, d):
     detail = lsf.parse_bjobs_long(stored(b.bjobs_long_texts(spark, d), "bjobs_long_texts"))
+    # One file per job: the job's own list is the source of its line.
+    lists = b.job_lists(spark, d).select("job_id", F.col("list_id").cast("string").alias("list"))
+    detail = detail.join(lists, "job_id").withColumn("src", F.col("list"))
     out = lsf.parse_bjobs_wide(stored(b.bjobs_wide_lines(spark, d), "bjobs_wide_lines"), 2000, detail)
     return out.drop("raw_state", "scheduler", "kill_cause")
 
@@ -111,7 +114,7 @@ def _(spark, d):
     coalesce(exit_code, 0) AS exit_code, '0:0:*:*' AS req FROM runinfo""",
 )
 def _(spark, d):
-    out = slurm.parse_scontrol(stored(b.scontrol_texts(spark, d), "scontrol_texts"))
+    out = slurm.parse_scontrol(b.scontrol_texts(spark, d))
     return out.withColumn("req", F.col("fields")["ReqB:S:C:T"]).drop("fields")
 
 
@@ -153,75 +156,121 @@ def _(spark, d):
     # Two appends; the second continues the lists of the first.
     exports.append_job_ids(lists.filter(F.col("pos") < middle), path)
     exports.append_job_ids(lists.filter(F.col("pos") >= middle), path)
-    return ls.read_job_lists(spark, path)
+    return ls.read_job_lists(spark, path).drop("raw")
 
 
-@query("append_job_ids", " SELECT count(*) AS num_ids, count(DISTINCT o_custkey) AS num_lists FROM orders")
+@query("append_job_ids", " SELECT CAST(o_custkey AS VARCHAR) || chr(9) || CAST(o_orderkey AS VARCHAR) AS line FROM orders")
 def _(spark, d):
     path = scratch_path(spark, "lists")
     exports.append_job_ids(b.job_lists(spark, d), path)
-    return ls.read_job_lists(spark, path).agg(
-        F.count("job_id").alias("num_ids"), F.count_distinct("list_id").alias("num_lists")
-    )
+    return spark.read.text(path).select(F.col("value").alias("line"))
 
 
 EDGE_LIST_SQL = """ SELECT CAST(list_id AS VARCHAR) AS list_id, row_number() OVER (PARTITION BY list_id ORDER BY seq, to_id) AS seq,
     from_id, to_id FROM edges"""
 
 
-for _name in ("read_resub_edges", "append_resub_edges"):
+@query("read_resub_edges", R + EDGES_SQL + EDGE_LIST_SQL)
+def _(spark, d):
+    path = scratch_path(spark, "edges")
+    exports.append_resub_edges(b.edges(spark, d), path)
+    return tsv.read_resub_edges(spark, path).drop("raw")
 
-    @query(_name, R + EDGES_SQL + EDGE_LIST_SQL)
-    def _(spark, d):
-        path = scratch_path(spark, "edges")
-        exports.append_resub_edges(b.edges(spark, d), path)
-        return tsv.read_resub_edges(spark, path)
 
+@query(
+    "append_resub_edges",
+    R + EDGES_SQL + " SELECT CAST(list_id AS VARCHAR) || chr(9) || CAST(from_id AS VARCHAR) || chr(9) || CAST(to_id AS VARCHAR) AS line FROM edges",
+)
+def _(spark, d):
+    path = scratch_path(spark, "edges")
+    exports.append_resub_edges(b.edges(spark, d), path)
+    return spark.read.text(path).select(F.col("value").alias("line"))
 
-for _name in ("read_runinfo", "write_runinfo"):
 
-    @query(
-        _name,
-        R + """ SELECT job_id, user_name, state, scheduler, queue, exec_host, job_name, submit_time, start_time, finish_time,
-        exit_code, kill_cause FROM runinfo""",
-    )
-    def _(spark, d):
-        path = scratch_path(spark, "runinfo")
-        exports.write_runinfo(b.runinfo(spark, d), path)
-        return xml.read_runinfo(spark, path).drop("id_matches")
+@query(
+    "read_runinfo",
+    R + """ SELECT job_id, user_name, state, scheduler, queue, exec_host, job_name, submit_time, start_time, finish_time,
+    exit_code, kill_cause FROM runinfo""",
+)
+def _(spark, d):
+    path = scratch_path(spark, "runinfo")
+    exports.write_runinfo(b.runinfo(spark, d), path)
+    return xml.read_runinfo(spark, path).drop("id_matches", "origin")
+
 
+def _elements(spark, path, *tags):
+    """Elements of written XML as text: (tag, value)."""
+    parts = F.regexp_extract_all("value", F.lit(r"^ *<(\w+)>"), 1)
+    rows = spark.read.text(path).select(F.get(parts, F.lit(0)).alias("tag"), F.regexp_extract("value", r">([^<]*)<", 1).alias("value"))
+    return rows.filter(F.col("tag").isin(*tags))
 
-for _name in ("read_jobconf", "write_jobconf"):
 
-    @query(_name, with_sql(JOBCONF_SQL) + " SELECT * EXCLUDE (list_id) FROM jobconf")
-    def _(spark, d):
-        path = scratch_path(spark, "jobconf")
-        exports.write_jobconf(b.jobconf(spark, d), path)
-        return xml.read_jobconf(spark, path)
+@query(
+    "write_runinfo",
+    R + """ SELECT 'jobId' AS tag, CAST(job_id AS VARCHAR) AS value FROM runinfo
+    UNION ALL SELECT 'state', state FROM runinfo
+    UNION ALL SELECT 'startTime', strftime(start_time, '%d-%m-%Y %H:%M:%S') FROM runinfo WHERE start_time IS NOT NULL""",
+)
+def _(spark, d):
+    path = scratch_path(spark, "runinfo")
+    exports.write_runinfo(b.runinfo(spark, d), path)
+    return _elements(spark, path, "jobId", "state", "startTime")
+
 
+@query("read_jobconf", with_sql(JOBCONF_SQL) + " SELECT * EXCLUDE (list_id) FROM jobconf")
+def _(spark, d):
+    path = scratch_path(spark, "jobconf")
+    exports.write_jobconf(b.jobconf(spark, d), path)
+    return xml.read_jobconf(spark, path).drop("origin")
 
-for _name in ("export_runinfo", "read_runinfo_log"):
 
-    @query(
-        _name,
-        R + EDGES_SQL + """ SELECT r.job_id, job_name, queue, submit_time, start_time, finish_time, exec_host, state AS status,
-        user_name AS user, e.from_id AS resubmission_of FROM runinfo r
-        LEFT JOIN edges e ON r.list_id = e.list_id AND r.job_id = e.to_id""",
-    )
-    def _(spark, d):
-        path = scratch_path(spark, "runinfo-log")
-        exports.export_runinfo(exports.runinfo_log(b.jobs(spark, d), b.edges(spark, d)), path)
-        return tsv.read_runinfo_log(spark, path)
+@query(
+    "write_jobconf",
+    with_sql(JOBCONF_SQL) + """ SELECT 'jobId' AS tag, CAST(job_id AS VARCHAR) AS value FROM jobconf
+    UNION ALL SELECT 'cmd', cmd FROM jobconf UNION ALL SELECT 'wallTime', wall_time FROM jobconf""",
+)
+def _(spark, d):
+    path = scratch_path(spark, "jobconf")
+    exports.write_jobconf(b.jobconf(spark, d), path)
+    return _elements(spark, path, "jobId", "cmd", "wallTime")
+
+
+@query(
+    "read_runinfo_log",
+    R + EDGES_SQL + """ SELECT r.job_id, job_name, queue, submit_time, start_time, finish_time, exec_host, state AS status,
+    user_name AS user, e.from_id AS resubmission_of FROM runinfo r
+    LEFT JOIN edges e ON r.list_id = e.list_id AND r.job_id = e.to_id""",
+)
+def _(spark, d):
+    path = scratch_path(spark, "runinfo-log")
+    exports.export_runinfo(exports.runinfo_log(b.jobs(spark, d), b.edges(spark, d)), path)
+    return tsv.read_runinfo_log(spark, path)
+
+
+_ISO = "coalesce(strftime({}, '%Y-%m-%dT%H:%M:%S.000Z'), 'null')"
+
+
+@query(
+    "export_runinfo",
+    R + EDGES_SQL + f""" SELECT concat_ws(chr(9), CAST(r.job_id AS VARCHAR), job_name, queue, {_ISO.format('submit_time')},
+    {_ISO.format('start_time')}, {_ISO.format('finish_time')}, exec_host, state, user_name, coalesce(CAST(e.from_id AS VARCHAR), '')) AS line
+    FROM runinfo r LEFT JOIN edges e ON r.list_id = e.list_id AND r.job_id = e.to_id""",
+)
+def _(spark, d):
+    path = scratch_path(spark, "runinfo-log")
+    exports.export_runinfo(exports.runinfo_log(b.jobs(spark, d), b.edges(spark, d)), path)
+    # Every file starts with the header.
+    return spark.read.text(path).filter(~F.col("value").startswith("job_id\t")).select(F.col("value").alias("line"))
 
 
-@query("export_jobconf", with_sql(JOBCONF_SQL) + " SELECT job_id AS id, name, num_threads, queue, wall_time, wd FROM jobconf")
+@query("export_jobconf", with_sql(JOBCONF_SQL) + " SELECT job_id AS id, name, num_threads, other_queue_args, queue, wall_time, wd FROM jobconf")
 def _(spark, d):
     from ..schemas import JOBCONF_LOG
 
     path = scratch_path(spark, "jobconf-log")
     exports.export_jobconf(exports.jobconf_log(b.jobs(spark, d), b.jobconf(spark, d)), path)
     back = spark.read.option("sep", "\t").option("header", True).schema(JOBCONF_LOG).csv(path)
-    return back.drop("other_queue_args")
+    return back.fillna({"other_queue_args": ""})
 
 
 @query(

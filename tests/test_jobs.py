@@ -47,12 +47,12 @@ def test_status_line_counts_killed_as_final(spark):
     assert "100.0% complete; Remaining time        ~0S;    1 done;    0 running;    0 pending;    1 killed" in line
 
 
-def test_status_line_of_an_empty_list_and_unknown_parts(spark):
+def test_status_line_is_one_row_a_list(spark):
     status = st.list_status(jobs_of(spark, [("a", i, "UNKNOWN", 0, None) for i in range(5)]), queue_of(jobs_of(spark, [("b", 1, "PENDING", None, None)])))
-    unknown = jobs_of(spark, [("a", i, "UNKNOWN", 0, None) for i in range(5)])
-    got = {(r.list_id, r.part): r.line for r in st.status_line(status, None, unknown, 2).collect()}
-    assert "  0 jobs in total;  <NA>% complete" in got["b", 0]
-    assert got["a", 0].endswith("; unknown={0,1}") and got["a", 1] == "; unknown={2,3}" and got["a", 2] == "; unknown={4}"
+    got = {r.list_id: (r.line, r.num_unknown) for r in st.status_line(status).collect()}
+    assert "  0 jobs in total;  <NA>% complete" in got["b"][0] and got["b"][1] == 0 and got["a"][1] == 5
+    unknown = jobs_of(spark, [("a", i, "UNKNOWN" if i < 3 else "FAILED", 0, None) for i in range(5)])
+    assert sorted(map(tuple, st.unknown_ids(unknown).collect())) == [("a", 0), ("a", 1), ("a", 2)]
 
 
 @pytest.mark.parametrize("final, total, shown", [(1, 16, "  6.2"), (3, 16, " 18.8"), (1, 3, " 33.3"), (2, 3, " 66.7"), (0, 7, "  0.0")])
@@ -104,7 +104,8 @@ def test_jobs_without_record_are_in_no_state(spark):
     jobs = j.attach_runinfo(listed, info)
     assert [r.has_record for r in jobs.orderBy("job_id").collect()] == [True, False]
     assert st.list_flags(jobs).first().is_complete is False
-    assert j.missing_ids(jobs).first().ids == "2"
+    assert [tuple(r) for r in j.missing_ids(jobs).collect()] == [("a", 2)]
+    assert [tuple(r) for r in j.missing_counts(jobs).collect()] == [("a", 1)]
     assert j.requires_rerun_jobs(jobs).count() == 0
 
 
@@ -174,9 +175,12 @@ def test_rerun_of_two_killed_jobs(spark):
     jobs = jobs_of(spark, [("a", 1, "KILLED", 0, 60), ("a", 2, "COMPLETED", 0, 5), ("a", 3, "KILLED", 0, 60)])
     none = edges_of(spark, [(1, 2)]).limit(0)
     plan = plan_resubmit(jobs, conf_of(spark, [1, 2, 3]), queue_of(jobs).withColumn("job_name", F.lit("")), none, c.MoreTime("10:00"), strict=True)
-    assert [(r.pos, r.job_id) for r in plan.job_lists.orderBy("pos").collect()] == [(1, 2), (2, 4), (3, 5)]
-    assert [(r.job_id, r.cmd, r.wall_time) for r in plan.configs.orderBy("job_id").collect()] == [(4, "run 1", "10:00"), (5, "run 3", "10:00")]
-    assert [(r.from_id, r.to_id) for r in plan.edges.orderBy("seq").collect()] == [(1, 4), (3, 5)]
+    edges = {r.from_id: r.to_id for r in plan.edges.collect()}
+    assert [(r.pos, r.job_id) for r in plan.job_lists.orderBy("pos").collect()] == [(1, 2), (2, edges[1]), (3, edges[3])]
+    assert sorted((r.cmd, r.wall_time) for r in plan.configs.collect()) == [("run 1", "10:00"), ("run 3", "10:00")]
+    assert sorted(r.job_id for r in plan.configs.collect()) == [4, 5]
+    to = {r.from_id: r.to_id for r in plan.edges.collect()}
+    assert sorted(to) == [1, 3] and {(r.cmd, r.job_id) for r in plan.configs.collect()} == {("run 1", to[1]), ("run 3", to[3])}
 
 
 def test_rerun_starts_from_the_first_configuration(spark):
@@ -209,6 +213,40 @@ def test_refusals(spark):
         plan_resubmit(twice, conf_of(spark, [1]), queue.limit(0), none, strict=True)
 
 
+def test_violations_stay_out_of_the_plan(spark):
+    none = edges_of(spark, [(1, 2)]).limit(0)
+    jobs = jobs_of(spark, [("a", 1, "FAILED", 0, 5), ("a", 2, "FAILED", 0, 5)])
+    conf = conf_of(spark, [1], threads=8).unionByName(conf_of(spark, [2], threads=2))
+    queue = jobs.limit(0).select("list_id", "job_id", "job_name", "state")
+    plan = plan_resubmit(jobs, conf, queue, none, c.MoreThreads(4))
+    assert [(r.job_id, r.violations) for r in plan.violations.collect()] == [(1, ["more_threads"])]
+    assert [(r.num_threads, r.cmd) for r in plan.configs.collect()] == [(4, "run 2")]
+    with pytest.raises(ValueError, match="violations"):
+        plan_resubmit(jobs, conf, queue, none, c.MoreThreads(4), strict=True)
+
+
+def test_new_names_are_checked(spark):
+    jobs = jobs_of(spark, [("a", 1, "RUNNING", 0, None), ("a", 2, "RUNNING", 0, None)])
+    new = spark.createDataFrame([("a", "n1"), ("a", "x"), ("a", "x"), ("b", "n1"), ("a", "y")], "list_id STRING, name STRING")
+    assert sorted((r.list_id, r.job_name, r.uses) for r in c.name_clashes(new, jobs).collect()) == [("a", "n1", 2), ("a", "x", 2)]
+
+
+def test_refresh_keeps_final_records(spark):
+    old = jobs_of(spark, [("a", 1, "RUNNING", 0, None), ("a", 2, "KILLED", 0, 5), ("a", 3, "PENDING", None, None), ("b", 1, "RUNNING", 0, None)])
+    new = jobs_of(spark, [("a", 1, "COMPLETED", 0, 9), ("a", 2, "FAILED", 0, 9), ("a", 4, "RUNNING", 0, None)])
+    out = j.refresh_records(old, new)
+    assert out.columns == old.columns
+    got = {(r.list_id, r.job_id): r.state for r in out.collect()}
+    assert got == {("a", 1): "COMPLETED", ("a", 2): "KILLED", ("a", 3): "PENDING", ("a", 4): "RUNNING", ("b", 1): "RUNNING"}
+
+
+def test_parent_of_a_tie_is_the_smaller_id(spark):
+    edges = edges_of(spark, [(7, 9), (3, 9)]).withColumn("seq", F.lit(1).cast("bigint"))
+    from batchledger.operators.lineage import resubmission_of
+
+    assert [r.resubmission_of for r in resubmission_of(edges).collect()] == [3]
+
+
 def test_more_threads_must_grow(spark):
     conf = conf_of(spark, [1], threads=4)
     grown = conf.transform(c.MoreThreads(8)).first()
