@@ -30,7 +30,11 @@ def digest_chunk(*cols: str) -> Column:
 
 
 def hour_chunk(col) -> Column:
-    """Hour of a timestamp; nulls form a chunk of their own, sorted first."""
+    """Hour of a timestamp; nulls form a chunk of their own, sorted first.
+
+    For times of job starts: schedulers start some thousand jobs a second at most, so an hour of
+    one list is some ten million rows, which one task can sort.
+    """
     hour = F.date_trunc("HOUR", F.col(col) if isinstance(col, str) else col)
     return F.coalesce(hour, F.lit("0001-01-01 00:00:00").cast("timestamp"))
 

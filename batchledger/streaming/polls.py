@@ -200,38 +200,34 @@ def stream_status(polls: DataFrame, jobs: DataFrame, path: str, checkpoint: str,
     )
 
 
-def with_poll_sizes(snapshots: DataFrame) -> DataFrame:
-    """Heartbeats carrying ``num_queued``, the number of jobs in their poll (batch input)."""
-    return snapshots.groupBy("list_id", "poll_ts").agg(F.count("job_id").alias("num_queued"))
-
-
-def _emit_first(key, batches, state: GroupState) -> Iterator[pd.DataFrame]:
-    rows = pd.concat(list(batches), ignore_index=True)
-    if not state.exists:
-        state.update((True,))
-        yield pd.DataFrame({"list_id": [key[0]], "poll_ts": [rows["poll_ts"].min()]})
+def stream_completion(polls: DataFrame, path: str, checkpoint: str, jobs: DataFrame | None = None, buckets: int = 4):
+    """Start a query that writes each list once, at its first poll with an empty queue.
 
+    Rows ``(list_id, poll_ts)`` go to ``path``. Lists whose jobs (``jobs``, a table) are all final
+    count as complete at their first poll. Every micro-batch leaves out the lists of the batches
+    before it and overwrites its own folder, so a repeated batch changes nothing.
+    """
+    spark = polls.sparkSession
+    schema = "list_id STRING, poll_ts TIMESTAMP"
+    spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{path}/batch_id=-1")
 
-def stream_completion(poll_sizes: DataFrame, jobs: DataFrame | None = None) -> DataFrame:
-    """Each list once, at its first poll with an empty queue: ``(list_id, poll_ts)``.
+    def write(counts: DataFrame, batch_id: int) -> None:
+        sizes = counts.groupBy("list_id", "poll_ts").agg(F.sum("num_queued").alias("num_queued"))
+        done = F.col("num_queued") == 0
+        if jobs is not None:
+            finals = jobs.groupBy(F.col("list_id").cast("string").alias("list_id")).agg(F.bool_and(is_final("state")).alias("all_final"))
+            sizes = sizes.join(finals, "list_id", "left")
+            done = done | F.coalesce("all_final", F.lit(False))
+        first = sizes.filter(done).groupBy("list_id").agg(F.min("poll_ts").alias("poll_ts"))
+        known = counts.sparkSession.read.schema(schema + ", batch_id BIGINT").parquet(path).filter(F.col("batch_id") < batch_id)
+        first.join(known, "list_id", "left_anti").write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
-    ``poll_sizes`` is a stream ``(list_id, poll_ts, num_queued)``, one row per poll. Lists
-    whose jobs (``jobs``, static) are all final count as complete at their first poll.
-    """
-    sizes = poll_sizes.withColumn("list_id", F.col("list_id").cast("string"))
-    done = F.col("num_queued") == 0
-    if jobs is not None:
-        finals = jobs.groupBy(F.col("list_id").cast("string").alias("list_id")).agg(
-            F.bool_and(is_final("state")).alias("all_final")
-        )
-        sizes = sizes.join(finals, "list_id", "left")
-        done = done | F.coalesce("all_final", F.lit(False))
     return (
-        sizes.filter(done)
-        .groupBy("list_id")
-        .applyInPandasWithState(
-            _emit_first, "list_id STRING, poll_ts TIMESTAMP", "emitted BOOLEAN", "append", GroupStateTimeout.NoTimeout
-        )
+        stream_poll_counts(polls, buckets)
+        .writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
     )
 
 

@@ -120,9 +120,14 @@ def _(spark, d):
     GROUP BY p.list_id""",
 )
 def _(spark, d):
+    base, own = scratch_path(spark, "completion"), _streaming(spark)
     polls = b.poll_history(spark, d, per_user=True)
-    sizes = sp.with_poll_sizes(polls).join(polls.select("list_id", "poll_ts", "poll_no").distinct(), ["list_id", "poll_ts"])
-    return _feed(spark, sizes, lambda s: sp.stream_completion(s, b.poll_jobs(s.sparkSession, d, per_user=True)), "list_id STRING, poll_ts TIMESTAMP")
+    jobs = b.poll_jobs(own, d, per_user=True)
+    for part in [*_slices(polls), _closing(polls)]:
+        part.repartition(2).write.mode("append").parquet(f"{base}/in")
+        source = _source(own, f"{base}/in", polls.schema)
+        sp.stream_completion(source, f"{base}/out", f"{base}/checkpoint", jobs).awaitTermination()
+    return spark.read.parquet(f"{base}/out").select("list_id", "poll_ts")
 
 
 @query(

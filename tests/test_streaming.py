@@ -62,24 +62,36 @@ def test_status_rows_only_for_changes_and_once_per_batch(spark):
 
 def test_completion_once(spark):
     base = scratch_path(spark, "t")
-    schema = "list_id STRING, poll_ts TIMESTAMP, num_queued BIGINT"
-
-    def sizes(rows):
-        df = spark.createDataFrame(rows, "list_id STRING, second BIGINT, num_queued BIGINT")
-        return df.select("list_id", F.timestamp_seconds("second").alias("poll_ts"), "num_queued")
-
     jobs = spark.createDataFrame([("done", 1, "KILLED"), ("a", 2, "RUNNING")], "list_id STRING, job_id BIGINT, state STRING")
-    batches = [[("a", 10, 3), ("done", 10, 2), ("b", 10, 1)], [("a", 30, 0), ("a", 20, 0), ("b", 20, 1)], [("a", 40, 0), ("done", 40, 0)]]
-    for rows in batches:
-        sizes(rows).write.mode("append").parquet(f"{base}/in")
-        stream = sp.stream_completion(spark.readStream.schema(schema).parquet(f"{base}/in"), jobs)
-        stream.writeStream.format("parquet").option("path", f"{base}/out").option(
-            "checkpointLocation", f"{base}/checkpoint"
-        ).trigger(availableNow=True).start().awaitTermination()
+    running = [(2, "RUNNING"), (3, "PENDING")]
+    batches = [
+        poll(spark, 10, running).union(poll(spark, 10, running, "done")).union(poll(spark, 10, running, "b")),
+        # The rest of the first poll of b comes with the next one.
+        poll(spark, 10, [(7, "RUNNING")], "b").filter("job_id = 7").union(poll(spark, 20, [])).union(poll(spark, 20, running, "b")),
+        poll(spark, 30, []).union(poll(spark, 30, [], "done")).union(poll(spark, 30, running, "b")),
+        poll(spark, 40, [(5, "RUNNING")]).union(poll(spark, 40, [], "done")),
+    ]
+    for df in batches:
+        df.write.mode("append").parquet(f"{base}/in")
+        for _ in range(2):
+            source = spark.readStream.schema(SCHEMA).parquet(f"{base}/in")
+            sp.stream_completion(source, f"{base}/out", f"{base}/checkpoint", jobs).awaitTermination()
     got = sorted((r.list_id, int(r.poll_ts.timestamp())) for r in spark.read.parquet(f"{base}/out").collect())
     assert got == [("a", 20), ("done", 10)]
 
 
+def test_late_rows_fail_and_late_departures_are_accounted_for(spark):
+    base = scratch_path(spark, "t")
+    with pytest.raises(Exception, match="came after a later poll"):
+        run(spark, base, [poll(spark, 20, [(1, "RUNNING")]), poll(spark, 10, [(2, "RUNNING")])], sp.stream_queue_changes)
+    gone = spark.createDataFrame([("a", 1, 100), ("b", 2, 900), ("c", 3, 950)], "list_id STRING, job_id BIGINT, s BIGINT")
+    gone = gone.select("list_id", "job_id", F.timestamp_seconds("s").alias("departed_ts"))
+    records = gone.filter("job_id <> 3").withColumn("record_ts", F.col("departed_ts") + F.expr("interval 5 seconds")).drop("departed_ts")
+    accounted = sp.stream_accounting(gone.filter("job_id = 1"), records, "15 seconds", "1 minute")
+    missed = {r.job_id: r.record_ts is not None for r in sp.late_accounting(gone, records, accounted, "15 seconds").collect()}
+    assert missed == {2: True, 3: False}
+
+
 def test_accounting_on_tables(spark):
     gone = spark.createDataFrame([("a", 1, 100), ("a", 2, 100), ("a", 3, 100)], "list_id STRING, job_id BIGINT, s BIGINT")
     gone = gone.select("list_id", "job_id", F.timestamp_seconds("s").alias("departed_ts"))
