@@ -109,26 +109,25 @@ def folder_of(path: Column) -> Column:
     return F.regexp_extract(path, r"^(.*)/[^/]*$", 1)
 
 
-def read_streams(spark: SparkSession, path: str) -> DataFrame:
-    """Captured output lines ``(origin, job_name, stream, line_no, line)``; ``stream`` is err or out.
+def name_streams(lines: DataFrame) -> DataFrame:
+    """Captured output ``(origin, job_name, stream, line_no, line)`` from ``(src, line_no, line)``.
 
-    ``origin`` is the folder of the file; it tells to which list a name belongs.
+    Files are called ``<job name>.err.log`` or ``.out.log``; others are left out. ``origin`` is
+    the folder, which tells to which list a name belongs.
     """
-    pattern = r"^(.*)\.(err|out)\.log$"
-    raw = (
-        _text(spark, path)
-        .filter(F.col("_file").rlike(pattern))
-        .select(
-            folder_of(F.col("_path")).alias("origin"),
-            F.col("_path").alias("src"),
-            F.regexp_extract("_file", pattern, 1).alias("job_name"),
-            F.regexp_extract("_file", pattern, 2).alias("stream"),
-            "_block",
-            "_seq",
-            F.col("value").alias("line"),
-        )
+    pattern = r"^.*/([^/]*)\.(err|out)\.log$"
+    return lines.filter(F.col("src").rlike(pattern)).select(
+        folder_of(F.col("src")).alias("origin"),
+        F.regexp_extract("src", pattern, 1).alias("job_name"),
+        F.regexp_extract("src", pattern, 2).alias("stream"),
+        "line_no",
+        "line",
     )
-    return _number_lines(raw).select("origin", "job_name", "stream", "line_no", "line")
+
+
+def read_streams(spark: SparkSession, path: str) -> DataFrame:
+    """Captured output of jobs, see ``name_streams``."""
+    return name_streams(read_lines(spark, path))
 
 
 def tokens(col) -> Column:

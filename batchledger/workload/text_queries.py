@@ -288,6 +288,20 @@ def _(spark, d):
     )
 
 
+STREAM_SQL = """ SELECT '/lists/' || CAST(user_id % 8 AS VARCHAR) AS origin, 'job_' || CAST(user_id AS VARCHAR) AS job_name,
+    CASE WHEN event_type = 'error' THEN 'err' ELSE 'out' END AS stream, CAST(event_id AS BIGINT) AS line_no, props AS line
+    FROM events WHERE event_type <> 'view'"""
+
+
+@query("name_streams", STREAM_SQL)
+def _(spark, d):
+    e = b.table(spark, d, "events")
+    kind = F.when(F.col("event_type") == "error", ".err.log").when(F.col("event_type") == "view", ".txt").otherwise(".out.log")
+    folder = F.concat(F.lit("/lists/"), (F.col("user_id") % 8).cast("string"))
+    src = F.concat(folder, F.lit("/job_"), F.col("user_id").cast("string"), kind)
+    return ls.name_streams(e.select(src.alias("src"), F.col("event_id").cast("bigint").alias("line_no"), F.col("props").alias("line")))
+
+
 @query("read_batch", with_sql(JOBCONF_SQL) + " SELECT cmd AS text FROM jobconf")
 def _(spark, d):
     path = scratch_path(spark, "batch")

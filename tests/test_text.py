@@ -152,6 +152,35 @@ def test_sacct(spark):
     assert (got[4].job_name, got[4].state) == ("brief", "UNKNOWN")
 
 
+def test_one_dump_is_dealt_out_by_job(spark):
+    """Rows meet the header in parts of a source and go on by id, at most one per job and task."""
+    off = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in off}
+    for k, v in off.items():
+        spark.conf.set(k, v)
+    try:
+        plan = slurm.parse_sacct(lines_of(spark, SACCT))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert any("_id#" in line for line in exchanges) and any("_part#" in line for line in exchanges)
+    assert "WindowGroupLimit" in plan and ", Partial" in plan
+
+
+def test_repeated_keys_and_odd_words_of_a_description(spark):
+    text_ = "JobId=5 A=1 B= =x C=a=b\n A=2 noise A=3 Z=9 B=7\nBatchScript=\nA=4"
+    got = slurm.parse_scontrol(texts_of(spark, text_)).first()
+    assert got.job_id == 5 and got.fields == {"JobId": "5", "A": "1", "B": "", "C": "a=b", "Z": "9"}
+
+
+def test_details_belong_to_their_source(spark):
+    wide = lines_of(spark, BJOBS_WIDE, "a").unionByName(lines_of(spark, BJOBS_WIDE, "b"))
+    detail = spark.createDataFrame([("a", 5301, "TERM_RUNLIMIT: job killed"), ("b", 5301, "")], "src STRING, job_id BIGINT, evidence STRING")
+    got = sorted((r.src, r.state) for r in lsf.parse_bjobs_wide(wide, 2024, detail).filter("job_id = 5301").collect())
+    assert got == [("a", "KILLED"), ("b", "FAILED")]
+
+
 def test_bjobs_wide_and_long(spark):
     detail = lsf.parse_bjobs_long(texts_of(spark, BJOBS_LONG))
     first = detail.first()
