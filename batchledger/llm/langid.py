@@ -26,33 +26,38 @@ from .common import held_out, worker_cache
 
 TOP = 400
 TRAIN_ROWS = 20_000
-#: Words that a worker remembers the grams of.
-CACHED = 300_000
 
 
-def _word_grams(word: str) -> np.ndarray:
-    """Packed grams of the word's letters, padded; the numbers sort like the grams."""
-    letters = [ord(c) for c in word if c.isalpha()]
-    if not letters:
-        return np.empty(0, np.int64)
-    c = np.array([32, *letters, 32], np.int64)
-    ones, twos = c[1:-1] << 42, (c[:-1] << 42) | (c[1:] << 21)
-    return np.concatenate((ones, twos, (c[:-2] << 42) | (c[1:-1] << 21) | c[2:]))
+def _letters_and_blanks() -> tuple[np.ndarray, np.ndarray]:
+    """For every code point: is it a letter, is it white space."""
+    cache = worker_cache("code_points")
+    if "letter" not in cache:
+        chars = list(map(chr, range(0x110000)))
+        cache["letter"] = np.fromiter(map(str.isalpha, chars), bool, len(chars))
+        cache["blank"] = np.fromiter(map(str.isspace, chars), bool, len(chars))
+    return cache["letter"], cache["blank"]
 
 
 def gram_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct grams of a text, ascending, and how often each occurs."""
-    known = worker_cache("word_grams")
-    if len(known) > CACHED:
-        known.clear()
-    words = Counter(text.lower().split())
-    for w in words:
-        if w not in known:
-            known[w] = _word_grams(w)
-    grams = [known[w] for w in words]
-    times = np.repeat(np.fromiter(words.values(), np.int64, len(words)), np.fromiter(map(len, grams), np.int64, len(grams)))
-    codes, where = np.unique(np.concatenate(grams) if grams else np.empty(0, np.int64), return_inverse=True)
-    return codes, np.bincount(where, times, len(codes)).astype(np.int64)
+    """Distinct grams of a text, ascending, and how often each occurs.
+
+    A gram is packed into a number that sorts like it. Only letters and the blanks between words
+    count; a word is taken with one blank on either side.
+    """
+    letter, blank = _letters_and_blanks()
+    points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+    blanks = blank[points]
+    c = np.where(blanks, 32, points)[blanks | letter[points]].astype(np.int64)
+    c = np.concatenate(([32], c, [32]))
+    c = c[np.concatenate(([True], (c[1:] != 32) | (c[:-1] != 32)))]
+    inner = c[1:-1] != 32
+    first, second = c << 42, c << 21
+    ones = first[1:-1][inner]
+    if not len(ones):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    twos = first[:-1] | second[1:]
+    threes = (twos[:-1] | c[2:])[inner]
+    return np.unique(np.concatenate((ones, twos, threes)), return_counts=True)
 
 
 def ranked(text: str, top: int = TOP) -> np.ndarray:
