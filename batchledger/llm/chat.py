@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import before_part, stored
+from .common import before_part, source_key, stored
 
 TURNS_PER_ROW = 256
 #: A part of a conversation: so many turn numbers, as a power of two.
@@ -30,7 +30,7 @@ def _ordered(turns: DataFrame) -> DataFrame:
     """Turns with their position from 0 and the two running hashes up to them."""
     rows = turns.select(
         "conv_id",
-        F.coalesce(F.col("conv_id").cast("string"), F.lit("null")).alias("_conv"),
+        source_key("conv_id").alias("_conv"),
         F.coalesce(F.col("turn").cast("bigint"), F.lit(2**63 - 1)).alias("_turn"),
         F.coalesce("role", F.lit("")).alias("role"),
         F.coalesce("text", F.lit("")).alias("text"),

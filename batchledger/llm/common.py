@@ -45,7 +45,7 @@ def id_key(id_col: str = "doc_id") -> Column:
 
 def source_key(name: str = "source") -> Column:
     """Text that is never null and sorts like the source by code point, null last."""
-    return F.when(F.col(name).isNull(), "1").otherwise(F.concat(F.lit("0"), F.col(name)))
+    return F.when(F.col(name).isNull(), "1").otherwise(F.concat(F.lit("0"), F.col(name).cast("string")))
 
 
 def balanced_parts(rows: int) -> int:

@@ -51,16 +51,15 @@ def heavy_winners(rows: DataFrame) -> DataFrame:
         rows.withColumn("_key", key)
         .join(F.broadcast(candidates), "_key", "left_semi")  # HEAVY numbers at most
         .groupBy("text_sha256")
-        .agg(*_winner())
+        .agg(*[value.alias(name) for name, value in _winner().items()])
         .filter(F.col("group_size") >= least)
     )
     return stored(_named(counted), "winners")
 
 
-def _winner(over=None) -> list[Column]:
-    first = F.min(F.struct(id_key().alias("i"), F.col("_row").alias("r")))
-    size = F.count(F.lit(1))
-    return [first.alias("_first"), size.alias("group_size")] if over is None else [first.over(over).alias("_first"), size.over(over).alias("group_size")]
+def _winner() -> dict[str, Column]:
+    """Aggregates over a group of equal texts."""
+    return {"_first": F.min(F.struct(id_key().alias("i"), F.col("_row").alias("r"))), "group_size": F.count(F.lit(1))}
 
 
 def _named(df: DataFrame) -> DataFrame:
@@ -73,7 +72,8 @@ def duplicate_groups(docs: DataFrame) -> DataFrame:
     heavy = F.broadcast(heavy_winners(rows))
     settled = rows.join(heavy, "text_sha256")
     rest = rows.join(heavy, "text_sha256", "left_anti")
-    rest = _named(rest.select("*", *_winner(Window.partitionBy("text_sha256"))))
+    group = Window.partitionBy("text_sha256")
+    rest = _named(rest.withColumns({name: value.over(group) for name, value in _winner().items()}))
     columns = ["doc_id", "keep_id", "group_size", (F.col("_row") == F.col("keep_row")).alias("kept"), "text_sha256"]
     return settled.select(*columns).unionByName(rest.select(*columns))
 
