@@ -8,7 +8,8 @@ import pytest
 import xxhash
 from helpers import awkward, collected, documents
 
-from batchledger.llm import cover_tree, simhash
+import corpus_pipeline
+from batchledger.llm import cover_tree, near_copies, simhash
 
 
 def plain_fingerprint(text):
@@ -93,6 +94,39 @@ def test_near_duplicates(spark):
     assert simhash.near_duplicates(documents(spark, [])).collect() == []
 
 
+@pytest.mark.parametrize("paired, common", [(32, 4), (3, 2)])
+def test_near_copies_equal_all_pairs(spark, monkeypatch, paired, common):
+    monkeypatch.setattr(near_copies, "PAIRED", paired)
+    monkeypatch.setattr(near_copies, "COMMON", common)
+    rng = random.Random(paired)
+    rows = awkward() + [(800, "", "a"), (801, None, "a"), (802, "One two", "a"), (803, "one  TWO", "b")]
+    passage = " ".join(rng.choice("abcdefgh") * rng.randint(1, 4) for _ in range(40))
+    bases = [" ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(rng.randint(30, 150))) for _ in range(6)]
+    for i in range(150):  # many near copies, the common passage before some
+        words = rng.choice(bases[: 2 if i < 90 else 6]).split()
+        for _ in range(rng.randint(0, 4)):
+            words[rng.randrange(len(words))] = rng.choice(["x", "y", "z"])
+        rows.append((1000 + i, (passage + " " if i % 3 == 0 else "") + " ".join(words), "a"))
+
+    def plain(text):
+        words = "".join(c.lower() if c.isascii() else c for c in text or "").encode().split()
+        return {b" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+    root = groups([plain(t) for _, t, *_ in rows], lambda a, b: a == b or 5 * len(a & b) >= 4 * len(a | b) > 0)
+    least = {}
+    for r, (i, *_) in zip(root, rows):
+        if i is not None or r not in least:
+            least[r] = i if least.get(r) is None else min(least[r], i)
+    docs = documents(spark, rows)
+    assert Counter(collected(near_copies.near_duplicates(docs))) == Counter((i, least[r]) for (i, *_), r in zip(rows, root))
+    kept = {i for (i, *_), r in zip(rows, root) if i == least[r]}
+    # The stage of the pipeline: near copies whose fingerprints are far apart go too.
+    out = dict(corpus_pipeline.STAGES)["SimHash near-dedup"](spark, docs, "")
+    assert out.columns == docs.columns
+    assert Counter(r["doc_id"] for r in out.collect()) == Counter(i for i, *_ in rows if i in kept)
+    assert near_copies.near_duplicates(documents(spark, [])).collect() == []
+
+
 def brute(vectors, threshold):
     """vec_id -> (links, component) for rows (vec_id, vector, label)."""
     n = len(vectors)
