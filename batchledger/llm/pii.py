@@ -10,7 +10,8 @@ Every kind needs a digit or an ``@``, so only stretches around those are tagged,
 text they are. A stretch is read in overlapping windows; where windows meet, their scores are
 averaged with the weight of the distance to the window's edge, and one Viterbi pass over the whole
 stretch decides, so no span is cut or doubled at a window's border. A found span has to hold what
-its kind needs (checked like the patterns) and must not touch a match of the patterns, valid or not.
+its kind needs (checked like the patterns), must not touch a valid match of the patterns and must not
+lie within one of its own kind that failed.
 
 Defined results: null text counts as empty; without digits and ``@`` there are no spans; repeated
 rows give a row each. Positions are code points, ends exclusive.
@@ -406,9 +407,9 @@ def _joined(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{s}:{e}" for k, s, e in sorted(spans))
 
 
-def _free(matches: list[tuple[int, int, int, bool]], start: int, end: int) -> bool:
-    """No match there, apart from shorter runs of digits that are no card (parts of a phone)."""
-    return not any(start < e and s < end and (ok or k != 2 or e - s >= end - start) for k, s, e, ok in matches)
+def _free(matches: list[tuple[int, int, int, bool]], kind: int, start: int, end: int) -> bool:
+    """No valid match there, and none of the span's own kind that covers it and failed."""
+    return not any(start < e and s < end and (ok or k == kind and s <= start and end <= e) for k, s, e, ok in matches)
 
 
 def find_spans(texts: list[str], tagger: Tagger | None) -> Iterator[tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]]:
@@ -423,7 +424,7 @@ def find_spans(texts: list[str], tagger: Tagger | None) -> Iterator[tuple[list[t
     for (i, first), spans in zip(owners, tagger.spans(parts) if parts else ()):
         for kind, s, e in spans:
             s, e = s + first, e + first
-            if _valid(KINDS[kind], texts[i][s:e]) and _free(matches[i], s, e):
+            if _valid(KINDS[kind], texts[i][s:e]) and _free(matches[i], kind, s, e):
                 more[i].append((kind, s, e))
     for found, own in zip(matches, more):
         yield [(k, s, e) for k, s, e, ok in found if ok], own

@@ -61,6 +61,20 @@ def test_tagger_adds_what_the_patterns_miss(tagger):
     assert found["version 2"] == found["key 01234"] == found["plain wor"] == []
 
 
+def test_failed_matches_of_other_kinds_do_not_block():
+    """Dotted cards and phones look like an ip with parts over 255."""
+    sure = pii.Tagger()
+    for kind, value in ((2, "4111.1111.1111.1111"), (3, "1.800.555.1212")):
+        text = f"call {value} now"
+        first = pii.stretches(text)[0][0]
+        sure.spans = lambda parts, k=kind, s=5 - first, n=len(value): [[(k, s, s + n)]]  # however sure
+        assert next(pii.find_spans([text], sure)) == ([], [(kind, 5, 5 + len(value))])
+    text = "see 10.1.2.3 and 4111 1111 1111 1112 there"  # valid ip; failed card
+    for kind, s, e in ((3, 4, 12), (2, 17, 36)):
+        sure.spans = lambda parts, k=kind, s=s, e=e: [[(k, s, e)]]
+        assert next(pii.find_spans([text], sure))[1] == []
+
+
 def test_windows_agree_with_one_pass(tagger):
     """A long stretch, read in windows, has each span once."""
     rng = random.Random(6)
