@@ -94,9 +94,10 @@ def test_near_duplicates(spark):
     assert simhash.near_duplicates(documents(spark, [])).collect() == []
 
 
-@pytest.mark.parametrize("paired, common", [(32, 4), (3, 2)])
-def test_near_copies_equal_all_pairs(spark, monkeypatch, paired, common):
+@pytest.mark.parametrize("paired, common, levels", [(32, 4, 6), (3, 2, 6), (2, 2, 1)])
+def test_near_copies_equal_all_pairs(spark, monkeypatch, paired, common, levels):
     monkeypatch.setattr(near_copies, "PAIRED", paired)
+    monkeypatch.setattr(near_copies, "LEVELS", levels)
     monkeypatch.setattr(near_copies, "COMMON", common)
     rng = random.Random(paired)
     rows = awkward() + [(800, "", "a"), (801, None, "a"), (802, "One two", "a"), (803, "one  TWO", "b")]
@@ -121,12 +122,36 @@ def test_near_copies_equal_all_pairs(spark, monkeypatch, paired, common):
     assert Counter(collected(near_copies.near_duplicates(docs))) == Counter((i, least[r]) for (i, *_), r in zip(rows, root))
     kept = {i for (i, *_), r in zip(rows, root) if i == least[r]}
     # The stage of the pipeline: near copies whose fingerprints are far apart go too.
-    out = dict(corpus_pipeline.STAGES)["SimHash near-dedup"](spark, docs, "")
+    out = dict(corpus_pipeline.STAGES)["near-dedup"](spark, docs, "")
     assert out.columns == docs.columns
     assert Counter(r["doc_id"] for r in out.collect()) == Counter(i for i, *_ in rows if i in kept)
     assert near_copies.near_duplicates(documents(spark, [])).collect() == []
 
 
+def test_copies_of_one_text_cost_as_many_pairs_as_texts(spark, monkeypatch):
+    checked = []
+    alike = near_copies._checked
+
+    def counted(pairs, sets):
+        checked.append(pairs.count())
+        return alike(pairs, sets)
+
+    monkeypatch.setattr(near_copies, "_checked", counted)
+    rng = random.Random(9)
+    base = ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(60)]
+    work = {}
+    for n in (300, 600):
+        rows = []
+        for i in range(n):  # no copy is the base itself, so most are linked to few others
+            words = list(base)
+            words[rng.randrange(60)] = f"new{i}"
+            rows.append((i, " ".join(words), "a"))
+        checked.clear()
+        near_copies.near_duplicates(documents(spark, rows)).collect()
+        work[n] = sum(checked)
+    assert work[600] <= 2.3 * work[300] and work[600] <= 60 * 600
+
+
 def brute(vectors, threshold):
     """vec_id -> (links, component) for rows (vec_id, vector, label)."""
     n = len(vectors)
