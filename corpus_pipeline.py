@@ -1,60 +1,5 @@
-"""From raw documents to packed training sequences.
+"""From raw documents to packed training sequences: the stages are in ``batchledger.llm.pipeline``."""
 
-``STAGES`` are functions ``(spark, docs, sf_dir) -> DataFrame``. Each works on all rows the one
-before it kept, and all but the last return the columns of ``documents``. ``run`` writes what a
-stage returns as Parquet to the shared folder and gives the next one what it reads back, so a lost
-executor repeats part of one stage.
-"""
+from batchledger.llm.pipeline import ORACLE_SQL, STAGES, run
 
-from __future__ import annotations
-
-from pyspark.sql import DataFrame, SparkSession
-
-from batchledger.llm import exact_dedup, mixing, near_copies, packing, quality
-from batchledger.llm.common import stored, table
-
-
-def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier rejects go."""
-    return quality.keep_good(docs, table(spark, sf_dir, "labels"))
-
-
-def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the smallest id stays."""
-    return exact_dedup.drop_copies(docs)
-
-
-def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five-word Jaccard similarity of 0.8 or more) the smallest id stays."""
-    return near_copies.drop_near_copies(docs)
-
-
-def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
-    return mixing.mixed_documents(docs)
-
-
-def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of sequences, all sources in proportion in each."""
-    import public_tokenizers
-
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), with_ids=False).drop("ids")
-
-
-STAGES = [
-    ("quality classifier", keep_good),
-    ("exact dedup", drop_copies),
-    ("SimHash near-dedup", drop_near_copies),
-    ("mixing sources", mix_sources),
-    ("packing", pack),
-]
-
-#: The classifier and the tokenizer have no SQL; tests hold each stage against plain Python.
-ORACLE_SQL = None
-
-
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    for number, (_, stage) in enumerate(STAGES):
-        docs = stored(stage(spark, docs, sf_dir), f"stage{number}")
-    return docs
+__all__ = ["ORACLE_SQL", "STAGES", "run"]
