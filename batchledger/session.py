@@ -15,6 +15,9 @@ def build_session(app_name: str = "batchledger", **conf: str) -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Keyed state of the streams; Python reaches it over a socket file, not a port.
+        .config("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+        .config("spark.python.unix.domain.socket.enabled", "true")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)

@@ -1,4 +1,4 @@
-"""Streams of queue polls.
+"""Streams of queue polls, on keyed state.
 
 Contract of a poll stream ``(list_id, poll_ts, job_id, state)``: polls of a list arrive in
 order, and **every poll carries one heartbeat row** whose ``job_id`` is null
@@ -10,225 +10,355 @@ heartbeat of its list shows that it is whole. The latest poll thus waits for the
 Rows of a poll that was already compared fail the query; nothing is dropped. Of several rows of
 a job in one poll the greatest state code counts, as in ``snapshot_changes``; where the order of
 the lines is known, use ``dedupe_queue`` first.
+
+Run records are a stream as well, ``(list_id, record_ts, job_id, state, start_time, finish_time)``:
+from ``record_ts`` on the record of the job reads so. A poll counts the records up to its time that
+came before it was compared; a record that comes later counts from the next poll on.
+
+Two operators in a row keep the state, each with ``transformWithState`` on RocksDB, so set
+``spark.sql.streaming.stateStore.providerClass`` to Spark's RocksDB provider. The first is keyed by
+(list, part of its jobs) and keeps an entry per job, written only when the job changes; parts spread
+a list that holds much of the queue over tasks. For every whole poll it hands on one row of sums and
+signed differences, whatever the number of jobs. The second is keyed by list and adds them up.
 """
 
 from __future__ import annotations
 
 import sys
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
+from decimal import ROUND_HALF_UP, Decimal
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.streaming import StatefulProcessor
 
-from ..functions.states import is_final, state_code, state_name
-from ..operators.status import list_status
+from ..functions.states import FINAL_STATES, STATES, state_code, state_name
 
-# The state functions travel with the query, so executors need not have this package.
+# The processors travel with the query, so executors need not have this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-CHANGES = "list_id STRING, poll_ts TIMESTAMP, job_id BIGINT, before INT, now INT"
-COUNTS = "list_id STRING, poll_ts TIMESTAMP, num_changed BIGINT, num_queued BIGINT, num_running BIGINT"
-#: The last poll compared, and the one that may still get rows (times as nanoseconds).
-LAST_POLL = "ids ARRAY<BIGINT>, codes ARRAY<INT>, open_ns BIGINT, open_ids ARRAY<BIGINT>, open_codes ARRAY<INT>"
-
-RUNNING_CODE = 1
-SALTS = 16
-
-
-def _bucketed(polls: DataFrame, buckets: int) -> DataFrame:
-    """Cut each list into buckets of jobs; every bucket gets each heartbeat.
-
-    One group of the state operator is then a bucket of a list, so a list that holds much of
-    the queue is spread over ``buckets`` tasks. Jobs never change buckets.
-    """
-    every = F.sequence(F.lit(0), F.lit(buckets - 1))
-    own = F.array(F.pmod(F.xxhash64("job_id"), F.lit(buckets)).cast("int"))
-    where = F.when(F.col("job_id").isNull(), every).otherwise(own)
-    return polls.select(
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: Parts of a list; fixed by a query's first run.
+PARTS = 4
+#: Gaps between starts that tell the rate, and the quantile of them that counts.
+GAPS, QUANTILE = 20, 0.8
+SHORTEST_SECONDS = 10
+
+HEARTBEAT, QUEUED, RECORD = range(3)
+CODES = {state: code for code, state in enumerate(STATES, 1)}  # 0: none of them
+FINAL_CODES = [CODES[s] for s in FINAL_STATES]
+RUNNING_CODE = CODES["RUNNING"]
+#: Sums over records: one per state code, then starts, finished runs and their seconds.
+STARTED, RUNS, RUN_SECONDS = (len(STATES) + i for i in (1, 2, 3))
+NUMBERS = len(STATES) + 4
+NO_TIME = -(2**62)  # pandas turns whole numbers beside nulls into floats
+
+EVENT = "list_id STRING, part INT, kind INT, at BIGINT, job_id BIGINT, code INT, start BIGINT, finish BIGINT"
+CHANGES = "list_id STRING, at BIGINT, job_id BIGINT, before INT, now INT"
+SUMS = (
+    "list_id STRING, part INT, at BIGINT, num_changed BIGINT, num_queued BIGINT, num_running BIGINT, "
+    "differences ARRAY<BIGINT>, starts ARRAY<BIGINT>"
+)
+_COUNTED = ["num_total", "num_done", "num_final", "num_failed", "num_killed", "num_cancelled", "num_unknown"]
+STATUS = (
+    "list_id STRING, at BIGINT, num_changed BIGINT, num_queued BIGINT, num_running BIGINT, "
+    + ", ".join(f"{c} BIGINT" for c in _COUNTED)
+    + ", remaining_seconds BIGINT"
+)
+DONE = "list_id STRING, at BIGINT"
+
+
+def _micros(col: str) -> Column:
+    return F.coalesce(F.unix_micros(F.col(col).cast("timestamp")), F.lit(NO_TIME))
+
+
+def _events(polls: DataFrame, records: DataFrame | None, parts: int) -> DataFrame:
+    """Poll rows and records as one stream of ``EVENT`` rows; every part gets each heartbeat."""
+    own = lambda: F.array(F.pmod(F.xxhash64(F.col("job_id").cast("bigint")), F.lit(parts)).cast("int"))
+    beat, never = F.col("job_id").isNull(), F.lit(NO_TIME)
+    every = F.sequence(F.lit(0), F.lit(parts - 1))
+    events = polls.select(
         F.col("list_id").cast("string").alias("list_id"),
-        "poll_ts",
-        # No nulls: pandas would turn the ids into floats. Code 0 marks the heartbeat.
-        F.coalesce("job_id", F.lit(0)).alias("job_id"),
-        F.when(F.col("job_id").isNull(), 0).otherwise(state_code("state")).alias("code"),
-        F.explode(where).alias("bucket"),
+        F.explode(F.when(beat, every).otherwise(own())).alias("part"),
+        F.when(beat, HEARTBEAT).otherwise(QUEUED).alias("kind"),
+        _micros("poll_ts").alias("at"),
+        F.coalesce(F.col("job_id").cast("bigint"), F.lit(0)).alias("job_id"),
+        F.when(beat, 0).otherwise(state_code("state")).alias("code"),
+        never.alias("start"),
+        never.alias("finish"),
+    )
+    if records is None:
+        return events
+    times = [_micros(c) if c in records.columns else never for c in ("start_time", "finish_time")]
+    return events.unionByName(
+        records.filter(F.col("job_id").isNotNull()).select(
+            F.col("list_id").cast("string").alias("list_id"),
+            F.explode(own()).alias("part"),
+            F.lit(RECORD).alias("kind"),
+            _micros("record_ts").alias("at"),
+            F.col("job_id").cast("bigint").alias("job_id"),
+            F.coalesce(F.array_position(F.array(*map(F.lit, STATES)), F.col("state")), F.lit(0)).cast("int").alias("code"),
+            times[0].alias("start"),
+            times[1].alias("finish"),
+        )
     )
 
 
-def _polls_in_order(
-    batches: Iterator[pd.DataFrame], state: GroupState
-) -> Iterator[tuple[pd.Timestamp, pd.Series, pd.Series]]:
-    """Yield (poll time, codes before, codes now), both indexed by job id; keep the last."""
-    rows = pd.concat(list(batches), ignore_index=True)
-    before, open_ns, current = _codes([], []), None, _codes([], [])
-    if state.exists:
-        ids, codes, open_ns, open_ids, open_codes = state.get
-        before, current = _codes(ids, codes), _codes(open_ids, open_codes)
-    for poll_ts, poll in rows.groupby("poll_ts", sort=True):
-        present = poll[poll["code"] != 0]
-        now = _codes(present["job_id"], present["code"])
-        if open_ns is not None and poll_ts.value < open_ns:
-            raise ValueError(f"rows of poll {poll_ts} came after a later poll")
-        if open_ns is not None and poll_ts.value > open_ns:
-            yield pd.Timestamp(open_ns), before, current
-            before, current = current, _codes([], [])
-        open_ns = poll_ts.value
-        current = pd.concat([current, now]).groupby(level=0).max()
-    state.update((before.index.tolist(), before.tolist(), open_ns, current.index.tolist(), current.tolist()))
-
-
-def _codes(ids, codes) -> pd.Series:
-    return pd.Series(list(codes), index=pd.Index(list(ids), dtype="int64"), dtype="int64")
-
-
-def _compare(before: pd.Series, now: pd.Series) -> pd.DataFrame:
-    """Jobs whose code differs; 0 stands for absent."""
-    both = pd.DataFrame({"before": before, "now": now}).fillna(0).astype("int64")
-    return both[both["before"] != both["now"]]
-
-
-def _emit_changes(key, batches, state: GroupState) -> Iterator[pd.DataFrame]:
-    for poll_ts, before, now in _polls_in_order(batches, state):
-        diff = _compare(before, now)
-        if len(diff):
+class PollChanges(StatefulProcessor):
+    """Per (list, part): the jobs of the last poll compared, and the rows of polls still open."""
+
+    def init(self, handle) -> None:
+        self.queue = handle.getMapState("queue", "job BIGINT", "code INT")
+        self.clock = handle.getValueState("clock", "at BIGINT")
+        self.open = handle.getListState("open", "at BIGINT, ids ARRAY<BIGINT>, codes ARRAY<INT>")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        for at, _, changed in self.whole_polls(pd.concat(list(rows), ignore_index=True)):
+            if changed:
+                before, now = zip(*changed.values())
+                yield pd.DataFrame({"list_id": key[0], "at": at, "job_id": list(changed), "before": before, "now": now})
+
+    def close(self) -> None:
+        pass
+
+    def whole_polls(self, rows: pd.DataFrame) -> Iterator[tuple[int, dict[int, int], dict[int, tuple[int, int]]]]:
+        """(time, code per job, {job: (code before, code now)}) of each poll that turns out whole; 0 is absence.
+
+        Only a heartbeat closes the poll before it: all parts of a list get it in the same micro-batch.
+        """
+        open_at = was = self.clock.get()[0] if self.clock.exists() else None
+        fresh: dict[int, dict[int, int]] = {}
+        for at, poll in rows.groupby("at", sort=True):
+            _check_time(int(at), was)
+            queued = poll[poll["kind"] == QUEUED]
+            _keep_greatest(fresh.setdefault(int(at), {}), queued["job_id"].tolist(), queued["code"].tolist())
+        known: dict[int, int] | None = None
+        written: dict[int, int] = {}
+        for at in sorted(rows.loc[rows["kind"] == HEARTBEAT, "at"].unique().tolist()):
+            if open_at is not None and at > open_at:
+                if known is None:
+                    known = {job[0]: code[0] for job, code in self.queue.iterator()} if self.queue.exists() else {}
+                    for earlier, ids, codes in self.open.get() if self.open.exists() else ():
+                        _keep_greatest(fresh.setdefault(earlier, {}), ids, codes)
+                for earlier in fresh:
+                    _check_time(earlier, open_at)
+                now = fresh.pop(open_at, {})
+                changed = {j: (known.get(j, 0), now.get(j, 0)) for j in known.keys() | now.keys() if known.get(j) != now.get(j)}
+                written.update((job, code) for job, (_, code) in changed.items())
+                yield open_at, now, changed
+                known = now
+            open_at = at
+        for job, code in written.items():
+            if code:
+                self.queue.updateValue((job,), (code,))
+            elif self.queue.containsKey((job,)):
+                self.queue.removeKey((job,))
+        if known is not None:
+            self.open.clear()
+        for at, jobs in fresh.items():
+            if jobs:
+                self.open.appendValue((at, list(jobs), list(jobs.values())))
+        if open_at is not None and open_at != was:
+            self.clock.update((open_at,))
+
+
+def _check_time(at: int, open_at: int | None) -> None:
+    if open_at is not None and at < open_at:
+        raise ValueError(f"rows of poll {pd.Timestamp(at, unit='us')} came after a later poll, or it has no heartbeat")
+
+
+def _keep_greatest(rows: dict[int, int], ids, codes) -> None:
+    for job, code in zip(ids, codes):
+        rows[int(job)] = max(rows.get(int(job), 0), int(code))
+
+
+class PollSums(PollChanges):
+    """Per (list, part): also the records, and for each poll the sums over jobs and what changed in records."""
+
+    def init(self, handle) -> None:
+        super().init(handle)
+        self.records = handle.getMapState("records", "job BIGINT", "code INT, start BIGINT, seconds BIGINT")
+        self.waiting = handle.getListState("waiting", "at BIGINT, job BIGINT, code INT, start BIGINT, finish BIGINT")
+        self.latest = handle.getValueState("latest", "starts ARRAY<BIGINT>, jobs ARRAY<BIGINT>")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        rows = pd.concat(list(rows), ignore_index=True)
+        is_record = rows["kind"] == RECORD
+        came = rows.loc[is_record, ["at", "job_id", "code", "start", "finish"]].to_numpy("int64").tolist()
+        held: list | None = None
+        for at, now, changed in self.whole_polls(rows[~is_record]):
+            if held is None:
+                held = sorted([*map(list, self.waiting.get() if self.waiting.exists() else ()), *came], key=lambda r: r[0])
+            due = [r for r in held if r[0] <= at]
+            held = held[len(due) :]
+            differences, starts = self._apply(due)
             yield pd.DataFrame(
                 {
-                    "list_id": key[0],
-                    "poll_ts": poll_ts,
-                    "job_id": diff.index,
-                    "before": diff["before"].to_numpy(),
-                    "now": diff["now"].to_numpy(),
+                    "list_id": [key[0]],
+                    "part": [key[1]],
+                    "at": [at],
+                    "num_changed": [len(changed)],
+                    "num_queued": [len(now)],
+                    "num_running": [sum(code == RUNNING_CODE for code in now.values())],
+                    "differences": [differences],
+                    "starts": [starts],
                 }
             )
-
-
-def _emit_counts(key, batches, state: GroupState) -> Iterator[pd.DataFrame]:
-    for poll_ts, before, now in _polls_in_order(batches, state):
-        yield pd.DataFrame(
-            {
-                "list_id": [key[0]],
-                "poll_ts": [poll_ts],
-                "num_changed": [len(_compare(before, now))],
-                "num_queued": [len(now)],
-                "num_running": [int((now == RUNNING_CODE).sum())],
-            }
-        )
-
-
-def _stateful(polls: DataFrame, buckets: int, emit: Callable, schema: str) -> DataFrame:
-    return (
-        _bucketed(polls, buckets)
-        .groupBy("list_id", "bucket")
-        .applyInPandasWithState(emit, schema, LAST_POLL, "append", GroupStateTimeout.NoTimeout)
-    )
-
-
-def stream_queue_changes(polls: DataFrame, buckets: int = 4) -> DataFrame:
+        if held is not None:
+            self.waiting.clear()
+        for row in came if held is None else held:
+            self.waiting.appendValue(tuple(row))
+
+    def _apply(self, rows: list) -> tuple[list[int], list[int]]:
+        """Take over records in the order of their times: (differences of the sums, latest starts)."""
+        differences = [0] * NUMBERS
+        latest = list(zip(*self.latest.get())) if self.latest.exists() else []
+        stale = added = False
+        for _, job, code, start, finish in rows:
+            final = code in FINAL_CODES
+            seconds = int((finish - start) / 1_000_000) if final and NO_TIME not in (start, finish) else NO_TIME
+            new = (code, start, seconds)
+            old = tuple(self.records.getValue((job,))) if self.records.containsKey((job,)) else None
+            if old == new:
+                continue
+            for sign, record in ((-1, old), (1, new)):
+                if record is not None:
+                    differences[record[0]] += sign
+                    differences[STARTED] += sign * (record[1] != NO_TIME)
+                    if record[2] != NO_TIME:
+                        differences[RUNS] += sign
+                        differences[RUN_SECONDS] += sign * record[2]
+            self.records.updateValue((job,), new)
+            if old is None or old[1] != start:
+                if old is not None and (old[1], job) in latest:
+                    stale = True  # what comes up from below is not in the list
+                elif start != NO_TIME:
+                    latest, added = sorted([*latest, (start, job)], reverse=True)[: GAPS + 1], True
+        if stale:
+            started = ((r[1], job[0]) for job, r in self.records.iterator() if r[1] != NO_TIME)
+            latest = sorted(started, reverse=True)[: GAPS + 1]
+        if stale or added:
+            starts, jobs = zip(*latest) if latest else ((), ())
+            self.latest.update((list(starts), list(jobs)))
+        return differences, [start for start, _ in latest]
+
+
+class _ListTotals(StatefulProcessor):
+    """Per list: the sums of all parts."""
+
+    def init(self, handle) -> None:
+        self.totals = handle.getValueState("totals", "numbers ARRAY<BIGINT>")
+
+    def close(self) -> None:
+        pass
+
+    def polls(self, rows: Iterator[pd.DataFrame]) -> Iterator[tuple[int, pd.DataFrame, list[int]]]:
+        """(time, rows of the parts, totals so far) of each poll. Parts see the same heartbeats in the
+        same micro-batch, so all rows of a poll come together."""
+        kept = list(self.totals.get()[0]) if self.totals.exists() else [0] * NUMBERS
+        totals = kept
+        for at, parts in pd.concat(list(rows), ignore_index=True).groupby("at", sort=True):
+            totals = [sum(x) for x in zip(totals, *parts["differences"])]
+            yield int(at), parts, [int(x) for x in totals]
+        if totals != kept:
+            self.totals.update(([int(x) for x in totals],))
+
+
+class ListStatus(_ListTotals):
+    """A status row for every poll that brought a change."""
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        for at, parts, totals in self.polls(rows):
+            sums = {c: int(parts[c].sum()) for c in ("num_changed", "num_queued", "num_running")}
+            if sums["num_changed"]:
+                starts = sorted((int(s) for part in parts["starts"] for s in part), reverse=True)[: GAPS + 1]
+                left = remaining_seconds(totals, starts, at)
+                final = sum(totals[c] for c in FINAL_CODES)
+                counts = [sum(totals[: len(STATES) + 1]), totals[CODES["COMPLETED"]], final]
+                counts += [totals[CODES[s]] for s in ("FAILED", "KILLED", "CANCELLED", "UNKNOWN")]
+                row = {"list_id": key[0], "at": at} | sums | dict(zip(_COUNTED, counts))
+                yield pd.DataFrame([row]).assign(remaining_seconds=pd.array([left], "Int64"))
+
+
+class ListCompletion(_ListTotals):
+    """A row for the first poll at which a list is done: its queue is empty, or all its jobs are final."""
+
+    def init(self, handle) -> None:
+        super().init(handle)
+        self.emitted = handle.getValueState("emitted", "yes BOOLEAN")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        done = self.emitted.exists()
+        for at, parts, totals in self.polls(rows):
+            jobs = sum(totals[: len(STATES) + 1])
+            all_final = jobs > 0 and sum(totals[c] for c in FINAL_CODES) == jobs
+            if not done and (all_final or not parts["num_queued"].sum()):
+                done = True
+                self.emitted.update((True,))
+                yield pd.DataFrame({"list_id": [key[0]], "at": [at]})
+
+
+def remaining_seconds(totals: list[int], starts: list[int], at: int) -> int | None:
+    """The rules of ``estimate_remaining`` on sums: ``starts`` are the latest ones, latest first."""
+    jobs, final = sum(totals[: len(STATES) + 1]), sum(totals[c] for c in FINAL_CODES)
+    mean = totals[RUN_SECONDS] / totals[RUNS] if totals[RUNS] else None
+    if jobs and final == jobs:
+        return 0
+    if not final:
+        return None
+    if not totals[CODES["PENDING"]]:
+        if mean is None or not starts:
+            return None
+        return int(max(mean - int((at - starts[0]) / 1_000_000), float(SHORTEST_SECONDS)))
+    if totals[STARTED] < 2 or mean is None:
+        return None
+    gaps = sorted((a - b) // 1_000_000 for a, b in zip(starts, starts[1:]))
+    place = (len(gaps) - 1) * QUANTILE
+    low, high = int(place), min(int(place) + 1, len(gaps) - 1)
+    gap = gaps[low] if gaps[low] == gaps[high] or low == place else (low + 1 - place) * gaps[low] + (place - low) * gaps[high]
+    seconds = Decimal(repr(float(totals[CODES["PENDING"]] * gap + mean)))
+    return int(seconds.quantize(Decimal(1), ROUND_HALF_UP))
+
+
+def _keyed(events: DataFrame, processor: StatefulProcessor, schema: str) -> DataFrame:
+    return events.groupBy("list_id", "part").transformWithStateInPandas(processor, schema, "append", "none")
+
+
+def _per_list(polls: DataFrame, records: DataFrame | None, parts: int, processor: StatefulProcessor, schema: str) -> DataFrame:
+    sums = _keyed(_events(polls, records, parts), PollSums(), SUMS)
+    return sums.groupBy("list_id").transformWithStateInPandas(processor, schema, "append", "none")
+
+
+def stream_queue_changes(polls: DataFrame, parts: int = PARTS) -> DataFrame:
     """Streaming twin of ``snapshot_changes``: ``(list_id, poll_ts, job_id, prev_state, cur_state)``."""
-    changed = _stateful(polls, buckets, _emit_changes, CHANGES)
+    changed = _keyed(_events(polls, None, parts), PollChanges(), CHANGES)
     return changed.select(
         "list_id",
-        "poll_ts",
+        F.timestamp_micros("at").alias("poll_ts"),
         "job_id",
         state_name(F.nullif("before", F.lit(0))).alias("prev_state"),
         state_name(F.nullif("now", F.lit(0))).alias("cur_state"),
     )
 
 
-def stream_poll_counts(polls: DataFrame, buckets: int = 4) -> DataFrame:
-    """Changed, queued and running jobs per poll and bucket, for ``write_status``."""
-    return _stateful(polls, buckets, _emit_counts, COUNTS)
+def stream_status(polls: DataFrame, records: DataFrame, parts: int = PARTS) -> DataFrame:
+    """Status of a list at every poll that brought a change, with the time it will still take.
 
-
-def changed_polls(counts: DataFrame) -> DataFrame:
-    """Polls that brought a change, from counts per bucket."""
-    return (
-        counts.groupBy("list_id", "poll_ts")
-        .agg(
-            F.sum("num_changed").alias("num_changed"),
-            F.sum("num_queued").alias("num_queued"),
-            F.sum("num_running").alias("num_running"),
-        )
-        .filter(F.col("num_changed") > 0)
-    )
-
-
-def status_of_polls(polls: DataFrame, jobs: DataFrame) -> DataFrame:
-    """Status row of every changed poll; only records of the lists concerned are counted.
-
-    The lookup of those lists is salted by job, so the records of one long list are spread
-    over ``SALTS`` tasks and counted there before they are brought together.
+    Columns of ``list_status``, ``num_changed`` and ``remaining_seconds`` (as ``estimate_remaining``
+    with the time of the poll). All from state: no micro-batch reads a record twice.
     """
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
-    lists = polls.select("list_id").distinct().select("list_id", salts)
-    salted = jobs.select(
-        F.col("list_id").cast("string").alias("list_id"),
-        "job_id",
-        "state",
-        F.pmod(F.xxhash64("job_id"), F.lit(SALTS)).cast("int").alias("_salt"),
+    status = _per_list(polls, records, parts, ListStatus(), STATUS)
+    return status.withColumn("num_pending", F.col("num_queued") - F.col("num_running")).select(
+        "list_id", F.timestamp_micros("at").alias("poll_ts"), *[c for c in status.columns if c not in ("list_id", "at")], "num_pending"
     )
-    touched = salted.join(lists, ["list_id", "_salt"], "left_semi").drop("_salt")
-    records = list_status(touched, touched.filter(F.lit(False))).drop("num_queued", "num_running", "num_pending")
-    counts = [c for c in records.columns if c != "list_id"]
-    # Lists that have queue rows but no record yet count as having none.
-    joined = polls.join(records, "list_id", "left").fillna(0, counts)
-    return joined.withColumn("num_pending", F.col("num_queued") - F.col("num_running"))
-
 
-def stream_status(polls: DataFrame, jobs: DataFrame, path: str, checkpoint: str, buckets: int = 4):
-    """Start a query that writes status rows to ``path``; returns it.
 
-    Each micro-batch overwrites its own folder, so a batch repeated after a failure leaves
-    its rows once.
-    """
-
-    def write(counts: DataFrame, batch_id: int) -> None:
-        # Used twice below, and the state operator must run once per batch.
-        changed = changed_polls(counts).persist()
-        try:
-            status_of_polls(changed, jobs).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-        finally:
-            changed.unpersist()
-
-    return (
-        stream_poll_counts(polls, buckets)
-        .writeStream.foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-
-
-def stream_completion(polls: DataFrame, path: str, checkpoint: str, jobs: DataFrame | None = None, buckets: int = 4):
-    """Start a query that writes each list once, at its first poll with an empty queue.
-
-    Rows ``(list_id, poll_ts)`` go to ``path``. Lists whose jobs (``jobs``, a table) are all final
-    count as complete at their first poll. Every micro-batch leaves out the lists of the batches
-    before it and overwrites its own folder, so a repeated batch changes nothing.
-    """
-    spark = polls.sparkSession
-    schema = "list_id STRING, poll_ts TIMESTAMP"
-    spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{path}/batch_id=-1")
-
-    def write(counts: DataFrame, batch_id: int) -> None:
-        sizes = counts.groupBy("list_id", "poll_ts").agg(F.sum("num_queued").alias("num_queued"))
-        done = F.col("num_queued") == 0
-        if jobs is not None:
-            finals = jobs.groupBy(F.col("list_id").cast("string").alias("list_id")).agg(F.bool_and(is_final("state")).alias("all_final"))
-            sizes = sizes.join(finals, "list_id", "left")
-            done = done | F.coalesce("all_final", F.lit(False))
-        first = sizes.filter(done).groupBy("list_id").agg(F.min("poll_ts").alias("poll_ts"))
-        known = counts.sparkSession.read.schema(schema + ", batch_id BIGINT").parquet(path).filter(F.col("batch_id") < batch_id)
-        first.join(known, "list_id", "left_anti").write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-
-    return (
-        stream_poll_counts(polls, buckets)
-        .writeStream.foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+def stream_completion(polls: DataFrame, records: DataFrame | None = None, parts: int = PARTS) -> DataFrame:
+    """Each list once, ``(list_id, poll_ts)``: at its first poll with an empty queue, or at which all its
+    jobs in ``records`` are final. That it was given out is part of the state, also over restarts."""
+    done = _per_list(polls, records, parts, ListCompletion(), DONE)
+    return done.select("list_id", F.timestamp_micros("at").alias("poll_ts"))
 
 
 def departures(changes: DataFrame) -> DataFrame:

@@ -282,14 +282,36 @@ def poll_jobs(spark: SparkSession, sf_dir: str, per_user: bool = False) -> DataF
     last = e.groupBy(F.col("user_id").alias("job_id")).agg(
         F.max(F.struct("ts", "event_id", "event_type")).getField("event_type").alias("event_type")
     )
-    state = (
-        F.when(F.col("event_type") == "click", "RUNNING")
-        .when(F.col("event_type") == "view", "PENDING")
-        .when(F.col("event_type") == "purchase", "COMPLETED")
-        .when(F.col("event_type") == "signup", "KILLED")
+    return last.select(_poll_list(F.col("job_id"), per_user).alias("list_id"), "job_id", _event_state(F.col("event_type")).alias("state"))
+
+
+def poll_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the records of the polled jobs read from each day on: by the user's last event of the day."""
+    e = table(spark, sf_dir, "events")
+    last = e.groupBy(F.to_date("ts").alias("day"), F.col("user_id").alias("job_id")).agg(
+        F.max(F.struct("ts", "event_id", "event_type")).alias("e")
+    )
+    start = F.when(F.col("e.event_type") != "view", F.date_trunc("SECOND", F.col("e.ts").cast("timestamp")))
+    finish = F.when(~F.col("e.event_type").isin("view", "click"), plus_seconds(start, F.col("e.event_id") % 5000))
+    return last.select(
+        _poll_list(F.col("job_id"), False).alias("list_id"),
+        F.col("day").cast("timestamp").alias("record_ts"),
+        _poll_no(F.col("day")).alias("poll_no"),
+        "job_id",
+        _event_state(F.col("e.event_type")).alias("state"),
+        start.alias("start_time"),
+        finish.alias("finish_time"),
+    )
+
+
+def _event_state(event: Column) -> Column:
+    return (
+        F.when(event == "click", "RUNNING")
+        .when(event == "view", "PENDING")
+        .when(event == "purchase", "COMPLETED")
+        .when(event == "signup", "KILLED")
         .otherwise("FAILED")
     )
-    return last.select(_poll_list(F.col("job_id"), per_user).alias("list_id"), "job_id", state.alias("state"))
 
 
 def history_sql(per_user: bool = False) -> str:

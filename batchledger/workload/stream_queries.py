@@ -42,6 +42,7 @@ def _streaming(spark: SparkSession) -> SparkSession:
     for key in ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions"):
         own.conf.set(key, spark.conf.get(key))
     cores = spark.sparkContext.defaultParallelism
+    own.conf.set("spark.sql.streaming.stateStore.providerClass", sp.ROCKSDB)
     own.conf.set("spark.sql.shuffle.partitions", str(min(int(spark.conf.get("spark.sql.shuffle.partitions")), cores)))
     return own
 
@@ -66,6 +67,19 @@ def _feed(spark: SparkSession, df: DataFrame, build: Callable[[DataFrame], DataF
     return spark.read.schema(schema).parquet(f"{base}/out")
 
 
+def _feed_status(spark: SparkSession, polls: DataFrame, records: DataFrame, build: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
+    """The same with a stream of records beside the polls; records of a slice come with its first polls."""
+    base, own = scratch_path(spark, "status"), _streaming(spark)
+    for part, known in zip([*_slices(polls), _closing(polls)], [*_slices(records), None]):
+        if known is not None:
+            known.write.mode("append").parquet(f"{base}/records")
+        part.repartition(2).write.mode("append").parquet(f"{base}/in")
+        source = own.readStream.schema(records.schema).parquet(f"{base}/records")
+        out = build(_source(own, f"{base}/in", polls.schema), source)
+        _run(out, f"{base}/out", f"{base}/checkpoint")
+    return spark.read.schema(out.schema).parquet(f"{base}/out")
+
+
 def _closing(polls: DataFrame) -> DataFrame:
     """One heartbeat a list after its last poll."""
     last = polls.groupBy("list_id").agg(F.max("poll_no").alias("poll_no"), F.max("poll_ts").alias("poll_ts"))
@@ -97,21 +111,55 @@ def _(spark, d):
       count(*) FILTER (state = 'KILLED') AS num_killed FROM poll_jobs WHERE list_id <> 'q3' GROUP BY list_id) j ON p.list_id = j.list_id""",
 )
 def _(spark, d):
-    base = scratch_path(spark, "status")
     polls = b.poll_history(spark, d)
-    own = _streaming(spark)
     # One list has no records at all.
-    jobs = b.poll_jobs(own, d).filter(F.col("list_id") != "q3")
-    for part in [*_slices(polls), _closing(polls)]:
-        part.repartition(2).write.mode("append").parquet(f"{base}/in")
-        source = _source(own, f"{base}/in", polls.schema)
-        sp.stream_status(source, jobs, f"{base}/out", f"{base}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{base}/out").select(
+    jobs = b.poll_jobs(spark, d).filter(F.col("list_id") != "q3")
+    known = jobs.withColumn("record_ts", F.lit(b.FIRST_POLL).cast("timestamp"))
+    out = _feed_status(spark, polls, known.withColumn("poll_no", F.lit(0)), sp.stream_status)
+    return out.select(
         "list_id", "poll_ts", "num_changed", "num_queued", "num_running", "num_pending", "num_total", "num_done",
         "num_final", "num_failed", "num_killed",
     )
 
 
+@query(
+    "stream_status_remaining",
+    H + """, records AS (
+      SELECT 'q' || CAST(user_id % 8 AS VARCHAR) AS list_id, user_id AS job_id, CAST(CAST(ts AS DATE) AS TIMESTAMP) AS record_ts,
+        CASE event_type WHEN 'click' THEN 'RUNNING' WHEN 'view' THEN 'PENDING' WHEN 'purchase' THEN 'COMPLETED'
+          WHEN 'signup' THEN 'KILLED' ELSE 'FAILED' END AS state,
+        CASE WHEN event_type <> 'view' THEN date_trunc('second', ts) END AS start_time,
+        CASE WHEN event_type NOT IN ('view', 'click') THEN date_trunc('second', ts) + to_seconds(event_id % 5000) END AS finish_time
+      FROM (SELECT *, row_number() OVER (PARTITION BY CAST(ts AS DATE), user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
+      WHERE rn = 1),
+    changed AS (SELECT list_id, poll_ts, count(*) AS num_changed FROM changes GROUP BY ALL),
+    known AS (
+      SELECT c.list_id, c.poll_ts, r.job_id, r.state, r.start_time, r.finish_time,
+        r.state IN ('COMPLETED', 'KILLED', 'FAILED') AS fin,
+        row_number() OVER (PARTITION BY c.list_id, c.poll_ts, r.job_id ORDER BY r.record_ts DESC) AS rn
+      FROM changed c JOIN records r ON r.list_id = c.list_id AND r.record_ts <= c.poll_ts),
+    facts AS (
+      SELECT list_id, poll_ts, count(*) AS num_total, count(*) FILTER (fin) AS num_final, bool_and(fin) AS all_fin, bool_or(fin) AS any_fin,
+        count(*) FILTER (state = 'PENDING') AS pending, count(start_time) AS started, max(start_time) AS last_start,
+        avg(CASE WHEN fin THEN date_diff('second', start_time, finish_time) END) AS mean_rt
+      FROM known WHERE rn = 1 GROUP BY ALL),
+    ranked AS (
+      SELECT list_id, poll_ts, date_diff('second', lead(start_time) OVER w, start_time) AS gap, row_number() OVER w AS n
+      FROM known WHERE rn = 1 AND start_time IS NOT NULL
+      WINDOW w AS (PARTITION BY list_id, poll_ts ORDER BY start_time DESC, job_id DESC)),
+    gaps AS (SELECT list_id, poll_ts, quantile_cont(gap, 0.8) AS q80 FROM ranked WHERE n <= 20 GROUP BY ALL)
+    SELECT c.list_id, c.poll_ts, num_changed, coalesce(num_total, 0) AS num_total, coalesce(num_final, 0) AS num_final,
+      CASE WHEN all_fin THEN 0 WHEN any_fin IS NULL OR NOT any_fin THEN NULL
+        WHEN pending = 0 THEN CAST(trunc(greatest(mean_rt - date_diff('second', last_start, c.poll_ts), 10)) AS BIGINT)
+        WHEN started < 2 THEN NULL ELSE CAST(round(pending * q80 + mean_rt) AS BIGINT) END AS remaining_seconds
+    FROM changed c LEFT JOIN facts f ON f.list_id = c.list_id AND f.poll_ts = c.poll_ts
+    LEFT JOIN gaps g ON g.list_id = c.list_id AND g.poll_ts = c.poll_ts""",
+)
+def _(spark, d):
+    out = _feed_status(spark, b.poll_history(spark, d), b.poll_records(spark, d), sp.stream_status)
+    return out.select("list_id", "poll_ts", "num_changed", "num_total", "num_final", "remaining_seconds")
+
+
 @query(
     "stream_completion",
     with_sql(history_sql(per_user=True)) + """ SELECT p.list_id, min(p.poll_ts) AS poll_ts FROM polls p
@@ -120,14 +168,10 @@ def _(spark, d):
     GROUP BY p.list_id""",
 )
 def _(spark, d):
-    base, own = scratch_path(spark, "completion"), _streaming(spark)
-    polls = b.poll_history(spark, d, per_user=True)
-    jobs = b.poll_jobs(own, d, per_user=True)
-    for part in [*_slices(polls), _closing(polls)]:
-        part.repartition(2).write.mode("append").parquet(f"{base}/in")
-        source = _source(own, f"{base}/in", polls.schema)
-        sp.stream_completion(source, f"{base}/out", f"{base}/checkpoint", jobs).awaitTermination()
-    return spark.read.parquet(f"{base}/out").select("list_id", "poll_ts")
+    jobs = b.poll_jobs(spark, d, per_user=True).withColumn("record_ts", F.lit(b.FIRST_POLL).cast("timestamp"))
+    # One job a list: nothing to spread.
+    build = lambda polls, records: sp.stream_completion(polls, records, parts=1)
+    return _feed_status(spark, b.poll_history(spark, d, per_user=True), jobs.withColumn("poll_no", F.lit(0)), build)
 
 
 @query(
