@@ -34,6 +34,33 @@ def align_left(col) -> Column:
     return strip(F.array_join(cut, "\n"))
 
 
+#: What may not stand in a tab-separated field, as written there.
+_ESCAPES = {"\t": r"\t", "\n": r"\n", "\r": r"\r"}
+#: The text that stands for null, and how that text itself is written.
+_NULL, _NULL_TEXT = "null", r"nul\l"
+
+
+def escape_field(col) -> Column:
+    """Text as a tab-separated field: no tab and no line break in it; null stays null."""
+    c = F.replace(_col(col), F.lit("\\"), F.lit("\\\\"))
+    for char, written in _ESCAPES.items():
+        c = F.replace(c, F.lit(char), F.lit(written))
+    return F.when(c == _NULL, F.lit(_NULL_TEXT)).otherwise(c)
+
+
+def unescape_field(col) -> Column:
+    """The text that ``escape_field`` wrote."""
+
+    def plain(part: Column) -> Column:
+        for char, written in _ESCAPES.items():
+            part = F.replace(part, F.lit(written), F.lit(char))
+        return F.replace(part, F.lit("\\"), F.lit(""))
+
+    c = _col(col)
+    # Doubled backslashes first: what is left of backslashes then begins an escape.
+    return F.when(c.contains("\\"), F.array_join(F.transform(F.split(c, r"\\\\"), plain), "\\")).otherwise(c)
+
+
 def empty_as_null(df: DataFrame) -> DataFrame:
     """Empty strings become null in every string column."""
     return df.select(

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import time
-
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StringType
 
 from .. import schemas
+from ..functions.text import escape_field
 from ..functions.times import TIME_FORMATS
 from ..operators.jobs import all_attempts, attach_resubmission_of, attach_runinfo, job_key
+from .commits import commit
 
 
 def runinfo_log(jobs: DataFrame, edges: DataFrame) -> DataFrame:
@@ -55,13 +56,21 @@ def jobconf_log(jobs: DataFrame, jobconf: DataFrame) -> DataFrame:
 
 
 def write_tsv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Tab-separated with header; null prints as ``null``, empty text as nothing."""
+    """Tab-separated with header, one line a row: breaks and tabs in text are escaped, blanks kept.
+
+    Null prints as ``null`` (the text ``null`` is escaped), empty text as nothing.
+    """
+    fields = [escape_field(f.name).alias(f.name) if isinstance(f.dataType, StringType) else F.col(f.name) for f in df.schema.fields]
     (
-        df.write.mode(mode)
+        df.select(*fields)
+        .write.mode(mode)
         .option("sep", "\t")
         .option("header", True)
+        .option("quote", "")
         .option("nullValue", "null")
         .option("emptyValue", "")
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .option("timestampFormat", TIME_FORMATS["report"])
         .csv(path)
     )
@@ -109,25 +118,23 @@ def write_jobconf(df: DataFrame, path: str) -> None:
     )
 
 
-def _append_ordered(df: DataFrame, path: str, order: list[str], columns: list[str]) -> None:
-    """Append tab-separated lines, list id first, under ``batch=<n>``.
+def _append_ordered(df: DataFrame, path: str, order: list[str], columns: list[str], token: str | None, number: int | None) -> int:
+    """Append tab-separated lines, list id first, as one commit; see ``commits.commit``.
 
     Lists share files, so their number does not matter. Range partitioning lets several
     tasks write one long list and still numbers the files in list order, which the readers
-    rely on.
+    rely on. List ids may hold tabs and line breaks.
     """
     ordered = df.repartitionByRange("list_id", *order).sortWithinPartitions("list_id", *order)
-    line = F.concat_ws("\t", *[F.col(c).cast("string") for c in ("list_id", *columns)])
-    ordered.select(line.alias("value"), F.lit(time.time_ns()).alias("batch")).write.mode("append").partitionBy(
-        "batch"
-    ).text(path)
+    line = F.concat_ws("\t", escape_field(F.col("list_id").cast("string")), *[F.col(c).cast("string") for c in columns])
+    return commit(df.sparkSession, path, lambda folder: ordered.select(line.alias("value")).write.text(folder), token, number)
 
 
-def append_job_ids(df: DataFrame, path: str) -> None:
-    """Append ``(list_id, pos, job_id)`` to the stored lists, in ``pos`` order."""
-    _append_ordered(df, path, ["pos"], ["job_id"])
+def append_job_ids(df: DataFrame, path: str, token: str | None = None, number: int | None = None) -> int:
+    """Append ``(list_id, pos, job_id)`` to the stored lists, in ``pos`` order; returns the commit's number."""
+    return _append_ordered(df, path, ["pos"], ["job_id"], token, number)
 
 
-def append_resub_edges(df: DataFrame, path: str) -> None:
-    """Append ``(list_id, seq, from_id, to_id)`` to the stored edges, in ``seq`` order."""
-    _append_ordered(df, path, ["seq", "to_id"], ["from_id", "to_id"])
+def append_resub_edges(df: DataFrame, path: str, token: str | None = None, number: int | None = None) -> int:
+    """Append ``(list_id, seq, from_id, to_id)`` to the stored edges, in ``seq`` order; returns the commit's number."""
+    return _append_ordered(df, path, ["seq", "to_id"], ["from_id", "to_id"], token, number)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from .. import schemas
 from ..functions.ordering import running_number
 from ..functions.states import _col
+from ..functions.text import unescape_field
 
 
 def path_missing(error: AnalysisException) -> bool:
@@ -48,6 +49,34 @@ def read_texts(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+#: How a job's record begins in a dump, and the line break before it.
+RECORD_STARTS = {"slurm": "JobId=", "lsf": "Job <"}
+
+
+def read_dump(spark: SparkSession, path: str, dialect: str) -> DataFrame:
+    """``(src, text)``, one row per job, of dumps that describe many jobs one after the other.
+
+    For ``scontrol show job`` and ``bjobs -l`` of a whole site. The start of a record ends the one
+    before it, so Spark reads a file in blocks of bytes, each from the first record that starts in
+    it. A script may not hold a line that begins like a record.
+    """
+    start = RECORD_STARTS[dialect]
+    rows = spark.read.option("lineSep", "\n" + start).text(path)
+    body = F.when(F.col("value").startswith(start), F.col("value")).otherwise(F.concat(F.lit(start), "value"))
+    # What stands before the first record is no record.
+    rows = rows.select(F.col("_metadata.file_path").alias("src"), body.alias("text"))
+    return rows.filter(F.col("text").rlike(_RECORD[dialect]))
+
+
+_RECORD = {"slurm": r"^JobId=\d", "lsf": r"^Job <\d"}
+
+
+def split_dump(texts: DataFrame, dialect: str) -> DataFrame:
+    """The same for texts ``(src, text)`` that are in a table."""
+    parts = F.explode(F.split("text", rf"(?m)(?={_RECORD[dialect]})")).alias("text")
+    return texts.select("src", parts).filter(F.col("text").rlike(_RECORD[dialect]))
+
+
 def read_keyed(spark: SparkSession, path: str, fields: list[str], strict: bool = False) -> DataFrame | None:
     """Tab-separated bigint ``fields`` per list, in order; None if the path is missing.
 
@@ -65,7 +94,7 @@ def read_keyed(spark: SparkSession, path: str, fields: list[str], strict: bool =
         raise
     raw = _text(spark, path, ", batch BIGINT" if stored else "")
     words = F.split("value", "\t")
-    list_id = words[0] if stored else F.col("_path")
+    list_id = unescape_field(words[0]) if stored else F.col("_path")
     # Writers number their files; as text, part-100000 would sort before part-99999.
     number = F.regexp_extract("_file", r"part-(\d+)", 1).try_cast("bigint").alias("_number")
     place = F.struct("batch", number, "_file", "_block") if stored else F.struct("_block")

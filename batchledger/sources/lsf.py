@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.ordering import id_chunk, previous_row, running_sum
 from ..functions.states import LSF_EXIT_TWO, LSF_OWNER, LSF_RUN_LIMIT, classify_lsf_state, parse_exit_code
 from ..functions.times import parse_times
 from .lines import token, tokens
@@ -36,13 +37,45 @@ def parse_bjobs(lines: DataFrame) -> DataFrame:
     )
 
 
-def parse_bjobs_wide(lines: DataFrame, year, detail: DataFrame | None = None) -> DataFrame:
-    """``bjobs -W`` run records. ``year`` completes the dates, which carry none.
+#: A year whose dates all others have as well, for times whose year is not known yet.
+LEAP = 2000
+
+
+def unwrap_years(rows: DataFrame, last_year) -> DataFrame:
+    """Run records whose times carry the year ``LEAP``, with the years they must have.
+
+    Ids grow with the time of submission. So where the date falls back by more than half a year from
+    one id to the next a New Year lies between; ``last_year`` is that of the greatest id of a source.
+    A job starts within a year of its submission and ends within a year of its start.
+    """
+    dated = rows.filter(F.col("submit_time").isNotNull() & F.col("job_id").isNotNull())
+    dated = dated.select("src", "job_id", F.col("submit_time").alias("_submit")).groupBy("src", "job_id").agg(F.min("_submit").alias("_submit"))
+    keys, order = ["src"], ["job_id"]
+    steps = previous_row(dated, keys, order, id_chunk("job_id"), {"_submit": "_earlier"})
+    back = F.coalesce(F.timestamp_diff("DAY", F.col("_submit"), F.col("_earlier")) > 180, F.lit(False)).cast("bigint")
+    steps = running_sum(steps.withColumn("_back", back), keys, order, id_chunk("job_id"), F.col("_back"), "_passed")
+    all_passed = steps.groupBy("src").agg(F.sum("_back").alias("_all"))
+    last = last_year if isinstance(last_year, Column) else F.lit(last_year)
+    years = steps.join(all_passed, "src").select("src", "job_id", (last - F.col("_all") + F.col("_passed")).cast("int").alias("_year"))
+    out, earlier = rows.join(years, ["src", "job_id"], "left"), None
+    year, done = F.col("_year"), {}
+    for name in ("submit_time", "start_time", "finish_time"):
+        if earlier is not None:
+            year = year + F.coalesce((F.col(name) < earlier).cast("int"), F.lit(0))
+        parts = [F.month(name), F.dayofmonth(name), F.hour(name), F.minute(name), F.second(name).cast("decimal(16,6)")]
+        done[name] = F.try_make_timestamp(year, *parts)
+        earlier = F.col(name) if earlier is None else F.coalesce(F.col(name), earlier)
+    return out.withColumns(done).drop("_year")
+
+
+def parse_bjobs_wide(lines: DataFrame, year=None, detail: DataFrame | None = None, last_year=None) -> DataFrame:
+    """``bjobs -W`` run records. ``year`` completes the dates, which carry none; for a listing over
+    New Year give ``last_year``, the year of its latest submission, see ``unwrap_years``.
 
     ``detail`` (from ``parse_bjobs_long``, one row per job) adds the kill evidence; its ``src``
     must be that of the listing, since ids are unique within a source only.
     """
-    words = F.col("words")
+    words, year = F.col("words"), LEAP if last_year is not None else year
     name_words = F.slice(words, F.lit(HEAD + 1), F.greatest(F.size(words) - HEAD - TAIL, F.lit(0)))
     rows = _body(lines).select(
         "src",
@@ -56,6 +89,8 @@ def parse_bjobs_wide(lines: DataFrame, year, detail: DataFrame | None = None) ->
         parse_times(token(words, -2), "lsf", year).alias("start_time"),
         parse_times(token(words, -1), "lsf", year).alias("finish_time"),
     )
+    if last_year is not None:
+        rows = unwrap_years(rows, last_year)
     if detail is None:
         rows = rows.withColumn("evidence", F.lit(None).cast("string"))
     else:

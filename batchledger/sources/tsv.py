@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import schemas
 from ..functions.ordering import running_number
-from ..functions.text import empty_as_null
+from ..functions.text import empty_as_null, unescape_field
 from ..functions.times import parse_times
 from .lines import read_keyed
 
@@ -33,9 +33,15 @@ def read_attempts_log(spark: SparkSession, path: str) -> DataFrame:
     return _log(spark, path, "list_id STRING, " + schemas.RUNINFO_LOG)
 
 
+def read_tsv(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """What ``write_tsv`` wrote; empty text is null."""
+    reader = spark.read.option("sep", "\t").option("header", True).option("quote", "").option("nullValue", "null")
+    raw = empty_as_null(reader.schema(schema).csv(path))
+    return raw.select(*[unescape_field(c).alias(c) if t == "string" else F.col(c) for c, t in raw.dtypes])
+
+
 def _log(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    raw = spark.read.option("sep", "\t").option("header", True).option("nullValue", "null").schema(schema).csv(path)
-    out = empty_as_null(raw)
+    out = read_tsv(spark, path, schema)
     for name in ("submit_time", "start_time", "finish_time"):
         out = out.withColumn(name, parse_times(name, "report"))
     return out.withColumn("resubmission_of", F.col("resubmission_of").try_cast("bigint"))

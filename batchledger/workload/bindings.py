@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..functions.ordering import running_number
 from ..functions.ordering import hour_chunk, previous_row
 from ..functions.states import kill_cause, normalize_slurm_state, requires_rerun
 from ..operators.snapshots import with_heartbeats
@@ -285,6 +286,28 @@ def poll_jobs(spark: SparkSession, sf_dir: str, per_user: bool = False) -> DataF
     return last.select(_poll_list(F.col("job_id"), per_user).alias("list_id"), "job_id", _event_state(F.col("event_type")).alias("state"))
 
 
+def write_streams(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Captured output as files ``<job>.<stream>.log``: the events of a few jobs, in order.
+
+    Spark names its files itself, so each is renamed: one file a job and stream.
+    """
+    e = table(spark, sf_dir, "events")
+    stream = F.when(F.col("event_type") == "click", "err").otherwise("out")
+    rows = e.select(
+        F.concat_ws(".", _poll_list(F.col("user_id"), False), stream).alias("name"),
+        "event_id",
+        F.concat_ws(" ", "event_type", F.col("event_id").cast("string")).alias("value"),
+    )
+    one_each = rows.repartition(POLL_LISTS, "name").sortWithinPartitions("name", "event_id")
+    one_each.select("name", "value").write.partitionBy("name").text(f"{path}/_parts")
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    for folder in files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_parts/name=*")):
+        name = folder.getPath().getName().split("=", 1)[1]
+        part = files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(folder.getPath(), "part-*"))[0].getPath()
+        files.rename(part, spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}.log"))
+
+
 def poll_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How the records of the polled jobs read from each day on: by the user's last event of the day."""
     e = table(spark, sf_dir, "events")
@@ -462,9 +485,15 @@ BJOBS_WIDE_HEADER = (
 )
 
 
-def bjobs_wide_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Wide listing; the job name holds a blank, missing times print as a dash."""
+def bjobs_wide_lines(spark: SparkSession, sf_dir: str, by_submission: bool = False) -> DataFrame:
+    """Wide listing; the job name holds a blank, missing times print as a dash.
+
+    ``by_submission``: one listing of all jobs, whose ids follow the order of submission.
+    """
     r = runinfo(spark, sf_dir)
+    if by_submission:
+        r = running_number(r, [], ["submit_time", "job_id"], F.date_trunc("MONTH", "submit_time"), "_id")
+        r = r.withColumns({"job_id": F.col("_id"), "list_id": F.lit(1)})
 
     def short(name: str) -> Column:
         return _blank(F.date_format(name, "MM/dd-HH:mm:ss"), "-")

@@ -118,6 +118,53 @@ def _(spark, d):
     return out.withColumn("req", F.col("fields")["ReqB:S:C:T"]).drop("fields")
 
 
+@query(
+    "read_dump_scontrol",
+    R + f""" SELECT job_id, job_name, user_name, {WORD} AS raw_state, {WORD_STATE} AS state, queue,
+    CASE WHEN state <> 'PENDING' THEN exec_host END AS exec_host, submit_time, start_time, finish_time,
+    coalesce(exit_code, 0) AS exit_code FROM runinfo""",
+)
+def _(spark, d):
+    path = scratch_path(spark, "scontrol-dump")
+    b.scontrol_texts(spark, d).select("text").coalesce(2).write.option("lineSep", "\n").text(path)
+    return slurm.parse_scontrol(ls.read_dump(spark, path, "slurm")).drop("fields", "src")
+
+
+@query(
+    "read_dump_bjobs",
+    R + f""" SELECT job_id, {LSF_WORD} AS raw_state,
+    CASE WHEN raw_state = 'TIMEOUT' THEN 'TERM_RUNLIMIT: job killed' WHEN raw_state = 'CANCELLED by 0' THEN 'Exited with exit code 2'
+      WHEN state = 'CANCELLED' THEN 'TERM_OWNER: job killed by owner' ELSE '' END AS evidence, state FROM runinfo""",
+)
+def _(spark, d):
+    path = scratch_path(spark, "bjobs-dump")
+    b.bjobs_long_texts(spark, d).select("text").coalesce(2).write.text(path)
+    return lsf.parse_bjobs_long(ls.read_dump(spark, path, "lsf")).drop("src")
+
+
+@query(
+    "parse_bjobs_wide_years",
+    R + """ SELECT row_number() OVER (ORDER BY submit_time, job_id) AS job_id, 'run ' || job_name AS job_name, submit_time, start_time, finish_time FROM runinfo""",
+)
+def _(spark, d):
+    # One listing of all jobs, with ids in the order of submission.
+    listing = stored(b.bjobs_wide_lines(spark, d, by_submission=True), "bjobs_wide_years")
+    last = F.year(b.runinfo(spark, d).agg(F.max("submit_time").alias("t")).select("t").scalar())
+    return lsf.parse_bjobs_wide(listing, last_year=last).select("job_id", "job_name", "submit_time", "start_time", "finish_time")
+
+
+@query(
+    "read_streams",
+    """ SELECT 'q' || CAST(user_id % 8 AS VARCHAR) AS job_name, CASE WHEN event_type = 'click' THEN 'err' ELSE 'out' END AS stream,
+    row_number() OVER (PARTITION BY user_id % 8, event_type = 'click' ORDER BY event_id) - 1 AS line_no,
+    event_type || ' ' || CAST(event_id AS VARCHAR) AS line FROM events""",
+)
+def _(spark, d):
+    path = scratch_path(spark, "streams")
+    b.write_streams(spark, d, path)
+    return ls.read_streams(spark, path).drop("origin")
+
+
 @query(
     "parse_mixed",
     R + f""" SELECT {SRC}, job_id, {WORD_STATE} AS state, 'slurm' AS dialect FROM runinfo WHERE job_id % 10 <> 7
@@ -170,6 +217,36 @@ EDGE_LIST_SQL = """ SELECT CAST(list_id AS VARCHAR) AS list_id, row_number() OVE
     from_id, to_id FROM edges"""
 
 
+@query(
+    "read_job_lists_escaped",
+    """ SELECT 'a' || chr(9) || 'b' || chr(10) || chr(92) || 't' || CAST(o_custkey AS VARCHAR) AS list_id,
+    row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS pos, o_orderkey AS job_id FROM orders""",
+)
+def _(spark, d):
+    path = scratch_path(spark, "lists")
+    lists = b.job_lists(spark, d).withColumn("list_id", F.concat(F.lit("a\tb\n\\t"), F.col("list_id").cast("string")))
+    for _ in range(2):  # the same append twice counts once
+        exports.append_job_ids(lists, path, token="first")
+    return ls.read_job_lists(spark, path).drop("raw")
+
+
+@query(
+    "read_runinfo_log_escaped",
+    R + f""" SELECT job_id, CASE job_id % 4 WHEN 0 THEN ' two' || chr(10) || 'lines ' WHEN 1 THEN 'a' || chr(9) || 'b' || chr(92) || 'n'
+      WHEN 2 THEN 'null' ELSE '"' || job_name END AS job_name, submit_time, start_time, finish_time, state AS status FROM runinfo""",
+)
+def _(spark, d):
+    path = scratch_path(spark, "runinfo-log")
+    name = (
+        F.when(F.col("job_id") % 4 == 0, F.lit(" two\nlines "))
+        .when(F.col("job_id") % 4 == 1, F.lit("a\tb\\n"))
+        .when(F.col("job_id") % 4 == 2, F.lit("null"))
+        .otherwise(F.concat(F.lit('"'), F.col("job_name")))
+    )
+    exports.export_runinfo(exports.runinfo_log(b.jobs(spark, d).withColumn("job_name", name), b.edges(spark, d)), path)
+    return tsv.read_runinfo_log(spark, path).select("job_id", "job_name", "submit_time", "start_time", "finish_time", "status")
+
+
 @query("read_resub_edges", R + EDGES_SQL + EDGE_LIST_SQL)
 def _(spark, d):
     path = scratch_path(spark, "edges")
@@ -269,8 +346,7 @@ def _(spark, d):
 
     path = scratch_path(spark, "jobconf-log")
     exports.export_jobconf(exports.jobconf_log(b.jobs(spark, d), b.jobconf(spark, d)), path)
-    back = spark.read.option("sep", "\t").option("header", True).schema(JOBCONF_LOG).csv(path)
-    return back.fillna({"other_queue_args": ""})
+    return tsv.read_tsv(spark, path, JOBCONF_LOG).fillna({"other_queue_args": ""})
 
 
 @query(

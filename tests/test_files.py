@@ -1,10 +1,14 @@
 """Files on disk: lists, batches, streams, XML records, edges and exports."""
 
+import time
+from concurrent.futures import ThreadPoolExecutor
+from datetime import datetime, timedelta
+
 import pytest
 from pyspark.sql import functions as F
 
-from batchledger.sinks import exports
-from batchledger.sources import lines, tsv, xml
+from batchledger.sinks import commits, exports
+from batchledger.sources import lines, lsf, slurm, tsv, xml
 
 
 @pytest.fixture()
@@ -147,3 +151,98 @@ def test_export_text(spark, tmp_path):
     assert row == "1\tn\tshort\t2024-03-05T16:41:12.000Z\tnull\tnull\th\tPENDING\talice\t"
     back = tsv.read_runinfo_log(spark, str(tmp_path / "log")).first()
     assert back.start_time is None and back.resubmission_of is None and back.submit_time.minute == 41
+
+
+NAMES = [" two\nlines ", "a\tb", "\\n", "null", "nul\\l", "\\", "\\\\t\\", "\r", '"quoted" \'', "", None, " null", "x\\", "日本\t"]
+
+
+def test_exports_give_back_every_text(spark, tmp_path):
+    log = spark.createDataFrame(list(enumerate(NAMES)), "job_id BIGINT, job_name STRING").selectExpr(
+        "job_id", "job_name", "'q' queue", "cast(null as timestamp) submit_time", "cast(null as timestamp) start_time",
+        "cast(null as timestamp) finish_time", "' h ' exec_host", "'FAILED' status", "'u' user", "'' resubmission_of",
+    )
+    exports.export_runinfo(log.repartition(2), str(tmp_path / "log"))
+    back = {r.job_id: r for r in tsv.read_runinfo_log(spark, str(tmp_path / "log")).collect()}
+    assert {i: r.job_name for i, r in back.items()} == {i: n or None for i, n in enumerate(NAMES)}
+    assert {r.exec_host for r in back.values()} == {" h "}
+
+
+def test_list_ids_of_a_store(spark, tmp_path):
+    names = [n for n in NAMES if n]
+    path = str(tmp_path / "store")
+    exports.append_job_ids(spark.createDataFrame([(n, 1, i) for i, n in enumerate(names)], "list_id STRING, pos BIGINT, job_id BIGINT"), path)
+    got = {r.job_id: r.list_id for r in lines.read_job_lists(spark, path, strict=True).collect()}
+    assert got == dict(enumerate(names))
+
+
+def test_commits(spark, tmp_path, monkeypatch):
+    path, schema = str(tmp_path / "store"), "list_id STRING, pos BIGINT, job_id BIGINT"
+    ids = lambda *jobs: spark.createDataFrame([("a", p, j) for p, j in enumerate(jobs)], schema)
+    read = lambda: [r.job_id for r in lines.read_job_lists(spark, path).orderBy("pos").collect()]
+    assert exports.append_job_ids(ids(5, 4), path, token="batch 0") == 1
+    # Done again, with or without the data out: the list is there once.
+    assert exports.append_job_ids(ids(5, 4), path, token="batch 0") == 1
+    assert read() == [5, 4]
+    # A writer that dies before its data shows up leaves nothing to read, and takes its place when it comes back.
+    publish = commits._Folder.publish
+    monkeypatch.setattr(commits._Folder, "publish", lambda *_: (_ for _ in ()).throw(OSError("died")))
+    with pytest.raises(OSError):
+        exports.append_job_ids(ids(3), path, token="batch 1")
+    monkeypatch.setattr(commits._Folder, "publish", publish)
+    assert read() == [5, 4]
+    # Another writer meanwhile; the clock plays no part.
+    monkeypatch.setattr(time, "time_ns", lambda: 1)
+    assert exports.append_job_ids(ids(9), path) == 3
+    assert exports.append_job_ids(ids(3), path, token="batch 1") == 2
+    assert read() == [5, 4, 3, 9]
+    with pytest.raises(ValueError, match="taken"):
+        exports.append_job_ids(ids(1), path, number=3)
+    assert exports.append_job_ids(ids(1), path, number=7) == 7
+    assert read() == [5, 4, 3, 9, 1]
+
+
+def test_two_writers_take_different_numbers(spark, tmp_path):
+    path, schema = str(tmp_path / "store"), "list_id STRING, pos BIGINT, job_id BIGINT"
+    with ThreadPoolExecutor(4) as pool:
+        taken = list(pool.map(lambda j: exports.append_job_ids(spark.createDataFrame([("a", 1, j)], schema), path), range(6)))
+    assert sorted(taken) == list(range(1, 7))
+    got = [r.job_id for r in lines.read_job_lists(spark, path).orderBy("pos").collect()]
+    assert got == [taken.index(n) for n in range(1, 7)]
+
+
+@pytest.mark.parametrize("dialect", ["slurm", "lsf"])
+def test_dump_cut_anywhere(spark, tmp_path, dialect):
+    record = {"slurm": "JobId={0} JobName=n{0}\n   JobState=FAILED ReqB:S:C:T=0:0\n\n", "lsf": "\nJob <{0}>, User <é>, Status <EXIT>\n   x Job <9>\n"}[dialect]
+    jobs = [7, 12345, 8, 9, 100]
+    (tmp_path / "dump").write_text(("some banner\n" if dialect == "lsf" else "") + "".join(record.format(j) for j in jobs))
+    size = (tmp_path / "dump").stat().st_size
+    parse = slurm.parse_scontrol if dialect == "slurm" else lsf.parse_bjobs_long
+    try:
+        for block in [*range(1, 40), size // 2, size]:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", str(block))
+            spark.conf.set("spark.sql.files.openCostInBytes", "1")
+            got = parse(lines.read_dump(spark, str(tmp_path), dialect)).collect()
+            assert sorted(r.job_id for r in got) == sorted(jobs) and {r.state for r in got} == {"FAILED"}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    whole = spark.createDataFrame([("s", (tmp_path / "dump").read_text()), ("empty", "")], "src STRING, text STRING")
+    assert sorted(r.job_id for r in parse(lines.split_dump(whole, dialect)).collect()) == sorted(jobs)
+
+
+def test_years_of_a_listing_over_two_new_years(spark):
+    times = [("2022-12-30 10:00:00", 400, 90_000), ("2022-12-31 23:59:00", 120, 60), ("2023-01-01 00:00:30", 5, 5), ("2023-06-01 08:00:00", 0, 0)]
+    times += [("2023-12-31 23:00:00", 7200, 100), ("2024-02-29 12:00:00", None, None), ("2024-03-01 00:00:00", 10, None)]
+    rows, want = [], {}
+    for job, (submit, wait, run) in enumerate(times, 1):
+        s = datetime.fromisoformat(submit)
+        st = None if wait is None else s + timedelta(seconds=wait)
+        f = None if run is None else st + timedelta(seconds=run)
+        want[job] = (s, st, f)
+        text = [t.strftime("%m/%d-%H:%M:%S") if t else "-" for t in (s, st, f)]
+        rows.append(("x", job, f"{job} u DONE q login h my job {text[0]} default 000:00:02.50 512 1024 - {text[1]} {text[2]}"))
+    rows.append(("x", 0, "HEADER"))
+    listing = spark.createDataFrame(rows, "src STRING, line_no BIGINT, line STRING")
+    got = {r.job_id: (r.submit_time, r.start_time, r.finish_time) for r in lsf.parse_bjobs_wide(listing, last_year=2024).collect()}
+    assert got == want
+    assert all(s <= st <= f for s, st, f in got.values() if st and f)
