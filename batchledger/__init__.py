@@ -3,7 +3,7 @@
 The public functions, by the folder they live in.
 """
 
-from .functions.ordering import previous_row, running_number, running_sum, top_rows
+from .functions.ordering import previous_row, running_number, running_sum, sampled_chunks, top_rows
 from .functions.states import (
     classify_lsf_state,
     exit_to_state,
@@ -62,7 +62,7 @@ from .operators.jobs import (
     stale_jobs,
     with_runinfo,
 )
-from .operators.lineage import attempt_history, config_roots, latest_edge, resubmission_of, resubmitted_as
+from .operators.lineage import attempt_history, config_roots, latest_edge, lineage_cycles, resubmission_of, resubmitted_as
 from .operators.snapshots import dedupe_queue, number_polls, snapshot_changes, snapshot_diff, with_heartbeats
 from .operators.status import (
     all_final,
@@ -106,8 +106,8 @@ from .sinks.exports import (
     write_jobconf,
     write_runinfo,
 )
-from .sources.lines import read_batch, read_job_lists, read_lines, read_streams, read_texts
-from .sources.lsf import parse_bjobs, parse_bjobs_long, parse_bjobs_wide
+from .sources.lines import read_batch, read_dump, read_job_lists, read_lines, read_streams, read_texts, split_dump
+from .sources.lsf import parse_bjobs, parse_bjobs_long, parse_bjobs_wide, unwrap_years
 from .sources.mixed import extract_job_ids, parse_mixed
 from .sources.records import number_records, split_records, split_text_records
 from .sources.slurm import drop_array_tasks, parse_sacct, parse_scontrol, parse_squeue

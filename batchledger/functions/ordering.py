@@ -6,6 +6,10 @@ expression that never decreases along the ordering (an id range, an hour, a file
 row-level window runs per (key, chunk); only one summary row per chunk is windowed per key
 and joined back. Chunks depend on row values alone, so recomputed tasks agree with the rest.
 
+``sampled_chunks`` cuts where the rows are: at equal-depth splitters of a sample of keys and order
+together. Neither the rows of a chunk nor the number of chunks then depends on how ids or times are
+spread, be they sparse, in one hour or all the same up to the last column of the ordering.
+
 Key columns and chunks must not be null.
 """
 
@@ -39,6 +43,40 @@ def hour_chunk(col) -> Column:
     return F.coalesce(hour, F.lit("0001-01-01 00:00:00").cast("timestamp"))
 
 
+#: Rows of a chunk, the most chunks of a table, and rows of the sample that tells where to cut.
+CHUNK_ROWS, MOST_CHUNKS, SAMPLED = 1 << 20, 512, 20_000
+
+
+def sampled_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Column:
+    """The part of the table, in the order of ``keys`` and ``order``, that a row lies in.
+
+    A table up to ``CHUNK_ROWS`` is one part. Otherwise the ``SAMPLED`` rows with the smallest hashes
+    are brought to the driver and every so manieth becomes a splitter, which is part of the
+    expression: a balanced tree of comparisons, nine deep at most. Rows equal in all these columns
+    share a part.
+    """
+    names = list(dict.fromkeys([*keys, *order]))
+    rows = df.select(*names)
+    parts = min(MOST_CHUNKS, -(-rows.count() // CHUNK_ROWS))
+    if parts < 2:
+        return F.lit(0)
+    sample = rows.orderBy(F.xxhash64(*names)).limit(SAMPLED)
+    whole = F.struct(*names)
+    ranked = sample.select(whole.alias("s")).orderBy("s").collect()
+    cuts = [ranked[len(ranked) * i // parts]["s"] for i in range(1, parts)]
+    types = {f.name: f.dataType for f in rows.schema.fields}
+
+    def place(first: int, last: int) -> Column:
+        """Index of the part, between two splitters."""
+        if first == last:
+            return F.lit(first)
+        middle = (first + last) // 2
+        cut = F.struct(*[F.lit(cuts[middle][n]).cast(types[n]).alias(n) for n in names])
+        return F.when(whole < cut, place(first, middle)).otherwise(place(middle + 1, last))
+
+    return place(0, len(cuts))
+
+
 def running_sum(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Column, value: Column, name: str
 ) -> DataFrame:

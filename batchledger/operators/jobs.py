@@ -6,7 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.ordering import id_chunk, running_number, top_rows
+from ..functions.ordering import id_chunk, running_number, sampled_chunks, top_rows
 from ..functions.states import has_state, is_final, requires_rerun
 from ..functions.text import num_cores
 from ..functions.times import seconds_between
@@ -273,7 +273,7 @@ def add_queue_limit(df: DataFrame, limits: DataFrame | None = None) -> DataFrame
 
 def order_jobs(jobs: DataFrame) -> DataFrame:
     """Running job number per list, by ascending id."""
-    return running_number(jobs, ["list_id"], ["job_id"], id_chunk("job_id"), "job_number")
+    return running_number(jobs, ["list_id"], ["job_id"], sampled_chunks(jobs, ["list_id"], ["job_id"]), "job_number")
 
 
 def latest_first() -> list[Column]:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.ordering import hour_chunk, running_number, top_rows
+from ..functions.ordering import running_number, sampled_chunks, top_rows
 from ..session import cut_lineage
 
 
@@ -27,13 +27,17 @@ def latest_edge(edges: DataFrame) -> DataFrame:
     return top_rows(edges, ["list_id", "from_id"], last).select("list_id", "from_id", "to_id")
 
 
-def _roots(edges: DataFrame) -> DataFrame:
-    """First attempt of every job that has a parent: ``(list_id, job_id, root_id)``.
+def _pointers(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pointers after doubling: (first attempts found, jobs that have none), as ``list_id, job_id, anc``.
+
+    Each round replaces an ancestor by that ancestor's ancestor, so chains of length n take log2(n)
+    rounds. Both sides of the join shrink: rows that reached their root are set aside, and only
+    ancestors that some row still points to are looked up; what nobody points to at this distance
+    nobody will at twice the distance. Joins are on (list, job), never on the list alone, and the
+    looked-up side has one row per key, so AQE can split a hot key of the other side.
 
-    Pointer doubling: each round replaces an ancestor by that ancestor's ancestor, so chains
-    of length n take log2(n) rounds. Rows that reached their root are set aside; only the
-    rest is joined and written again. Joins are on (list, job), never on the list alone, and
-    the looked-up side has one row per key, so AQE can split a hot key of the other side.
+    Past as many steps as there are jobs only jobs on or below a cycle go on; they have no first
+    attempt, and each then points to a job of its cycle.
     """
     parents = resubmission_of(edges).withColumnRenamed("resubmission_of", "anc")
     has_parent = parents.select("list_id", F.col("job_id").alias("anc"), F.lit(True).alias("more"))
@@ -43,31 +47,69 @@ def _roots(edges: DataFrame) -> DataFrame:
         )
     )
     done, active = table.filter(~F.col("more")), table.filter("more")
-    reach, total = 1, None
+    known, reach, total = table, 1, None
     while not active.isEmpty():
         total = table.count() if total is None else total
         if reach > total:
-            raise ValueError("resubmission edges form a cycle")
-        jump = done.unionByName(active).select(
-            "list_id", F.col("job_id").alias("anc"), F.col("anc").alias("next"), F.col("more").alias("next_more")
-        )
+            break
+        wanted = active.select("list_id", F.col("anc").alias("job_id")).distinct()
+        known = known.join(wanted, ["list_id", "job_id"], "left_semi")
+        jump = known.select("list_id", F.col("job_id").alias("anc"), F.col("anc").alias("next"), F.col("more").alias("next_more"))
         moved = cut_lineage(
             active.join(jump, ["list_id", "anc"]).select(
                 "list_id", "job_id", F.col("next").alias("anc"), F.col("next_more").alias("more")
             )
         )
+        # The looked-up rows a step further: those that were done stay, the others have moved too.
+        onward = moved.join(known.select("list_id", "job_id"), ["list_id", "job_id"], "left_semi")
+        known = cut_lineage(known.filter(~F.col("more")).unionByName(onward))
         done, active = done.unionByName(moved.filter(~F.col("more"))), moved.filter("more")
         reach *= 2
-    return done.select("list_id", "job_id", F.col("anc").alias("root_id"))
+    return done.drop("more"), active.drop("more")
 
 
-def config_roots(jobs: DataFrame, edges: DataFrame) -> DataFrame:
-    """Jobs with ``root_id``, their first attempt; itself for jobs never resubmitted."""
-    return jobs.join(_roots(edges), ["list_id", "job_id"], "left").withColumn(
-        "root_id", F.coalesce("root_id", "job_id")
+def _roots(edges: DataFrame) -> DataFrame:
+    """First attempt of every job that has a parent: ``(list_id, job_id, root_id)``; null on or below a cycle."""
+    done, endless = _pointers(edges)
+    return done.withColumnRenamed("anc", "root_id").unionByName(
+        endless.select("list_id", "job_id", F.lit(None).cast("bigint").alias("root_id"))
     )
 
 
+def lineage_cycles(edges: DataFrame) -> DataFrame:
+    """Jobs that were resubmitted as themselves in the end: ``(list_id, job_id, cycle_id)``.
+
+    ``cycle_id`` is the smallest id of the cycle. No other list or job is affected by a cycle.
+    """
+    _, endless = _pointers(edges)
+    # Pointers went further than any way into a cycle, and a cycle's own jobs point to all of it.
+    members = cut_lineage(endless.select("list_id", F.col("anc").alias("job_id")).distinct())
+    parents = resubmission_of(edges).withColumnRenamed("resubmission_of", "anc")
+    ring = members.join(parents, ["list_id", "job_id"]).withColumn("least", F.least("job_id", "anc"))
+    number, reach = members.count(), 1
+    while reach < number:
+        ahead = ring.select("list_id", F.col("job_id").alias("anc"), F.col("anc").alias("next"), F.col("least").alias("further"))
+        ring = cut_lineage(
+            ring.join(ahead, ["list_id", "anc"]).select(
+                "list_id", "job_id", F.col("next").alias("anc"), F.least("least", "further").alias("least")
+            )
+        )
+        reach *= 2
+    return ring.select("list_id", "job_id", F.col("least").alias("cycle_id"))
+
+
+def config_roots(jobs: DataFrame, edges: DataFrame, strict: bool = False) -> DataFrame:
+    """Jobs with ``root_id``, their first attempt; itself for jobs never resubmitted.
+
+    Null for jobs on or below a cycle (``lineage_cycles``); ``strict`` raises if there are any.
+    """
+    roots = _roots(edges).withColumn("_has_parent", F.lit(True))
+    if strict and not roots.filter(F.col("root_id").isNull()).isEmpty():
+        raise ValueError("resubmission edges form a cycle")
+    rooted = jobs.join(roots, ["list_id", "job_id"], "left")
+    return rooted.withColumn("root_id", F.when(F.col("_has_parent").isNull(), F.col("job_id")).otherwise(F.col("root_id"))).drop("_has_parent")
+
+
 def resubmitted_as(
     edges: DataFrame, transitive: bool = False, starts: DataFrame | None = None
 ) -> DataFrame:
@@ -82,7 +124,8 @@ def resubmitted_as(
         out = children.distinct()
         return out if starts is None else out.join(starts, ["list_id", "job_id"], "left_semi")
     if starts is None:
-        return _roots(edges).select("list_id", F.col("root_id").alias("job_id"), F.col("job_id").alias("later_id"))
+        rooted = _roots(edges).filter(F.col("root_id").isNotNull())
+        return rooted.select("list_id", F.col("root_id").alias("job_id"), F.col("job_id").alias("later_id"))
     return _descendants(edges, starts)
 
 
@@ -90,15 +133,19 @@ def _descendants(edges: DataFrame, starts: DataFrame) -> DataFrame:
     """Descendants of the given jobs, by doubling the step width.
 
     After round k the result holds everything up to 2**(k+1) - 1 steps away. In a forest
-    every distance is one sum of distinct powers of two, so no pair is produced twice.
+    every distance is one sum of distinct powers of two, so no pair is produced twice. Steps onto a
+    cycle are left out: what comes after such a job has no end.
     """
     step = resubmission_of(edges).select("list_id", F.col("resubmission_of").alias("top"), F.col("job_id").alias("low"))
-    step = cut_lineage(step)
+    first = step = cut_lineage(step)
     total, width = step.count(), 1
-    found = starts.select("list_id", "job_id", F.col("job_id").alias("later_id")).distinct()
+    begun = found = starts.select("list_id", "job_id", F.col("job_id").alias("later_id")).distinct()
     while not step.isEmpty():
         if width > total:
-            raise ValueError("resubmission edges form a cycle")
+            rings = lineage_cycles(edges).select("list_id", F.col("job_id").alias("low"))
+            first = step = cut_lineage(first.join(rings, ["list_id", "low"], "left_anti"))
+            total, width, found = step.count(), 1, begun
+            continue
         further = found.join(
             step.select("list_id", F.col("top").alias("later_id"), "low"), ["list_id", "later_id"]
         ).select("list_id", "job_id", F.col("low").alias("later_id"))
@@ -111,13 +158,8 @@ def _descendants(edges: DataFrame, starts: DataFrame) -> DataFrame:
 
 
 def attempt_history(jobs: DataFrame, edges: DataFrame) -> DataFrame:
-    """Root, attempt number (by submission) and state of every attempt."""
-    rooted = config_roots(jobs, edges)
-    numbered = running_number(
-        rooted,
-        ["list_id", "root_id"],
-        ["submit_time", "job_id"],
-        hour_chunk("submit_time"),
-        "attempt",
-    )
+    """Root, attempt number (by submission) and state of every attempt that has a first one."""
+    rooted = config_roots(jobs, edges).filter(F.col("root_id").isNotNull())
+    keys, order = ["list_id", "root_id"], ["submit_time", "job_id"]
+    numbered = running_number(rooted, keys, order, sampled_chunks(rooted, keys, order), "attempt")
     return numbered.select("list_id", "root_id", "attempt", "job_id", "state")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.ordering import hour_chunk, previous_row, top_rows
+from ..functions.ordering import previous_row, sampled_chunks, top_rows
 from ..functions.states import has_state, is_final
 from ..functions.times import format_duration, seconds_between
 
@@ -119,9 +119,8 @@ def mean_runtime(jobs: DataFrame) -> DataFrame:
 def start_gaps(jobs: DataFrame) -> DataFrame:
     """Seconds between successive job starts, for every start but the first of a list."""
     started = jobs.filter(F.col("start_time").isNotNull()).select("list_id", "job_id", "start_time")
-    chained = previous_row(
-        started, ["list_id"], ["start_time", "job_id"], hour_chunk("start_time"), {"start_time": "prev_start"}
-    )
+    keys, order = ["list_id"], ["start_time", "job_id"]
+    chained = previous_row(started, keys, order, sampled_chunks(started, keys, order), {"start_time": "prev_start"})
     return chained.filter(F.col("prev_start").isNotNull()).withColumn(
         "gap_seconds", seconds_between("prev_start", "start_time")
     )

@@ -403,6 +403,22 @@ def _(spark, d):
     return ln.attempt_history(b.runinfo(spark, d), b.edges(spark, d))
 
 
+@query(
+    "lineage_cycles",
+    RE + """ SELECT list_id, job_id, least(job_id, other) AS cycle_id FROM (
+      SELECT list_id, from_id AS job_id, to_id AS other FROM edges WHERE from_id % 3 = 0
+        AND (list_id, from_id) NOT IN (SELECT (list_id, to_id) FROM edges)
+      UNION ALL SELECT list_id, to_id, from_id FROM edges WHERE from_id % 3 = 0
+        AND (list_id, from_id) NOT IN (SELECT (list_id, to_id) FROM edges))""",
+)
+def _(spark, d):
+    # Some first attempts are entered as resubmissions of the jobs they were resubmitted as.
+    edges = stored(b.edges(spark, d), "edges")
+    first = edges.join(edges.select("list_id", F.col("to_id").alias("from_id")), ["list_id", "from_id"], "left_anti")
+    back = first.filter("from_id % 3 = 0").select("list_id", "seq", F.col("to_id").alias("from_id"), F.col("from_id").alias("to_id"))
+    return ln.lineage_cycles(edges.unionByName(back))
+
+
 @query("latest_edge", RE + ROOTS_SQL + """ SELECT list_id, from_id, to_id FROM (
     SELECT e.list_id, root_id AS from_id, e.to_id, row_number() OVER (PARTITION BY e.list_id, root_id ORDER BY seq DESC, e.to_id DESC) AS rn
     FROM edges e JOIN roots ON e.list_id = roots.list_id AND e.to_id = roots.job_id) WHERE rn = 1""")

@@ -145,16 +145,48 @@ def test_lineage_of_chain_star_and_tree(spark):
     assert sorted(r.later_id for r in ln.resubmitted_as(edges, starts=starts).collect()) == [121, 203]
 
 
-def test_lineage_keeps_lists_apart_and_refuses_cycles(spark):
+def test_lineage_keeps_lists_apart(spark):
     both = edges_of(spark, [(1, 2)]).union(edges_of(spark, [(5, 1)], "b"))
     got = {(r.list_id, r.job_id): r.root_id for r in ln._roots(both).collect()}
     assert got == {("a", 2): 1, ("b", 1): 5}
-    ring = edges_of(spark, [(1, 2), (2, 3), (3, 1)])
-    with pytest.raises(ValueError, match="cycle"):
-        ln._roots(ring)
-    with pytest.raises(ValueError, match="cycle"):
-        ln.resubmitted_as(ring, True, spark.createDataFrame([("a", 1)], "list_id STRING, job_id BIGINT")).count()
     assert ln._roots(edges_of(spark, [(1, 2)]).limit(0)).count() == 0
+    assert ln.lineage_cycles(both).count() == 0
+
+
+def test_cycles_are_returned_and_stop_nobody_else(spark):
+    # A ring of 3, a ring of 1, a way of 6 behind the ring of 3, a chain, and another list.
+    ring = [(4, 2), (2, 3), (3, 4), (9, 9), *[(i, i + 1) for i in range(14, 20)], (3, 14), (30, 31), (31, 32)]
+    edges = edges_of(spark, ring).union(edges_of(spark, [(2, 4), (4, 6)], "b"))
+    got = sorted((r.list_id, r.job_id, r.cycle_id) for r in ln.lineage_cycles(edges).collect())
+    assert got == [("a", 2, 2), ("a", 3, 2), ("a", 4, 2), ("a", 9, 9)]
+    jobs = spark.createDataFrame([("a", i) for i in (2, 9, 20, 30, 32, 50)] + [("b", 6)], "list_id STRING, job_id BIGINT")
+    roots = {(r.list_id, r.job_id): r.root_id for r in ln.config_roots(jobs, edges).collect()}
+    assert roots == {("a", 2): None, ("a", 9): None, ("a", 20): None, ("a", 30): 30, ("a", 32): 30, ("a", 50): 50, ("b", 6): 2}
+    with pytest.raises(ValueError, match="cycle"):
+        ln.config_roots(jobs, edges, strict=True)
+    starts = spark.createDataFrame([("a", 14), ("a", 30), ("b", 2)], "list_id STRING, job_id BIGINT")
+    later = sorted((r.job_id, r.later_id) for r in ln.resubmitted_as(edges, True, starts).collect())
+    assert later == [(2, 4), (2, 6), *[(14, i) for i in range(15, 21)], (30, 31), (30, 32)]
+
+
+def test_both_sides_of_a_round_shrink(spark, monkeypatch):
+    sizes = []
+    cut = ln.cut_lineage
+    monkeypatch.setattr(ln, "cut_lineage", lambda df: (sizes.append((out := cut(df)).count()), out)[1])
+    ln._roots(edges_of(spark, [(i, i + 1) for i in range(64)] + [(1000 + i, 2000 + i) for i in range(500)])).count()
+    moved, known = sizes[1::2], sizes[2::2]
+    assert moved == sorted(moved, reverse=True) and known == sorted(known, reverse=True)
+    assert sizes[0] == 564 and max(known) <= 64 and known[-1] <= 33
+
+
+def test_checks_of_a_plan_number_nothing(spark):
+    jobs = spark.createDataFrame([("a", 1, 1, "n1", "FAILED"), ("a", 2, 2, "n2", "KILLED")], "list_id STRING, pos BIGINT, job_id BIGINT, job_name STRING, state STRING")
+    plan = plan_resubmit(jobs, conf_of(spark, [1]), queue_of(jobs).withColumn("job_name", F.lit("")), edges_of(spark, [(1, 2)]).limit(0))
+    for name in plan.CHECKS:
+        getattr(plan, name).count()
+    assert "_planned" not in plan.__dict__
+    assert "Window" not in plan.not_restorable._jdf.queryExecution().optimizedPlan().toString()
+    assert [r.job_id for r in plan.not_restorable.collect()] == [2]
 
 
 def test_latest_edge(spark):

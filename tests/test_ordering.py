@@ -49,6 +49,39 @@ def test_previous_row_over_ties_nulls_and_chunks(rows):
     assert out.exceptAll(plain).count() == 0 and out.count() == plain.count()
 
 
+@pytest.mark.parametrize("shape", ["sparse", "one hour", "repeated", "many keys"])
+def test_sampled_chunks_are_even_whatever_the_values(spark, monkeypatch, shape):
+    monkeypatch.setattr(o, "CHUNK_ROWS", 200)
+    rng = random.Random(3)
+    keys = lambda i: i % 300 if shape == "many keys" else int(rng.random() < 0.2)
+    ids = {"sparse": lambda i: rng.randrange(-(2**62), 2**62), "one hour": lambda i: rng.randrange(3600), "repeated": lambda i: i // 7 * 10**12, "many keys": lambda i: i}[shape]
+    data = [(keys(i), ids(i), rng.randrange(3), i % 7) for i in range(4000)]
+    df = spark.createDataFrame(data, "k BIGINT, v BIGINT, w BIGINT, x BIGINT").withColumn("v", F.when(F.col("v") % 50 != 7, F.col("v")))
+    order = ["v", "w", "x"]
+    chunk = o.sampled_chunks(df, ["k"], order)
+    sizes = [r["count"] for r in df.groupBy(chunk.alias("c")).count().collect()]
+    assert len(sizes) == 20 and max(sizes) <= 400
+    window = Window.partitionBy("k").orderBy(*order)
+    plain = df.select("*", F.sum("x").over(window).alias("s"))
+    out = o.running_sum(df, ["k"], order, chunk, F.col("x"), "s")
+    if shape != "one hour":  # ties have no order there
+        plain = plain.withColumn("s", F.sum("x").over(window.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    assert sorted(r.n for r in o.running_number(df, [], ["k", *order], o.sampled_chunks(df, [], ["k", *order]), "n").collect()) == list(range(1, 4001))
+    totals = lambda d: sorted((r.k, r.s) for r in d.groupBy("k").agg(F.max("s").alias("s")).collect())
+    assert totals(out) == totals(plain)
+    if shape == "many keys":
+        assert out.exceptAll(plain).count() == 0
+
+
+def test_summaries_of_sampled_chunks_are_few(spark, monkeypatch):
+    monkeypatch.setattr(o, "CHUNK_ROWS", 100)
+    df = spark.range(20_000).select(F.lit("hot").alias("list_id"), (F.xxhash64("id")).alias("job_id"))
+    chunk = o.sampled_chunks(df, ["list_id"], ["job_id"])
+    assert 100 <= df.groupBy("list_id", chunk).count().count() <= 200
+    n = [r.n for r in o.running_number(df, ["list_id"], ["job_id"], chunk, "n").orderBy("job_id").collect()]
+    assert n == list(range(1, 20_001))
+
+
 def test_rows_are_shuffled_once(rows):
     out = o.running_number(rows.hint("merge"), ["list_id"], ["job_id"], o.id_chunk("job_id"), "n")
     plan = out._jdf.queryExecution().executedPlan().toString()
