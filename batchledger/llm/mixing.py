@@ -15,7 +15,8 @@ part, with one total per (source, part) summed in a second step. The table of so
 per source.
 
 Defined results: null text has size 0; documents of size 0 are returned and take nothing; repeated
-rows are documents of their own. An empty table gives an empty table.
+rows are documents of their own; equal hashes follow by id and size; texts of any length count whole.
+An empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -126,7 +127,7 @@ def _sizes(docs: DataFrame) -> DataFrame:
 
 
 def _pieces(placed: DataFrame, plan: DataFrame, block_words: int) -> DataFrame:
-    """What every slot takes: (_row, slot, pass, begin, words), ``begin`` counted in the document."""
+    """What every slot takes: (_row, slot, place in the slot, pass, begin, words), ``begin`` counted in the document."""
     turns = F.sequence(F.lit(0), F.floor((F.col("_words") - 1 - F.col("_start")) / F.col("source_size")))
     passes = placed.filter("size > 0 AND _start < _words").withColumn("_pass", F.explode(turns))
     first = F.col("_start") + F.col("_pass") * F.col("source_size")
@@ -136,7 +137,7 @@ def _pieces(placed: DataFrame, plan: DataFrame, block_words: int) -> DataFrame:
     return (
         spans.withColumn("block", F.explode(blocks))
         .join(schedule(plan, block_words), ["_source", "block"])
-        .select("_row", "slot", "_pass", (begin - F.col("_first")).alias("begin"), (F.least("_last", (F.col("block") + 1) * block_words) - begin).alias("words"))
+        .select("_row", "slot", (begin % block_words).alias("place"), "_pass", (begin - F.col("_first")).alias("begin"), (F.least("_last", (F.col("block") + 1) * block_words) - begin).alias("words"))
     )
 
 
@@ -149,10 +150,28 @@ def mix_plan(docs: DataFrame, weights=WEIGHTS, block_words: int = BLOCK_WORDS) -
 
 
 def mix_report(docs: DataFrame, weights=WEIGHTS, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """One row per document: doc_id, size, source_size, target, taken."""
+    """One row per document: doc_id, size, source_size, target, taken, and the first and last slot of
+    the mix that takes some of it (null if none does)."""
     placed, pieces = mix_plan(docs, weights, block_words)
-    taken = pieces.groupBy("_row").agg(F.sum("words").alias("taken"))
-    return placed.join(taken, "_row", "left").select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken"))
+    taken = pieces.groupBy("_row").agg(F.sum("words").alias("taken"), F.min("slot").alias("first_slot"), F.max("slot").alias("last_slot"))
+    return placed.join(taken, "_row", "left").select(
+        "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken"), "first_slot", "last_slot"
+    )
+
+
+def mixed_blocks(docs: DataFrame, weights=WEIGHTS, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """The mix itself: slot, place, doc_id, source, begin, words, text.
+
+    Sorted by ``slot`` and, within a block, by ``place`` the texts are the mix. ``begin`` and
+    ``words`` tell which words of the document a piece holds; they are joined by single spaces.
+    """
+    rows = stored(docs.select("doc_id", "text", "source").withColumn("_row", F.monotonically_increasing_id()), "mixed")
+    sizes = stored(rows.select("_row", *_columns()), "sizes")
+    plan = stored(targets(sizes, weights), "targets")
+    placed = stored(_streams(sizes, plan), "streams")
+    pieces = _pieces(placed, plan, block_words).join(rows, "_row")
+    words = F.slice(F.regexp_extract_all("text", F.lit(f"({WORD})"), 1), (F.col("begin") + 1).cast("int"), F.col("words").cast("int"))
+    return pieces.select("slot", "place", "doc_id", "source", "begin", "words", F.array_join(words, " ").alias("text"))
 
 
 def mixed_documents(docs: DataFrame, weights=WEIGHTS, block_words: int = BLOCK_WORDS) -> DataFrame:
@@ -209,12 +228,42 @@ t AS (
   FROM c
 ),
 p AS (
-  SELECT d.doc_id, d.size, t.source_size, t.target, CAST(floor(t.target + 0.5) AS BIGINT) AS words,
+  SELECT row_number() OVER () AS r, d.doc_id, d.s, d.size, t.source_size, t.target, CAST(floor(t.target + 0.5) AS BIGINT) AS words,
          coalesce(sum(d.size) OVER (PARTITION BY d.s ORDER BY md5('{SEED}:' || coalesce(CAST(d.doc_id AS VARCHAR), '')), d.doc_id NULLS FIRST, d.size
                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
   FROM d JOIN t USING (s)
+),
+ends AS (
+  SELECT s, words, CAST(sum(words) OVER (ORDER BY s) AS BIGINT) AS hi
+  FROM (SELECT s, CAST(floor(target + 0.5) AS BIGINT) AS words FROM t) WHERE words > 0
+),
+whole AS (SELECT max(hi) AS total, CAST(ceil(max(hi) / {BLOCK_WORDS}) AS BIGINT) AS slots FROM ends),
+points AS (
+  SELECT slot, CAST(least(floor(list_sum(list_transform(range({_BITS}), lambda i: ((slot >> i) & 1) << ({_BITS - 1} - i)))::DOUBLE / {2**_BITS}::DOUBLE * total), total - 1) AS BIGINT) AS place
+  FROM (SELECT unnest(range(slots)) AS slot, total FROM whole)
+),
+ranked AS (
+  SELECT e.s, slot, row_number() OVER (PARTITION BY e.s ORDER BY slot) - 1 AS block, CAST(ceil(e.words / {BLOCK_WORDS}) AS BIGINT) AS need
+  FROM points JOIN ends e ON place >= hi - words AND place < hi
+),
+slots AS (
+  SELECT s, block, slot FROM ranked WHERE block < need
+  UNION ALL
+  SELECT s, block, (SELECT slots FROM whole) + block FROM (
+    SELECT e.s, unnest(range(coalesce(had, 0), CAST(ceil(e.words / {BLOCK_WORDS}) AS BIGINT))) AS block
+    FROM ends e LEFT JOIN (SELECT s, count(*) AS had FROM ranked GROUP BY s) USING (s))
+),
+spans AS (
+  SELECT r, s, start + i * source_size AS a, least(start + i * source_size + size, words) AS z
+  FROM p, range({MAX_REPEATS}) AS turns(i) WHERE size > 0 AND start + i * source_size < words
+),
+met AS (
+  SELECT r, min(slot) AS first_slot, max(slot) AS last_slot
+  FROM (SELECT r, s, unnest(range(CAST(a // {BLOCK_WORDS} AS BIGINT), CAST((z - 1) // {BLOCK_WORDS} + 1 AS BIGINT))) AS block FROM spans)
+  JOIN slots USING (s, block) GROUP BY r
 )
 SELECT doc_id, size, source_size, target,
-       CAST({" + ".join(f"greatest(0, least(words, start + size + {i} * source_size) - least(words, start + {i} * source_size))" for i in range(MAX_REPEATS))} AS BIGINT) AS taken
-FROM p
+       CAST({" + ".join(f"greatest(0, least(words, start + size + {i} * source_size) - least(words, start + {i} * source_size))" for i in range(MAX_REPEATS))} AS BIGINT) AS taken,
+       first_slot, last_slot
+FROM p LEFT JOIN met USING (r)
 """

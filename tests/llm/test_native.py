@@ -51,7 +51,7 @@ def test_mix(spark, block):
     rows = awkward()
     docs = documents(spark, rows)
     got = mixing.mix_report(docs, block_words=block)
-    assert got.columns == ["doc_id", "size", "source_size", "target", "taken"]
+    assert got.columns == ["doc_id", "size", "source_size", "target", "taken", "first_slot", "last_slot"]
     check_mix(rows, got.collect())
 
 
@@ -173,3 +173,46 @@ def test_components(spark):
         got[root].add(v)
     assert sorted(map(sorted, got.values())) == sorted(sorted(g) for g in groups.values() if len(g) > 1)
     assert components(spark.createDataFrame([], "a bigint, b bigint")).collect() == []
+
+
+def test_the_mix_itself(spark):
+    rows = awkward(5)
+    docs = documents(spark, rows)
+    blocks = mixing.mixed_blocks(docs, block_words=64).collect()
+    report = mixing.mix_report(docs, block_words=64).collect()
+    taken = Counter()
+    for r in blocks:
+        taken[r["doc_id"]] += r["words"]
+        assert len(r["text"].split(" ")) == r["words"] and r["words"] <= 64
+    want = Counter()
+    for r in report:
+        want[r["doc_id"]] += r["taken"]
+        assert (r["first_slot"] is None) == (r["taken"] == 0)
+    assert +taken == +want
+    # Blocks are full but for the last of a source, and pieces lie side by side in them.
+    slots = defaultdict(list)
+    for r in sorted(blocks, key=lambda r: (r["slot"], r["source"] or "", r["place"])):
+        slots[r["slot"], r["source"]].append((r["place"], r["words"]))
+    sizes = defaultdict(list)
+    for (_, source), pieces in slots.items():
+        assert [p for p, _ in pieces] == [sum(n for _, n in pieces[:i]) for i in range(len(pieces))]
+        sizes[source].append(sum(n for _, n in pieces))
+    assert all(sum(n < 64 for n in own) <= 1 for own in sizes.values())
+    # Low discrepancy: any first slots hold the sources near their shares.
+    total = sum(taken.values())
+    for source, own in sizes.items():
+        part = sum(sum(n for _, n in p) for (slot, s), p in slots.items() if s == source and slot < 64)
+        first = sum(sum(n for _, n in p) for (slot, s), p in slots.items() if slot < 64)
+        assert abs(part / first - sum(own) / total) < 0.15
+
+
+def test_crowded_turns(spark, monkeypatch):
+    rng = random.Random(3)
+    rows = [(None, rng.choice([None, 1, 2]), "user", f"t{rng.randrange(40)}") for _ in range(300)]
+    rows += [(1, t, "user", f"x{t}") for t in range(600)] + [(2, t, "user", f"x{t}") for t in range(300)]
+    turns = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").repartition(4)
+    plain = Counter(map(tuple, chat.format_chats(turns).collect()))
+    monkeypatch.setattr(chat, "CROWDED", 5)
+    assert Counter(map(tuple, chat.format_chats(turns).collect())) == plain
+    parts = chat._in_parts(chat._ordered(turns).selectExpr("_conv", "conv_id", "position _turn", "role", "text", "sha2(text, 256) _digest"))
+    assert parts.groupBy("_conv", "_part").count().agg({"count": "max"}).first()[0] <= 10
