@@ -11,11 +11,12 @@ down. The deficit of any round is thus known without the rounds before it, and e
 its own documents: it needs the queues' totals and where its part of each queue begins.
 
 Tokens are written once with their place in their task's queues; the task totals are summed per
-queue and joined back. The totals (at most ``MAX_QUEUES`` numbers; beyond so many sources, sources
-share queues by hash) go to the tasks.
+queue and joined back. The totals (at most ``MAX_QUEUES`` numbers; beyond so many sources, the
+smallest share a queue) go to the tasks. Target proportions are the shares of the table itself.
 
 Defined results: null text counts as empty and has the end token only; repeated rows are packed
-each; a null source is a source. An empty table gives no pieces.
+each; a null source is a source; of equally large sources the first by name keeps its own queue; texts
+of any length are cut, never dropped. An empty table gives no pieces.
 """
 
 from __future__ import annotations
@@ -88,6 +89,8 @@ class WordEncoder(dict):
         text = word.decode()
         if _SIMPLE.fullmatch(text) and "<|" not in text:
             plain = text.lower()
+            if not _SIMPLE.fullmatch(plain):  # some letters are lower-cased into other alphabets
+                return self._numbers(self.tokenizer.encode(text, add_special_tokens=False).ids)
             parts = _RUNS.findall(plain)
             if len(parts) > 1 or plain != text:
                 return b"".join([self[p.encode()] for p in parts])
@@ -204,10 +207,17 @@ def _place(names: list[str], totals: list[int], width: str, length: int, grain:
 _PIECE = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]
 
 
-def _queue(docs: DataFrame):
-    key = source_key()
-    many = docs.select(key.alias("k")).distinct().count() > MAX_QUEUES
-    return F.pmod(F.xxhash64(key), F.lit(MAX_QUEUES)).cast("string") if many else key
+def _queues(docs: DataFrame) -> DataFrame:
+    """``docs`` with their ``queue``: a source each; beyond ``MAX_QUEUES`` sources the largest keep
+    their own, and the rest, each smaller than all of these, are one queue."""
+    rows = docs.withColumn("queue", source_key())
+    sizes = rows.groupBy("queue").agg(F.sum(F.coalesce(F.length("text"), F.lit(0)) + 1).alias("_size"))
+    if sizes.count() <= MAX_QUEUES:
+        return rows
+    largest = sizes.orderBy(F.desc("_size"), "queue").limit(MAX_QUEUES - 1).select("queue", F.lit(True).alias("_own"))
+    # MAX_QUEUES - 1 rows.
+    rows = rows.join(F.broadcast(largest), "queue", "left")
+    return rows.withColumn("queue", F.when(F.col("_own"), F.col("queue")).otherwise(F.lit("2")))
 
 
 def pack(docs: DataFrame, tokenizer_path: str, length: int = LENGTH, grain: int = GRAIN, end_id: int = END_ID, with_ids: bool = True) -> DataFrame:
@@ -223,7 +233,8 @@ def pack(docs: DataFrame, tokenizer_path: str, length: int = LENGTH, grain: int
     encoder.check()
     width = f"<u{encoder.width}"
     shipped = spark.sparkContext.broadcast(tokenizer)  # one file of a fixed vocabulary
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().cast("binary").alias("text"), _queue(docs).alias("queue"))
+    rows = _queues(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", "source"))
+    rows = rows.select("doc_id", text_or_empty().cast("binary").alias("text"), "queue")
     tokens = stored(
         rows.mapInArrow(_tokenise(shipped, end_id), "doc_id bigint, queue string, part int, start bigint, n bigint, ids binary"),
         "tokens",
