@@ -4,12 +4,14 @@ Words are runs of digits, a-z and non-ASCII characters after lower-casing A-Z. T
 of every document are joined by hash to the grams of the templates (a fixed, broadcast table) and
 compared word by word. A hit votes for its diagonal, document position minus template position.
 A diagonal with a vote from every gram of its template is that phrase, word for word, starting at
-the diagonal: that is how the base phrases are found. For all templates, diagonals at most
-``DRIFT`` apart are merged, which allows for words put in or left out, and a merged span is
-verified: votes from at least ``COVERAGE`` of the template, within a span not much longer than it.
+the diagonal: that is how the base phrases are found. For all templates a diagonal is merged with
+those up to ``DRIFT`` behind it, which allows for words put in, and the span is verified: it has to
+hold at least ``COVERAGE`` of the template's different grams. A span thus never grows beyond the
+template and ``DRIFT`` words, and a gram that is repeated counts once.
 
 Defined results: null text counts as empty; a text without words or hits has no labels, null
-first and last word, and score 0; repeated rows give a row each. The score is the best coverage.
+first and last word, and score 0; repeated rows give a row each; texts of any length are scanned whole; of
+equally good spans any counts. The score is the best coverage. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -66,22 +68,21 @@ def scan(docs: DataFrame, base: dict[str, str] = BASE, templates: dict[str, str]
     own = ["_row", "doc_id", "n_words"]
     kind = ["template", "label", "is_base", "grams"]
     diagonals = hits.groupBy(*own, *kind, (F.col("pos") - F.col("at")).alias("diagonal")).agg(
-        F.count("template").alias("votes"), F.min("pos").alias("first"), F.max("pos").alias("last")
+        F.count("template").alias("votes"), F.collect_set("at").alias("places")  # as many as the template has grams
     )
-    by_place = Window.partitionBy("_row", "template").orderBy("diagonal")
-    apart = (F.col("diagonal") - F.lag("diagonal").over(by_place) > DRIFT).cast("int")
+    # A span is a diagonal and those up to DRIFT behind it: places of the template met on any of them.
+    near = Window.partitionBy("_row", "template").orderBy("diagonal").rangeBetween(0, DRIFT)
+    exact = F.col("is_base") & (F.col("votes") == F.col("grams"))
     merged = (
-        diagonals.withColumn("_new", F.coalesce(apart, F.lit(0)))
-        .withColumn("_span", F.sum("_new").over(by_place.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-        .groupBy(*own, *kind, "_span")
+        diagonals.withColumn("_met", F.size(F.array_distinct(F.flatten(F.collect_list("places").over(near)))))
+        .groupBy(*own, *kind)
         .agg(
-            F.sum("votes").alias("votes"),
-            (F.max("last") - F.min("first") + 1).alias("length"),
-            *[f(F.when(F.col("is_base") & (F.col("votes") == F.col("grams")), v)).alias(n) for n, f, v in (("n_base", F.count, F.lit(1)), ("first_word", F.min, F.col("diagonal")), ("last_word", F.max, F.col("diagonal")))],
+            F.max("_met").alias("met"),
+            *[f(F.when(exact, v)).alias(n) for n, f, v in (("n_base", F.count, F.lit(1)), ("first_word", F.min, F.col("diagonal")), ("last_word", F.max, F.col("diagonal")))],
         )
     )
-    coverage = F.least(F.col("votes") / F.col("grams"), F.lit(1.0))
-    fits = (coverage >= COVERAGE) & (F.col("length") <= F.col("grams") + 2 * DRIFT)
+    coverage = F.col("met") / F.col("grams")
+    fits = coverage >= COVERAGE
     joined = lambda c: F.array_join(F.array_sort(F.collect_set(c)), ",")
     found = F.col("n_base") > 0
     return merged.groupBy(*own).agg(
