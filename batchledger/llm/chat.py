@@ -12,7 +12,8 @@ row after partial aggregation.
 
 Defined results: turns are ordered by ``turn``, null last, then by the SHA-256 of role and text; repeated turns
 count as turns. Null role and text count as empty. Rows without ``conv_id`` are one conversation.
-A rendered conversation is cut into rows of ``TURNS_PER_ROW`` turns, numbered from 0.
+A rendered conversation is cut into rows of ``TURNS_PER_ROW`` turns, numbered from 0. Texts of any length
+are rendered whole; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ from .common import before_part, source_key, stored
 TURNS_PER_ROW = 256
 #: A part of a conversation: so many turn numbers, as a power of two.
 PART_BITS = 8
+#: Rows of one range of turn numbers from which on it is split further, and the most such ranges.
+CROWDED, MOST_CROWDED = 4096, 10_000
 
 
 def _ordered(turns: DataFrame) -> DataFrame:
@@ -36,8 +39,7 @@ def _ordered(turns: DataFrame) -> DataFrame:
         F.coalesce("text", F.lit("")).alias("text"),
     )
     rows = rows.withColumn("_digest", F.sha2(F.concat_ws("\x00", "role", "text").cast("binary"), 256))
-    rows = rows.withColumn("_part", F.shiftright("_turn", PART_BITS))
-    rows = stored(rows, "turns")
+    rows = _in_parts(stored(rows, "turns"))
     order = Window.partitionBy("_conv", "_part").orderBy("_turn", "_digest")
     start = before_part(rows.withColumn("_one", F.lit(1)), "_conv", "_part", "_one", "_before")
     placed = (
@@ -62,6 +64,19 @@ def _ordered(turns: DataFrame) -> DataFrame:
     )
 
 
+def _in_parts(rows: DataFrame) -> DataFrame:
+    """Parts that follow the order: ranges of turn numbers; single turns and leading digits of the
+    digest where many turns share a range, as rows without a conversation or a number do."""
+    block = F.shiftright("_turn", PART_BITS)
+    # At most MOST_CROWDED ranges hold so many rows.
+    many = max(CROWDED, rows.count() // MOST_CROWDED)
+    crowded = rows.groupBy("_conv", block.alias("_block")).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > many)
+    rows = rows.withColumn("_block", block).join(F.broadcast(crowded.drop("_rows").withColumn("_many", F.lit(True))), ["_conv", "_block"], "left")
+    fine = F.struct(F.col("_turn").alias("turn"), F.substring("_digest", 1, 3).alias("digest"))
+    coarse = F.struct(F.shiftleft("_block", PART_BITS).alias("turn"), F.lit("").alias("digest"))
+    return rows.withColumn("_part", F.when(F.col("_many"), fine).otherwise(coarse)).drop("_block", "_many")
+
+
 def _line(role: Column, text: Column) -> Column:
     return F.concat(F.lit("<|"), role, F.lit("|>\n"), text, F.lit("\n"))
 
