@@ -4,16 +4,17 @@ Trusted positives are rows labelled 1, the unlabelled set is web text at large.
 over statistics of the text minimises the non-negative risk: with class prior p and losses of the
 positives (as positive, as negative) and of the unlabelled as negative,
 ``p * R_pos(+) + max(0, R_unl(-) - p * R_pos(-))``; where the second term falls below zero its
-gradient is reversed, which keeps a flexible model from overfitting. The prior is estimated as
-the share of label 1 among labelled rows, and a two-parameter logistic fit on the labelled rows
-turns the network's output into the score.
+gradient is reversed, which keeps a flexible model from overfitting. The prior is estimated from
+positives against unlabelled rows: of all thresholds of a first network the least ratio of what
+passes. Where rows labelled 0 are at hand, they give the prior (the share of label 1) and a
+two-parameter logistic fit of the score; nothing else is learnt from them.
 
-Learnt from about ``POSITIVES`` labelled and ``UNLABELLED`` other documents, drawn by hash of the
-id from rows that may be learnt from; every document is scored from its whole text.
+Learnt from about ``POSITIVES`` labelled and ``UNLABELLED`` other documents, drawn by hash (of the
+id, of id and text) from rows that may be learnt from; every document is scored from its whole text.
 
 Defined results: null text counts as empty; repeated rows give a row each; of several labels of
-an id the smallest counts; without positive labels, or without others, every score is the prior
-(1 if there are no labels at all).
+an id the smallest counts; without positive labels, or without other rows, every score is the prior
+(1 if there are no labels at all); texts of any length are read whole. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -72,13 +73,27 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
+def risk(z_p: np.ndarray, z_u: np.ndarray, prior: float) -> tuple[float, np.ndarray, np.ndarray]:
+    """Non-negative risk of the outputs for positives and unlabelled rows, and the slopes to follow.
+
+    Sigmoid loss: of z as positive s(-z), as negative s(z); its slope is s(z) (1 - s(z)). Where the
+    unlabelled part would be negative its slope is reversed, and the positives' own part rests.
+    """
+    s_p, s_u = _sigmoid(z_p), _sigmoid(z_u)
+    negative = s_u.mean() - prior * s_p.mean()
+    slope_p, slope_u = s_p * (1 - s_p) / len(s_p), s_u * (1 - s_u) / len(s_u)
+    value = prior * (1 - s_p).mean() + max(0.0, negative)
+    return (value, -2 * prior * slope_p, slope_u) if negative >= 0 else (value, prior * slope_p, -slope_u)
+
+
 class Model:
     """Standardisation, one hidden layer, and the logistic fit of its output."""
 
     def __init__(self, prior: float):
         self.prior, self.weights = prior, None
 
-    def fit(self, positive: np.ndarray, unlabelled: np.ndarray, labelled: np.ndarray, labels: np.ndarray, steps: int = 600) -> None:
+    def fit(self, positive: np.ndarray, unlabelled: np.ndarray, steps: int = 600) -> None:
+        """Minimise the risk on the two sets; the score is the network's output as it is."""
         every = np.concatenate((positive, unlabelled))
         self.mean, self.spread = every.mean(0), every.std(0) + 1e-6
         rng = np.random.default_rng(7)
@@ -88,14 +103,7 @@ class Model:
         xp, xu = self._scaled(positive), self._scaled(unlabelled)
         for step in range(1, steps + 1):
             hp, hu = np.tanh(xp @ w[0] + w[1]), np.tanh(xu @ w[0] + w[1])
-            # Sigmoid loss: of z as positive s(-z), as negative s(z); its slope is s(z) (1 - s(z)).
-            sp, su = _sigmoid(hp @ w[2] + w[3]), _sigmoid(hu @ w[2] + w[3])
-            negative = su.mean() - self.prior * sp.mean()
-            slope_p, slope_u = sp * (1 - sp) / len(sp), su * (1 - su) / len(su)
-            if negative >= 0:
-                gp, gu = -2 * self.prior * slope_p, slope_u
-            else:
-                gp, gu = self.prior * slope_p, -slope_u
+            _, gp, gu = risk(hp @ w[2] + w[3], hu @ w[2] + w[3], self.prior)
             grads = [0.0] * 4
             for x, h, g in ((xp, hp, gp), (xu, hu, gu)):
                 back = np.outer(g, w[2]) * (1 - h * h)
@@ -104,10 +112,20 @@ class Model:
             for i, g in enumerate(grads):
                 m[i], v[i] = 0.9 * m[i] + 0.1 * g, 0.999 * v[i] + 0.001 * g * g
                 w[i] = w[i] - 0.02 * (m[i] / (1 - 0.9**step)) / (np.sqrt(v[i] / (1 - 0.999**step)) + 1e-9)
-        self.weights = w
-        self.scale = (1.0, 0.0)
+        self.weights, self.scale = w, (1.0, 0.0)
+
+    def calibrate(self, labelled: np.ndarray, labels: np.ndarray) -> None:
+        """Fit the score to rows of both labels."""
         self.scale = _logistic(self._raw(labelled), labels)
 
+    def estimate_prior(self, positive: np.ndarray, unlabelled: np.ndarray) -> float:
+        """The share of positives among the unlabelled that a trained network cannot rule out: of all
+        thresholds the least ratio of what passes among them to what passes among positives."""
+        z_p, z_u = np.sort(self._raw(positive)), np.sort(self._raw(unlabelled))
+        cuts = z_p[: max(1, int(len(z_p) * 0.8))]  # a fifth of the positives pass at least
+        passed = lambda z: 1 - np.searchsorted(z, cuts, "left") / len(z)
+        return float(np.clip((passed(z_u) / passed(z_p)).min(), 0.01, 0.99))
+
     def _scaled(self, x: np.ndarray) -> np.ndarray:
         return np.clip((x - self.mean) / self.spread, -8, 8)
 
@@ -132,28 +150,37 @@ def _logistic(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(max(w[0], 1e-6)), float(w[1])
 
 
-def learn(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> Model:
+def learn(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabelled: int = UNLABELLED, calibrated: bool = True) -> Model:
+    """The model; ``calibrated`` lets negative labels, where there are any, set the prior and the scale."""
     known = labels.filter(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()).groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    drawn = lambda rows, n: F.pmod(F.xxhash64("doc_id"), F.lit(max(1, rows // n))) == 0
-    # About `positives` ids and labels.
-    sample = F.broadcast(known.filter(drawn(labels.count(), positives)).select(F.col("doc_id").alias("_id"), "quality"))
+    drawn = lambda rows, n, *of: F.pmod(F.xxhash64(*of), F.lit(max(1, rows // n))) == 0
+    # About `positives` ids and labels, twice as many at most.
+    sample = known.filter(drawn(labels.count(), positives, "doc_id")).select(F.col("doc_id").alias("_id"), "quality").limit(2 * positives)
     plain = docs.select("doc_id", "text")
-    rows = plain.join(sample, F.col("doc_id") == F.col("_id"), "left").filter(
-        F.col("quality").isNotNull() | (~held_out() & drawn(docs.count(), unlabelled))
+    rows = plain.join(F.broadcast(sample), F.col("doc_id") == F.col("_id"), "left").filter(
+        F.col("quality").isNotNull() | (~held_out() & drawn(docs.count(), unlabelled, "doc_id", "text"))
     )
-    # Bounded by the two parameters: some twenty numbers a row.
-    got = rows.select(F.col("quality").cast("int").alias("quality"), "text").mapInArrow(_features, "quality int, x array<double>").toPandas()
+    # Bounded by the two parameters, whatever ids and texts repeat: some twenty numbers a row.
+    got = rows.select(F.col("quality").cast("int").alias("quality"), "text").mapInArrow(_features, "quality int, x array<double>")
+    got = got.limit(4 * (positives + unlabelled)).toPandas()
     if not len(got):
         return Model(1.0)
     x = np.array(got["x"].tolist(), float)
     y = got["quality"].to_numpy(float, na_value=np.nan)
     order = np.lexsort((*x.T, np.nan_to_num(y, nan=2.0)))  # the rows arrive in any order
     x, y = x[order], y[order]
-    has = ~np.isnan(y)
-    model = Model(float(y[has].mean()) if has.any() else 1.0)
-    if (y == 1).any() and (y == 0).any():
-        # Web text at large: what is not labelled, and the labelled rows in their natural mix.
-        model.fit(x[y == 1], x, x[has], y[has])
+    has, good = ~np.isnan(y), x[y == 1]
+    negatives = calibrated and (y == 0).any()
+    model = Model(float(y[has].mean()) if negatives or not len(good) and has.any() else 1.0)
+    # Web text at large: what is not labelled, and the labelled rows in their natural mix.
+    if len(good) and negatives:
+        model.fit(good, x)
+        model.calibrate(x[has], y[has])
+    elif len(good) and len(x) > len(good):
+        model.prior = 0.5
+        model.fit(good, x[y != 1])
+        model.prior = model.estimate_prior(good, x[y != 1])
+        model.fit(good, x[y != 1])
     return model
 
 
