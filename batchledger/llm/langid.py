@@ -5,11 +5,12 @@ words. A document's own most frequent grams are compared to every profile: the o
 distance adds up how far each gram's rank is from its rank there, ``TOP`` where it has none. The
 nearest profile wins, the first by name if equal.
 
-Profiles are learnt from about ``TRAIN_ROWS`` documents with a language, drawn by hash of the id
-from those that may be learnt from; every document is predicted from its whole text.
+Profiles are learnt from about ``LANG_ROWS`` documents of each language, drawn by hash from those that
+may be learnt from, or from all of them where there are fewer; every document is predicted from its
+whole text.
 
 Defined results: null text and text without letters are ``und`` with score 0, as is everything
-when there is nothing to learn from; repeated rows give a row each. The score is 1 minus the
+when there is nothing to learn from; repeated rows give a row each; an empty table gives none. The score is 1 minus the
 distance as a share of the greatest possible one.
 """
 
@@ -25,7 +26,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 from .common import held_out, worker_cache
 
 TOP = 400
-TRAIN_ROWS = 20_000
+LANG_ROWS = 5_000
+#: Languages whose frequency is looked up; the rest, no more frequent than these, give all their rows.
+MOST_LANGUAGES = 1000
 
 
 def _letters_and_blanks() -> tuple[np.ndarray, np.ndarray]:
@@ -80,12 +83,17 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def learn_profiles(docs: DataFrame, top: int = TOP, train_rows: int = TRAIN_ROWS) -> dict[str, list[int]]:
+def learn_profiles(docs: DataFrame, top: int = TOP, lang_rows: int = LANG_ROWS) -> dict[str, list[int]]:
     """Ranked grams per language: ``top`` numbers each, whatever the size of the corpus."""
-    share = max(1, docs.count() // train_rows)
-    rows = docs.filter(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    rows = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(share)) == 0).select("text", "lang")
-    counts = rows.mapInArrow(_count, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    rows = docs.filter(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", "lang")
+    # Rare languages give all their rows: each has a rate of its own. MOST_LANGUAGES rows at most.
+    known = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect()
+    frequent = [(r["lang"], r["n"] // lang_rows) for r in known if r["n"] >= 2 * lang_rows]
+    if frequent:
+        shares = F.create_map(*[F.lit(x) for pair in frequent for x in pair])
+        share = F.coalesce(F.try_element_at(shares, F.col("lang")), F.lit(1))
+        rows = rows.filter(F.pmod(F.xxhash64("doc_id", "text"), share) == 0)
+    counts = rows.select("text", "lang").mapInArrow(_count, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
     best = counts.withColumn("rank", rank).filter(F.col("rank") <= top).orderBy("lang", "rank")
     profiles: dict[str, list[int]] = {}
@@ -127,8 +135,8 @@ def _predict(profiles: dict[str, list[int]], top: int) -> Callable:
     return run
 
 
-def identify(docs: DataFrame, top: int = TOP, train_rows: int = TRAIN_ROWS) -> DataFrame:
+def identify(docs: DataFrame, top: int = TOP, lang_rows: int = LANG_ROWS) -> DataFrame:
     """One row per document: doc_id, held_out, lang_pred, score."""
-    profiles = learn_profiles(docs, top, train_rows)
+    profiles = learn_profiles(docs, top, lang_rows)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), held_out().alias("held_out"), "text")
     return rows.mapInArrow(_predict(profiles, top), "doc_id bigint, held_out boolean, lang_pred string, score double")
