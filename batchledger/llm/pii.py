@@ -14,7 +14,8 @@ its kind needs (checked like the patterns), must not touch a valid match of the
 lie within one of its own kind that failed.
 
 Defined results: null text counts as empty; without digits and ``@`` there are no spans; repeated
-rows give a row each. Positions are code points, ends exclusive.
+rows give a row each; of overlapping spans of one kind the leftmost stands; texts of any length are read
+whole; an empty table gives no rows. Positions are code points, ends exclusive.
 """
 
 from __future__ import annotations
@@ -362,7 +363,7 @@ def _value(rng: np.random.Generator) -> tuple[int, str]:
         return 2, sep.join(body[i : i + 4] for i in range(0, 16, 4))
     if kind == 3:
         area, mid, end = _digits(rng, 3), _digits(rng, 3), _digits(rng, 4)
-        return 3, str(rng.choice([f"+1 ({area}) {mid}-{end}", f"({area}) {mid}-{end}", f"{area}-{mid}-{end}", f"+49 {area} {mid}{end}", f"00{rng.integers(1, 99)} {area} {mid} {end}"]))
+        return 3, str(rng.choice([f"+1 ({area}) {mid}-{end}", f"({area}) {mid}-{end}", f"{area}-{mid}-{end}", f"+49 {area} {mid}{end}", f"00{rng.integers(1, 99)} {area} {mid} {end}", f"{area}.{mid}.{end}", f"1.{area}.{mid}.{end}"]))
     alike = [
         f"version {rng.integers(1, 9)}.{rng.integers(0, 20)}", f"{rng.integers(1900, 2100)}", f"{rng.integers(1900, 2100)}-0{rng.integers(1, 9)}-{rng.integers(10, 28)}",
         f"{rng.integers(1, 23)}:{rng.integers(10, 59)}:{rng.integers(10, 59)}", f"{rng.integers(1, 999)},{_digits(rng, 3)},{_digits(rng, 3)}", _digits(rng, rng.integers(1, 7)),
@@ -372,12 +373,12 @@ def _value(rng: np.random.Generator) -> tuple[int, str]:
     return -1, str(rng.choice(alike))
 
 
-def train(docs: DataFrame, train_rows: int = TRAIN_ROWS, written: int = 4000) -> Tagger | None:
+def train(docs: DataFrame, train_rows: int = TRAIN_ROWS, written: int = 6000) -> Tagger | None:
     """The tagger; None for an empty table."""
     share = max(1, docs.count() // train_rows)
-    rows = docs.filter(F.col("text").isNotNull() & (F.pmod(F.xxhash64("doc_id"), F.lit(share)) == 0)).select("text")
-    # About train_rows documents, TRAIN_WINDOWS + 1 windows each at most.
-    got = rows.mapInArrow(_examples, "text string, tags array<bigint>").toPandas()
+    rows = docs.filter(F.col("text").isNotNull() & (F.pmod(F.xxhash64("doc_id", "text"), F.lit(share)) == 0)).select("text")
+    # About train_rows documents, TRAIN_WINDOWS + 1 windows each at most; twice that whatever repeats.
+    got = rows.mapInArrow(_examples, "text string, tags array<bigint>").limit(2 * train_rows * (TRAIN_WINDOWS + 1)).toPandas()
     if not len(got):
         return None
     examples = sorted(zip(got["text"], map(tuple, got["tags"])))  # they arrive in any order

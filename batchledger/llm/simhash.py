@@ -16,7 +16,8 @@ there. Two of them are within 2 bits exactly when they share such a neighbour, s
 smallest fingerprint at each neighbour keeps every group whole, with about 40 rows a member.
 
 Defined results: null and empty texts have the fingerprint 0 and are linked like any others; fewer
-than three words are one shingle; ``component_id`` ignores null ids unless there are no others.
+than three words are one shingle; ``component_id`` ignores null ids unless there are no others; repeated
+rows give a row each; texts of any length count whole; an empty table gives no rows.
 """
 
 from __future__ import annotations

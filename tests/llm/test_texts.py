@@ -191,6 +191,35 @@ def test_sequences_hold_the_mixture(spark, tokenizer_path):
     assert packing.pack(documents(spark, []), tokenizer_path).collect() == []
 
 
+def test_every_code_point_beside_letters(tokenizer_path):
+    with open(tokenizer_path, encoding="utf-8") as file:
+        encoder = packing.WordEncoder(file.read())
+    chars = [chr(c) for c in range(0x21, 0x20000) if not 0xD800 <= c < 0xE000]
+    texts = [f"é{c}B ab{c}" for c in chars]
+    want = encoder.tokenizer.encode_batch(texts, add_special_tokens=False)
+    odd = [c for c, t, w in zip(chars, texts, want) if encoder.encode(t.encode()) != encoder._numbers(w.ids) + encoder.end]
+    assert odd == []
+
+
+def test_the_largest_of_many_sources_keep_their_queues(spark, tokenizer_path, monkeypatch):
+    monkeypatch.setattr(packing, "MAX_QUEUES", 8)
+    rows = [(i, "some words here " * (40 if i % 3 == 0 else 1 + i % 2), "hot" if i % 3 == 0 else f"s{i % 50}") for i in range(600)]
+    docs = documents(spark, rows)
+    queues = packing._queues(docs.select("doc_id", "text", "source")).select("source", "queue").distinct().collect()
+    assert len({r["queue"] for r in queues}) == 8
+    assert {r["queue"] for r in queues if r["source"] == "hot"} == {"0hot"} and sum(r["queue"] == "0hot" for r in queues) == 1
+    pieces = packing.pack(docs, tokenizer_path, length=256, with_ids=False).collect()
+    hot = sum(r["length"] for r in pieces if r["doc_id"] % 3 == 0)
+    share = hot / sum(r["length"] for r in pieces)
+    own = Counter()
+    for r in pieces:
+        own[r["sequence_id"]] += r["length"] * (r["doc_id"] % 3 == 0)
+    # Up to where the last, partly filled grains of the eight queues begin.
+    assert all(abs(n - share * 256) <= 64 for k, n in own.items() if k <= max(own) - 3)
+    tokens = {r["doc_id"]: r["doc_tokens"] for r in pieces}
+    assert len(tokens) == 600 and sum(tokens.values()) == sum(r["length"] for r in pieces)
+
+
 # ---- licenses ----
 
 
@@ -207,6 +236,49 @@ def plain_scan(text):
     return len(words), len(at), min(at, default=None), max(at, default=None), ",".join(sorted(labels))
 
 
+def plain_labels(text):
+    """Best coverage and labels, diagonal by diagonal."""
+    text = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", text)
+    at = defaultdict(list)
+    for i in range(len(words) - 1):
+        at[words[i], words[i + 1]].append(i)
+    labels, score = set(), 0.0
+    for number, (phrase, label) in enumerate([*license_scan.BASE.items(), *license_scan.TEMPLATES.items()]):
+        own = phrase.split()
+        met = defaultdict(set)
+        for k in range(len(own) - 1):
+            for i in at[own[k], own[k + 1]]:
+                met[i - k].add(k)
+        best = max((len(set().union(*(met.get(d + j, set()) for j in range(license_scan.DRIFT + 1)))) for d in list(met)), default=0)
+        coverage = best / (len(own) - 1)
+        if number < len(license_scan.BASE) and plain_scan(text)[1] and label in plain_scan(text)[4].split(","):
+            coverage = 1.0
+        if coverage >= license_scan.COVERAGE:
+            labels.add(label)
+            score = max(score, coverage)
+    return ",".join(sorted(labels)), score
+
+
+def test_license_labels_against_plain(spark):
+    rng = random.Random(8)
+    words = sorted({w for t in [*license_scan.BASE, *license_scan.TEMPLATES] for w in t.split()}) + ["x", "y"]
+    templates = list(license_scan.TEMPLATES)
+    texts = ["cc by cc by", "cc by cc by cc by cc by nc", "cc by x nc", "cc x by nc", "by nc cc by"]
+    for _ in range(150):
+        own = rng.choice(templates).split()
+        for _ in range(rng.randint(0, 4)):
+            i = rng.randrange(len(own))
+            own[i : i + rng.randint(0, 1)] = [rng.choice(words)] * rng.randint(0, 2)
+            own = own or ["x"]
+        texts.append(" ".join(rng.choices(words, k=rng.randint(0, 8)) + own * rng.randint(1, 2) + rng.choices(words, k=5)))
+    rows = [(i, t, "a") for i, t in enumerate(texts)]
+    got = {r["doc_id"]: (r["labels"], round(r["score"], 9)) for r in license_scan.scan(documents(spark, rows)).collect()}
+    want = {i: plain_labels(t) for i, t, _ in rows}
+    assert got == {i: (a, round(b, 9)) for i, (a, b) in want.items()}
+    assert got[0] == ("cc-by", 1.0) and got[1] == ("cc-by,cc-by-nc", 1.0)
+
+
 def test_license_scan(spark):
     mit = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software"
     rows = awkward() + [
@@ -250,9 +322,55 @@ def test_quality_awkward(spark):
     assert quality.keep_good(docs, labels.limit(0)).columns == docs.columns
 
 
+def test_quality_from_positives_alone(spark):
+    folder = SF_DIR.replace("0.001", "0.01")
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    truth = {r["doc_id"]: r["quality"] for r in labels.collect()}
+    model = quality.learn(docs, labels.filter("quality = 1"))
+    assert 0.5 < model.prior < 0.99
+    for option in ({}, {"calibrated": False}):
+        model = quality.learn(docs, labels.filter("quality = 1") if not option else labels, **option)
+        rows = [(model.score(np.array([quality.features(r["text"])]))[0], truth[r["doc_id"]]) for r in docs.collect() if r["doc_id"] in truth and zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2]
+        good, bad = [s for s, y in rows if y], [s for s, y in rows if not y]
+        assert np.mean([(s > b) + 0.5 * (s == b) for s in good for b in bad]) > 0.9
+        assert np.median(good) > np.median(bad)
+
+
+def test_risk_and_its_slopes():
+    rng = np.random.default_rng(4)
+    for prior, shift in ((0.3, 0.0), (0.9, -3.0)):
+        z_p, z_u = rng.normal(1, 1, 30), rng.normal(shift, 1, 50)
+        value, slope_p, slope_u = quality.risk(z_p, z_u, prior)
+        s = lambda z: 1 / (1 + np.exp(-z))
+        negative = s(z_u).mean() - prior * s(z_p).mean()
+        assert value == pytest.approx(prior * s(-z_p).mean() + max(0, negative))
+        # Below zero the slope of the negative part is turned round.
+        parts = (lambda p, u: prior * s(-p).mean() + s(u).mean() - prior * s(p).mean()) if negative >= 0 else (lambda p, u: prior * s(p).mean() - s(u).mean())
+        for z, slope, f in ((z_p, slope_p, lambda z: parts(z, z_u)), (z_u, slope_u, lambda z: parts(z_p, z))):
+            for i in (0, 7):
+                step = np.zeros(len(z))
+                step[i] = 1e-6
+                assert slope[i] == pytest.approx((f(z + step) - f(z - step)) / 2e-6, abs=1e-7)
+    assert negative < 0
+
+
 # ---- language ----
 
 
+def test_rare_languages_are_learnt(spark, monkeypatch):
+    rng = random.Random(2)
+    text = lambda letters: " ".join("".join(rng.choice(letters) for _ in range(5)) for _ in range(30))
+    rows = [(i, text("abcd"), "a", "common") for i in range(400)] + [(1000 + i, text("wxyz"), "a", "rare") for i in range(4)]
+    rows += [(5000 + i, text("abcd"), "a", None) for i in range(300)]
+    docs = documents(spark, rows)
+    profiles = langid.learn_profiles(docs, lang_rows=20)
+    assert set(profiles) == {"common", "rare"}
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.identify(docs, lang_rows=20).collect()}
+    assert all(got[1000 + i] == "rare" for i in range(4)) and got[5000] == "common"
+    monkeypatch.setattr(langid, "MOST_LANGUAGES", 1)
+    assert set(langid.learn_profiles(docs, lang_rows=20)) == {"common", "rare"}
+
+
 def test_language_held_out(spark):
     docs = table(spark, SF_DIR.replace("0.001", "0.01"), "documents")
     langs = {r["doc_id"]: r["lang"] for r in docs.select("doc_id", "lang").collect()}
@@ -294,6 +412,35 @@ def test_gram_counts():
     assert dict(zip(codes.tolist(), counts.tolist())) == packed
 
 
+# ---- personal data formats ----
+
+
+def test_formats_the_patterns_miss(spark):
+    """With the tagger as trained on the benchmark table."""
+    tagger = pii.train(table(spark, SF_DIR.replace("0.001", "0.1"), "documents"))
+    rng = random.Random(6)
+    digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    kinds = {
+        "(ddd) ddd-dddd": lambda: f"({digits(3)}) {digits(3)}-{digits(4)}",
+        "ddd-ddd-dddd": lambda: f"{digits(3)}-{digits(3)}-{digits(4)}",
+        "ddd.ddd.dddd": lambda: f"{digits(3)}.{digits(3)}.{digits(4)}",
+        "1.ddd.ddd.dddd": lambda: f"1.{digits(3)}.{digits(3)}.{digits(4)}",
+    }
+    recall = {}
+    for kind, value in kinds.items():
+        texts, at = [], []
+        for _ in range(100):
+            v = value()
+            texts.append(f"please call {v} before noon")
+            at.append((3, 12, 12 + len(v)))
+        found = [more for _, more in pii.find_spans(texts, tagger)]
+        recall[kind] = np.mean([a in m for a, m in zip(at, found)])
+    print(recall)
+    assert min(recall.values()) >= 0.8, recall
+    alike = ["released in version 12.3.4 today", "it was 2024-05-17 then", "at 12:30:45 sharp", "about 1,234,567 people", "pi is 3.14159 or so"]
+    assert [more for _, more in pii.find_spans(alike, tagger)] == [[]] * len(alike)
+
+
 # ---- pipeline ----
 
 
