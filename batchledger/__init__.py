@@ -114,5 +114,6 @@ from .sources.slurm import drop_array_tasks, parse_sacct, parse_scontrol, parse_
 from .sources.tsv import read_resub_edges, read_runinfo_log
 from .sources.xml import read_jobconf, read_runinfo
 from .streaming.polls import stream_accounting, stream_completion, stream_queue_changes, stream_status
+from .streaming.retries import stream_retries
 
 __all__ = [name for name in dir() if not name.startswith("_")]

@@ -13,10 +13,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.snapshots import snapshot_changes
 from ..session import scratch_path
-from ..streaming import polls as sp
+from ..streaming import polls as sp, retries as rt
 from . import bindings as b
 from .bindings import history_sql, with_sql
-from .registry import query
+from .registry import query, stored
 
 # Last poll of the first and of the second slice.
 SLICES = (10, 20)
@@ -224,3 +224,49 @@ def _(spark, d):
     fed, seen = spark.read.schema(gone.schema).parquet(f"{base}/gone"), spark.read.schema(records.schema).parquet(f"{base}/records")
     missed = sp.late_accounting(fed, seen, accounted, "15 seconds")
     return accounted.unionByName(missed).filter(F.col("list_id") != "end")
+
+
+@query(
+    "stream_retries",
+    H + """, gone AS (
+      SELECT list_id, job_id, poll_ts, job_id % 25 AS wait, job_id % 25 <= 15 AS in_time, job_id % 9 = 3 AS after
+      FROM changes WHERE cur_state IS NULL),
+    decided AS (
+      SELECT *, in_time AND NOT after AS has, CASE WHEN in_time AND NOT after THEN 'found' ELSE 'missing' END AS outcome FROM gone
+      UNION ALL SELECT *, TRUE, 'late' FROM gone WHERE in_time AND after)
+    SELECT list_id, job_id, poll_ts AS departed_ts, CASE WHEN has THEN poll_ts + to_seconds(wait) END AS record_ts,
+      CASE WHEN has THEN CAST((wait + 4) // 5 + 1 AS INTEGER) END AS tries, outcome,
+      CASE WHEN has THEN CAST(job_id % 3 AS INTEGER) END AS exit_code
+    FROM decided""",
+)
+def _(spark, d):
+    base, own = scratch_path(spark, "retries"), _streaming(spark)
+    gone = sp.departures(snapshot_changes(b.poll_history(spark, d)).withColumn("list_id", F.col("list_id").cast("string")))
+    gone = stored(gone, "gone")
+    wait = F.col("job_id") % 25
+    records = gone.select(
+        "list_id",
+        "job_id",
+        b.plus_seconds(F.col("departed_ts"), wait).alias("record_ts"),
+        (F.col("job_id") % 3).cast("int").alias("exit_code"),
+    )
+    # Every ninth departure comes behind the watermark with its record; of other ninths only the record does.
+    half = F.lit(b.FIRST_POLL).cast("timestamp") + F.expr("interval 15 days")
+    late, after = F.col("job_id") % 9 == 0, F.col("job_id") % 9 == 3
+    end = gone.agg(F.max("departed_ts").alias("t")).select(F.col("t") + F.expr("interval 2 days"))
+    last = spark.range(1).select(F.lit("end").alias("list_id"), F.lit(-1).cast("bigint").alias("job_id"), end.scalar().alias("t"))
+    for left, right in (
+        (gone.filter(~late & (F.col("departed_ts") < half)), records.filter(~late & ~after & (F.col("record_ts") < half))),
+        (gone.filter(~late & (F.col("departed_ts") >= half)), records.filter(~late & ~after & (F.col("record_ts") >= half))),
+        (last.withColumnRenamed("t", "departed_ts"), last.withColumn("exit_code", F.lit(0)).withColumnRenamed("t", "record_ts")),
+        (gone.filter(late), records.filter(late | after)),
+    ):
+        left.write.mode("append").parquet(f"{base}/gone")
+        right.write.mode("append").parquet(f"{base}/records")
+        out = rt.stream_retries(
+            own.readStream.schema(gone.schema).parquet(f"{base}/gone"),
+            own.readStream.schema(records.schema).parquet(f"{base}/records"),
+            "10 minutes",
+        )
+        _run(out, f"{base}/out", f"{base}/checkpoint")
+    return spark.read.schema(out.schema).parquet(f"{base}/out").filter(F.col("list_id") != "end")
