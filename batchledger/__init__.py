@@ -106,6 +106,7 @@ from .sinks.exports import (
     write_jobconf,
     write_runinfo,
 )
+from .sinks.store import add_records, read_store, refresh_store
 from .sources.lines import read_batch, read_dump, read_job_lists, read_lines, read_streams, read_texts, split_dump
 from .sources.lsf import parse_bjobs, parse_bjobs_long, parse_bjobs_wide, unwrap_years
 from .sources.mixed import extract_job_ids, parse_mixed

@@ -63,6 +63,11 @@ class _Folder:
             raise OSError(f"cannot rename {hidden} to {name} in {self.root}")
 
 
+def published(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the commits that can be read, ascending."""
+    return sorted(_Folder(spark, path).numbers("", r"batch=(\d+)"))
+
+
 def commit(spark: SparkSession, path: str, write: Callable[[str], None], token: str | None = None, number: int | None = None) -> int:
     """Let ``write`` fill a folder and publish it as the next commit, or as ``number`` if that is free."""
     folder = _Folder(spark, path)
@@ -83,7 +88,8 @@ def _take(folder: _Folder, bound: str | None, number: int | None) -> int:
         return int(folder.read(bound))
     if number is not None:
         free = not folder.exists(f"batch={number}") and folder.create(f"_commits/{number}", bound or "")
-        if not free:
+        # Taken by the same append, which died before the token was bound.
+        if not free and not (bound and not folder.exists(f"batch={number}") and folder.read(f"_commits/{number}") == bound):
             raise ValueError(f"commit {number} is taken")
     else:
         known = folder.numbers("", r"batch=(\d+)") + folder.numbers("_commits", r"(\d+)")

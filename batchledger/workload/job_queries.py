@@ -13,7 +13,7 @@ from ..operators import snapshots as sn
 from ..plans import report as rp
 from ..plans.resubmit import plan_resubmit
 from ..session import scratch_path
-from ..sinks import exports
+from ..sinks import exports, store
 from ..sources import tsv
 from ..sources.records import split_records
 from . import bindings as b
@@ -243,6 +243,24 @@ def _(spark, d):
     return j.refresh_records(r.filter(F.col("job_id") % 4 != 0), newer).select("list_id", "job_id", "state")
 
 
+@query(
+    "record_store",
+    R + """, stored AS (
+      SELECT list_id, job_id, CASE WHEN job_id % 3 = 0 AND (job_id % 4 = 0 OR NOT fin) THEN 'COMPLETED' ELSE state END AS state
+      FROM runinfo WHERE job_id % 3 = 0 OR job_id % 4 <> 0)
+    SELECT list_id, job_id, state, state IN ('COMPLETED', 'KILLED', 'FAILED', 'CANCELLED') AS final FROM stored""",
+)
+def _(spark, d):
+    # The same through the store: what it holds, a refresh of open jobs, and jobs it did not know.
+    path, r = scratch_path(spark, "records"), b.runinfo(spark, d)
+    newer = r.filter(F.col("job_id") % 3 == 0).withColumn("state", F.lit("COMPLETED"))
+    store.add_records(spark, path, r.filter(F.col("job_id") % 4 != 0))
+    store.refresh_store(spark, path, newer)
+    store.add_records(spark, path, newer)
+    kinds = [store.read_store(spark, path, final).withColumn("final", F.lit(final)) for final in (True, False)]
+    return kinds[0].unionByName(kinds[1]).select("list_id", "job_id", "state", "final")
+
+
 @query("queue_for_list", R + QUEUE_SQL + " SELECT list_id, job_id, state FROM queue")
 def _(spark, d):
     # The queue also holds jobs of no list.
