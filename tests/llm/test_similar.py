@@ -4,6 +4,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from helpers import awkward, collected, documents
@@ -152,6 +153,25 @@ def test_copies_of_one_text_cost_as_many_pairs_as_texts(spark, monkeypatch):
     assert work[600] <= 2.3 * work[300] and work[600] <= 60 * 600
 
 
+def test_wide_sketches_rule_out_no_linked_pair():
+    rng = np.random.default_rng(4)
+    for n in (0, 1, 5, 255, 256, 257, 1000, 5000, 20_000):
+        x = np.unique(rng.integers(-(2**63), 2**63 - 1, n))
+        rows = {"a": [], "b": [], "size": [], "wide_a": [], "wide_b": []}
+        linked, far = [], []
+        for changed in (0, n // 18, n // 9, n // 8, n // 5, n):
+            y = np.unique(np.concatenate((x[changed:], rng.integers(-(2**63), 2**63 - 1, changed))))
+            y = y[: max(len(y) - n // 50, 0)]  # of different widths around powers of two
+            linked.append(9 * near_copies._shared(x, y) >= 4 * (len(x) + len(y)))
+            far.append(n >= 255 and changed >= n // 5)
+            for c, v in zip(rows, (n, changed, len(x) + len(y), near_copies.wide_sketch(x), near_copies.wide_sketch(y))):
+                rows[c].append(v)
+        (out,) = near_copies._near(iter([pa.RecordBatch.from_pydict(rows)]))
+        left = set(out.column("b").to_pylist())
+        assert {c for c, near in zip(rows["b"], linked) if near} <= left
+        assert not left & {c for c, f in zip(rows["b"], far) if f}
+
+
 def brute(vectors, threshold):
     """vec_id -> (links, component) for rows (vec_id, vector, label)."""
     n = len(vectors)
