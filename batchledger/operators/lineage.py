@@ -36,36 +36,43 @@ def _pointers(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     nobody will at twice the distance. Joins are on (list, job), never on the list alone, and the
     looked-up side has one row per key, so AQE can split a hot key of the other side.
 
-    Past as many steps as there are jobs only jobs on or below a cycle go on; they have no first
-    attempt, and each then points to a job of its cycle.
+    Past as many steps as their list has resubmitted jobs only jobs on or below a cycle go on; they have
+    no first attempt, and each then points to a job of its cycle. The bound is the list's own, so a few
+    cycles in short lists take a few rounds, however many lists there are.
     """
     parents = resubmission_of(edges).withColumnRenamed("resubmission_of", "anc")
     has_parent = parents.select("list_id", F.col("job_id").alias("anc"), F.lit(True).alias("more"))
+    longest = parents.groupBy("list_id").agg(F.count(F.lit(1)).alias("most"))
     table = cut_lineage(
-        parents.join(has_parent, ["list_id", "anc"], "left").select(
-            "list_id", "job_id", "anc", F.coalesce("more", F.lit(False)).alias("more")
-        )
+        parents.join(has_parent, ["list_id", "anc"], "left")
+        .join(longest, "list_id")
+        .select("list_id", "job_id", "anc", F.coalesce("more", F.lit(False)).alias("more"), "most")
     )
-    done, active = table.filter(~F.col("more")), table.filter("more")
-    known, reach, total = table, 1, None
+    reach = 1
+
+    def parted(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """Rows at their root, rows that go on, rows that went as far as their list allows."""
+        far = F.col("most") <= reach
+        return rows.filter(~F.col("more")), rows.filter(F.col("more") & ~far), rows.filter(F.col("more") & far)
+
+    done, active, endless = parted(table)
+    known = table
     while not active.isEmpty():
-        total = table.count() if total is None else total
-        if reach > total:
-            break
         wanted = active.select("list_id", F.col("anc").alias("job_id")).distinct()
         known = known.join(wanted, ["list_id", "job_id"], "left_semi")
         jump = known.select("list_id", F.col("job_id").alias("anc"), F.col("anc").alias("next"), F.col("more").alias("next_more"))
         moved = cut_lineage(
             active.join(jump, ["list_id", "anc"]).select(
-                "list_id", "job_id", F.col("next").alias("anc"), F.col("next_more").alias("more")
+                "list_id", "job_id", F.col("next").alias("anc"), F.col("next_more").alias("more"), "most"
             )
         )
         # The looked-up rows a step further: those that were done stay, the others have moved too.
         onward = moved.join(known.select("list_id", "job_id"), ["list_id", "job_id"], "left_semi")
         known = cut_lineage(known.filter(~F.col("more")).unionByName(onward))
-        done, active = done.unionByName(moved.filter(~F.col("more"))), moved.filter("more")
         reach *= 2
-    return done.drop("more"), active.drop("more")
+        at_root, active, astray = parted(moved)
+        done, endless = done.unionByName(at_root), endless.unionByName(astray)
+    return done.drop("more", "most"), endless.drop("more", "most")
 
 
 def _roots(edges: DataFrame) -> DataFrame:
@@ -86,15 +93,16 @@ def lineage_cycles(edges: DataFrame) -> DataFrame:
     members = cut_lineage(endless.select("list_id", F.col("anc").alias("job_id")).distinct())
     parents = resubmission_of(edges).withColumnRenamed("resubmission_of", "anc")
     ring = members.join(parents, ["list_id", "job_id"]).withColumn("least", F.least("job_id", "anc"))
-    number, reach = members.count(), 1
-    while reach < number:
+    ring = cut_lineage(ring.withColumn("fell", F.lit(True)))
+    # Once no minimum of a stretch falls when the stretch doubles, each is that of its whole cycle.
+    while not ring.filter("fell").isEmpty():
         ahead = ring.select("list_id", F.col("job_id").alias("anc"), F.col("anc").alias("next"), F.col("least").alias("further"))
         ring = cut_lineage(
             ring.join(ahead, ["list_id", "anc"]).select(
-                "list_id", "job_id", F.col("next").alias("anc"), F.least("least", "further").alias("least")
+                "list_id", "job_id", F.col("next").alias("anc"), F.least("least", "further").alias("least"),
+                (F.col("further") < F.col("least")).alias("fell"),
             )
         )
-        reach *= 2
     return ring.select("list_id", "job_id", F.col("least").alias("cycle_id"))
 
 

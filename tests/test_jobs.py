@@ -169,6 +169,18 @@ def test_cycles_are_returned_and_stop_nobody_else(spark):
     assert later == [(2, 4), (2, 6), *[(14, i) for i in range(15, 21)], (30, 31), (30, 32)]
 
 
+def test_short_cycles_take_few_rounds_however_many_lists(spark, monkeypatch):
+    rounds = []
+    cut = ln.cut_lineage
+    monkeypatch.setattr(ln, "cut_lineage", lambda df: (rounds.append(1), cut(df))[1])
+    pairs = [(f"l{i}", 0, *pair) for i in range(400) for pair in ((1, 2), (2, 1), (2, 3))]
+    edges = spark.createDataFrame(pairs, "list_id STRING, seq BIGINT, from_id BIGINT, to_id BIGINT")
+    got = {(r.list_id, r.job_id, r.cycle_id) for r in ln.lineage_cycles(edges).collect()}
+    assert got == {(f"l{i}", job, 1) for i in range(400) for job in (1, 2)}
+    # 1,200 edges: doubling up to all of them would take eleven rounds, and ten more around the cycles.
+    assert len(rounds) <= 10
+
+
 def test_both_sides_of_a_round_shrink(spark, monkeypatch):
     sizes = []
     cut = ln.cut_lineage
