@@ -27,6 +27,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator
 from decimal import ROUND_HALF_UP, Decimal
+from fractions import Fraction
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -315,8 +316,9 @@ def remaining_seconds(totals: list[int], starts: list[int], at: int) -> int | No
         return None
     gaps = sorted((a - b) // 1_000_000 for a, b in zip(starts, starts[1:]))
     place = (len(gaps) - 1) * QUANTILE
-    low, high = int(place), min(int(place) + 1, len(gaps) - 1)
-    gap = gaps[low] if gaps[low] == gaps[high] or low == place else (low + 1 - place) * gaps[low] + (place - low) * gaps[high]
+    low, high, part = int(place), min(int(place) + 1, len(gaps) - 1), place - int(place)
+    # As in ``interpolated``: the first product and the sum are rounded once.
+    gap = float(Fraction(gaps[low]) * Fraction(1 - part) + Fraction(gaps[high] * part)) if part else gaps[low]
     seconds = Decimal(repr(float(totals[CODES["PENDING"]] * gap + mean)))
     return int(seconds.quantize(Decimal(1), ROUND_HALF_UP))
 

@@ -88,6 +88,23 @@ def test_estimate_uses_the_latest_gaps_only(spark):
     assert remaining(spark, rows, "1970-01-02 00:00:00") == ("start_rate", 17)
 
 
+@pytest.mark.parametrize("gaps, runs, seconds", [((32668, 92544), (1402, 4567), 405829), ((18829, 41545), (1696, 1819), 186766)])
+def test_estimate_beside_a_half_rounds_as_the_sql(spark, gaps, runs, seconds):
+    import duckdb
+    from batchledger.streaming import polls as sp
+
+    starts = [0, gaps[0], sum(gaps)]
+    rows = [("a", i, "COMPLETED", starts[i], starts[i] + run) for i, run in enumerate(runs)] + [("a", 2, "RUNNING", starts[2], None)]
+    rows += [("a", i, "PENDING", None, None) for i in range(3, 8)]
+    assert remaining(spark, rows, "1970-01-03 00:00:00") == ("start_rate", seconds)
+    sql = f"SELECT CAST(round(5 * quantile_cont(g, 0.8) + {sum(runs) / 2}) AS BIGINT) FROM (VALUES (CAST({gaps[0]} AS BIGINT)), ({gaps[1]})) t(g)"
+    assert duckdb.connect().execute(sql).fetchall() == [(seconds,)]
+    totals = [0] * sp.NUMBERS
+    totals[sp.CODES["PENDING"]], totals[sp.CODES["COMPLETED"]], totals[sp.CODES["RUNNING"]] = 5, 2, 1
+    totals[sp.STARTED], totals[sp.RUNS], totals[sp.RUN_SECONDS] = 3, 2, sum(runs)
+    assert sp.remaining_seconds(totals, [s * 1_000_000 for s in reversed(starts)], 0) == seconds
+
+
 def test_unfinished_records_do_not_break_the_mean(spark):
     jobs = jobs_of(spark, [("a", 1, "COMPLETED", 0, 100), ("a", 2, "CANCELLED", None, 5)])
     assert st.mean_runtime(jobs).first().mean_runtime == 100.0
