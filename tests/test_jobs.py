@@ -105,6 +105,12 @@ def test_estimate_beside_a_half_rounds_as_the_sql(spark, gaps, runs, seconds):
     assert sp.remaining_seconds(totals, [s * 1_000_000 for s in reversed(starts)], 0) == seconds
 
 
+def test_status_line_beside_a_half_rounds_as_the_sql(spark):
+    rows = [("a", 0, "COMPLETED", 0, 1402), ("a", 1, "FAILED", 32668, 37235), ("a", 2, "RUNNING", 125212, None)]
+    jobs = jobs_of(spark, rows + [("a", i, "PENDING", None, None) for i in range(3, 8)])
+    assert "Remaining time ~112H43M49S;" in status_report(jobs, queue_of(jobs), "1970-01-03 00:00:00").first().line
+
+
 def test_unfinished_records_do_not_break_the_mean(spark):
     jobs = jobs_of(spark, [("a", 1, "COMPLETED", 0, 100), ("a", 2, "CANCELLED", None, 5)])
     assert st.mean_runtime(jobs).first().mean_runtime == 100.0
