@@ -153,6 +153,24 @@ def test_copies_of_one_text_cost_as_many_pairs_as_texts(spark, monkeypatch):
     assert work[600] <= 2.3 * work[300] and work[600] <= 60 * 600
 
 
+def test_simhash_comes_first_and_wide_sketches_within_the_join(spark, monkeypatch):
+    """A passage in all texts fills one place; what else they hold tells them apart before there are rows."""
+    monkeypatch.setattr(near_copies, "PAIRED", 4)
+    met, proposed = [], []
+    outside, by_fingerprint = near_copies._outside, near_copies._by_fingerprint
+    monkeypatch.setattr(near_copies, "_outside", lambda rows: (met.append((out := outside(rows)).count()), out)[1])
+    monkeypatch.setattr(near_copies, "_by_fingerprint", lambda marked: (proposed.append((out := by_fingerprint(marked)).count()), out)[1])
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    shared = [word() for _ in range(400)]
+    rows = [(i, " ".join(shared + [word() for _ in range(400)]), "a") for i in range(12)]
+    rows += [(100 + i, rows[0][1] + f" end{i}", "a") for i in range(6)]
+    got = dict(collected(near_copies.near_duplicates(documents(spark, rows))))
+    assert got == {i: i if i < 100 and i else 0 for i, *_ in rows}
+    assert proposed == [6]
+    assert sum(met) <= 10  # 256 bits let all 66 pairs of different texts pass
+
+
 def test_wide_sketches_rule_out_no_linked_pair():
     rng = np.random.default_rng(4)
     for n in (0, 1, 5, 255, 256, 257, 1000, 5000, 20_000):
