@@ -61,6 +61,7 @@ SUMS = (
     "list_id STRING, part INT, at BIGINT, num_changed BIGINT, num_queued BIGINT, num_running BIGINT, "
     "differences ARRAY<BIGINT>, starts ARRAY<BIGINT>"
 )
+SUMS_COLUMNS = [c.split()[0] for c in SUMS.split(", ")]
 _COUNTED = ["num_total", "num_done", "num_final", "num_failed", "num_killed", "num_cancelled", "num_unknown"]
 STATUS = (
     "list_id STRING, at BIGINT, num_changed BIGINT, num_queued BIGINT, num_running BIGINT, "
@@ -130,13 +131,17 @@ class PollChanges(StatefulProcessor):
         """
         open_at = was = self.clock.get()[0] if self.clock.exists() else None
         fresh: dict[int, dict[int, int]] = {}
-        for at, poll in rows.groupby("at", sort=True):
-            _check_time(int(at), was)
-            queued = poll[poll["kind"] == QUEUED]
-            _keep_greatest(fresh.setdefault(int(at), {}), queued["job_id"].tolist(), queued["code"].tolist())
+        # Plain lists: most keys are short lists, where a data frame a poll costs more than its rows.
+        kinds, times = rows["kind"].tolist(), rows["at"].tolist()
+        for kind, at, job, code in zip(kinds, times, rows["job_id"].tolist(), rows["code"].tolist()):
+            poll = fresh.setdefault(at, {})
+            if kind == QUEUED:
+                poll[job] = max(poll.get(job, 0), code)
+        for at in sorted(fresh):
+            _check_time(at, was)
         known: dict[int, int] | None = None
         written: dict[int, int] = {}
-        for at in sorted(rows.loc[rows["kind"] == HEARTBEAT, "at"].unique().tolist()):
+        for at in sorted({at for kind, at in zip(kinds, times) if kind == HEARTBEAT}):
             if open_at is not None and at > open_at:
                 if known is None:
                     known = {job[0]: code[0] for job, code in self.queue.iterator()} if self.queue.exists() else {}
@@ -185,42 +190,43 @@ class PollSums(PollChanges):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         rows = pd.concat(list(rows), ignore_index=True)
-        is_record = rows["kind"] == RECORD
-        came = rows.loc[is_record, ["at", "job_id", "code", "start", "finish"]].to_numpy("int64").tolist()
+        is_record = rows["kind"].to_numpy() == RECORD
+        came: list = []
+        if is_record.any():
+            came = rows.loc[is_record, ["at", "job_id", "code", "start", "finish"]].to_numpy("int64").tolist()
+            rows = rows[~is_record]
         held: list | None = None
-        for at, now, changed in self.whole_polls(rows[~is_record]):
+        sums: list[tuple] = []
+        self.given = None  # the latest starts, once read for this key
+        for at, now, changed in self.whole_polls(rows):
             if held is None:
                 held = sorted([*map(list, self.waiting.get() if self.waiting.exists() else ()), *came], key=lambda r: r[0])
             due = [r for r in held if r[0] <= at]
             held = held[len(due) :]
             differences, starts = self._apply(due)
-            yield pd.DataFrame(
-                {
-                    "list_id": [key[0]],
-                    "part": [key[1]],
-                    "at": [at],
-                    "num_changed": [len(changed)],
-                    "num_queued": [len(now)],
-                    "num_running": [sum(code == RUNNING_CODE for code in now.values())],
-                    "differences": [differences],
-                    "starts": [starts],
-                }
-            )
+            running = sum(code == RUNNING_CODE for code in now.values())
+            sums.append((*key, at, len(changed), len(now), running, differences, starts))
         if held is not None:
             self.waiting.clear()
         for row in came if held is None else held:
             self.waiting.appendValue(tuple(row))
+        if sums:  # one frame for all polls of the micro-batch
+            yield pd.DataFrame(sums, columns=SUMS_COLUMNS)
 
     def _apply(self, rows: list) -> tuple[list[int], list[int]]:
         """Take over records in the order of their times: (differences of the sums, latest starts)."""
         differences = [0] * NUMBERS
+        if not rows and self.given is not None:
+            return differences, self.given
         latest = list(zip(*self.latest.get())) if self.latest.exists() else []
         stale = added = False
+        # No question per record where there was none yet: the first records of a key come together.
+        known: dict | None = None if not rows or self.records.exists() else {}
         for _, job, code, start, finish in rows:
             final = code in FINAL_CODES
             seconds = int((finish - start) / 1_000_000) if final and NO_TIME not in (start, finish) else NO_TIME
             new = (code, start, seconds)
-            old = tuple(self.records.getValue((job,))) if self.records.containsKey((job,)) else None
+            old = known.get(job) if known is not None else tuple(self.records.getValue((job,))) if self.records.containsKey((job,)) else None
             if old == new:
                 continue
             for sign, record in ((-1, old), (1, new)):
@@ -231,6 +237,8 @@ class PollSums(PollChanges):
                         differences[RUNS] += sign
                         differences[RUN_SECONDS] += sign * record[2]
             self.records.updateValue((job,), new)
+            if known is not None:
+                known[job] = new
             if old is None or old[1] != start:
                 if old is not None and (old[1], job) in latest:
                     stale = True  # what comes up from below is not in the list
@@ -242,7 +250,11 @@ class PollSums(PollChanges):
         if stale or added:
             starts, jobs = zip(*latest) if latest else ((), ())
             self.latest.update((list(starts), list(jobs)))
-        return differences, [start for start, _ in latest]
+        self.given = [start for start, _ in latest]
+        return differences, self.given
+
+
+_PARTS = ["at", "num_changed", "num_queued", "num_running", "differences", "starts"]
 
 
 class _ListTotals(StatefulProcessor):
@@ -254,16 +266,20 @@ class _ListTotals(StatefulProcessor):
     def close(self) -> None:
         pass
 
-    def polls(self, rows: Iterator[pd.DataFrame]) -> Iterator[tuple[int, pd.DataFrame, list[int]]]:
-        """(time, rows of the parts, totals so far) of each poll. Parts see the same heartbeats in the
+    def polls(self, rows: Iterator[pd.DataFrame]) -> Iterator[tuple[int, list[tuple], list[int]]]:
+        """(time, ``_PARTS`` but the time of each part, totals so far) of each poll. Parts see the same heartbeats in the
         same micro-batch, so all rows of a poll come together."""
         kept = list(self.totals.get()[0]) if self.totals.exists() else [0] * NUMBERS
         totals = kept
-        for at, parts in pd.concat(list(rows), ignore_index=True).groupby("at", sort=True):
-            totals = [sum(x) for x in zip(totals, *parts["differences"])]
-            yield int(at), parts, [int(x) for x in totals]
+        polls: dict[int, list[tuple]] = {}
+        for frame in rows:
+            for row in zip(*[frame[c].tolist() for c in _PARTS]):
+                polls.setdefault(row[0], []).append(row[1:])
+        for at, parts in sorted(polls.items(), key=lambda p: p[0]):
+            totals = [int(sum(x)) for x in zip(totals, *(p[3] for p in parts))]
+            yield at, parts, totals
         if totals != kept:
-            self.totals.update(([int(x) for x in totals],))
+            self.totals.update((totals,))
 
 
 class ListStatus(_ListTotals):
@@ -271,9 +287,9 @@ class ListStatus(_ListTotals):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         for at, parts, totals in self.polls(rows):
-            sums = {c: int(parts[c].sum()) for c in ("num_changed", "num_queued", "num_running")}
+            sums = {c: sum(p[i] for p in parts) for i, c in enumerate(_PARTS[1:4])}
             if sums["num_changed"]:
-                starts = sorted((int(s) for part in parts["starts"] for s in part), reverse=True)[: GAPS + 1]
+                starts = sorted((int(s) for p in parts for s in p[4]), reverse=True)[: GAPS + 1]
                 left = remaining_seconds(totals, starts, at)
                 final = sum(totals[c] for c in FINAL_CODES)
                 counts = [sum(totals[: len(STATES) + 1]), totals[CODES["COMPLETED"]], final]
@@ -294,7 +310,7 @@ class ListCompletion(_ListTotals):
         for at, parts, totals in self.polls(rows):
             jobs = sum(totals[: len(STATES) + 1])
             all_final = jobs > 0 and sum(totals[c] for c in FINAL_CODES) == jobs
-            if not done and (all_final or not parts["num_queued"].sum()):
+            if not done and (all_final or not sum(p[1] for p in parts)):
                 done = True
                 self.emitted.update((True,))
                 yield pd.DataFrame({"list_id": [key[0]], "at": [at]})

@@ -188,6 +188,15 @@ def test_an_unchanged_poll_writes_no_job():
     assert feed(5, []) == [3] and held.writes == ["queue"] * 3  # one left, one changed, one came
 
 
+def test_all_polls_of_a_micro_batch_are_one_frame():
+    held, processor = Held(), sp.PollSums()
+    processor.init(held)
+    columns = ["kind", "at", "job_id", "code", "start", "finish"]
+    rows = [(kind, at, job, job, sp.NO_TIME, sp.NO_TIME) for at in (1, 2, 3, 4) for kind, job in ((sp.HEARTBEAT, 0), (sp.QUEUED, at % 2 + 1))]
+    (frame,) = processor.handleInputRows(("a", 0), iter([pd.DataFrame(rows, columns=columns)]), None)
+    assert frame[["list_id", "part", "at", "num_changed", "num_queued"]].values.tolist() == [["a", 0, 1, 1, 1], ["a", 0, 2, 2, 1], ["a", 0, 3, 2, 1]]
+
+
 def test_no_micro_batch_reads_a_table(spark):
     base = scratch_path(spark, "t")
     records(spark, [("a", 0, 1, "COMPLETED")]).write.parquet(f"{base}/records")
