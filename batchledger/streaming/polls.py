@@ -129,7 +129,9 @@ class PollChanges(StatefulProcessor):
 
         Only a heartbeat closes the poll before it: all parts of a list get it in the same micro-batch.
         """
-        open_at = was = self.clock.get()[0] if self.clock.exists() else None
+        # Each call to the state is a message to the JVM: nothing is asked twice, nothing empty cleared.
+        clock = self.clock.get()
+        open_at = was = clock[0] if clock else None
         fresh: dict[int, dict[int, int]] = {}
         # Plain lists: most keys are short lists, where a data frame a poll costs more than its rows.
         kinds, times = rows["kind"].tolist(), rows["at"].tolist()
@@ -144,8 +146,9 @@ class PollChanges(StatefulProcessor):
         for at in sorted({at for kind, at in zip(kinds, times) if kind == HEARTBEAT}):
             if open_at is not None and at > open_at:
                 if known is None:
-                    known = {job[0]: code[0] for job, code in self.queue.iterator()} if self.queue.exists() else {}
-                    for earlier, ids, codes in self.open.get() if self.open.exists() else ():
+                    known = {job[0]: code[0] for job, code in self.queue.iterator()}
+                    kept = list(self.open.get())
+                    for earlier, ids, codes in kept:
                         _keep_greatest(fresh.setdefault(earlier, {}), ids, codes)
                 for earlier in fresh:
                     _check_time(earlier, open_at)
@@ -160,7 +163,7 @@ class PollChanges(StatefulProcessor):
                 self.queue.updateValue((job,), (code,))
             elif self.queue.containsKey((job,)):
                 self.queue.removeKey((job,))
-        if known is not None:
+        if known is not None and kept:
             self.open.clear()
         for at, jobs in fresh.items():
             if jobs:
@@ -200,13 +203,14 @@ class PollSums(PollChanges):
         self.given = None  # the latest starts, once read for this key
         for at, now, changed in self.whole_polls(rows):
             if held is None:
-                held = sorted([*map(list, self.waiting.get() if self.waiting.exists() else ()), *came], key=lambda r: r[0])
+                waiting = list(map(list, self.waiting.get()))
+                held = sorted([*waiting, *came], key=lambda r: r[0])
             due = [r for r in held if r[0] <= at]
             held = held[len(due) :]
             differences, starts = self._apply(due)
             running = sum(code == RUNNING_CODE for code in now.values())
             sums.append((*key, at, len(changed), len(now), running, differences, starts))
-        if held is not None:
+        if held is not None and waiting:
             self.waiting.clear()
         for row in came if held is None else held:
             self.waiting.appendValue(tuple(row))
@@ -218,7 +222,7 @@ class PollSums(PollChanges):
         differences = [0] * NUMBERS
         if not rows and self.given is not None:
             return differences, self.given
-        latest = list(zip(*self.latest.get())) if self.latest.exists() else []
+        latest = list(zip(*(self.latest.get() or ((), ()))))
         stale = added = False
         # No question per record where there was none yet: the first records of a key come together.
         known: dict | None = None if not rows or self.records.exists() else {}
@@ -269,7 +273,7 @@ class _ListTotals(StatefulProcessor):
     def polls(self, rows: Iterator[pd.DataFrame]) -> Iterator[tuple[int, list[tuple], list[int]]]:
         """(time, ``_PARTS`` but the time of each part, totals so far) of each poll. Parts see the same heartbeats in the
         same micro-batch, so all rows of a poll come together."""
-        kept = list(self.totals.get()[0]) if self.totals.exists() else [0] * NUMBERS
+        kept = list((self.totals.get() or ([0] * NUMBERS,))[0])
         totals = kept
         polls: dict[int, list[tuple]] = {}
         for frame in rows:

@@ -197,6 +197,17 @@ def test_all_polls_of_a_micro_batch_are_one_frame():
     assert frame[["list_id", "part", "at", "num_changed", "num_queued"]].values.tolist() == [["a", 0, 1, 1, 1], ["a", 0, 2, 2, 1], ["a", 0, 3, 2, 1]]
 
 
+def test_nothing_empty_is_cleared(monkeypatch):
+    cleared = []
+    monkeypatch.setattr(Value, "clear", lambda self: cleared.append(self.name))
+    held, processor = Held(), sp.PollSums()
+    processor.init(held)
+    columns = ["kind", "at", "job_id", "code", "start", "finish"]
+    for at in (1, 2, 3):
+        list(processor.handleInputRows(("a", 0), iter([pd.DataFrame([(sp.HEARTBEAT, at, 0, 0, sp.NO_TIME, sp.NO_TIME)], columns=columns)]), None))
+    assert cleared == []
+
+
 def test_no_micro_batch_reads_a_table(spark):
     base = scratch_path(spark, "t")
     records(spark, [("a", 0, 1, "COMPLETED")]).write.parquet(f"{base}/records")
