@@ -330,7 +330,7 @@ def remaining_seconds(totals: list[int], starts: list[int], at: int) -> int | No
         return None
     if not totals[CODES["PENDING"]]:
         if mean is None or not starts:
-            return None
+            return SHORTEST_SECONDS
         return int(max(mean - int((at - starts[0]) / 1_000_000), float(SHORTEST_SECONDS)))
     if totals[STARTED] < 2 or mean is None:
         return None

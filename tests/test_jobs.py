@@ -111,6 +111,30 @@ def test_status_line_beside_a_half_rounds_as_the_sql(spark):
     assert "Remaining time ~112H43M49S;" in status_report(jobs, queue_of(jobs), "1970-01-03 00:00:00").first().line
 
 
+@pytest.mark.parametrize("final, total", [(1, 2000), (3, 2000), (13, 2000), (17, 2000), (41, 4000), (9, 10000)])
+def test_percent_of_a_long_list_rounds_as_the_sql(spark, final, total):
+    import duckdb
+    from batchledger.workload.status_queries import PERCENT_SQL
+
+    rows = spark.range(total).select(F.lit("a").alias("list_id"), F.col("id").alias("job_id"), F.when(F.col("id") < final, "FAILED").otherwise("UNKNOWN").alias("state"))
+    status = st.list_status(rows, rows.limit(0))
+    sql = f"SELECT {PERCENT_SQL} FROM (VALUES (CAST({final} AS BIGINT), CAST({total} AS BIGINT))) t(num_final, num_total)"
+    shown = duckdb.connect().execute(sql).fetchone()[0]
+    assert st.final_percent(status).first().final_percent == float(shown)
+    assert f"; {shown:>5}% complete;" in st.status_line(status).first().line
+
+
+def test_the_least_time_is_left_where_no_run_is_known(spark):
+    from batchledger.streaming import polls as sp
+
+    rows = [("a", 1, "COMPLETED", 5, None), ("a", 2, "RUNNING", 90, None)]
+    assert remaining(spark, rows, "1970-01-01 00:02:00") == ("last_starter", 10)
+    totals = [0] * sp.NUMBERS
+    totals[sp.CODES["COMPLETED"]] = totals[sp.CODES["RUNNING"]] = 1
+    totals[sp.STARTED] = 2
+    assert sp.remaining_seconds(totals, [90_000_000, 5_000_000], 120_000_000) == 10
+
+
 def test_unfinished_records_do_not_break_the_mean(spark):
     jobs = jobs_of(spark, [("a", 1, "COMPLETED", 0, 100), ("a", 2, "CANCELLED", None, 5)])
     assert st.mean_runtime(jobs).first().mean_runtime == 100.0
