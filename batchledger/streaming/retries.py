@@ -26,6 +26,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 #: Seconds between two tries, and how many follow the first.
 EVERY, RETRIES = 5, 3
 PARTS = 4
+#: Entries of the state that the jobs of a part share; fixed by a query's first run, as ``PARTS`` is.
+BUCKETS = 256
 FOUND, MISSING, LATE = "found", "missing", "late"
 #: Output columns beside those of the record.
 COLUMNS = ["list_id", "job_id", "departed_ts", "record_ts", "tries", "outcome"]
@@ -36,32 +38,66 @@ _JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZForm
 
 
 class Retries(StatefulProcessor):
-    """Per (list, part): departures without a record, records without a departure."""
+    """Per (list, part): departures without a record, records without a departure.
+
+    Each call to the state is a message to the JVM, so jobs share ``BUCKETS`` entries: a micro-batch reads and
+    writes an entry at most once, however many of its jobs come, and rewrites only those whose jobs come.
+    """
 
     def __init__(self, every: int, retries: int):
         self.every, self.bound = every * 1_000_000, every * retries * 1_000_000
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.waiting = handle.getMapState("waiting", "job BIGINT", "departed ARRAY<BIGINT>")
-        self.missed = handle.getMapState("missed", "job BIGINT", "departed ARRAY<BIGINT>")
-        self.records = handle.getMapState("records", "job BIGINT", "at ARRAY<BIGINT>, payloads ARRAY<STRING>")
+        self.waiting = handle.getMapState("waiting", "bucket INT", "jobs ARRAY<BIGINT>, departed ARRAY<BIGINT>")
+        self.missed = handle.getMapState("missed", "bucket INT", "jobs ARRAY<BIGINT>, departed ARRAY<BIGINT>")
+        self.records = handle.getMapState("records", "bucket INT", "jobs ARRAY<BIGINT>, at ARRAY<BIGINT>, payloads ARRAY<STRING>")
+        self.swept: dict[tuple, int] = {}
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         watermark = timerValues.getCurrentWatermarkInMs()
+        buckets: dict[int, dict[int, tuple[set, set]]] = {}
+        for frame in rows:
+            for job, is_record, at, payload in zip(*[frame[c].tolist() for c in ("job_id", "is_record", "at", "payload")]):
+                departed, records = buckets.setdefault(_bucket(job), {}).setdefault(job, (set(), set()))
+                records.add((at, payload)) if is_record else departed.add(at)
         out: list[tuple] = []
-        for job, of_job in pd.concat(list(rows), ignore_index=True).groupby("job_id", sort=True):
-            self._job(int(job), of_job, watermark, out)
+        timers: set[int] = set()
+        for bucket, jobs in buckets.items():
+            states = [(state, _get(state, bucket)) for state in (self.waiting, self.missed, self.records)]
+            changed = [False] * len(states)
+            for job, came in jobs.items():
+                before = [held.get(job, []) for _, held in states]
+                after = self._job(job, *came, *before, watermark, out, timers)
+                for i, (_, held) in enumerate(states):
+                    if after[i] != before[i]:
+                        changed[i], held[job] = True, after[i]
+            for (state, held), differs in zip(states, changed):
+                if differs:
+                    _put(state, bucket, held)
+        for deadline in timers:
+            self.handle.registerTimer(deadline)
         yield from _frame(key[0], out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         now, out = expiredTimerInfo.getExpiryTimeInMs(), []
-        for (job,), (departed,) in list(self.waiting.iterator()) if self.waiting.exists() else ():
-            over = [d for d in departed if self._deadline(d) <= now]
+        if now <= self.swept.get(tuple(key), -1):
+            return
+        if timerValues is not None:  # all that the watermark has passed goes at once, with the first timer
+            now = max(now, timerValues.getCurrentWatermarkInMs())
+        for (bucket,), entry in list(self.waiting.iterator()) if self.waiting.exists() else ():
+            waiting = _by_job(entry)
+            over = {job: [d for d in departed if self._deadline(d) <= now] for job, departed in waiting.items()}
+            over = {job: departed for job, departed in over.items() if departed}
             if over:
-                _put(self.waiting, job, [d for d in departed if d not in over])
-                _put(self.missed, job, sorted([*_get(self.missed, job), *over]))
-                out += [(job, d, None, None, None, MISSING) for d in over]
+                missed = _get(self.missed, bucket)
+                for job, departed in over.items():
+                    waiting[job] = [d for d in waiting[job] if d not in departed]
+                    missed[job] = sorted([*missed.get(job, []), *departed])
+                    out += [(job, d, None, None, None, MISSING) for d in departed]
+                _put(self.waiting, bucket, waiting)
+                _put(self.missed, bucket, missed)
+        self.swept[tuple(key)] = now
         yield from _frame(key[0], out)
 
     def close(self) -> None:
@@ -71,14 +107,9 @@ class Retries(StatefulProcessor):
         """The first millisecond after the last try."""
         return (departed + self.bound) // 1000 + 1
 
-    def _job(self, job: int, rows: pd.DataFrame, watermark: int, out: list[tuple]) -> None:
-        """Pair off departures with records, earliest first; each record serves one departure."""
-        is_record = rows["is_record"].to_numpy(bool)
-        free = list(zip(*self.records.getValue((job,)))) if self.records.containsKey((job,)) else []
-        waiting, missed = _get(self.waiting, job), _get(self.missed, job)
-        came = {int(d) for d in rows.loc[~is_record, "at"]}
-        before = list(free), list(waiting), list(missed)
-        free = sorted({*free, *((int(r.at), r.payload) for r in rows[is_record].itertuples())})
+    def _job(self, job: int, came: set, records: set, waiting: list, missed: list, free: list, watermark: int, out: list[tuple], timers: set) -> tuple:
+        """Pair off departures with records, earliest first; each record serves one departure. What is open then."""
+        free = sorted({*free, *records})
         for departed in sorted({*waiting, *came, *missed}):
             record = next((r for r in free if departed <= r[0] <= departed + self.bound), None)
             given_out = departed in missed
@@ -93,26 +124,33 @@ class Retries(StatefulProcessor):
                     missed = sorted([*missed, departed])
                 else:
                     waiting = sorted([*waiting, departed])
-                    self.handle.registerTimer(self._deadline(departed))
-        if free != before[0]:
-            if free:
-                self.records.updateValue((job,), tuple(map(list, zip(*free))))
-            elif self.records.containsKey((job,)):
-                self.records.removeKey((job,))
-        for state, new, old in ((self.waiting, waiting, before[1]), (self.missed, missed, before[2])):
-            if new != old:
-                _put(state, job, new)
-
-
-def _get(state, job: int) -> list[int]:
-    return list(state.getValue((job,))[0]) if state.containsKey((job,)) else []
-
-
-def _put(state, job: int, departed: list[int]) -> None:
-    if departed:
-        state.updateValue((job,), (departed,))
-    elif state.containsKey((job,)):
-        state.removeKey((job,))
+                    timers.add(self._deadline(departed))
+        return waiting, missed, free
+
+
+def _bucket(job: int) -> int:
+    """Spread by a multiplicative hash: the ids of a part may have a common step."""
+    return (job * 0x9E3779B97F4A7C15 >> 32) % BUCKETS
+
+
+def _by_job(entry) -> dict[int, list]:
+    """The values of each job, in order: times, or (time, payload) of records."""
+    held: dict[int, list] = {}
+    for job, *value in zip(*entry):
+        held.setdefault(job, []).append(tuple(value) if len(value) > 1 else value[0])
+    return held
+
+
+def _get(state, bucket: int) -> dict[int, list]:
+    return _by_job(state.getValue((bucket,))) if state.containsKey((bucket,)) else {}
+
+
+def _put(state, bucket: int, held: dict[int, list]) -> None:
+    rows = [(job, *value) if isinstance(value, tuple) else (job, value) for job, values in held.items() for value in values]
+    if rows:
+        state.updateValue((bucket,), tuple(map(list, zip(*rows))))
+    elif state.containsKey((bucket,)):
+        state.removeKey((bucket,))
 
 
 def _frame(list_id: str, rows: list[tuple]) -> Iterator[pd.DataFrame]:

@@ -100,6 +100,21 @@ def test_every_departure_once_in_any_order():
         assert sum(len(v[0]) for v in processor.missed.value.values()) == len(departures) - len(want)
 
 
+def test_messages_to_the_state_do_not_grow_with_the_jobs():
+    """Ids with a common step, as in one part of a list, and departures at many times, all over at once."""
+    for jobs in (2_000, 20_000):
+        held, processor, timers = Held(), rt.Retries(5, 3), []
+        processor.init(SimpleNamespace(getMapState=held.getMapState, registerTimer=timers.append))
+        rows = pd.DataFrame([(32 * j, False, 1_000_000 * (j % 40), "{}") for j in range(jobs)], columns=["job_id", "is_record", "at", "payload"])
+        assert not list(processor.handleInputRows(("a", 0), iter([rows]), SimpleNamespace(getCurrentWatermarkInMs=lambda: 0)))
+        assert len(timers) == 40 and 200 < len(held.writes) <= 256
+        out = []
+        for t in sorted(timers):
+            out += processor.handleExpiredTimer(("a", 0), SimpleNamespace(getCurrentWatermarkInMs=lambda: 10**9), SimpleNamespace(getExpiryTimeInMs=lambda: t))
+        assert sorted(pd.concat(out).job_id) == [32 * j for j in range(jobs)]
+        assert len(held.writes) <= 3 * 256 and not processor.waiting.value
+
+
 def test_clashing_columns_are_refused(spark):
     left, right = gone(spark, [("a", 1, 1)]), records(spark, [("a", 1, 1, 0, "")]).withColumn("tries", F.lit(1))
     with pytest.raises(ValueError, match="tries"):
