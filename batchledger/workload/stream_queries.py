@@ -59,6 +59,7 @@ def _run(stream: DataFrame, out: str, checkpoint: str) -> None:
 
 def _feed(spark: SparkSession, df: DataFrame, build: Callable[[DataFrame], DataFrame], schema: str) -> DataFrame:
     """Append slice after slice to the input folder and run the query; read what it wrote."""
+    df = stored(df, "polls")
     base, own = scratch_path(spark, "stream"), _streaming(spark)
     for part in [*_slices(df), _closing(df)]:
         # Two files, each with some rows of every poll of the slice.
@@ -69,6 +70,7 @@ def _feed(spark: SparkSession, df: DataFrame, build: Callable[[DataFrame], DataF
 
 def _feed_status(spark: SparkSession, polls: DataFrame, records: DataFrame, build: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
     """The same with a stream of records beside the polls; records of a slice come with its first polls."""
+    polls, records = stored(polls, "polls"), stored(records, "facts")
     base, own = scratch_path(spark, "status"), _streaming(spark)
     for part, known in zip([*_slices(polls), _closing(polls)], [*_slices(records), None]):
         if known is not None:
@@ -184,6 +186,7 @@ def _(spark, d):
 def _(spark, d):
     base = scratch_path(spark, "accounting")
     gone = sp.departures(snapshot_changes(b.poll_history(spark, d)).withColumn("list_id", F.col("list_id").cast("string")))
+    gone = stored(gone, "gone")
     wait = F.col("job_id") % 25
     records = gone.select(
         "list_id",

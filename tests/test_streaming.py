@@ -4,7 +4,7 @@ import random
 
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrameWriter, functions as F
 
 from batchledger.operators.snapshots import snapshot_changes
 from batchledger.operators.status import list_status
@@ -12,6 +12,8 @@ from batchledger.plans.estimate import estimate_remaining
 from batchledger.session import scratch_path, shared_dir
 from batchledger.streaming import polls as sp
 
+from conftest import SF_DIR
+
 SCHEMA = "list_id STRING, poll_ts TIMESTAMP, job_id BIGINT, state STRING"
 BIG = 2**60 + 1
 
@@ -259,3 +261,20 @@ def test_accounting_on_tables(spark):
 
 def test_shared_folder_is_the_configured_one(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+@pytest.mark.parametrize("name, tables", [("stream_accounting", 1), ("stream_retries", 1), ("stream_queue_changes", 1), ("stream_completion", 2)])
+def test_slices_are_cut_from_stored_rows(spark, monkeypatch, name, tables):
+    """What a stream is fed is derived from the events once, not again for every slice."""
+    from batchledger.workload.registry import QUERIES
+    from batchledger.workload import stream_queries  # noqa: F401  (registers them)
+
+    derived, write = [], DataFrameWriter.parquet
+
+    def noted(self, path, *args, **kwargs):
+        derived.extend(f for f in self._df.inputFiles() if "events" in f)
+        return write(self, path, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", noted)
+    assert QUERIES[name](spark, SF_DIR).count() > 0
+    assert len(derived) == tables
