@@ -129,14 +129,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def _labelled(rows: DataFrame) -> DataFrame:
+    return grouped(rows).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def grouped(rows: DataFrame) -> DataFrame:
+    """(doc_id, fp, component_id) for written rows (doc_id, fp)."""
     distinct = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "marks")
     groups = components(links(distinct.select("fp")))
     rooted = distinct.join(groups.withColumnRenamed("v", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     by_mark = rooted.select("fp", "root").join(smallest, "root").select("fp", "component_id")
-    return rows.join(by_mark, "fp").select(
-        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
-    )
+    return rows.join(by_mark, "fp").select("doc_id", "fp", "component_id")
 
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:

@@ -171,6 +171,32 @@ def test_simhash_comes_first_and_wide_sketches_within_the_join(spark, monkeypatc
     assert sum(met) <= 10  # 256 bits let all 66 pairs of different texts pass
 
 
+def test_texts_are_digested_once_and_only_compared_ones_are_shuffled(spark, monkeypatch):
+    """No table but the digests and the sets is made from texts, and no mark by patterns in the JVM."""
+    plans, store = [], near_copies.stored
+    keep = lambda df, name: (plans.append((name, df._jdf.queryExecution().optimizedPlan().toString())), store(df, name))[1]
+    monkeypatch.setattr(near_copies, "stored", keep)
+    monkeypatch.setattr(simhash, "stored", keep)
+    base = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, base, "a"), (2, f"{base} more", "a"), (3, base.replace(" ", " \n").upper(), "b")]
+    rows += [(10 + i, " ".join(f"t{i}x{j}" for j in range(20)), "a") for i in range(5)]
+    near = near_copies.near_duplicates(documents(spark, rows))
+    assert dict(collected(near)) == {i: 1 if i < 4 else i for i, *_ in rows}
+    assert not any("regexp_replace" in p for _, p in plans)
+    assert {name for name, p in plans if "n_chars" in p or "text" in p} == {"digests", "sets"}
+
+
+def test_mark_is_the_hash_of_the_words():
+    for text, line in ((None, ""), (" \t\n", ""), ("One  TWO\x0b\u00c9", "one two \u00c9"), ("a" * 99, "a" * 99)):
+        assert near_copies.mark(text) % (1 << 64) == xxhash.xxh64_intdigest(line.encode(), 42)
+    texts = pa.array(["a b", None, "A  b", "c"])
+    bits = np.zeros(4, np.int64)
+    at = near_copies.mark("a b") & 255
+    bits[at >> 6] = np.array([1 << (at & 63)], np.uint64).view(np.int64)[0]
+    (out,) = near_copies._wanted(bits)(iter([pa.RecordBatch.from_arrays([texts], names=["text"])]))
+    assert out.column("text").to_pylist() == ["a b", "A  b"] and out.column("mark").to_pylist() == [near_copies.mark("a b")] * 2
+
+
 def test_wide_sketches_rule_out_no_linked_pair():
     rng = np.random.default_rng(4)
     for n in (0, 1, 5, 255, 256, 257, 1000, 5000, 20_000):
