@@ -67,3 +67,10 @@ def worker_cache(name: str) -> dict:
     """A dict that outlives a task: Python workers are reused, their functions are not."""
     holder = sys.modules.setdefault("_worker_caches", types.ModuleType("_worker_caches"))
     return holder.__dict__.setdefault(name, {})
+
+
+def drop_worker_caches() -> None:
+    """What other work left behind in this Python worker goes."""
+    for cache in vars(sys.modules.get("_worker_caches", types.SimpleNamespace())).values():
+        if isinstance(cache, dict):
+            cache.clear()

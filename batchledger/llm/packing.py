@@ -39,7 +39,7 @@ GRAIN = 64
 END_ID = 2
 MAX_QUEUES = 4096
 #: Words and parts of words that a Python worker remembers, about 200 bytes each.
-CACHED = 1_000_000
+CACHED = 1 << 17
 _FRACTION = 20
 
 _SIMPLE = re.compile("[!-&(-~À-ɏ]+")
@@ -65,6 +65,7 @@ class WordEncoder(dict):
         self.letter = "H" if max(self.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else "I"
         self.width = struct.calcsize(f"<{self.letter}")
         self.end = self._numbers([end_id])
+        self.before: dict[bytes, bytes] = {}
         # Byte-level alphabet: printable bytes stand for themselves, the others follow from 256 on.
         shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         hidden = [b for b in range(256) if b not in shown]
@@ -74,8 +75,9 @@ class WordEncoder(dict):
         return struct.pack(f"<{len(ids)}{self.letter}", *ids)
 
     def __missing__(self, word: bytes) -> bytes:
-        out = self._word(word)
-        if len(self) >= CACHED:
+        out = self.before.get(word) or self._word(word)
+        if len(self) >= CACHED:  # words met since stay, the others go at the next time
+            self.before = dict(self)
             self.clear()
         self[word] = out
         return out

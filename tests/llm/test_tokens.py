@@ -248,3 +248,22 @@ def test_manifest_of_little(spark):
     for rows in ([], [(1, "a\nb", None)], [(4, None, "x"), (4, None, "x")]):
         docs = documents(spark, rows + [(0, "", "z")]).filter("source is distinct from 'z'")
         assert Counter(map(tuple, merkle.manifest(docs, merkle.tampered()).collect())) == Counter(plain_manifest(rows) if rows else [])
+
+
+def test_word_encoder_keeps_a_bounded_number_of_words(monkeypatch):
+    import public_tokenizers
+    from batchledger.llm import packing
+    from batchledger.llm.common import drop_worker_caches, worker_cache
+
+    monkeypatch.setattr(packing, "CACHED", 50)
+    with open(public_tokenizers.path("word_bpe_49k.json")) as file:
+        text = file.read()
+    encoder = packing.WordEncoder(text)
+    for i in range(400):
+        line = f"the word{i} Other{i % 7}, \u00e9{i}"
+        assert encoder.encode(line.encode()) == encoder._numbers(encoder.tokenizer.encode(line, add_special_tokens=False).ids) + encoder.end
+        assert len(encoder) <= 50 and len(encoder.before) <= 50
+    assert b"the" in encoder or b"the" in encoder.before
+    worker_cache("word_encoder")["encoder"] = encoder
+    drop_worker_caches()
+    assert worker_cache("word_encoder") == {}
