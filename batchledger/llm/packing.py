@@ -45,15 +45,22 @@ _FRACTION = 20
 _SIMPLE = re.compile("[!-&(-~À-ɏ]+")
 _LETTERS = re.compile("[a-zß-öø-ɏ]+")
 _RUNS = re.compile("[a-zß-öø-ɏ]+|[^a-zß-öø-ɏ]+")
+#: Texts of white space, printed ASCII and Latin letters alone, and what the tokenizer's own pattern finds in their UTF-8
+#: once they are lower-cased: letters, among them all that is not ASCII; contractions; digits; other characters.
+_LATIN = re.compile("[\t-\r -~À-ÖØ-öø-ɏ]*")
+_PRINTED = bytes([*range(0x09, 0x0E), *range(0x20, 0x7F)])
+_PARTS = re.compile(rb"[a-z\x80-\xff]+|'(?:s|t|re|ve|m|ll|d)|[0-9]|[^a-z\x80-\xff0-9\t-\r ]+")
+_PROBES = ("It's we'll FIVE\téTÉ x, 'S 12.5%! ß.Ärger\n\nÿ \"'s 1's ''re'x e2É", "It's we'll FIVE\tx, 'S 12.5%! \"'s\x0b1's ''re'x don'ts a<b")
 
 
 class WordEncoder(dict):
     """Token ids of words, as little-endian numbers, under a tokenizer that never joins what white
     space separates; so the ids of a text are those of its words.
 
-    Words are encoded once and remembered. A word of ASCII and Latin letters without apostrophe is
-    lower-cased and cut between letters and other characters, as the tokenizer does itself, which
-    makes far fewer different parts; any other word is encoded as it stands.
+    A text of ASCII and Latin letters is lower-cased and cut as a whole into what the tokenizer's own
+    pattern finds: each part is encoded once and remembered, whatever stands around it. Any other text
+    is cut into words. A word of these letters without apostrophe is lower-cased and cut between letters
+    and other characters, which makes far fewer different parts; any other is encoded as it stands.
     """
 
     def __init__(self, tokenizer: str, end_id: int = END_ID):
@@ -70,6 +77,9 @@ class WordEncoder(dict):
         shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         hidden = [b for b in range(256) if b not in shown]
         self.alphabet = str.maketrans({b: chr(256 + i) for i, b in enumerate(hidden)})
+        # Tokenizers with another pattern get words.
+        self.by_part = True
+        self.by_part = all(map(self._agrees, _PROBES))
 
     def _numbers(self, ids: list[int]) -> bytes:
         return struct.pack(f"<{len(ids)}{self.letter}", *ids)
@@ -105,12 +115,24 @@ class WordEncoder(dict):
 
     def encode(self, text: bytes) -> bytes:
         """The ids of a text and the end token."""
-        return b"".join(map(self.__getitem__, text.split())) + self.end
+        return b"".join(map(self.__getitem__, self._parts(text))) + self.end
+
+    def _parts(self, text: bytes) -> list[bytes]:
+        if not self.by_part or b"<|" in text:
+            return text.split()
+        if text.isascii():
+            return text.split() if text.translate(None, _PRINTED) else _PARTS.findall(text.lower())
+        shown = text.decode()
+        if _LATIN.fullmatch(shown) and _LATIN.fullmatch(plain := shown.lower()):  # some letters are lower-cased into other alphabets
+            return _PARTS.findall(plain.encode())
+        return text.split()
+
+    def _agrees(self, probe: str) -> bool:
+        return self.encode(probe.encode()) == self._numbers(self.tokenizer.encode(probe, add_special_tokens=False).ids) + self.end
 
     def check(self) -> None:
         """Refuse a tokenizer that words and their parts do not make up."""
-        probe = "It's we'll FIVE\tétÉ—x, 'S 12.5%! ß.Ärger\n\nÿ ΣΑΣ 日本語 <|endoftext|> end."
-        if self.encode(probe.encode()) != self._numbers(self.tokenizer.encode(probe, add_special_tokens=False).ids) + self.end:
+        if not self._agrees("It's we'll FIVE\tétÉ—x, 'S 12.5%! ß.Ärger\n\nÿ ΣΑΣ 日本語 <|endoftext|> end."):
             raise ValueError("this tokenizer joins what white space separates")
 
 
@@ -165,43 +187,63 @@ class Rounds:
             out[i : i + step] = self.sent(r + 1, slice(0, queue)).sum(1) + self.sent(r, slice(queue, None)).sum(1)
         return out
 
-    def runs(self, queue: int, first: int, last: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(begin, end, place) of what the stream holds together of the queue's tokens [first, last)."""
-        grains = np.arange(first // self.grain, (last - 1) // self.grain + 1)
-        rounds = np.unique(-(-((grains + 1) << _FRACTION) // self.quanta[queue]) - 1)
+    def runs(self, queue: int, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(number, begin, end, place) of what the stream holds together of each span [first, last) of the queue's tokens."""
+        low = first // self.grain
+        times = (last - 1) // self.grain - low + 1
+        number, k = _repeated(times)
+        rounds = -(-((low[number] + k + 1) << _FRACTION) // self.quanta[queue]) - 1
+        fresh = np.ones(len(rounds), bool)
+        fresh[1:] = (number[1:] != number[:-1]) | (rounds[1:] != rounds[:-1])
+        number, rounds = number[fresh], rounds[fresh]
         sent = self.sent(rounds, queue)
-        begin, end = np.maximum(sent, first), np.minimum(self.sent(rounds + 1, queue), last)
-        return begin, end, self.offset(rounds, queue) + begin - sent
+        begin, end = np.maximum(sent, first[number]), np.minimum(self.sent(rounds + 1, queue), last[number])
+        return number, begin, end, self.offset(rounds, queue) + begin - sent
+
+
+def _repeated(times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each index so many times, and which time it is."""
+    number = np.repeat(np.arange(len(times)), times)
+    return number, np.arange(len(number)) - (np.cumsum(times) - times)[number]
 
 
-def _cut(begin: np.ndarray, end: np.ndarray, place: np.ndarray, length: int):
-    """The runs cut where a sequence ends: (begin, size, place)."""
+def _cut(number: np.ndarray, begin: np.ndarray, end: np.ndarray, place: np.ndarray, length: int):
+    """The runs cut where a sequence ends: (number, begin, size, place)."""
     size = end - begin
-    times = (place + size - 1) // length - place // length + 1
-    k = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-    begin, size, place = (np.repeat(x, times) for x in (begin, size, place))
+    run, k = _repeated((place + size - 1) // length - place // length + 1)
+    number, begin, size, place = (x[run] for x in (number, begin, size, place))
     left = np.maximum(place, (place // length + k) * length)
     right = np.minimum(place + size, (place // length + k + 1) * length)
-    return begin + left - place, right - left, left
+    return number, begin + left - place, right - left, left
 
 
 def _place(names: list[str], totals: list[int], width: str, length: int, grain: int, with_ids: bool) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rounds = Rounds(totals, length, grain)
-        number = {name: i for i, name in enumerate(names)}
+        numbers = {name: i for i, name in enumerate(names)}
         for whole in batches:
             for first in range(0, whole.num_rows, 512):
                 batch = whole.slice(first, 512)
-                rows: list[tuple] = []
-                docs, counts, queues, starts = (batch.column(i).to_pylist() for i in range(4))
-                for doc, n, queue, start, raw in zip(docs, counts, queues, starts, batch.column(4)):
-                    ids = np.frombuffer(raw.as_buffer(), width).astype("<u4")
-                    for b, size, place in zip(*(x.tolist() for x in _cut(*rounds.runs(number[queue], start, start + n), length))):
-                        piece = ids[b - start : b - start + size].tobytes()
-                        rows.append((doc, b - start, size, zlib.crc32(piece), n, place // length, place % length, piece if with_ids else None))
-                columns = list(zip(*rows)) or [[]] * 8
-                kinds = [pa.int64()] * 7 + [pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=_PIECE)
+                counts, starts = (batch.column(i).to_numpy() for i in (1, 3))
+                queues = np.array([numbers[q] for q in batch.column(2).to_pylist()])
+                cuts = []
+                for queue in np.unique(queues).tolist():
+                    own = np.flatnonzero(queues == queue)
+                    number, *pieces = _cut(*rounds.runs(queue, starts[own], starts[own] + counts[own]), length)
+                    cuts.append((own[number], *pieces))
+                doc, begin, size, place = (np.concatenate(x) for x in zip(*cuts))
+                order = np.argsort(doc, kind="stable")
+                doc, begin, size, place = (x[order] for x in (doc, begin, size, place))
+                begin = begin - starts[doc]
+                crcs, data, last, view = [], [], -1, memoryview(b"")
+                for d, b, e in zip(doc.tolist(), (4 * begin).tolist(), (4 * (begin + size)).tolist()):
+                    if d != last:
+                        last, view = d, memoryview(np.frombuffer(batch.column(4)[d].as_buffer(), width).astype("<u4")).cast("B")
+                    crcs.append(zlib.crc32(view[b:e]))
+                    data.append(bytes(view[b:e]) if with_ids else None)
+                columns = [batch.column(0).take(pa.array(doc)), *map(pa.array, (begin, size)), pa.array(crcs, pa.int64())]
+                columns += [*map(pa.array, (counts[doc], place // length, place % length)), pa.array(data, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=_PIECE)
 
     return run
 

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SF_DIR
 from helpers import awkward, collected, documents
@@ -220,6 +221,36 @@ def test_the_largest_of_many_sources_keep_their_queues(spark, tokenizer_path, mo
     assert len(tokens) == 600 and sum(tokens.values()) == sum(r["length"] for r in pieces)
 
 
+def test_parts_are_encoded_once_whatever_stands_around_them(tokenizer_path):
+    with open(tokenizer_path, encoding="utf-8") as file:
+        encoder = packing.WordEncoder(file.read())
+    own = set(encoder)
+    stems, ends = ["zoqua", "VeXib", "étuÉ", "ǆurß"], ["", ",", ".", "%%%", "'s", "'", "7", ",'d", "-'s"]
+    text = " ".join(form + end for stem in stems for form in (stem, stem.lower(), stem.title()) for end in ends)
+    for t in (text, text[: text.index("é")], text + " don'ts 1's \"'s x\x0by\x0cz"):
+        assert encoder.encode(t.encode()) == encoder._numbers(encoder.tokenizer.encode(t, add_special_tokens=False).ids) + encoder.end
+        if t is text:
+            assert {p.decode() for p in set(encoder) - own} <= {"zoqua", "vexib", "étué", "ǆurß", *ends, "s", "d", ",'", "-'"}
+
+
+def test_documents_of_a_queue_are_placed_together(monkeypatch):
+    calls = []
+    monkeypatch.setattr(packing.Rounds, "runs", lambda self, *a, runs=packing.Rounds.runs: calls.append(a[0]) or runs(self, *a))
+    counts, queues, sent = [1 + 37 * i % 200 for i in range(300)], ["ab"[i % 7 == 0] for i in range(300)], Counter()
+    starts = [(sent[q], sent.update({q: n}))[0] for q, n in zip(queues, counts)]
+    ids = [np.full(n, i, "<u2").tobytes() for i, n in enumerate(counts)]
+    columns = [pa.array(range(300)), pa.array(counts), pa.array(queues), pa.array(starts), pa.array(ids, pa.binary())]
+    batch = pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "queue", "start", "ids"])
+    placed = packing._place(["a", "b"], [sent["a"], sent["b"]], "<u2", 128, 16, True)
+    rows = [r for out in placed(iter([batch])) for r in out.to_pylist()]
+    assert sorted(calls) == [0, 1]
+    assert sorted(p for r in rows for p in range(128 * r["sequence_id"] + r["offset"], 128 * r["sequence_id"] + r["offset"] + r["length"])) == list(range(sum(counts)))
+    for i, n in enumerate(counts):
+        own = [r for r in rows if r["doc_id"] == i]
+        assert sorted(p for r in own for p in range(r["start"], r["start"] + r["length"])) == list(range(n))
+        assert all(r["ids"] == np.full(r["length"], i, "<u4").tobytes() and r["ids_crc32"] == zlib.crc32(r["ids"]) and r["doc_tokens"] == n for r in own)
+
+
 # ---- licenses ----
 
 
