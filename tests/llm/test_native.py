@@ -175,6 +175,20 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a bigint, b bigint")).collect() == []
 
 
+@pytest.mark.parametrize("last", [0, 7, 1000])
+def test_few_edges_are_ended_without_rounds(spark, monkeypatch, last):
+    from batchledger.llm import components as module
+
+    names, store = [], module.stored
+    monkeypatch.setattr(module, "stored", lambda df, name: (names.append(name), store(df, name))[1])
+    monkeypatch.setattr(module, "LAST", last)
+    edges = [(i, i + 1) for i in range(60)] + [(200, 200 + k) for k in range(1, 40)] + [(500, 501), (501, 500), (9, 9)]
+    got = dict(collected(components(spark.createDataFrame(edges, "a bigint, b bigint"))))
+    assert set(got) == {*range(61), *range(200, 240), 500, 501}
+    assert [len({got[v] for v in own}) for own in (range(61), range(200, 240), (500, 501))] == [1, 1, 1] and len(set(got.values())) == 3
+    assert names == ["edges", "labels"] if last == 1000 else names.count("points") > 1
+
+
 def test_the_mix_itself(spark):
     rows = awkward(5)
     docs = documents(spark, rows)

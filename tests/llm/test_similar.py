@@ -186,6 +186,20 @@ def test_texts_are_digested_once_and_only_compared_ones_are_shuffled(spark, monk
     assert {name for name, p in plans if "n_chars" in p or "text" in p} == {"digests", "sets"}
 
 
+def test_pairs_are_checked_once_for_all_and_none_needs_no_tables(spark, monkeypatch):
+    """Each table is a plan that the driver holds."""
+    names, checked, store, check = [], [], near_copies.stored, near_copies._checked
+    monkeypatch.setattr(near_copies, "stored", lambda df, name: (names.append(name), store(df, name))[1])
+    monkeypatch.setattr(near_copies, "_checked", lambda pairs, sets: (checked.append(pairs.count()), check(pairs, sets))[1])
+    base = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, base, "a"), (2, f"{base} more", "a")] + [(10 + i, " ".join(f"t{i}x{j}" for j in range(20)), "a") for i in range(5)]
+    assert dict(collected(near_copies.near_duplicates(documents(spark, rows)))) == {i: 1 if i < 4 else i for i, *_ in rows}
+    assert checked == [1] and names.count("near") == 1
+    names.clear()
+    near_copies.near_duplicates(documents(spark, rows[1:])).collect()
+    assert checked == [1, 0] and not {"near", "alike"} & set(names)
+
+
 def test_mark_is_the_hash_of_the_words():
     for text, line in ((None, ""), (" \t\n", ""), ("One  TWO\x0b\u00c9", "one two \u00c9"), ("a" * 99, "a" * 99)):
         assert near_copies.mark(text) % (1 << 64) == xxhash.xxh64_intdigest(line.encode(), 42)
