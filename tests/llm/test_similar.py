@@ -171,6 +171,21 @@ def test_simhash_comes_first_and_wide_sketches_within_the_join(spark, monkeypatc
     assert sum(met) <= 10  # 256 bits let all 66 pairs of different texts pass
 
 
+@pytest.mark.parametrize("paired, levels", [(32, 3), (2, 1)])
+def test_all_texts_of_a_simhash_group_are_compared(spark, monkeypatch, paired, levels):
+    """Two near copies whose group has another text as its smallest mark, without any prefix that meets."""
+    monkeypatch.setattr(near_copies, "PAIRED", paired)
+    monkeypatch.setattr(near_copies, "LEVELS", levels)
+    kinds = [" ".join(f"{c}{i}" for i in range(60)) for c in "abc"]
+    texts = kinds + [f"{t} more" for t in kinds]
+    marks = [near_copies.mark(t) for t in texts]
+    rows = [(m, len(near_copies.shingles(t)), 7) for m, t in zip(marks, texts)]
+    digests = spark.createDataFrame(rows, "mark bigint, n bigint, fp bigint")
+    none = spark.createDataFrame([], "key bigint, mark bigint, n bigint, pos bigint")
+    found = collected(near_copies.links(none, digests, spark.createDataFrame([(t,) for t in texts], "text string")))
+    assert {frozenset(pair) for pair in found} == {frozenset(pair) for pair in zip(marks, marks[3:])}
+
+
 def test_texts_are_digested_once_and_only_compared_ones_are_shuffled(spark, monkeypatch):
     """No table but the digests and the sets is made from texts, and no mark by patterns in the JVM."""
     plans, store = [], near_copies.stored
