@@ -14,7 +14,8 @@ all tasks, and the counts go back to the blocks, where a matrix-vector product g
 document. Neither a common pair nor a source gathers more than one row a block.
 
 Tokens come from the two libraries, word by word where a word is what the tokenizer cannot cross;
-words are remembered.
+words are remembered. What a Python worker holds does not grow with the input: words, one
+slice, one block, and nothing that other work left; what is written comes in row groups of ``ROW_GROUP`` bytes.
 
 Defined results: a text that is null or empty, or that the tokens do not spell byte for byte, has no
 tokens: zeros and an empty ``groups_sha256``; texts count whole; ids may be null; repeated rows are
@@ -25,6 +26,7 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from hashlib import sha256
@@ -34,13 +36,16 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import stored, text_or_empty, worker_cache
+from .common import drop_worker_caches, stored, text_or_empty, worker_cache
 from .token_count import Splitter, slices
 
 #: Bytes of text in one matrix, and in one block of documents.
-SLICE, BLOCK = 1 << 20, 1 << 24
+SLICE, BLOCK = 1 << 18, 1 << 22
 #: Words that a Python worker remembers for each tokenizer, and their longest.
 WORDS, LONGEST = 400_000, 64
+#: Bytes of written blocks that are buffered at once, by the writer and by readers. Rows are large: each is measured.
+ROW_GROUP = 1 << 24
+WRITER = {"parquet.block.size": ROW_GROUP, "parquet.page.size.row.check.min": 1, "parquet.page.size.row.check.max": 1}
 _SEPARATOR = "\ud800"  # in no text, and a piece of its own
 
 
@@ -120,7 +125,7 @@ class ByteWords(dict):
         if piece == _SEPARATOR:
             return b""
         ids = [t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(self.alphabet))]
-        out = np.array(ids, "<u4").tobytes()
+        out = array("I", ids).tobytes()
         if len(self) >= WORDS:
             self.clear()
         if len(piece) <= LONGEST:
@@ -157,7 +162,7 @@ class PieceWords(dict):
     def __missing__(self, word: str) -> bytes | None:
         ids = self.model.encode(word[1:]) if len(word) > 1 else [self.space]  # it puts the space before
         spelt = b"".join(map(self.spelt.__getitem__, ids))
-        out = np.array(ids, "<u4").tobytes() if spelt == word.encode() else None
+        out = array("I", ids).tobytes() if spelt == word.encode() else None
         if len(self) >= WORDS:
             self.clear()
         if len(word) <= LONGEST:
@@ -245,6 +250,7 @@ class Aligner:
 def _aligner(shipped) -> Aligner:
     cache, key = worker_cache("aligner"), hash(shipped.value)
     if cache.get("key") != key:
+        drop_worker_caches()
         cache.update(key=key, aligner=Aligner(*shipped.value))
     return cache["aligner"]
 
@@ -254,7 +260,11 @@ class _Block:
 
     def __init__(self):
         self.documents: list[tuple] = []
-        self.pairs: list[np.ndarray] = []  # (document, pair, links), rows of three
+        # Of each slice: rows of its documents, pairs and links of the rows, pairs once.
+        self.sizes: list[np.ndarray] = []
+        self.pairs: list[np.ndarray] = []
+        self.links: list[np.ndarray] = []
+        self.known: list[np.ndarray] = []
         self.bytes = 0
 
     def add(self, aligner: Aligner, ids: list, texts: list) -> None:
@@ -267,24 +277,25 @@ class _Block:
         link_doc, pair = link_doc[order], pair[order]
         first = np.concatenate(([True], (pair[1:] != pair[:-1]) | (link_doc[1:] != link_doc[:-1]))) if len(pair) else np.empty(0, bool)
         at = np.flatnonzero(first)
-        entries = np.stack((link_doc[at] + len(self.documents), pair[at], np.diff(np.append(at, len(pair)))))
         shared = np.bincount(found.a_doc, found.shared_sizes(), len(texts)).astype(np.int64).tolist()
         groups = aligner.groups_text(found, len(texts))
         digests = [sha256(g.encode()).hexdigest() if g else "" for g in groups]
         self.documents += zip(ids, size(found.a_doc), size(found.b_doc), size(found.group_doc), size(link_doc), shared, digests)
-        self.pairs.append(entries)
+        self.sizes.append(np.bincount(link_doc[at], minlength=len(texts)))
+        self.links.append(np.diff(np.append(at, len(pair))).astype(np.int32))
+        self.pairs.append(pair[at])
+        self.known.append(np.unique(pair))
         self.bytes += sum(len(t) for t in texts if t)
 
     def row(self) -> pa.RecordBatch:
-        doc, pair, links = np.concatenate(self.pairs, 1)
-        known, at = np.unique(pair, return_inverse=True)
-        indptr = np.searchsorted(doc, np.arange(len(self.documents) + 1))
+        known = np.unique(np.concatenate(self.known))
+        at = np.concatenate([np.searchsorted(known, pair).astype(np.int32) for pair in self.pairs])
+        indptr = np.cumsum(np.concatenate(([0], *self.sizes)), dtype=np.int64)
         lists = [pa.array([list(c)], pa.list_(t)) for c, t in zip(zip(*self.documents), _DOCUMENT)]
-        number = lambda values, kind: pa.array([values.astype(kind)], pa.list_(pa.from_numpy_dtype(kind)))
-        matrix = [number(indptr, "int64"), number(at, "int32"), number(links, "int32")]
-        return pa.RecordBatch.from_arrays(
-            [*lists, *matrix, number(known, "int64"), number(np.bincount(at, minlength=len(known)), "int32")], names=_NAMES
-        )
+        holding = np.bincount(at, minlength=len(known)).astype(np.int32)
+        matrix = [indptr, at, np.concatenate(self.links), known, holding]
+        number = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values))
+        return pa.RecordBatch.from_arrays([*lists, *map(number, matrix)], names=_NAMES)
 
 
 _DOCUMENT = [pa.int64()] * 6 + [pa.string()]
@@ -313,6 +324,7 @@ def _align(shipped) -> Callable:
 
 def _sum_up(blocks: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFrame:
     """Per document of a block the sums over its links."""
+    drop_worker_caches()  # the words
     block = blocks.iloc[0]
     count, best = np.zeros(len(counts), np.int64), np.zeros(len(counts), np.int64)
     count[counts["pos"]], best[counts["pos"]] = counts["count"], counts["is_best"]
@@ -327,7 +339,7 @@ def align_tokens(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     and ``n_shared``, the pairs of tokens that share a group."""
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text"))
     aligned = rows.mapInArrow(_align(_shipped(docs, a_path, b_path)), _BLOCKS)
-    blocks = stored(aligned.withColumn("block", F.monotonically_increasing_id()), "blocks")
+    blocks = stored(aligned.withColumn("block", F.monotonically_increasing_id()), "blocks", **WRITER)
     entries = F.posexplode(F.arrays_zip("pairs", "holding")).alias("pos", "e")
     entries = blocks.select("block", entries).select("block", "pos", F.col("e.pairs").alias("pair"), F.col("e.holding").alias("n"))
     counted = entries.withColumn("count", F.sum("n").over(Window.partitionBy("pair"))).drop("n")
@@ -347,7 +359,7 @@ def _link_rows(shipped, shared: bool) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = _aligner(shipped)
         for whole in batches:
-            for batch in slices(whole, 1, SLICE // 8):
+            for batch in slices(whole, 1, SLICE // 2):
                 found = aligner.align(batch.column(1).to_pylist())
                 links = found.shared() if shared else found.links
                 row, column = links.rows(), links.indices

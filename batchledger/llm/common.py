@@ -19,13 +19,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, **options: int) -> DataFrame:
     """``df`` as a table in the shared folder: written once, read by everything that follows.
 
     Row numbers drawn before the write are fixed by it, and lost executors cost no recomputation.
+    ``options`` are those of the Parquet writer.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -1,17 +1,23 @@
 """Token counts, tokenizer alignment and the manifest against plain Python."""
 
+import glob
 import hashlib
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from batchledger.llm import align, merkle, token_count
+from batchledger.llm.common import stored, worker_cache
 
 from helpers import awkward, documents
 
@@ -137,6 +143,44 @@ class Plain:
         return ids, links, groups
 
 
+class Shipped:
+    with open(A, encoding="utf-8") as a, open(B, "rb") as b:
+        value = a.read(), b.read()
+
+
+def test_alignment_holds_little_beside_a_block(spark):
+    """Slices and what a block gathers are small, and what other work left in the worker goes."""
+    worker_cache("other work")["held"] = "words"
+    rng = random.Random(4)
+    words = ["".join(rng.choice("etaoinsh") for _ in range(rng.randint(2, 8))) for _ in range(400)]
+    texts = [" ".join(rng.choices(words, k=300)) for _ in range(1500)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])
+    run = align._align(Shipped)
+    list(run(iter([batch.slice(0, 100)])))
+    assert not worker_cache("other work")
+    tracemalloc.start()
+    rows = sum(len(row.column(0)[0]) for row in run(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == len(texts) and peak < 60e6
+    # Blocks are rows of some megabytes; the writer and the readers hold few of them.
+    large = spark.range(8).coalesce(1).select(F.transform(F.sequence(F.lit(1), F.lit(1_000_000)), lambda i: F.xxhash64(i)).alias("pairs"))
+    (file,) = glob.glob(stored(large, "blocks", **align.WRITER).inputFiles()[0].removeprefix("file:"))
+    groups = pq.ParquetFile(file).metadata
+    assert max(groups.row_group(i).total_byte_size for i in range(groups.num_row_groups)) < 2 * align.ROW_GROUP
+
+
+def test_a_block_is_the_same_however_its_texts_are_cut():
+    aligner, texts = align.Aligner(*Shipped.value), mixed_texts(60, 5) + [None, ""]
+    rows = []
+    for size in (7, len(texts)):
+        block = align._Block()
+        for first in range(0, len(texts), size):
+            block.add(aligner, list(range(len(texts)))[first : first + size], texts[first : first + size])
+        rows.append(block.row().to_pydict())
+    assert rows[0] == rows[1] and sum(rows[0]["holding"][0]) == len(rows[0]["indices"][0]) > 0
+
+
 def test_alignment_against_plain(spark):
     plain = Plain()
     rows = [r for r in awkward(3, 30) if len(r[1] or "") < 5000]
