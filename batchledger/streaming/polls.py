@@ -18,7 +18,8 @@ came before it was compared; a record that comes later counts from the next poll
 Two operators in a row keep the state, each with ``transformWithState`` on RocksDB, so set
 ``spark.sql.streaming.stateStore.providerClass`` to Spark's RocksDB provider. The first is keyed by
 (list, part of its jobs) and keeps an entry per job, written only when the job changes; parts spread
-a list that holds much of the queue over tasks. For every whole poll it hands on one row of sums and
+a list that holds much of the queue over tasks. With records, jobs share ``BUCKETS`` entries of a part,
+and a micro-batch reads and writes an entry at most once, however many polls and records it brings. For every whole poll it hands on one row of sums and
 signed differences, whatever the number of jobs. The second is keyed by list and adds them up.
 """
 
@@ -40,8 +41,8 @@ from ..functions.states import FINAL_STATES, STATES, state_code, state_name
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-#: Parts of a list; fixed by a query's first run.
-PARTS = 4
+#: Parts of a list, and entries of the state that the jobs of a part share; fixed by a query's first run.
+PARTS, BUCKETS = 4, 256
 #: Gaps between starts that tell the rate, and the quantile of them that counts.
 GAPS, QUANTILE = 20, 0.8
 SHORTEST_SECONDS = 10
@@ -146,7 +147,7 @@ class PollChanges(StatefulProcessor):
         for at in sorted({at for kind, at in zip(kinds, times) if kind == HEARTBEAT}):
             if open_at is not None and at > open_at:
                 if known is None:
-                    known = {job[0]: code[0] for job, code in self.queue.iterator()}
+                    known = self.queued()
                     kept = list(self.open.get())
                     for earlier, ids, codes in kept:
                         _keep_greatest(fresh.setdefault(earlier, {}), ids, codes)
@@ -158,11 +159,8 @@ class PollChanges(StatefulProcessor):
                 yield open_at, now, changed
                 known = now
             open_at = at
-        for job, code in written.items():
-            if code:
-                self.queue.updateValue((job,), (code,))
-            elif self.queue.containsKey((job,)):
-                self.queue.removeKey((job,))
+        if written:
+            self.write_queue(written, known)
         if known is not None and kept:
             self.open.clear()
         for at, jobs in fresh.items():
@@ -172,6 +170,24 @@ class PollChanges(StatefulProcessor):
             self.clock.update((open_at,))
 
 
+    def queued(self) -> dict[int, int]:
+        """Code of each job in the queue."""
+        return {job[0]: code[0] for job, code in self.queue.iterator()}
+
+    def write_queue(self, written: dict[int, int], known: dict[int, int]) -> None:
+        """Put the changes into the state; ``known`` is the queue with them."""
+        for job, code in written.items():
+            if code:
+                self.queue.updateValue((job,), (code,))
+            elif self.queue.containsKey((job,)):
+                self.queue.removeKey((job,))
+
+
+def _bucket(job: int) -> int:
+    """Spread by a multiplicative hash: the ids of a part may have a common step."""
+    return (job * 0x9E3779B97F4A7C15 >> 32) % BUCKETS
+
+
 def _check_time(at: int, open_at: int | None) -> None:
     if open_at is not None and at < open_at:
         raise ValueError(f"rows of poll {pd.Timestamp(at, unit='us')} came after a later poll, or it has no heartbeat")
@@ -187,8 +203,11 @@ class PollSums(PollChanges):
 
     def init(self, handle) -> None:
         super().init(handle)
-        self.records = handle.getMapState("records", "job BIGINT", "code INT, start BIGINT, seconds BIGINT")
-        self.waiting = handle.getListState("waiting", "at BIGINT, job BIGINT, code INT, start BIGINT, finish BIGINT")
+        # Each call to the state is a message to the JVM, so jobs and records share entries.
+        self.queue = handle.getMapState("shared_queue", "bucket INT", "jobs ARRAY<BIGINT>, codes ARRAY<INT>")
+        self.records = handle.getMapState("shared_records", "bucket INT", "jobs ARRAY<BIGINT>, codes ARRAY<INT>, starts ARRAY<BIGINT>, seconds ARRAY<BIGINT>")
+        kept = ("at", "jobs", "codes", "starts", "finishes")
+        self.waiting = handle.getListState("shared_waiting", ", ".join(f"{c} ARRAY<BIGINT>" for c in kept))
         self.latest = handle.getValueState("latest", "starts ARRAY<BIGINT>, jobs ARRAY<BIGINT>")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
@@ -201,9 +220,12 @@ class PollSums(PollChanges):
         held: list | None = None
         sums: list[tuple] = []
         self.given = None  # the latest starts, once read for this key
+        self.known_records: dict[int, dict[int, tuple]] = {}  # by bucket, once read for this key
+        self.changed_records: set[int] = set()
+        self.first_records: bool | None = None
         for at, now, changed in self.whole_polls(rows):
             if held is None:
-                waiting = list(map(list, self.waiting.get()))
+                waiting = [list(map(int, row)) for entry in self.waiting.get() for row in zip(*entry)]
                 held = sorted([*waiting, *came], key=lambda r: r[0])
             due = [r for r in held if r[0] <= at]
             held = held[len(due) :]
@@ -212,8 +234,11 @@ class PollSums(PollChanges):
             sums.append((*key, at, len(changed), len(now), running, differences, starts))
         if held is not None and waiting:
             self.waiting.clear()
-        for row in came if held is None else held:
-            self.waiting.appendValue(tuple(row))
+        for bucket in self.changed_records:
+            jobs = self.known_records[bucket]
+            self.records.updateValue((bucket,), (list(jobs), *map(list, zip(*jobs.values()))))
+        if rest := came if held is None else held:
+            self.waiting.appendValue(tuple(map(list, zip(*rest))))
         if sums:  # one frame for all polls of the micro-batch
             yield pd.DataFrame(sums, columns=SUMS_COLUMNS)
 
@@ -224,13 +249,12 @@ class PollSums(PollChanges):
             return differences, self.given
         latest = list(zip(*(self.latest.get() or ((), ()))))
         stale = added = False
-        # No question per record where there was none yet: the first records of a key come together.
-        known: dict | None = None if not rows or self.records.exists() else {}
         for _, job, code, start, finish in rows:
             final = code in FINAL_CODES
             seconds = int((finish - start) / 1_000_000) if final and NO_TIME not in (start, finish) else NO_TIME
             new = (code, start, seconds)
-            old = known.get(job) if known is not None else tuple(self.records.getValue((job,))) if self.records.containsKey((job,)) else None
+            known = self._bucket_of(job)
+            old = known.get(job)
             if old == new:
                 continue
             for sign, record in ((-1, old), (1, new)):
@@ -240,16 +264,17 @@ class PollSums(PollChanges):
                     if record[2] != NO_TIME:
                         differences[RUNS] += sign
                         differences[RUN_SECONDS] += sign * record[2]
-            self.records.updateValue((job,), new)
-            if known is not None:
-                known[job] = new
+            known[job] = new
+            self.changed_records.add(_bucket(job))
             if old is None or old[1] != start:
                 if old is not None and (old[1], job) in latest:
                     stale = True  # what comes up from below is not in the list
                 elif start != NO_TIME:
                     latest, added = sorted([*latest, (start, job)], reverse=True)[: GAPS + 1], True
         if stale:
-            started = ((r[1], job[0]) for job, r in self.records.iterator() if r[1] != NO_TIME)
+            for (bucket,), entry in list(self.records.iterator()):
+                self.known_records.setdefault(int(bucket), _by_job(entry))
+            started = ((r[1], job) for jobs in self.known_records.values() for job, r in jobs.items() if r[1] != NO_TIME)
             latest = sorted(started, reverse=True)[: GAPS + 1]
         if stale or added:
             starts, jobs = zip(*latest) if latest else ((), ())
@@ -257,6 +282,36 @@ class PollSums(PollChanges):
         self.given = [start for start, _ in latest]
         return differences, self.given
 
+    def _bucket_of(self, job: int) -> dict[int, tuple]:
+        """The records of the job's entry, as they are now."""
+        bucket = _bucket(job)
+        if bucket not in self.known_records:
+            if self.first_records is None:  # nothing is asked where there was none yet
+                self.first_records = not self.records.exists()
+            held = not self.first_records and self.records.containsKey((bucket,))
+            self.known_records[bucket] = _by_job(self.records.getValue((bucket,))) if held else {}
+        return self.known_records[bucket]
+
+    def queued(self) -> dict[int, int]:
+        return {int(job): int(code) for _, entry in self.queue.iterator() for job, code in zip(*entry)}
+
+    def write_queue(self, written: dict[int, int], known: dict[int, int]) -> None:
+        buckets: dict[int, tuple[list, list]] = {_bucket(job): ([], []) for job in written}
+        for job, code in known.items():
+            if code and (entry := buckets.get(_bucket(job))) is not None:
+                entry[0].append(job)
+                entry[1].append(code)
+        for bucket, entry in buckets.items():
+            if entry[0]:
+                self.queue.updateValue((bucket,), entry)
+            elif self.queue.containsKey((bucket,)):
+                self.queue.removeKey((bucket,))
+
+
+def _by_job(entry) -> dict[int, tuple]:
+    """(code, start, seconds) of each job of an entry."""
+    return {int(job): tuple(map(int, record)) for job, *record in zip(*entry)}
+
 
 _PARTS = ["at", "num_changed", "num_queued", "num_running", "differences", "starts"]
 

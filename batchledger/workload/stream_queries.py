@@ -70,6 +70,7 @@ def _feed(spark: SparkSession, df: DataFrame, build: Callable[[DataFrame], DataF
 
 def _feed_status(spark: SparkSession, polls: DataFrame, records: DataFrame, build: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
     """The same with a stream of records beside the polls; records of a slice come with its first polls."""
+    polls, records = stored(polls, "polls"), stored(records, "records")
     base, own = scratch_path(spark, "status"), _streaming(spark)
     for part, known in zip([*_slices(polls), _closing(polls)], [*_slices(records), None]):
         if known is not None:

@@ -199,6 +199,28 @@ def test_all_polls_of_a_micro_batch_are_one_frame():
     assert frame[["list_id", "part", "at", "num_changed", "num_queued"]].values.tolist() == [["a", 0, 1, 1, 1], ["a", 0, 2, 2, 1], ["a", 0, 3, 2, 1]]
 
 
+def test_records_and_jobs_share_entries_written_once_a_micro_batch():
+    """Many records of a job and many jobs cost few writes, and the sums are those of the last records."""
+    held, processor = Held(), sp.PollSums()
+    columns = ["kind", "at", "job_id", "code", "start", "finish"]
+    jobs, sums = range(2000), []
+    for first in (1, 6, 11):
+        processor.init(held)  # as after a restart
+        rows = [(sp.HEARTBEAT, at, 0, 0, sp.NO_TIME, sp.NO_TIME) for at in range(first, first + 5)]
+        for at in range(first, first + 5):
+            rows += [(sp.QUEUED, at, j, 1 + (j + at) % 2, sp.NO_TIME, sp.NO_TIME) for j in jobs]
+            rows += [(sp.RECORD, at, j, sp.RUNNING_CODE if (j + at) % 3 else 0, 1000 * at + j, sp.NO_TIME) for j in jobs]
+        held.writes.clear()
+        for frame in processor.handleInputRows(("a", 0), iter([pd.DataFrame(rows, columns=columns)]), None):
+            sums += frame.values.tolist()
+        assert len(held.writes) <= 2 * sp.BUCKETS
+    assert [s[2:5] for s in sums] == [[at, 2000, 2000] for at in range(1, 15)]
+    totals = [sum(x) for x in zip(*(s[6] for s in sums))]
+    running = sum((j + 14) % 3 > 0 for j in jobs)  # the fifteenth poll is open
+    assert totals[sp.RUNNING_CODE] == running and totals[0] == 2000 - running and totals[sp.STARTED] == 2000
+    assert sums[-1][7] == [14_000 + j for j in range(1999, 1978, -1)]
+
+
 def test_nothing_empty_is_cleared(monkeypatch):
     cleared = []
     monkeypatch.setattr(Value, "clear", lambda self: cleared.append(self.name))
